@@ -113,3 +113,114 @@ SELECT location_id, borough, zone, replace(service_zone, 'Boro', 'Green') AS ser
 
 ORACLE: dict[str, str] = {}
 ORACLE.update(QUESTIONS)
+
+
+# ---------------------------------------------------------------- marts
+RAW_COLS = ["service_type", "vendorid", "ratecodeid", "pickup_locationid", "dropoff_locationid",
+            "pickup_datetime", "dropoff_datetime", "store_and_fwd_flag", "passenger_count",
+            "trip_distance", "trip_type", "fare_amount", "extra", "mta_tax", "tip_amount",
+            "tolls_amount", "ehail_fee", "improvement_surcharge", "total_amount", "payment_type",
+            "congestion_surcharge", "l_partkey", "l_returnflag", "l_linestatus"]
+
+RAW = """raw AS (
+  SELECT l.l_orderkey, l.l_linenumber,
+         CASE o.o_orderstatus WHEN 'F' THEN 'Yellow' WHEN 'O' THEN 'Green' ELSE 'FHV' END AS service_type,
+         l.l_suppkey AS vendorid, 1 AS ratecodeid, c.c_nationkey AS pickup_locationid,
+         CAST((c.c_nationkey + l.l_linenumber) % 25 AS INTEGER) AS dropoff_locationid,
+         l.l_shipdate AS pickup_datetime, l.l_shipdate + to_hours(l.l_linenumber) AS dropoff_datetime,
+         'N' AS store_and_fwd_flag, l.l_quantity AS passenger_count, l.l_quantity / 4 AS trip_distance,
+         l.l_linenumber AS trip_type, l.l_extendedprice AS fare_amount, l.l_discount AS extra,
+         l.l_tax AS mta_tax,
+         CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) * CAST(l.l_discount AS DECIMAL(4,2)) AS DECIMAL(38,9)) AS tip_amount,
+         0.0::DOUBLE AS tolls_amount, CAST(NULL AS DOUBLE) AS ehail_fee, 0.3::DOUBLE AS improvement_surcharge,
+         CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2)))
+              * (1 + CAST(l.l_tax AS DECIMAL(4,2))) AS DECIMAL(38,9)) AS total_amount,
+         l.l_linenumber % 5 AS payment_type, 2.5::DOUBLE AS congestion_surcharge,
+         l.l_partkey, l.l_returnflag, l.l_linestatus
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey)"""
+
+DEDUP = f"""dd AS (
+  SELECT * FROM raw WHERE vendorid IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                             ORDER BY {', '.join(c + ' NULLS FIRST' for c in RAW_COLS)}) = 1)"""
+
+
+def _measure(c: str) -> str:
+    return f"CASE WHEN service_type = 'FHV' THEN NULL ELSE CAST({c} AS DECIMAL(38,9)) END AS {c}"
+
+
+FCT = f"""fct AS (
+  SELECT md5(concat_ws('-', coalesce(CAST(l_orderkey AS VARCHAR), '_dbt_utils_surrogate_key_null_'),
+                            coalesce(CAST(l_linenumber AS VARCHAR), '_dbt_utils_surrogate_key_null_'))) AS tripid,
+         CAST(vendorid AS VARCHAR) AS vendorid,
+         CASE WHEN service_type = 'FHV' THEN NULL ELSE CAST(ratecodeid AS INTEGER) END AS ratecodeid,
+         CAST(pickup_locationid AS INTEGER) AS pickup_locationid,
+         CAST(dropoff_locationid AS INTEGER) AS dropoff_locationid,
+         pickup_datetime, dropoff_datetime,
+         CASE WHEN service_type = 'FHV' THEN NULL ELSE store_and_fwd_flag END AS store_and_fwd_flag,
+         CASE WHEN service_type = 'FHV' THEN NULL ELSE CAST(passenger_count AS INTEGER) END AS passenger_count,
+         {_measure('trip_distance')},
+         CASE WHEN service_type = 'Green' THEN CAST(trip_type AS INTEGER) ELSE NULL END AS trip_type,
+         {', '.join(_measure(c) for c in ['fare_amount', 'extra', 'mta_tax', 'tip_amount', 'tolls_amount',
+                                           'ehail_fee', 'improvement_surcharge', 'total_amount'])},
+         CASE WHEN service_type = 'FHV' THEN NULL ELSE CAST(payment_type AS INTEGER) END AS payment_type,
+         {_measure('congestion_surcharge')},
+         service_type
+  FROM dd)"""
+
+_REV_SUMS = [("fare_amount", "revenue_monthly_fare"), ("extra", "revenue_monthly_extra"),
+             ("mta_tax", "revenue_monthly_mta_tax"), ("tip_amount", "revenue_monthly_tip_amount"),
+             ("tolls_amount", "revenue_monthly_tolls_amount"), ("ehail_fee", "revenue_monthly_ehail_fee"),
+             ("improvement_surcharge", "revenue_monthly_improvement_surcharge"),
+             ("total_amount", "revenue_monthly_total_amount"),
+             ("congestion_surcharge", "revenue_monthly_congestion_surcharge")]
+
+
+def _service_agg(service: str, measured: bool) -> str:
+    if measured:
+        sums = ", ".join(f"sum({c}) AS {a}" for c, a in _REV_SUMS)
+        avgs = (f"{rnd('avg(passenger_count)', 6)} AS avg_monthly_passenger_count, "
+                f"{rnd('avg(trip_distance)', 6)} AS avg_monthly_trip_distance")
+    else:
+        sums = ", ".join(f"CAST(0 AS DECIMAL(38,9)) AS {a}" for _, a in _REV_SUMS)
+        avgs = "CAST(NULL AS DOUBLE) AS avg_monthly_passenger_count, CAST(NULL AS DOUBLE) AS avg_monthly_trip_distance"
+    return f"""SELECT pickup_locationid, CAST(date_trunc('month', CAST(pickup_datetime AS DATE)) AS DATE) AS revenue_month,
+         service_type, {sums}, count(tripid) AS total_monthly_trips, {avgs}
+  FROM fct WHERE service_type = '{service}' AND pickup_datetime IS NOT NULL GROUP BY 1, 2, 3"""
+
+
+MARTS = {
+    "staged_trips": f"WITH {RAW}, {DEDUP}, {FCT} SELECT * FROM fct WHERE service_type <> 'FHV'",
+    "fct_trips": f"WITH {RAW}, {DEDUP}, {FCT} SELECT * FROM fct",
+    "monthly_zone_revenue": f"""
+WITH {RAW}, {DEDUP}, {FCT}, {ZONES},
+green AS ({_service_agg('Green', True)}),
+yellow AS ({_service_agg('Yellow', True)}),
+fhv AS ({_service_agg('FHV', False)}),
+all_trips AS (SELECT * FROM green UNION ALL SELECT * FROM yellow UNION ALL SELECT * FROM fhv)
+SELECT z.zone AS revenue_zone, a.revenue_month, a.service_type,
+       {', '.join('a.' + al for _, al in _REV_SUMS)},
+       a.total_monthly_trips, a.avg_monthly_passenger_count, a.avg_monthly_trip_distance
+FROM all_trips a JOIN zones z ON a.pickup_locationid = z.location_id""",
+}
+
+STAGED_REPORT = f"""staged AS (
+  SELECT t.pickup_datetime, t.dropoff_datetime, t.pickup_location_id, t.dropoff_location_id,
+         t.fare_amount, t.taxi_type, p.payment_type_name
+  FROM trips t LEFT JOIN payments p ON t.payment_type = p.payment_type_id
+  WHERE t.pickup_datetime >= TIMESTAMP '2024-01-01' AND t.pickup_datetime < TIMESTAMP '2024-02-01'
+  QUALIFY row_number() OVER (PARTITION BY t.pickup_datetime, t.dropoff_datetime, t.pickup_location_id,
+                                          t.dropoff_location_id, t.fare_amount
+                             ORDER BY t.taxi_type NULLS FIRST, p.payment_type_name NULLS FIRST) = 1)"""
+
+REPORT = """report AS (
+  SELECT CAST(pickup_datetime AS DATE) AS trip_date, taxi_type, payment_type_name AS payment_type,
+         count(*) AS trip_count, {s} AS total_fare, {a} AS avg_fare
+  FROM staged GROUP BY 1, 2, 3)""".format(s=rnd("sum(fare_amount)", 2), a=rnd("avg(fare_amount)", 2))
+
+MARTS["daily_report"] = f"WITH {TRIPS}, {PAYMENTS}, {STAGED_REPORT}, {REPORT} SELECT * FROM report"
+MARTS["top_payment_types"] = f"""WITH {TRIPS}, {PAYMENTS}, {STAGED_REPORT}, {REPORT}
+SELECT payment_type, CAST(sum(trip_count) AS BIGINT) AS trips FROM report
+GROUP BY payment_type ORDER BY trips DESC, payment_type NULLS FIRST LIMIT 10"""
+
+ORACLE.update(MARTS)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import questions
+from . import marts, questions
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 def all_queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     out.update(questions.QUERIES)
+    out.update(marts.QUERIES)
     return out
 
 
@@ -22,4 +23,4 @@ def all_oracles() -> dict[str, str]:
     return dict(ORACLE)
 
 
-FLAGSHIP = "top_zone_revenue_day"
+FLAGSHIP = "monthly_zone_revenue"
