@@ -224,3 +224,96 @@ SELECT payment_type, CAST(sum(trip_count) AS BIGINT) AS trips FROM report
 GROUP BY payment_type ORDER BY trips DESC, payment_type NULLS FIRST LIMIT 10"""
 
 ORACLE.update(MARTS)
+
+
+# ------------------------------------------------------------ publishing
+def _hash_sql(cols: list[str], text: dict[str, str]) -> str:
+    return "md5(concat(" + ", ".join(f"coalesce({text.get(c, f'CAST({c} AS VARCHAR)')}, '')" for c in cols) + "))"
+
+
+_TEXT = {"o_orderstatus": "o_orderstatus", "o_orderpriority": "o_orderpriority",
+         "o_totalprice": "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)"}
+_ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+_SHORT = ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"]
+_OC = ", ".join(_ORDER_COLS)
+
+HASHED = f"""h AS (SELECT {_OC}, {_hash_sql(_ORDER_COLS, _TEXT)} AS unique_row_id FROM orders),
+tgt AS (SELECT * FROM h WHERE o_orderdate < TIMESTAMP '2000-01-01'),
+src AS (SELECT * FROM h WHERE o_orderdate >= TIMESTAMP '1999-07-01' AND o_orderdate < TIMESTAMP '2000-07-01')"""
+
+_CORRECTED = f"o_orderkey, o_custkey, 'F' AS o_orderstatus, {rnd('o_totalprice * 1.01', 2)} AS o_totalprice, o_orderdate, o_orderpriority"
+
+PUBLISHING = {
+    "row_hash": f"""SELECT o_orderkey, {_hash_sql(_ORDER_COLS, _TEXT)} AS unique_row_id,
+       {_hash_sql(_SHORT, _TEXT)} AS short_row_id FROM orders""",
+    "merge_insert_only": f"""WITH {HASHED}
+SELECT {_OC}, unique_row_id FROM tgt
+UNION ALL
+SELECT {_OC}, unique_row_id FROM src WHERE unique_row_id NOT IN (SELECT unique_row_id FROM tgt)""",
+    "merge_upsert": f"""WITH {HASHED}
+SELECT {_OC} FROM tgt WHERE o_orderkey NOT IN (SELECT o_orderkey FROM src)
+UNION ALL
+SELECT {_CORRECTED} FROM src""",
+    "delete_insert": f"""WITH {HASHED}, b AS (SELECT {_CORRECTED} FROM src WHERE o_orderstatus = 'O')
+SELECT {_OC} FROM tgt WHERE o_orderdate NOT IN (SELECT o_orderdate FROM b)
+UNION ALL
+SELECT {_OC} FROM b""",
+    "time_interval_refresh": f"""WITH {TRIPS}
+SELECT trip_id, pickup_datetime, dropoff_datetime, pickup_location_id, dropoff_location_id, trip_distance,
+       CASE WHEN pickup_datetime >= TIMESTAMP '2024-01-10 12:00:00' AND pickup_datetime < TIMESTAMP '2024-01-13 06:00:00'
+            THEN {rnd('fare_amount * 1.08', 2)} ELSE fare_amount END AS fare_amount,
+       total_amount, payment_type, taxi_type, vendor_id
+FROM trips""",
+}
+
+MONTHS = """span AS (SELECT o_orderstatus AS status, min(o_orderdate) AS first_order, max(o_orderdate) AS last_order
+                  FROM orders GROUP BY 1),
+b AS (SELECT status, CAST(date_trunc('month', first_order) AS DATE) AS f,
+             LEAST(CASE WHEN last_order = date_trunc('month', last_order)
+                        THEN CAST(date_trunc('month', last_order) - INTERVAL 1 MONTH AS DATE)
+                        ELSE CAST(date_trunc('month', last_order) AS DATE) END, DATE '2001-06-01') AS l
+      FROM span),
+months AS (SELECT status, CAST(datediff('month', f, CAST(m AS DATE)) AS INTEGER) AS month_index,
+                  CAST(m AS DATE) AS month_start
+           FROM b, unnest(generate_series(CAST(f AS TIMESTAMP), CAST(l AS TIMESTAMP), INTERVAL 1 MONTH)) AS t(m))"""
+
+PUBLISHING["months_to_process"] = f"WITH {MONTHS} SELECT * FROM months"
+PUBLISHING["backfill_chunks"] = f"""WITH {MONTHS}
+SELECT status, CAST(floor(month_index / 3) AS INTEGER) AS chunk_no, min(month_start) AS chunk_start,
+       CAST(max(month_start) + INTERVAL 1 MONTH AS DATE) AS chunk_end,
+       CAST(floor(month_index / 3) AS INTEGER) = 0 AS full_refresh
+FROM months GROUP BY 1, 2"""
+PUBLISHING["distinct_vendors_partitioned"] = QUESTIONS["distinct_vendors_in_range"]
+ORACLE.update(PUBLISHING)
+
+# ------------------------------------------------------------ checks
+def _row_check(name: str, col: str, cond: str) -> str:
+    return f"SELECT '{name}' AS check_name, '{col}' AS column_name, count(*) FILTER (WHERE {cond}) AS failures FROM orders"
+
+
+CHECKS = {
+    "quality_report": "SELECT check_name, column_name, CAST(failures AS BIGINT) AS failures, failures = 0 AS passed FROM (\n"
+    + "\nUNION ALL\n".join([
+        _row_check("not_null", "o_orderkey", "o_orderkey IS NULL"),
+        _row_check("not_null", "o_orderdate", "o_orderdate IS NULL"),
+        _row_check("non_negative", "o_totalprice", "o_totalprice < 0"),
+        _row_check("positive", "o_totalprice", "o_totalprice <= 0"),
+        _row_check("accepted_values", "o_orderstatus",
+                   "o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O', 'P')"),
+        _row_check("accepted_values", "o_orderpriority",
+                   "o_orderpriority IS NOT NULL AND o_orderpriority NOT IN "
+                   "('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')"),
+        "SELECT 'min_rows', '*', CASE WHEN count(*) >= 1 THEN 0 ELSE 1 END FROM orders",
+        _row_check("not_null", "o_custkey", "o_custkey IS NULL"),
+        _row_check("not_null", "o_orderdate", "o_orderdate IS NULL"),
+        "SELECT 'unique', 'o_orderkey', count(*) FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)",
+        "SELECT 'primary_key', 'o_custkey,o_orderdate', count(*) FROM "
+        "(SELECT o_custkey, o_orderdate FROM orders GROUP BY 1, 2 HAVING count(*) > 1)",
+    ]) + ")",
+    "row_reconciliation": """
+SELECT 'orders' AS copy, count(*) AS row_count FROM orders
+UNION ALL SELECT 'orders_dedup', count(*) FROM (SELECT DISTINCT o_custkey, o_orderdate FROM orders)
+UNION ALL SELECT 'lineitem', count(*) FROM lineitem
+UNION ALL SELECT 'lineitem_dedup', count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)""",
+}
+ORACLE.update(CHECKS)

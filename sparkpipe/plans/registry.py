@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import marts, questions
+from . import checks, marts, publishing, questions
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,8 @@ def all_queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     out.update(questions.QUERIES)
     out.update(marts.QUERIES)
+    out.update(publishing.QUERIES)
+    out.update(checks.QUERIES)
     return out
 
 
