@@ -317,3 +317,91 @@ UNION ALL SELECT 'lineitem', count(*) FROM lineitem
 UNION ALL SELECT 'lineitem_dedup', count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)""",
 }
 ORACLE.update(CHECKS)
+
+
+# ------------------------------------------------------------ markets
+def _pct_text(x: str) -> str:
+    return f"CAST(CAST(round(CAST({x} AS DECIMAL(38,9)), 2) AS DECIMAL(38,2)) AS VARCHAR)"
+
+
+_P2 = rnd("price", 2)
+TICKS = f"""tk AS (
+  SELECT event_id, upper(event_type) || '/USDT' AS symbol, value AS price, CAST(k AS DOUBLE) AS volume, ts,
+         'SIM' AS exchange,
+         CASE WHEN event_id % 4 = 0 THEN NULL WHEN event_id % 4 = 1 THEN 0.0::DOUBLE ELSE value * 0.9995 END AS bid,
+         CASE WHEN event_id % 4 = 0 THEN NULL WHEN event_id % 4 = 1 THEN 0.0::DOUBLE ELSE value * 1.0005 END AS ask,
+         ts + to_seconds(user_id % 60) AS ingest_ts,
+         NOT (CAST(k AS DOUBLE) > 0) AS failed
+  FROM {EV_K} ev),
+kept AS (
+  SELECT event_id, symbol, ts, {_P2} AS price, {rnd('volume', 8)} AS volume, exchange,
+         CASE WHEN bid IS NULL OR bid = 0 THEN {rnd(_P2 + ' * 0.9999', 2)} ELSE bid END AS bid,
+         CASE WHEN ask IS NULL OR ask = 0 THEN {rnd(_P2 + ' * 1.0001', 2)} ELSE ask END AS ask
+  FROM tk WHERE NOT failed AND NOT (ts < ingest_ts - INTERVAL 30 SECOND))"""
+
+_ANOM = f"""an AS (SELECT *, lag(price) OVER w AS prev_price, lag(volume) OVER w AS prev_volume FROM kept
+       WINDOW w AS (PARTITION BY symbol ORDER BY ts, event_id)),
+pc AS (SELECT *, abs((price - prev_price) / prev_price * 100) AS p,
+              abs((volume - prev_volume) / (prev_volume + 1e-9) * 100) AS v FROM an)"""
+
+
+def _candles(unit: str) -> str:
+    return f"""WITH {TICKS}
+SELECT symbol, CAST(date_trunc('{unit}', ts) AS TIMESTAMP) AS window_start,
+       first(price ORDER BY ts, event_id) AS open, max(price) AS high, min(price) AS low,
+       last(price ORDER BY ts, event_id) AS close, sum(volume) AS volume, count(*) AS tick_count
+FROM kept GROUP BY 1, 2"""
+
+
+MARKETS = {
+    "clean_ticks": f"WITH {TICKS} SELECT * FROM kept",
+    "tick_rejects": f"WITH {TICKS} SELECT event_id, symbol AS key, 'non_positive_volume' AS reject_reason FROM tk WHERE failed",
+    "stale_split": f"""WITH {TICKS}
+SELECT symbol, count(*) FILTER (WHERE NOT (ts < ingest_ts - INTERVAL 30 SECOND)) AS kept,
+       count(*) FILTER (WHERE ts < ingest_ts - INTERVAL 30 SECOND) AS stale
+FROM tk WHERE NOT failed GROUP BY symbol""",
+    "tick_anomalies": f"""WITH {TICKS}, {_ANOM}
+SELECT symbol, ts, event_id, price, volume,
+       CASE WHEN p > 2.0 THEN 'PRICE_JUMP' ELSE 'VOLUME_SPIKE' END AS anomaly_type,
+       CASE WHEN p > 2.0 THEN 'Price changed ' || {_pct_text('p')} || '% in one tick'
+            ELSE 'Volume changed ' || {_pct_text('v')} || '% in one tick' END AS anomaly_detail
+FROM pc WHERE p > 2.0 OR v > 500.0""",
+    "ohlcv_1m": _candles("minute"),
+    "ohlcv_1h": _candles("hour"),
+    "latest_tick": f"""WITH {TICKS}
+SELECT symbol, ts, event_id, price, volume FROM kept
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY ts DESC, event_id DESC) = 1""",
+    "rate_per_minute": f"""WITH {TICKS}
+SELECT symbol, CAST(date_trunc('minute', ts) AS TIMESTAMP) AS window_start, count(*) AS messages,
+       {rnd('count(*) / 60', 6)} AS rate_per_sec
+FROM tk GROUP BY 1, 2""",
+    "producer_counters": f"""WITH {TICKS}
+SELECT symbol, count(*) FILTER (WHERE NOT failed) AS sent, CAST(count(*) FILTER (WHERE failed) AS BIGINT) AS failed,
+       CASE WHEN count(*) FILTER (WHERE failed) >= 1 THEN 'red' ELSE 'green' END AS state
+FROM tk GROUP BY symbol""",
+    "error_increase": f"""WITH {TICKS},
+per AS (SELECT symbol, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS period, count(*) FILTER (WHERE failed) AS failed
+        FROM tk GROUP BY 1, 2)
+SELECT symbol, period, failed, lag(failed) OVER (PARTITION BY symbol ORDER BY period) AS prev_failed,
+       coalesce(failed > lag(failed) OVER (PARTITION BY symbol ORDER BY period), false) AS increased
+FROM per""",
+    "silence_gaps": f"""WITH {TICKS},
+g AS (SELECT symbol, ts, lag(ts) OVER (PARTITION BY symbol ORDER BY ts, event_id) AS prev_ts FROM tk)
+SELECT symbol, prev_ts AS gap_start, ts AS gap_end, (epoch_us(ts) - epoch_us(prev_ts)) / 1e6 AS gap_seconds
+FROM g WHERE (epoch_us(ts) - epoch_us(prev_ts)) / 1e6 >= 120""",
+    "price_drop_5m": f"""WITH {TICKS},
+m AS (SELECT symbol, ts, event_id, price,
+             max(price) OVER (PARTITION BY symbol ORDER BY ts
+                              RANGE BETWEEN INTERVAL 5 MINUTE PRECEDING AND CURRENT ROW) AS max_price_window
+      FROM kept)
+SELECT symbol, ts, event_id, price, max_price_window,
+       {rnd('(max_price_window - price) / max_price_window * 100', 4)} AS drop_pct
+FROM m WHERE (max_price_window - price) / max_price_window * 100 > 3.0""",
+    "series_last_30m": f"""WITH {TICKS}
+SELECT symbol, ts, event_id, price FROM kept
+WHERE ts >= TIMESTAMP '2024-01-30 00:00:00' - INTERVAL 30 MINUTE AND ts <= TIMESTAMP '2024-01-30 00:00:00'""",
+    "retention": f"""WITH {TICKS}
+SELECT symbol, count(*) AS retained FROM kept WHERE ts >= TIMESTAMP '2024-01-30 00:00:00' - INTERVAL 7 DAY
+GROUP BY symbol""",
+}
+ORACLE.update(MARKETS)

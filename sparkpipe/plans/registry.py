@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import checks, marts, publishing, questions
+from . import checks, markets, marts, publishing, questions
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def all_queries() -> dict[str, QueryFn]:
     out.update(marts.QUERIES)
     out.update(publishing.QUERIES)
     out.update(checks.QUERIES)
+    out.update(markets.QUERIES)
     return out
 
 
