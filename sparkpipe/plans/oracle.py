@@ -405,3 +405,48 @@ SELECT symbol, count(*) AS retained FROM kept WHERE ts >= TIMESTAMP '2024-01-30
 GROUP BY symbol""",
 }
 ORACLE.update(MARKETS)
+
+
+# ------------------------------------------------------------ streams (batch equivalents)
+_RIDES = f"""{TRIPS},
+r AS (SELECT trip_id, pickup_location_id AS PULocationID, dropoff_location_id AS DOLocationID, trip_distance,
+             total_amount, {rnd('total_amount * 0.15', 2)} AS tip_amount,
+             make_timestamp((epoch_us(pickup_datetime) // 1000) * 1000) AS et, pickup_datetime FROM trips)"""
+
+
+def _tumbling(bucket: str, keyed: bool, cols: str) -> str:
+    key = "PULocationID, " if keyed else ""
+    return f"""WITH {_RIDES},
+w AS (SELECT time_bucket(INTERVAL {bucket}, et) AS window_start, {key}count(*) AS num_trips,
+             {rnd('sum(total_amount)', 2)} AS total_revenue, {rnd('sum(tip_amount)', 2)} AS total_tips
+      FROM r GROUP BY ALL)
+SELECT window_start, window_start + INTERVAL {bucket} AS window_end, {cols} FROM w"""
+
+
+STREAMS = {
+    "stream_pass_through": f"""WITH {_RIDES}
+SELECT trip_id, PULocationID, DOLocationID, trip_distance, total_amount, et AS event_timestamp FROM r""",
+    "stream_tumbling_1h": _tumbling("1 HOUR", True, "PULocationID, num_trips, total_revenue, total_tips"),
+    "stream_tumbling_5m": _tumbling("5 MINUTE", True, "PULocationID, num_trips"),
+    "stream_tip_by_hour": _tumbling("1 HOUR", False, "total_tips"),
+    "stream_session": f"""WITH {_RIDES},
+g AS (SELECT PULocationID, et, lag(et) OVER (PARTITION BY PULocationID ORDER BY et, trip_id) AS prev FROM r),
+f AS (SELECT *, sum(CASE WHEN prev IS NULL OR et > prev + INTERVAL 5 MINUTE THEN 1 ELSE 0 END)
+                 OVER (PARTITION BY PULocationID ORDER BY et ROWS UNBOUNDED PRECEDING) AS sid FROM g)
+SELECT PULocationID, min(et) AS session_start, max(et) + INTERVAL 5 MINUTE AS session_end, count(*) AS num_trips
+FROM f GROUP BY PULocationID, sid""",
+    "stream_upsert": _tumbling("1 HOUR", True, "PULocationID, num_trips, total_revenue, total_tips"),
+    "stream_ohlcv": MARKETS["ohlcv_1m"],
+    "stream_dedup": MARKETS["clean_ticks"],
+    "stream_anomalies": MARKETS["tick_anomalies"],
+    "stream_latest_tick": MARKETS["latest_tick"],
+}
+ORACLE.update(STREAMS)
+ORACLE["trip_sessions"] = f"""WITH {TRIPS},
+g AS (SELECT pickup_location_id AS PULocationID, pickup_datetime AS et, trip_id,
+             lag(pickup_datetime) OVER (PARTITION BY pickup_location_id ORDER BY pickup_datetime, trip_id) AS prev
+      FROM trips),
+f AS (SELECT *, sum(CASE WHEN prev IS NULL OR et > prev + INTERVAL 5 MINUTE THEN 1 ELSE 0 END)
+                 OVER (PARTITION BY PULocationID ORDER BY et, trip_id ROWS UNBOUNDED PRECEDING) AS sid FROM g)
+SELECT PULocationID, min(et) AS session_start, max(et) + INTERVAL 5 MINUTE AS session_end, count(*) AS num_trips
+FROM f GROUP BY PULocationID, sid"""

@@ -158,3 +158,13 @@ QUERIES = {
     "brand_avg_price": brand_avg_price,
     "dim_zones_clean": dim_zones_clean,
 }
+
+
+def trip_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch sessions per pickup location, 5-minute gap (X07 in batch, D21), hot-key safe."""
+    from ..operators.sequence import session_windows
+    t = B.trips(spark, sf_dir).select(F.col("pickup_location_id").alias("PULocationID"), "pickup_datetime", "trip_id")
+    return session_windows(t, ["PULocationID"], ["pickup_datetime", "trip_id"], 300)
+
+
+QUERIES["trip_sessions"] = trip_sessions

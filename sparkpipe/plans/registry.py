@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import checks, markets, marts, publishing, questions
+from . import checks, markets, marts, publishing, questions, streams
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,7 @@ def all_queries() -> dict[str, QueryFn]:
     out.update(publishing.QUERIES)
     out.update(checks.QUERIES)
     out.update(markets.QUERIES)
+    out.update(streams.QUERIES)
     return out
 
 
