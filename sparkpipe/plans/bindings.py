@@ -77,14 +77,15 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_trip_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_trip_records(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
     """Raw yellow/green/FHV records: lineitem ⋈ orders ⋈ customer, typed as the sources.
 
     Both joins are fact-to-fact at scale (orders and customers grow with the data), so
     they are left to the planner: shuffle joins on the order and customer keys, with AQE
     free to broadcast at runtime when a side turns out small.
     """
-    li, od, cu = tables(spark, sf_dir, "lineitem", "orders", "customer")
+    od, cu = tables(spark, sf_dir, "orders", "customer")
+    li = lineitem if lineitem is not None else read_table(spark, sf_dir, "lineitem")
     od = od.select("o_orderkey", "o_custkey", "o_orderstatus")
     cu = cu.select("c_custkey", "c_nationkey")
     j = li.join(od, li.l_orderkey == od.o_orderkey).join(cu, F.col("o_custkey") == cu.c_custkey)

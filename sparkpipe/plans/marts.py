@@ -18,6 +18,7 @@ from ..functions.keys import surrogate_key
 from ..functions.timefn import day_of, in_half_open, month_start
 from ..operators.dedup import dedup
 from ..operators.joins import lookup_join
+from ..sources.files import read_table
 from . import bindings as B
 
 TRIP_KEY = ["l_orderkey", "l_linenumber"]
@@ -27,9 +28,15 @@ REPORT_START, REPORT_END = "2024-01-01", "2024-02-01"
 
 
 def deduped_trip_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw records, one per (order, line) (W01): survivor = smallest by all other columns."""
-    raw = B.raw_trip_records(spark, sf_dir).filter(F.col("vendorid").isNotNull())
-    return dedup(raw, TRIP_KEY)
+    """Raw records, one per (order, line) (W01): survivor = smallest line by all its other
+    columns (D1).
+
+    Order and customer attributes are functions of the line's order key, so the dedup runs
+    on lineitem *before* the joins: the same survivors, a narrower row to sort, and a
+    quarter fewer rows entering the joins.
+    """
+    li = read_table(spark, sf_dir, "lineitem").filter(F.col("l_suppkey").isNotNull())
+    return B.raw_trip_records(spark, sf_dir, lineitem=dedup(li, TRIP_KEY))
 
 
 def _typed(df: DataFrame) -> DataFrame:

@@ -137,12 +137,15 @@ RAW = """raw AS (
               * (1 + CAST(l.l_tax AS DECIMAL(4,2))) AS DECIMAL(38,9)) AS total_amount,
          l.l_linenumber % 5 AS payment_type, 2.5::DOUBLE AS congestion_surcharge,
          l.l_partkey, l.l_returnflag, l.l_linestatus
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey)"""
+  FROM dl l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey)"""
 
-DEDUP = f"""dd AS (
-  SELECT * FROM raw WHERE vendorid IS NOT NULL
+LINE_COLS = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+             "l_returnflag", "l_linestatus", "l_shipdate"]
+DEDUP_LINES = f"""dl AS (
+  SELECT * FROM lineitem WHERE l_suppkey IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                             ORDER BY {', '.join(c + ' NULLS FIRST' for c in RAW_COLS)}) = 1)"""
+                             ORDER BY {', '.join(c + ' NULLS FIRST' for c in LINE_COLS)}) = 1)"""
+DEDUP = "dd AS (SELECT * FROM raw)"
 
 
 def _measure(c: str) -> str:
@@ -190,10 +193,10 @@ def _service_agg(service: str, measured: bool) -> str:
 
 
 MARTS = {
-    "staged_trips": f"WITH {RAW}, {DEDUP}, {FCT} SELECT * FROM fct WHERE service_type <> 'FHV'",
-    "fct_trips": f"WITH {RAW}, {DEDUP}, {FCT} SELECT * FROM fct",
+    "staged_trips": f"WITH {DEDUP_LINES}, {RAW}, {DEDUP}, {FCT} SELECT * FROM fct WHERE service_type <> 'FHV'",
+    "fct_trips": f"WITH {DEDUP_LINES}, {RAW}, {DEDUP}, {FCT} SELECT * FROM fct",
     "monthly_zone_revenue": f"""
-WITH {RAW}, {DEDUP}, {FCT}, {ZONES},
+WITH {DEDUP_LINES}, {RAW}, {DEDUP}, {FCT}, {ZONES},
 green AS ({_service_agg('Green', True)}),
 yellow AS ({_service_agg('Yellow', True)}),
 fhv AS ({_service_agg('FHV', False)}),

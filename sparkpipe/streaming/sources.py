@@ -42,7 +42,8 @@ def replay(df: DataFrame, folder: str, ts_col: str, slice_unit: str = "week", se
     oldest slice first (X16).  ``copies > 1`` re-delivers every slice (at-least-once
     delivery, for dedup tests).  Returns the number of files written."""
     spark = df.sparkSession
-    sliced = df.withColumn("_slice", F.date_trunc(slice_unit, F.col(ts_col)))
+    # The fixture is scanned once and re-read from cache for every slice.
+    sliced = df.withColumn("_slice", F.date_trunc(slice_unit, F.col(ts_col))).persist()
     # Slice starts are calendar metadata (a few per month of data), not rows.
     starts = [r[0] for r in sliced.select("_slice").distinct().orderBy("_slice").collect()]
     n = 0
@@ -51,6 +52,7 @@ def replay(df: DataFrame, folder: str, ts_col: str, slice_unit: str = "week", se
         for _ in range(copies):
             part.coalesce(1).write.mode("append").json(folder)
             n += 1
+    sliced.unpersist()
     if sentinel is not None:
         row = spark.createDataFrame([sentinel], df.schema)
         row.coalesce(1).write.mode("append").json(folder)
