@@ -453,3 +453,14 @@ f AS (SELECT *, sum(CASE WHEN prev IS NULL OR et > prev + INTERVAL 5 MINUTE THEN
                  OVER (PARTITION BY PULocationID ORDER BY et, trip_id ROWS UNBOUNDED PRECEDING) AS sid FROM g)
 SELECT PULocationID, min(et) AS session_start, max(et) + INTERVAL 5 MINUTE AS session_end, count(*) AS num_trips
 FROM f GROUP BY PULocationID, sid"""
+
+CONNECTORS = {
+    "zones_from_csv": f"""WITH {ZONES}
+SELECT location_id AS LocationID, borough AS Borough, zone AS Zone, service_zone FROM zones""",
+    "products_brand_avg_json": QUESTIONS["brand_avg_price"],
+    "orders_multi_file_load": """
+SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_totalprice AS amount, o_orderdate AS order_ts,
+       CASE o_orderstatus WHEN 'F' THEN 'Yellow' WHEN 'O' THEN 'Green' ELSE 'FHV' END AS service_type
+FROM orders""",
+}
+ORACLE.update(CONNECTORS)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import checks, markets, marts, publishing, questions, streams
+from . import checks, connectors, markets, marts, publishing, questions, streams
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,7 @@ def all_queries() -> dict[str, QueryFn]:
     out.update(checks.QUERIES)
     out.update(markets.QUERIES)
     out.update(streams.QUERIES)
+    out.update(connectors.QUERIES)
     return out
 
 

@@ -55,9 +55,13 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
 
 
 def read_json_documents(spark: SparkSession, path: str, array_field: str | None = None,
-                        schema: T.StructType | str | None = None) -> DataFrame:
-    """JSON documents; with ``array_field`` the array of records is exploded."""
-    reader = spark.read.option("multiLine", True)
+                        schema: T.StructType | str | None = None, multi_line: bool = True) -> DataFrame:
+    """JSON documents; with ``array_field`` the array of records is exploded.
+
+    ``multi_line`` reads whole-file documents; JSON Lines files are split per line
+    and parallelise better.
+    """
+    reader = spark.read.option("multiLine", multi_line)
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.json(path)
