@@ -1,9 +1,17 @@
 """Joins (J01-J06) with a size-checked broadcast.
 
-A side is broadcast only after a bounded check proves it small: we read at most
-``max_rows + 1`` rows of it (``limit`` stops the scan early), so the check itself
-never grows with the data.  Beyond the bound the join is left to the planner
-(sort-merge / shuffle-hash, with AQE free to convert at runtime from real sizes).
+A side is broadcast only when its size is proven small:
+
+1. Catalyst's size estimate of the optimised plan.  Without cost-based statistics the
+   estimate is an upper bound for scans, filters, projections, aggregates and joins
+   (a filter keeps the child's size, a join is bounded by the product), so a small
+   estimate is a proof and costs no job.  Plans that can grow rows (``explode``) are
+   not trusted.
+2. Otherwise a bounded count: read at most ``max_rows + 1`` rows (``limit`` stops the
+   scan early), so the check never grows with the data.
+
+Beyond the bound the join is left to the planner (sort-merge / shuffle-hash, with AQE
+free to convert at runtime from real sizes).
 """
 
 from __future__ import annotations
@@ -13,15 +21,30 @@ from pyspark.sql import functions as F
 
 # A lookup larger than this is not treated as a dimension.
 DEFAULT_BROADCAST_ROWS = 100_000
+DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
+_ROW_GROWING = ("Generate", "Expand")
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's upper-bound size estimate of ``df``, or None when it cannot be trusted."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    text = plan.toString()
+    if any(op in text for op in _ROW_GROWING):
+        return None
+    return int(str(plan.stats().sizeInBytes()))
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` is proven small: by the size estimate, else by a bounded count."""
+    est = estimated_bytes(df)
+    if est is not None and est <= max_bytes:
+        return True
     return df.limit(max_rows + 1).count() <= max_rows
 
 
 def small_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if the bounded check passes, else return it as is."""
+    """Mark ``df`` for broadcast if the check passes, else return it as is."""
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 

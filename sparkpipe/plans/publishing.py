@@ -119,6 +119,25 @@ def backfill_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inc.chunk_plan(months_to_process(spark, sf_dir), ["status"], CHUNK_MONTHS)
 
 
+def _optimized_lineitem(spark: SparkSession, sf_dir: str) -> str:
+    li = read_table(spark, sf_dir, "lineitem").withColumn("dropoff_month", F.trunc(F.to_date("l_shipdate"), "month"))
+    path = scratch_path(spark, "lineitem_optimized")
+    write_clustered(li, path, "dropoff_month", ["l_shipdate", "l_suppkey"])
+    return path
+
+
+def _vendors_in_range(df: DataFrame) -> DataFrame:
+    from .questions import RANGE_END, RANGE_START
+    return (df.filter(F.col("l_shipdate").between(F.lit(RANGE_START).cast("timestamp_ntz"),
+                                                  F.lit(RANGE_END).cast("timestamp_ntz")))
+              .select(F.col("l_suppkey").alias("vendor_id")).distinct())
+
+
+def _pruned(spark: SparkSession, path: str) -> DataFrame:
+    from .questions import RANGE_END, RANGE_START
+    return prune_by_month(spark.read.parquet(path), "dropoff_month", RANGE_START, RANGE_END)
+
+
 def distinct_vendors_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pruning pair (§4): same question as ``distinct_vendors_in_range`` on a copy
     partitioned by dropoff month and clustered by (dropoff day, vendor).
@@ -128,14 +147,24 @@ def distinct_vendors_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     the month.  A timestamp predicate does not prune a derived partition column, so the
     partition bounds are added explicitly (``prune_by_month``).
     """
-    li = read_table(spark, sf_dir, "lineitem").withColumn("dropoff_month", F.trunc(F.to_date("l_shipdate"), "month"))
-    path = scratch_path(spark, "lineitem_optimized")
-    write_clustered(li, path, "dropoff_month", ["l_shipdate", "l_suppkey"])
-    from .questions import RANGE_END, RANGE_START
-    t = prune_by_month(spark.read.parquet(path), "dropoff_month", RANGE_START, RANGE_END)
-    return (t.filter(F.col("l_shipdate").between(F.lit(RANGE_START).cast("timestamp_ntz"),
-                                                 F.lit(RANGE_END).cast("timestamp_ntz")))
-             .select(F.col("l_suppkey").alias("vendor_id")).distinct())
+    return _vendors_in_range(_pruned(spark, _optimized_lineitem(spark, sf_dir)))
+
+
+def pruning_report(spark: SparkSession, sf_dir: str) -> dict:
+    """Files and bytes the range question touches without and with the optimised layout."""
+    def files(df: DataFrame):
+        r = (df.select("_metadata.file_path", "_metadata.file_size").distinct()
+               .agg(F.count(F.lit(1)).alias("n"), F.sum("file_size").alias("b")).first())
+        return int(r["n"]), int(r["b"] or 0)
+    plain = read_table(spark, sf_dir, "lineitem")
+    path = _optimized_lineitem(spark, sf_dir)
+    opt_all = spark.read.parquet(path)
+    n0, b0 = files(plain)
+    n1, b1 = files(opt_all)
+    n2, b2 = files(_pruned(spark, path))
+    return {"unpartitioned_files": n0, "unpartitioned_bytes": b0, "partitioned_total_files": n1,
+            "partitioned_total_bytes": b1, "partitioned_read_files": n2, "partitioned_read_bytes": b2,
+            "bytes_ratio": round(b0 / b2, 2) if b2 else None}
 
 
 def prune_by_month(df: DataFrame, partition_col: str, start: str, end: str) -> DataFrame:

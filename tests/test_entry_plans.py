@@ -33,5 +33,12 @@ def test_zone_lookup_is_broadcast_and_topk_is_take_ordered(spark):
 
 
 def test_broadcast_check_is_bounded(spark):
-    assert fits_broadcast(spark.range(10), 10)
-    assert not fits_broadcast(spark.range(11), 10)
+    # Row bound (the size estimate disabled with max_bytes=0): reads at most max_rows + 1 rows.
+    assert fits_broadcast(spark.range(10), 10, max_bytes=0)
+    assert not fits_broadcast(spark.range(11), 10, max_bytes=0)
+    # Byte bound from Catalyst's upper-bound estimate: no job needed for a 25-row dimension.
+    from sparkpipe.operators.joins import estimated_bytes
+    from sparkpipe.plans.bindings import zones
+    assert estimated_bytes(zones(spark, SF001)) < 10 * 1024 * 1024
+    big = spark.read.parquet(SF001 + "/lineitem.parquet")
+    assert not fits_broadcast(big, 1000, max_bytes=0)
