@@ -464,3 +464,33 @@ SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_totalprice AS amount,
 FROM orders""",
 }
 ORACLE.update(CONNECTORS)
+
+_WIN_TRIPS = f"""{TRIPS},
+wr AS (SELECT pickup_location_id AS PULocationID, pickup_datetime, total_amount,
+              {rnd('total_amount * 0.15', 2)} AS tip_amount FROM trips)"""
+
+WINDOWS = {
+    "window_reaggregation": f"""WITH {_WIN_TRIPS},
+w AS (SELECT date_trunc('hour', pickup_datetime) AS window_start, PULocationID, count(*) AS num_trips,
+             sum(total_amount) AS total_revenue FROM wr GROUP BY 1, 2)
+SELECT window_start, count(*) AS locations, CAST(sum(num_trips) AS BIGINT) AS total_trips,
+       {rnd('sum(total_revenue)', 2)} AS revenue
+FROM w GROUP BY window_start ORDER BY window_start""",
+    "top_locations_5m": f"""WITH {_WIN_TRIPS},
+w AS (SELECT time_bucket(INTERVAL 5 MINUTE, pickup_datetime) AS window_start, PULocationID, count(*) AS num_trips
+      FROM wr GROUP BY 1, 2)
+SELECT PULocationID, window_start, num_trips FROM w ORDER BY num_trips DESC, window_start, PULocationID LIMIT 3""",
+    "top_sessions": f"""WITH {ORACLE['trip_sessions'].strip()[5:]}
+ORDER BY num_trips DESC, session_start, PULocationID LIMIT 5""",
+    "top_tip_hours": f"""WITH {_WIN_TRIPS}
+SELECT date_trunc('hour', pickup_datetime) AS window_start, {rnd('sum(tip_amount)', 2)} AS total_tip
+FROM wr GROUP BY 1 ORDER BY total_tip DESC, window_start LIMIT 3""",
+    "preview_trips": f"WITH {TRIPS} SELECT * FROM trips ORDER BY trip_id LIMIT 10",
+    "sql_daily_counts": f"""WITH {TRIPS}, {PAYMENTS}
+SELECT CAST(t.pickup_datetime AS DATE) AS trip_date, t.taxi_type, p.payment_type_name AS payment_type,
+       count(*) AS trip_count
+FROM trips t LEFT JOIN payments p ON t.payment_type = p.payment_type_id
+WHERE t.pickup_datetime >= TIMESTAMP '2024-01-01' AND t.pickup_datetime < TIMESTAMP '2024-02-01'
+GROUP BY 1, 2, 3""",
+}
+ORACLE.update(WINDOWS)

@@ -168,3 +168,86 @@ def trip_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["trip_sessions"] = trip_sessions
+
+
+# ------------------------------------------------------------ window results
+def _ride_windows(spark: SparkSession, sf_dir: str, size: str, keyed: bool = True) -> DataFrame:
+    from ..operators.windows import tumbling_totals
+    t = B.trips(spark, sf_dir).select(F.col("pickup_location_id").alias("PULocationID"), "pickup_datetime",
+                                      "total_amount",
+                                      round_half_up(F.col("total_amount") * F.lit(0.15), 2).alias("tip_amount"))
+    return tumbling_totals(t, "pickup_datetime", size, ["PULocationID"] if keyed else [],
+                           {"total_amount": "total_revenue", "tip_amount": "total_tip"})
+
+
+def window_reaggregation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly per-location windows re-aggregated per hour: locations, trips, revenue."""
+    from ..operators.windows import reaggregate
+    w = _ride_windows(spark, sf_dir, "1 hour")
+    r = reaggregate(w, ["window_start"], "locations", {"num_trips": "total_trips", "total_revenue": "revenue"})
+    return r.withColumn("revenue", round_half_up("revenue", 2)).orderBy("window_start")
+
+
+def top_locations_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three busiest 5-minute location windows."""
+    from ..operators.windows import top_n
+    w = _ride_windows(spark, sf_dir, "5 minutes").select("PULocationID", "window_start", "num_trips")
+    return top_n(w, "num_trips", 3, ["window_start", "PULocationID"])
+
+
+def top_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five longest sessions by trips (T05 over X07)."""
+    from ..operators.windows import top_n
+    return top_n(trip_sessions(spark, sf_dir), "num_trips", 5, ["session_start", "PULocationID"])
+
+
+def top_tip_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hours with the most tips (T05 over X06)."""
+    from ..operators.windows import top_n
+    w = _ride_windows(spark, sf_dir, "1 hour", keyed=False)
+    w = w.select("window_start", round_half_up("total_tip", 2).alias("total_tip"))
+    return top_n(w, "total_tip", 3, ["window_start"])
+
+
+def preview_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``SELECT * ... LIMIT 10`` preview (P21), in trip order so it is repeatable."""
+    return B.trips(spark, sf_dir).orderBy("trip_id").limit(10)
+
+
+SQL_REPORT = """
+SELECT CAST(t.pickup_datetime AS DATE) AS trip_date, t.taxi_type, p.payment_type_name AS payment_type,
+       COUNT(*) AS trip_count
+FROM trips_v t LEFT JOIN payments_v p ON t.payment_type = p.payment_type_id
+WHERE t.pickup_datetime >= :start AND t.pickup_datetime < :end
+GROUP BY 1, 2, 3
+"""
+
+
+def sql_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report written in SQL (S07 S17 A13 M11): the events file registered as an
+    external parquet view, views by name, GROUP BY ordinal, run parameters bound as named
+    arguments (never pasted into the text)."""
+    import uuid
+    suffix = uuid.uuid4().hex[:8]
+    ev_view, trips_view, pay_view = f"events_ext_{suffix}", f"trips_{suffix}", f"payments_{suffix}"
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {ev_view} USING parquet "
+              f"OPTIONS (path '{sf_dir.rstrip('/')}/events.parquet')")
+    ev = spark.table(ev_view)
+    k = B.event_k()
+    ev.select(F.col("ts").alias("pickup_datetime"), (k % 8).alias("payment_type"),
+              F.col("event_type").alias("taxi_type")).createOrReplaceTempView(trips_view)
+    B.payment_lookup(spark).createOrReplaceTempView(pay_view)
+    q = SQL_REPORT.replace("trips_v", trips_view).replace("payments_v", pay_view)
+    import datetime as dt
+    return spark.sql(q, args={"start": dt.datetime(2024, 1, 1), "end": dt.datetime(2024, 2, 1)}).select(
+        "trip_date", "taxi_type", "payment_type", "trip_count")
+
+
+QUERIES.update({
+    "window_reaggregation": window_reaggregation,
+    "top_locations_5m": top_locations_5m,
+    "top_sessions": top_sessions,
+    "top_tip_hours": top_tip_hours,
+    "preview_trips": preview_trips,
+    "sql_daily_counts": sql_daily_counts,
+})
