@@ -79,3 +79,55 @@ QUERIES = {
     "products_brand_avg_json": products_brand_avg_json,
     "orders_multi_file_load": orders_multi_file_load,
 }
+
+
+def repartition_copy_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repartition to a fixed file count and overwrite (K01), then count the files and rows
+    of the copy from file metadata (Q09)."""
+    from ..operators.quality import file_stats
+    from ..sinks.writers import write_parquet
+    path = scratch_path(spark, "lineitem_4")
+    write_parquet(read_table(spark, sf_dir, "lineitem"), path, mode="overwrite", num_files=4)
+    copy = spark.read.parquet(path)
+    files = file_stats(copy).select("num_files")
+    rows = copy.agg(F.count(F.lit(1)).alias("row_count"))
+    return _stats_pair(files, rows)
+
+
+def _stats_pair(files: DataFrame, rows: DataFrame) -> DataFrame:
+    a = files.select(F.lit("num_files").alias("stat"), F.col("num_files").alias("value"))
+    b = rows.select(F.lit("row_count").alias("stat"), F.col("row_count").alias("value"))
+    return a.unionByName(b)
+
+
+def chunked_load_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunked load (K07, K10, K12): the first chunk replaces the target, later chunks append.
+    Chunks are the three order statuses; each is one distributed write."""
+    from ..sinks.writers import load_batches
+    o = read_table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "orders_chunks")
+    o.limit(1).write.parquet(path)          # an old target the first chunk must replace
+    batches = (o.filter(F.col("o_orderstatus") == s) for s in ("F", "O", "P"))
+    load_batches(batches, path)
+    return spark.read.parquet(path)
+
+
+def tick_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean ticks exported as JSON under kind/yyyy/MM/dd (K15, F18), read back."""
+    from ..operators.ticks import clean_ticks
+    from ..sinks.writers import JSON_TS_NTZ_FORMAT, write_json_lake
+    kept, _, _ = clean_ticks(B.tick_messages(spark, sf_dir))
+    cols = ["event_id", "symbol", "ts", "price", "volume", "exchange", "bid", "ask"]
+    root = scratch_path(spark, "lake")
+    write_json_lake(kept.select(*cols), root, "ts", "ticks")
+    schema = ("event_id long, symbol string, ts timestamp_ntz, price double, volume double, "
+              "exchange string, bid double, ask double")
+    return (spark.read.schema(schema).option("timestampNTZFormat", JSON_TS_NTZ_FORMAT)
+                 .json(f"{root}/ticks").select(*cols))
+
+
+QUERIES.update({
+    "repartition_copy_stats": repartition_copy_stats,
+    "chunked_load_orders": chunked_load_orders,
+    "tick_lake": tick_lake,
+})

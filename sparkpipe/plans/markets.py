@@ -127,3 +127,24 @@ QUERIES = {
     "series_last_30m": series_last_30m,
     "retention": retention,
 }
+
+
+FOCUS_SYMBOL = "CLICK/USDT"
+
+
+def latest_five_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five newest ticks of one symbol (T07): a top-k on a filtered key."""
+    kept, _, _ = _cleaned(spark, sf_dir)
+    return (kept.filter(F.col("symbol") == FOCUS_SYMBOL)
+                .select("symbol", "ts", "event_id", "price")
+                .orderBy(F.desc("ts"), F.desc("event_id")).limit(5))
+
+
+def series_one_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One symbol's prices in the 30 minutes before the as-of time (O06, single key)."""
+    kept, _, _ = _cleaned(spark, sf_dir)
+    return M.recent_series(kept.select("symbol", "ts", "event_id", "price"), "ts", AS_OF, 30,
+                           key="symbol", value=FOCUS_SYMBOL)
+
+
+QUERIES.update({"latest_five_ticks": latest_five_ticks, "series_one_symbol": series_one_symbol})

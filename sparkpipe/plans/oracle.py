@@ -494,3 +494,21 @@ WHERE t.pickup_datetime >= TIMESTAMP '2024-01-01' AND t.pickup_datetime < TIMEST
 GROUP BY 1, 2, 3""",
 }
 ORACLE.update(WINDOWS)
+
+MORE = {
+    "latest_five_ticks": f"""WITH {TICKS}
+SELECT symbol, ts, event_id, price FROM kept WHERE symbol = 'CLICK/USDT'
+ORDER BY ts DESC, event_id DESC LIMIT 5""",
+    "series_one_symbol": f"""WITH {TICKS}
+SELECT symbol, ts, event_id, price FROM kept
+WHERE symbol = 'CLICK/USDT' AND ts >= TIMESTAMP '2024-01-30 00:00:00' - INTERVAL 30 MINUTE
+  AND ts <= TIMESTAMP '2024-01-30 00:00:00'""",
+    "repartition_copy_stats": """
+SELECT 'num_files' AS stat, CAST(4 AS BIGINT) AS value
+UNION ALL SELECT 'row_count', count(*) FROM lineitem""",
+    "chunked_load_orders": "SELECT * FROM orders",
+    "tick_lake": MARKETS["clean_ticks"],
+}
+ORACLE.update(MORE)
+ORACLE["stream_tumbling_10s"] = _tumbling("10 SECOND", True, "PULocationID, num_trips")
+ORACLE["stream_tick_job"] = MARKETS["clean_ticks"]

@@ -149,3 +149,37 @@ QUERIES = {
     "stream_anomalies": stream_anomalies,
     "stream_latest_tick": stream_latest_tick,
 }
+
+
+def stream_tumbling_10s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """10-second windows per pickup location."""
+    out = _run(spark, J.tumbling(_ride_stream(spark, sf_dir), "10 seconds"))
+    return _ntz(out, "window_start", "window_end").select("window_start", "window_end", "PULocationID", "num_trips")
+
+
+def _tick_folder(spark: SparkSession, sf_dir: str, sentinel: bool = True) -> str:
+    folder = scratch_path(spark, "ticks_in")
+    msgs = B.tick_messages(spark, sf_dir)
+    replay(msgs, folder, "ingest_ts")
+    if sentinel:
+        body = ('{"symbol":"SENTINEL/USDT","price":1.0,"volume":1.0,"timestamp":"2100-01-01T00:00:00Z",'
+                '"exchange":"SIM"}')
+        spark.createDataFrame([(-1, "SENTINEL/USDT", body, SENTINEL_TIME)], msgs.schema) \
+             .coalesce(1).write.mode("append").json(folder)
+    return folder
+
+
+def stream_tick_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The composed tick job; its JSON lake of kept ticks is read back."""
+    from ..sinks.writers import JSON_TS_NTZ_FORMAT
+    paths = J.run_tick_job(spark, _tick_folder(spark, sf_dir), scratch_path(spark, "tick_job"),
+                           scratch_path(spark, "ckpt"))
+    schema = ("event_id long, symbol string, ts timestamp_ntz, price double, volume double, "
+              "exchange string, bid double, ask double")
+    lake = (spark.read.schema(schema).option("timestampNTZFormat", JSON_TS_NTZ_FORMAT)
+                 .json(f"{paths['lake']}/ticks"))
+    cols = ["event_id", "symbol", "ts", "price", "volume", "exchange", "bid", "ask"]
+    return lake.filter(F.col("symbol") != "SENTINEL/USDT").select(*cols)
+
+
+QUERIES.update({"stream_tumbling_10s": stream_tumbling_10s, "stream_tick_job": stream_tick_job})

@@ -93,6 +93,11 @@ def to_messages(df: DataFrame, key: str | None = None) -> DataFrame:
     return df.select(F.col(key).cast("string").alias("key"), value) if key else df.select(value)
 
 
+# Lossless JSON time text (the writer's default stops at milliseconds).
+JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+JSON_TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def write_json_lake(df: DataFrame, root: str, ts_col: str, kind: str, mode: str = "append") -> None:
     """JSON export under ``kind/yyyy/MM/dd`` (K15): derived path columns + ``partitionBy``."""
     out = df.withColumns({
@@ -100,7 +105,9 @@ def write_json_lake(df: DataFrame, root: str, ts_col: str, kind: str, mode: str
         "MM": F.date_format(ts_col, "MM"),
         "dd": F.date_format(ts_col, "dd"),
     })
-    out.write.mode(mode).partitionBy("yyyy", "MM", "dd").json(f"{root.rstrip('/')}/{kind}")
+    (out.write.mode(mode).partitionBy("yyyy", "MM", "dd")
+        .option("timestampFormat", JSON_TS_FORMAT).option("timestampNTZFormat", JSON_TS_NTZ_FORMAT)
+        .json(f"{root.rstrip('/')}/{kind}"))
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", properties: dict | None = None) -> None:
