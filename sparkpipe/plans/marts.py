@@ -66,10 +66,15 @@ def _typed(df: DataFrame) -> DataFrame:
     )
 
 
-def staged_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staged green and yellow trips: dedup, surrogate key, typed columns."""
+def staged_trips(spark: SparkSession, sf_dir: str, sample: int | None = None) -> DataFrame:
+    """Staged green and yellow trips: dedup, surrogate key, typed columns.
+
+    ``sample`` is the test-run switch (M10): the first ``sample`` rows only.  It is off by
+    default (D12) — a staging model must not silently publish a sample.
+    """
     d = deduped_trip_records(spark, sf_dir).filter(F.col("service_type") != "FHV")
-    return _typed(d)
+    out = _typed(d)
+    return out.limit(sample) if sample else out
 
 
 def fct_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
