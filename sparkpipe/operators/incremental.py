@@ -43,6 +43,14 @@ def full_refresh(df: DataFrame, path: str, partition_col: str | None = None) ->
     w.parquet(path)
 
 
+def _once(df: DataFrame) -> DataFrame:
+    """Evaluate a batch once: a reliable checkpoint under ``spark.checkpoint.dir`` cuts its
+    lineage, so the range probe, the semi/anti joins and the write all read the same rows
+    (a non-deterministic source cannot change between them) and a lost executor re-reads
+    the checkpoint instead of recomputing the source."""
+    return df.checkpoint(eager=True)
+
+
 def _partition_range(source: DataFrame, partition_col: str):
     row = source.agg(F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi")).first()
     return row["lo"], row["hi"]
@@ -97,7 +105,7 @@ def merge_upsert(spark: SparkSession, source: DataFrame, target_path: str, key:
     With ``order`` the source is first reduced to its latest row per key.
     """
     key = list(key)
-    src = latest_per_key(source, key, order) if order else source
+    src = _once(latest_per_key(source, key, order) if order else source)
     if not path_exists(spark, target_path):
         append(src, target_path, partition_col)
         return
@@ -115,6 +123,7 @@ def delete_insert(spark: SparkSession, source: DataFrame, target_path: str, key:
     """``delete+insert`` (M06): every target row whose (non-unique) key occurs in the source
     is deleted, then all source rows are inserted."""
     key = list(key)
+    source = _once(source)
     if not path_exists(spark, target_path):
         append(source, target_path, partition_col)
         return

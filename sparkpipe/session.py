@@ -55,6 +55,28 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shuffle_partitions_for(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024,
+                           minimum: int = 200) -> int:
+    """Initial shuffle partition count for an input size (AQE coalesces small ones later).
+
+    At 100 TB and 256 MB per partition this is ~400k: each reducer's share fits executor
+    memory and spills sort/aggregate buffers gracefully.
+    """
+    return max(minimum, -(-input_bytes // target_partition_bytes))
+
+
+def cluster_conf(input_bytes: int) -> dict:
+    """Settings for a large run: partition sizes tied to the input, AQE skew splitting."""
+    n = shuffle_partitions_for(input_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder: the cluster's setting, else a fresh local one."""
     sc = spark.sparkContext
