@@ -49,59 +49,49 @@ def _row_failure(c: Check) -> Column:
 
 
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Evaluate ``checks`` over ``df``; one result row per check (per column for primary keys)."""
+    """Evaluate ``checks`` over ``df``; one result row per check (per column for primary keys).
+
+    One scan, one shuffle: ``GROUPING SETS ((), key set 1, key set 2, ...)`` computes the
+    row checks on the grand-total set and a row count per key on each key set (map-side
+    partial aggregation first); a one-row final aggregate then reads the grand-total values
+    and counts the keys seen more than once.
+    """
     spark = df.sparkSession
-    row_checks = [c for c in checks if c.name not in ("unique", "primary_key")]
+    checks = list(checks)
     key_checks = [c for c in checks if c.name in ("unique", "primary_key")]
-    parts: list[DataFrame] = []
-
+    row_checks = [c for c in checks if c.name not in ("unique", "primary_key")]
     # Primary keys also require every key column to be non-null (Q06).
     for c in key_checks:
         if c.name == "primary_key":
             row_checks += [Check("not_null", [k]) for k in c.columns]
-
-    if row_checks:
-        agg = df.agg(*[_row_failure(c).alias(f"c{i}") for i, c in enumerate(row_checks)])
-        stacked = F.inline(F.array(*[
-            F.struct(F.lit(c.name).alias("check_name"),
-                     F.lit(",".join(c.columns) or "*").alias("column_name"),
-                     F.col(f"c{i}").cast("long").alias("failures"))
-            for i, c in enumerate(row_checks)]))
-        parts.append(agg.select(stacked))
-
-    if key_checks:
-        parts.append(_key_failures(df, key_checks))
-
-    if not parts:
+    if not checks:
         return spark.createDataFrame([], RESULT_SCHEMA)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("passed", F.col("failures") == 0)
-
-
-def _key_failures(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Number of key values occurring more than once, per key set, in one aggregation."""
-    cols = list(dict.fromkeys(c for ch in checks for c in ch.columns))
-    sets = [list(ch.columns) for ch in checks]
-    # grouping_id bit i is 1 when cols[i] is aggregated away in that grouping set.
-    gids = []
-    for s in sets:
-        gid = 0
-        for i, c in enumerate(cols):
-            if c not in s:
-                gid |= 1 << (len(cols) - 1 - i)
-        gids.append(gid)
-    counted = (df.select(*cols)
-                 .groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in cols])
-                 .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid")))
-    dups = counted.filter(F.col("n") > 1).groupBy("gid").agg(F.count(F.lit(1)).alias("dup_keys"))
-    labels = df.sparkSession.createDataFrame(
-        [(g, ch.name, ",".join(ch.columns)) for g, ch in zip(gids, checks)],
-        "gid long, check_name string, column_name string")
-    return (labels.join(dups, "gid", "left")
-                  .select("check_name", "column_name",
-                          F.coalesce(F.col("dup_keys"), F.lit(0)).cast("long").alias("failures")))
+
+    labels = ([(c.name, ",".join(c.columns) or "*") for c in row_checks]
+              + [(c.name, ",".join(c.columns)) for c in key_checks])
+    row_aggs = [_row_failure(c).alias(f"r{i}") for i, c in enumerate(row_checks)]
+    if not key_checks:
+        totals = df.agg(*row_aggs)
+        values = [F.col(f"r{i}") for i in range(len(row_checks))]
+    else:
+        cols = list(dict.fromkeys(c for ch in key_checks for c in ch.columns))
+        full = (1 << len(cols)) - 1
+        gids = [sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in ch.columns)
+                for ch in key_checks]
+        counted = (df.groupingSets([[]] + [[F.col(c) for c in ch.columns] for ch in key_checks],
+                                   *[F.col(c) for c in cols])
+                     .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid"), *row_aggs))
+        grand = F.col("_gid") == full
+        totals = counted.agg(
+            *[F.max(F.when(grand, F.col(f"r{i}"))).alias(f"r{i}") for i in range(len(row_checks))],
+            *[F.count_if((F.col("_gid") == g) & (F.col("_n") > 1)).alias(f"k{j}") for j, g in enumerate(gids)])
+        values = ([F.col(f"r{i}") for i in range(len(row_checks))]
+                  + [F.col(f"k{j}") for j in range(len(key_checks))])
+    stacked = F.inline(F.array(*[
+        F.struct(F.lit(name).alias("check_name"), F.lit(column).alias("column_name"),
+                 F.coalesce(v.cast("long"), F.lit(0).cast("long")).alias("failures"))
+        for (name, column), v in zip(labels, values)]))
+    return totals.select(stacked).withColumn("passed", F.col("failures") == 0)
 
 
 def custom_check(spark: SparkSession, query: str, expected, name: str = "custom") -> DataFrame:

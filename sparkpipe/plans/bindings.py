@@ -50,8 +50,14 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payment_lookup(spark: SparkSession) -> DataFrame:
-    """Payment-type seed (S06): seven rows, a dimension by definition."""
-    return spark.createDataFrame(PAYMENT_TYPES, PAYMENT_SCHEMA)
+    """Payment-type seed (S06): seven rows, a dimension by definition.
+
+    Built as a SQL ``VALUES`` relation: it lives in the JVM plan (no Python worker) and
+    carries an exact size estimate, so the broadcast check needs no job.
+    """
+    rows = ", ".join(f"({i}, '{name}')" for i, name in PAYMENT_TYPES)
+    df = spark.sql(f"SELECT * FROM VALUES {rows} AS t(payment_type_id, payment_type_name)")
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in PAYMENT_SCHEMA.fields])
 
 
 def event_k(props: str = "props"):

@@ -60,3 +60,20 @@ QUERIES = {
     "file_stats": lineitem_file_stats,
     "table_stats": orders_table_stats,
 }
+
+
+REPORT_CHECKS = [
+    Check("primary_key", ["trip_date", "taxi_type", "payment_type"]),
+    Check("non_negative", ["trip_count"]),
+    Check("not_null", ["trip_date"]),
+    Check("min_rows", [], threshold=1),
+]
+
+
+def report_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks declared on the daily report (Q01 Q03 Q05 Q06): the template run's last step."""
+    from .marts import daily_report
+    return run_checks(daily_report(spark, sf_dir), REPORT_CHECKS)
+
+
+QUERIES["report_checks"] = report_checks

@@ -512,3 +512,13 @@ UNION ALL SELECT 'row_count', count(*) FROM lineitem""",
 ORACLE.update(MORE)
 ORACLE["stream_tumbling_10s"] = _tumbling("10 SECOND", True, "PULocationID, num_trips")
 ORACLE["stream_tick_job"] = MARKETS["clean_ticks"]
+ORACLE["report_checks"] = f"""WITH {TRIPS}, {PAYMENTS}, {STAGED_REPORT}, {REPORT}
+SELECT check_name, column_name, CAST(failures AS BIGINT) AS failures, failures = 0 AS passed FROM (
+  SELECT 'not_null' AS check_name, 'trip_date' AS column_name, count(*) FILTER (WHERE trip_date IS NULL) AS failures FROM report
+  UNION ALL SELECT 'non_negative', 'trip_count', count(*) FILTER (WHERE trip_count < 0) FROM report
+  UNION ALL SELECT 'not_null', 'trip_date', count(*) FILTER (WHERE trip_date IS NULL) FROM report
+  UNION ALL SELECT 'min_rows', '*', CASE WHEN count(*) >= 1 THEN 0 ELSE 1 END FROM report
+  UNION ALL SELECT 'not_null', 'taxi_type', count(*) FILTER (WHERE taxi_type IS NULL) FROM report
+  UNION ALL SELECT 'not_null', 'payment_type', count(*) FILTER (WHERE payment_type IS NULL) FROM report
+  UNION ALL SELECT 'primary_key', 'trip_date,taxi_type,payment_type', count(*) FROM
+      (SELECT trip_date, taxi_type, payment_type FROM report GROUP BY ALL HAVING count(*) > 1))"""
