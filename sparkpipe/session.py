@@ -49,7 +49,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings the library relies on to an existing session."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
-              "spark.sql.sources.partitionOverwriteMode"):
+              "spark.sql.sources.partitionOverwriteMode",
+              "spark.sql.streaming.stateStore.providerClass"):
         spark.conf.set(k, DEFAULT_CONF[k])
     ensure_checkpoint_dir(spark)
     return spark

@@ -10,18 +10,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions.columns import round_half_up
 from ..functions.timefn import epoch_ms_to_timestamp, parse_timestamp
 from ..operators import incremental as inc
 from ..operators import ticks as TK
+from . import state_fns
 from .sources import drain
 
+# Ship the state function with the task instead of requiring the package on executors.
+cloudpickle.register_pickle_by_value(state_fns)
+
 RIDE_SCHEMA = T.StructType([
     T.StructField("trip_id", T.LongType()),
     T.StructField("PULocationID", T.IntegerType()),
@@ -118,28 +122,12 @@ PREV_SCHEMA = T.StructType([
 PREV_STATE = "price double, volume double, ts timestamp, event_id long"
 
 
-def _attach_previous(key, batches, state: GroupState):
-    """Keyed state: the symbol's last tick.  Rows of a micro-batch are sorted by (time, id)
-    and shifted by one; the first row takes the stored tick (D14: every kept tick advances)."""
-    pdf = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "event_id"], kind="mergesort")
-    prev_p = pdf["price"].shift(1)
-    prev_v = pdf["volume"].shift(1)
-    if state.exists:
-        last = state.get
-        prev_p.iloc[0], prev_v.iloc[0] = last[0], last[1]
-    tail = pdf.iloc[-1]
-    state.update((float(tail["price"]), float(tail["volume"]), tail["ts"], int(tail["event_id"])))
-    yield pd.DataFrame({"symbol": pdf["symbol"], "ts": pdf["ts"], "event_id": pdf["event_id"],
-                        "price": pdf["price"], "volume": pdf["volume"],
-                        "prev_price": prev_p.astype("float64"), "prev_volume": prev_v.astype("float64")})
-
-
 def anomalies(ticks: DataFrame) -> DataFrame:
     """Previous-tick anomalies on a stream (X12): only the keyed previous-tick state is
     Python (Arrow batches per symbol); classification stays in Spark expressions."""
     with_prev = (ticks.select("symbol", "ts", "event_id", "price", "volume")
                       .groupBy("symbol")
-                      .applyInPandasWithState(_attach_previous, PREV_SCHEMA, PREV_STATE, "append",
+                      .applyInPandasWithState(state_fns.attach_previous, PREV_SCHEMA, PREV_STATE, "append",
                                               GroupStateTimeout.NoTimeout))
     return TK.classify_anomaly(with_prev).select("symbol", "ts", "event_id", "price", "volume",
                                                  "anomaly_type", "anomaly_detail")

@@ -60,9 +60,21 @@ def replay(df: DataFrame, folder: str, ts_col: str, slice_unit: str = "week", se
     return n
 
 
-def drain(query_writer, timeout_s: int = 600):
-    """Run a stream until its input is exhausted (S15: ``trigger(availableNow=True)``)."""
-    q = query_writer.trigger(availableNow=True).start()
+def drain(query_writer, timeout_s: int = 600, state_partitions: int | None = None):
+    """Run a stream until its input is exhausted (S15: ``trigger(availableNow=True)``).
+
+    A new query fixes its number of state partitions at its first start; it is tied to
+    the cluster's parallelism (one state store per core) rather than the batch default.
+    A restarted query keeps the number recorded in its checkpoint.
+    """
+    spark = query_writer._spark
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        q = query_writer.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
     q.awaitTermination(timeout_s)
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

@@ -1,0 +1,24 @@
+"""Per-key state functions run in Python workers (the only per-group Python of the library).
+
+This module is pickled by value, so executors need no copy of the package installed.
+"""
+
+from __future__ import annotations
+
+import pandas as pd
+
+
+def attach_previous(key, batches, state):
+    """Keyed state: the symbol's last tick.  Rows of a micro-batch are sorted by (time, id)
+    and shifted by one; the first row takes the stored tick (D14: every kept tick advances)."""
+    pdf = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "event_id"], kind="mergesort")
+    prev_p = pdf["price"].shift(1)
+    prev_v = pdf["volume"].shift(1)
+    if state.exists:
+        last = state.get
+        prev_p.iloc[0], prev_v.iloc[0] = last[0], last[1]
+    tail = pdf.iloc[-1]
+    state.update((float(tail["price"]), float(tail["volume"]), tail["ts"], int(tail["event_id"])))
+    yield pd.DataFrame({"symbol": pdf["symbol"], "ts": pdf["ts"], "event_id": pdf["event_id"],
+                        "price": pdf["price"], "volume": pdf["volume"],
+                        "prev_price": prev_p.astype("float64"), "prev_volume": prev_v.astype("float64")})
