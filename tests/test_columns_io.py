@@ -91,3 +91,22 @@ def test_messages_and_time_helpers(spark):
     assert back == dt.datetime(2024, 3, 15, 10, 0, 0, 123000)                                 # F13, F14
     msg = W.to_messages(df, key=None).first().value
     assert msg.startswith('{"ts":"2024-03-15T10:00:00.123')                                   # K16, F20
+
+
+def test_retention_drops_expired_day_folders(spark):
+    from sparkpipe.operators.incremental import full_refresh
+    from sparkpipe.operators.monitor import drop_expired_partitions, retain
+    df = spark.range(10).withColumn("d", F.expr("date_add(date'2024-01-01', cast(id as int))"))
+    path = scratch_path(spark, "ret")
+    full_refresh(df, path, "d")
+    dropped = drop_expired_partitions(spark, path, "d", 3, dt.date(2024, 1, 10))      # O07
+    assert dropped == 6 and spark.read.parquet(path).count() == 4
+    kept = retain(df.withColumn("ts", F.col("d").cast("timestamp_ntz")), "ts", 3, "2024-01-10 00:00:00")
+    assert kept.count() == 4
+
+
+def test_month_column_and_partition(spark):
+    out = W.with_month(spark.range(2), "2024-03")                                     # K06
+    path = scratch_path(spark, "mon")
+    W.write_parquet(out, path, partition_by=["month"])
+    assert W.list_partition_values(spark, path, "month") == ["2024-03"]

@@ -96,3 +96,15 @@ def test_tick_job_matches_batch(spark):
     want_c = {tuple(r) for r in TK.ohlcv(kept).select(*cols).collect()}
     got_c = {tuple(r) for r in spark.read.parquet(paths["candles"]).select(*cols).collect()}
     assert got_c == want_c
+
+
+def test_latest_start_skips_older_rows(spark):
+    d = dt.datetime(2024, 1, 1)
+    folder = _local(scratch_path(spark, "lt_in"))
+    _write_files(folder, [[_ride(1, d, 1)], [_ride(1, d.replace(hour=5), 2)]])
+    src = stream_source(spark, "file:" + folder, J.RIDE_SCHEMA, starting="latest",
+                        start_time_col="tpep_pickup_datetime",
+                        start_time=int((d.replace(hour=1) - EPOCH).total_seconds() * 1000))   # S14
+    out, ck = scratch_path(spark, "lt_out"), scratch_path(spark, "lt_ck")
+    J.run_to_completion(J.to_files(J.pass_through(src), out, ck))
+    assert [r.trip_id for r in spark.read.parquet(out).collect()] == [2]
