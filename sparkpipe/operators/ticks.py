@@ -38,20 +38,22 @@ TICK_SCHEMA = T.StructType([
 def parse_ticks(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """Parse JSON messages (P16, F20): all tick fields plus ``reject_reason``.
 
-    Malformed JSON gives ``malformed``; a required field that is missing *or null* gives
-    ``missing_field`` (D10).  Other columns of ``messages`` are carried along.
+    Malformed JSON (or no message) gives ``malformed``; a required field that is missing
+    *or null* gives ``missing_field`` (D10).  Other columns of ``messages`` are carried
+    along.  The parsed struct is emitted through ``inline_outer``: filters on its fields
+    (kept / stale / rejected) then stay above the generator, so Catalyst cannot push them
+    down by re-inlining ``from_json`` into every predicate — the JSON is parsed once.
     """
     parsed = F.from_json(F.col(value_col), TICK_SCHEMA,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    out = messages.withColumn("_t", parsed)
-    fields = {f.name: F.col(f"_t.{f.name}") for f in TICK_SCHEMA.fields if f.name != "_corrupt_record"}
+    out = messages.select(*messages.columns, F.inline_outer(F.array(parsed)))
     missing = None
     for f in REQUIRED_FIELDS:
-        term = F.col(f"_t.{f}").isNull()
+        term = F.col(f).isNull()
         missing = term if missing is None else missing | term
-    reason = (F.when(F.col("_t").isNull() | F.col("_t._corrupt_record").isNotNull(), F.lit("malformed"))
+    reason = (F.when(F.col(value_col).isNull() | F.col("_corrupt_record").isNotNull(), F.lit("malformed"))
                .when(missing, F.lit("missing_field")))
-    return out.withColumns({**fields, "reject_reason": reason}).drop("_t", value_col)
+    return out.withColumn("reject_reason", reason).drop("_corrupt_record", value_col)
 
 
 def validate_ticks(df: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ..functions.columns import NUMERIC
 from ..functions.timefn import add_hours, add_minutes
 from ..operators.joins import lookup_join
-from ..sources.files import read_table
+from ..sources.files import read_table, spread
 
 N_LOCATIONS = 25
 
@@ -137,7 +137,8 @@ def tick_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``ingest_ts`` is the processing time of the replay: the event arrives
     ``user_id % 60`` seconds after it happened, so the stale filter has work to do.
     """
-    (ev,) = tables(spark, sf_dir, "events")
+    # Ticks carry per-row JSON work downstream: spread a scan that one task would read.
+    ev = spread(read_table(spark, sf_dir, "events"))
     mod4 = F.col("event_id") % 4
     side = F.when(mod4 == 0, F.lit(None).cast("double")).when(mod4 == 1, F.lit(0.0))
     return ev.select(

@@ -23,6 +23,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
+    """Spread an input read by fewer tasks than there are cores (one row group, one task)
+    over all cores before CPU-heavy per-row work.  Inputs already split into at least
+    ``min_tasks`` partitions — any table at cluster scale — are returned untouched, so no
+    shuffle is added where parallelism already exists.  The round-robin is made
+    deterministic by Spark's local sort, so a retried task gets the same rows."""
+    n = min_tasks or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    return df.repartition(n)
+
+
 def read_parquet(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
     """Parquet scan, optionally of chosen columns (S01, S02, S07 with a glob)."""
     paths = [path] if isinstance(path, str) else list(path)
