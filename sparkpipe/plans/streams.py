@@ -1,5 +1,6 @@
-"""Streaming queries: the test tables are replayed as time-ordered JSON files, a
-Structured Streaming job drains them (``availableNow``), and its sink is read back.
+"""Streaming queries: the test tables are delivered slice by slice (a week of event time
+each) as JSON files; after each delivery the Structured Streaming job drains what has
+arrived (``availableNow``, restarting from its checkpoint), and its sink is read back.
 
 Each result is compared with the SQL of the batch equivalent: append-mode windows get a
 sentinel file so every real window closes (V6); update-mode upserts need none.
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import round_half_up
 from ..functions.timefn import timestamp_to_epoch_ms
 from ..session import scratch_path
+from ..sinks.writers import make_dirs
 from ..streaming import jobs as J
 from ..streaming.sources import SENTINEL_TIME, replay, stream_source
 from . import bindings as B
@@ -37,22 +39,56 @@ RIDE_SENTINEL = {"trip_id": -1, "PULocationID": -1, "DOLocationID": -1, "trip_di
                  "total_amount": 0.0, "tip_amount": 0.0,
                  "tpep_pickup_datetime": int(SENTINEL_TIME.timestamp() * 1000),
                  "lpep_pickup_datetime": SENTINEL_TIME.strftime("%Y-%m-%d %H:%M:%S")}
+TICK_SENTINEL_BODY = ('{"symbol":"SENTINEL/USDT","price":1.0,"volume":1.0,'
+                      '"timestamp":"2100-01-01T00:00:00Z","exchange":"SIM"}')
 
 
-def _ride_stream(spark: SparkSession, sf_dir: str, sentinel: bool = True) -> DataFrame:
-    folder = scratch_path(spark, "rides_in")
+def _feed(spark: SparkSession, msgs: DataFrame, ts_col: str, schema, build, make_writer,
+          sentinel: DataFrame | None = None, copies: int = 1) -> None:
+    """Deliver ``msgs`` slice by slice and drain the stream after each delivery."""
+    folder = scratch_path(spark, "landing")
+    make_dirs(spark, folder)
+    stream = build(stream_source(spark, folder, schema, max_files_per_trigger=None))
+    replay(msgs, folder, ts_col, copies=copies, sentinel=sentinel,
+           on_delivery=lambda: J.run_to_completion(make_writer(stream)))
+
+
+def _ride_sentinel(spark: SparkSession, msgs: DataFrame) -> DataFrame:
+    return spark.createDataFrame([{**RIDE_SENTINEL, "_ts": SENTINEL_TIME}], msgs.schema)
+
+
+def _tick_sentinel(spark: SparkSession, msgs: DataFrame) -> DataFrame:
+    return spark.createDataFrame([(-1, "SENTINEL/USDT", TICK_SENTINEL_BODY, SENTINEL_TIME)], msgs.schema)
+
+
+def _rides(spark: SparkSession, sf_dir: str, build, mode: str = "append", sentinel: bool = True) -> DataFrame:
+    """Run a ride job into a file sink and read the sink back."""
     msgs = ride_messages(spark, sf_dir)
-    replay(msgs, folder, "_ts")
-    if sentinel:
-        sent = spark.createDataFrame([{**RIDE_SENTINEL, "_ts": SENTINEL_TIME}], msgs.schema)
-        sent.coalesce(1).write.mode("append").json(folder)
-    return stream_source(spark, folder, J.RIDE_SCHEMA)
+    out, ckpt = scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    holder = {}
+
+    def writer(stream):
+        holder["schema"] = stream.schema
+        return J.to_files(stream, out, ckpt, mode)
+
+    _feed(spark, msgs, "_ts", J.RIDE_SCHEMA, build, writer,
+          sentinel=_ride_sentinel(spark, msgs) if sentinel else None)
+    return spark.read.schema(holder["schema"]).parquet(out)
 
 
-def _run(spark: SparkSession, stream: DataFrame, mode: str = "append") -> DataFrame:
+def _ticks(spark: SparkSession, sf_dir: str, build, sentinel: bool = True, copies: int = 1) -> DataFrame:
+    """Run a tick job (messages -> clean ticks -> ``build``) into a file sink, read back."""
+    msgs = B.tick_messages(spark, sf_dir)
     out, ckpt = scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
-    J.run_to_completion(J.to_files(stream, out, ckpt, mode))
-    return spark.read.schema(stream.schema).parquet(out)
+    holder = {}
+
+    def writer(stream):
+        holder["schema"] = stream.schema
+        return J.to_files(stream, out, ckpt)
+
+    _feed(spark, msgs, "ingest_ts", J.TICK_MESSAGE_SCHEMA, lambda s: build(J.tick_stream(s)), writer,
+          sentinel=_tick_sentinel(spark, msgs) if sentinel else None, copies=copies)
+    return spark.read.schema(holder["schema"]).parquet(out)
 
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
@@ -61,79 +97,74 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
 
 def stream_pass_through(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every ride with its event time, no state."""
-    out = _run(spark, J.pass_through(_ride_stream(spark, sf_dir, sentinel=False)))
+    out = _rides(spark, sf_dir, J.pass_through, sentinel=False)
     return _ntz(out, "event_timestamp")
 
 
 def stream_tumbling_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly trips and revenue per pickup location, watermark 5 s, append mode."""
-    out = _run(spark, J.tumbling(_ride_stream(spark, sf_dir), "1 hour"))
+    out = _rides(spark, sf_dir, lambda s: J.tumbling(s, "1 hour"))
     return _ntz(out, "window_start", "window_end")
 
 
 def stream_tumbling_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """5-minute trips per location from the string pickup time."""
-    out = _run(spark, J.tumbling(_ride_stream(spark, sf_dir), "5 minutes", clock="text"))
+    out = _rides(spark, sf_dir, lambda s: J.tumbling(s, "5 minutes", clock="text"))
     return _ntz(out, "window_start", "window_end").select("window_start", "window_end", "PULocationID", "num_trips")
 
 
 def stream_tip_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Global hourly tip total."""
-    out = _run(spark, J.tumbling(_ride_stream(spark, sf_dir), "1 hour", key=None))
+    out = _rides(spark, sf_dir, lambda s: J.tumbling(s, "1 hour", key=None))
     return _ntz(out, "window_start", "window_end").select("window_start", "window_end", "total_tips")
 
 
 def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
     """5-minute-gap sessions per pickup location (a gap equal to 5 minutes merges, D21)."""
-    out = _run(spark, J.sessions(_ride_stream(spark, sf_dir)))
+    out = _rides(spark, sf_dir, J.sessions)
     return _ntz(out, "session_start", "session_end")
 
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly windows in update mode, upserted by (window_start, location)."""
-    stream = J.tumbling(_ride_stream(spark, sf_dir, sentinel=False), "1 hour")
-    stream = stream.withColumn("window_date", F.to_date("window_start"))
     target, ckpt = scratch_path(spark, "upsert_target"), scratch_path(spark, "ckpt")
-    J.run_to_completion(J.to_upsert(stream, target, ["window_start", "PULocationID"], "window_date", ckpt))
-    out = spark.read.parquet(target).drop("window_date")
-    return _ntz(out, "window_start", "window_end")
 
+    def build(s):
+        return J.tumbling(s, "1 hour").withColumn("window_date", F.to_date("window_start"))
 
-def _tick_stream(spark: SparkSession, sf_dir: str, copies: int = 1, sentinel: bool = True) -> DataFrame:
-    folder = scratch_path(spark, "ticks_in")
-    msgs = B.tick_messages(spark, sf_dir)
-    replay(msgs, folder, "ingest_ts", copies=copies)
-    if sentinel:
-        body = ('{"symbol":"SENTINEL/USDT","price":1.0,"volume":1.0,"timestamp":"2100-01-01T00:00:00Z",'
-                '"exchange":"SIM"}')
-        spark.createDataFrame([(-1, "SENTINEL/USDT", body, SENTINEL_TIME)], msgs.schema) \
-             .coalesce(1).write.mode("append").json(folder)
-    return J.tick_stream(stream_source(spark, folder, J.TICK_MESSAGE_SCHEMA))
+    _feed(spark, ride_messages(spark, sf_dir), "_ts", J.RIDE_SCHEMA, build,
+          lambda st: J.to_upsert(st, target, ["window_start", "PULocationID"], "window_date", ckpt))
+    out = spark.read.parquet(target).drop("window_date")
+    return _ntz(out, "window_start", "window_end")
 
 
 def stream_ohlcv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One-minute candles by event time with a 30 s watermark."""
-    out = _run(spark, J.candles(_tick_stream(spark, sf_dir)))
+    out = _ticks(spark, sf_dir, J.candles)
     return _ntz(out, "window_start")
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X11: every slice delivered twice; duplicates on (symbol, timestamp) are dropped."""
-    out = _run(spark, J.dedup_ticks(_tick_stream(spark, sf_dir, copies=2, sentinel=False)))
+    out = _ticks(spark, sf_dir, J.dedup_ticks, sentinel=False, copies=2)
     return _ntz(out, "ts").select("event_id", "symbol", "ts", "price", "volume", "exchange", "bid", "ask")
 
 
 def stream_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Anomalies from keyed previous-tick state."""
-    out = _run(spark, J.anomalies(_tick_stream(spark, sf_dir, sentinel=False)))
+    out = _ticks(spark, sf_dir, J.anomalies, sentinel=False)
     return _ntz(out, "ts")
 
 
 def stream_latest_tick(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest tick per symbol, update mode, upserted by symbol."""
-    stream = J.latest_per_symbol(_tick_stream(spark, sf_dir, sentinel=False)).withColumn("p", F.lit(0))
     target, ckpt = scratch_path(spark, "latest_target"), scratch_path(spark, "ckpt")
-    J.run_to_completion(J.to_upsert(stream, target, ["symbol"], "p", ckpt))
+
+    def build(s):
+        return J.latest_per_symbol(J.tick_stream(s)).withColumn("p", F.lit(0))
+
+    _feed(spark, B.tick_messages(spark, sf_dir), "ingest_ts", J.TICK_MESSAGE_SCHEMA, build,
+          lambda st: J.to_upsert(st, target, ["symbol"], "p", ckpt))
     return _ntz(spark.read.parquet(target).drop("p"), "ts")
 
 
@@ -153,27 +184,29 @@ QUERIES = {
 
 def stream_tumbling_10s(spark: SparkSession, sf_dir: str) -> DataFrame:
     """10-second windows per pickup location."""
-    out = _run(spark, J.tumbling(_ride_stream(spark, sf_dir), "10 seconds"))
+    out = _rides(spark, sf_dir, lambda s: J.tumbling(s, "10 seconds"))
     return _ntz(out, "window_start", "window_end").select("window_start", "window_end", "PULocationID", "num_trips")
 
 
 def _tick_folder(spark: SparkSession, sf_dir: str, sentinel: bool = True) -> str:
+    """All tick slices delivered up front (a backlog), for draining in one go."""
     folder = scratch_path(spark, "ticks_in")
     msgs = B.tick_messages(spark, sf_dir)
-    replay(msgs, folder, "ingest_ts")
-    if sentinel:
-        body = ('{"symbol":"SENTINEL/USDT","price":1.0,"volume":1.0,"timestamp":"2100-01-01T00:00:00Z",'
-                '"exchange":"SIM"}')
-        spark.createDataFrame([(-1, "SENTINEL/USDT", body, SENTINEL_TIME)], msgs.schema) \
-             .coalesce(1).write.mode("append").json(folder)
+    replay(msgs, folder, "ingest_ts", sentinel=_tick_sentinel(spark, msgs) if sentinel else None)
     return folder
 
 
 def stream_tick_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The composed tick job; its JSON lake of kept ticks is read back."""
+    """The composed tick job, run after every delivered slice; its JSON lake of
+    kept ticks is read back."""
     from ..sinks.writers import JSON_TS_NTZ_FORMAT
-    paths = J.run_tick_job(spark, _tick_folder(spark, sf_dir), scratch_path(spark, "tick_job"),
-                           scratch_path(spark, "ckpt"))
+    folder, out_root, ckpt_root = scratch_path(spark, "ticks_in"), scratch_path(spark, "tick_job"), \
+        scratch_path(spark, "ckpt")
+    make_dirs(spark, folder)
+    msgs = B.tick_messages(spark, sf_dir)
+    paths = {}
+    replay(msgs, folder, "ingest_ts", sentinel=_tick_sentinel(spark, msgs),
+           on_delivery=lambda: paths.update(J.run_tick_job(spark, folder, out_root, ckpt_root)))
     schema = ("event_id long, symbol string, ts timestamp_ntz, price double, volume double, "
               "exchange string, bid double, ask double")
     lake = (spark.read.schema(schema).option("timestampNTZFormat", JSON_TS_NTZ_FORMAT)

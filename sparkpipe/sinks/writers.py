@@ -128,6 +128,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def make_dirs(spark: SparkSession, path: str) -> None:
+    """Create a folder (a stream's landing folder must exist before the query starts)."""
+    fs, p, _ = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Remove a folder this library created (a staging copy)."""
     fs, p, _ = _fs(spark, path)

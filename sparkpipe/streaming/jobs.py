@@ -221,7 +221,8 @@ def run_tick_job(spark, source_folder: str, out_root: str, ckpt_root: str, timeo
     paths = {k: f"{out_root}/{k}" for k in ("lake", "stale", "rejects", "anomalies", "candles")}
 
     def source():
-        return stream_source(spark, source_folder, TICK_MESSAGE_SCHEMA)
+        # Everything delivered so far is one micro-batch: a delivery spans several files.
+        return stream_source(spark, source_folder, TICK_MESSAGE_SCHEMA, max_files_per_trigger=None)
 
     writers = [
         tick_fan_out(source(), paths["lake"], paths["stale"], paths["rejects"], f"{ckpt_root}/fan_out"),

@@ -11,6 +11,7 @@ window of an append-mode query (its own window stays open and is never emitted).
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,13 +37,18 @@ def stream_source(spark: SparkSession, folder: str, schema: T.StructType, fmt: s
     return df
 
 
-def replay(df: DataFrame, folder: str, ts_col: str, slice_unit: str = "week", sentinel: dict | None = None,
-           copies: int = 1) -> int:
-    """Write ``df`` as JSON files into ``folder``, one file per ``slice_unit`` of ``ts_col``,
-    oldest slice first (X16).  ``copies > 1`` re-delivers every slice (at-least-once
-    delivery, for dedup tests).  Returns the number of files written."""
-    spark = df.sparkSession
-    # The fixture is scanned once and re-read from cache for every slice.
+def replay(df: DataFrame, folder: str, ts_col: str, slice_unit: str = "week", copies: int = 1,
+           sentinel: DataFrame | None = None, on_delivery: Callable[[], object] | None = None) -> int:
+    """Deliver ``df`` into ``folder`` as JSON, one ``slice_unit`` of ``ts_col`` at a time,
+    oldest first (X16, K16).
+
+    Each slice is written by all tasks in parallel (no single writer).  ``on_delivery``
+    runs after every delivery — typically draining the stream from its checkpoint, as a
+    periodically triggered job would — so each slice is one micro-batch and the watermark
+    advances between slices exactly as with data arriving over time.  ``copies > 1``
+    re-delivers every slice (at-least-once delivery).  ``sentinel`` (one far-future row)
+    is delivered last to close open windows.  Returns the number of deliveries.
+    """
     sliced = df.withColumn("_slice", F.date_trunc(slice_unit, F.col(ts_col))).persist()
     # Slice starts are calendar metadata (a few per month of data), not rows.
     starts = [r[0] for r in sliced.select("_slice").distinct().orderBy("_slice").collect()]
@@ -50,13 +56,16 @@ def replay(df: DataFrame, folder: str, ts_col: str, slice_unit: str = "week", se
     for s in starts:
         part = sliced.filter(F.col("_slice") == F.lit(s)).drop("_slice")
         for _ in range(copies):
-            part.coalesce(1).write.mode("append").json(folder)
+            part.write.mode("append").json(folder)
             n += 1
+            if on_delivery is not None:
+                on_delivery()
     sliced.unpersist()
     if sentinel is not None:
-        row = spark.createDataFrame([sentinel], df.schema)
-        row.coalesce(1).write.mode("append").json(folder)
+        sentinel.write.mode("append").json(folder)
         n += 1
+        if on_delivery is not None:
+            on_delivery()
     return n
 
 
