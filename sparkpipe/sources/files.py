@@ -55,7 +55,7 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
         reader = reader.option("timestampFormat", timestamp_format)
     if schema is not None:
         if keep_corrupt:
-            st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+            st = schema if isinstance(schema, T.StructType) else T.DataType.fromDDL(schema)
             st = T.StructType(list(st.fields) + [T.StructField("_corrupt_record", T.StringType())])
             reader = reader.schema(st).option("columnNameOfCorruptRecord", "_corrupt_record")
         else:

@@ -110,3 +110,14 @@ def test_month_column_and_partition(spark):
     path = scratch_path(spark, "mon")
     W.write_parquet(out, path, partition_by=["month"])
     assert W.list_partition_values(spark, path, "month") == ["2024-03"]
+
+
+def test_csv_declared_schema_reports_malformed_cells(spark):
+    from sparkpipe.sources.files import read_csv
+    path = scratch_path(spark, "bad_csv")
+    spark.createDataFrame([("1", "a", "x"), ("oops", "b", "y")], "id string, name string, extra string") \
+         .write.option("header", True).csv(path)
+    df = read_csv(spark, path, "id int, name string", keep_corrupt=True)                      # S08
+    rows = sorted((r.id, r.name, r._corrupt_record) for r in df.collect())
+    assert rows[0][0] is None and rows[0][2] is not None                                      # bad cell kept
+    assert (1, "a") in [(r[0], r[1]) for r in rows]                                           # surplus column dropped
