@@ -48,7 +48,9 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     """CSV(.gz) scan.
 
     With a declared schema, surplus tokens are dropped and a malformed cell becomes NULL
-    (PERMISSIVE); ``keep_corrupt`` adds ``_corrupt_record`` so bad lines can be reported.
+    (PERMISSIVE); ``keep_corrupt`` adds ``_corrupt_record`` holding the raw text of every
+    line that did not fit the schema exactly (a bad cell or surplus tokens), so it can be
+    reported while the parsed values are still kept.
     """
     reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
     if timestamp_format:
