@@ -132,3 +132,28 @@ def table_stats(df: DataFrame) -> DataFrame:
 def schema_info(df: DataFrame) -> str:
     """Schema print (Q10)."""
     return df._jdf.schema().treeString()
+
+
+FOOTER_COUNT_CONF = {"spark.sql.parquet.aggregatePushdown": "true", "spark.sql.sources.useV1SourceList": ""}
+
+
+def metadata_row_count(spark: SparkSession, path: str) -> tuple[int, str]:
+    """``COUNT(*)`` of a parquet dataset answered from file footers (§4, A01).
+
+    The DataSource V2 parquet scan pushes the aggregate down (``PushedAggregation``), so
+    no column data is read.  The settings are applied only while this count runs.
+    Returns the count and the physical plan text.
+    """
+    old = {k: spark.conf.get(k, None) for k in FOOTER_COUNT_CONF}
+    try:
+        for k, v in FOOTER_COUNT_CONF.items():
+            spark.conf.set(k, v)
+        df = spark.read.parquet(path).groupBy().count()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return int(df.first()[0]), plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

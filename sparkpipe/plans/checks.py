@@ -77,3 +77,13 @@ def report_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["report_checks"] = report_checks
+
+
+def metadata_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row count of lineitem from parquet footers, no column data read (§4 metadata count)."""
+    from ..operators.quality import metadata_row_count
+    n, _ = metadata_row_count(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    return spark.range(1).select(F.lit(n).cast("long").alias("row_count"))
+
+
+QUERIES["metadata_count"] = metadata_count

@@ -522,3 +522,4 @@ SELECT check_name, column_name, CAST(failures AS BIGINT) AS failures, failures =
   UNION ALL SELECT 'not_null', 'payment_type', count(*) FILTER (WHERE payment_type IS NULL) FROM report
   UNION ALL SELECT 'primary_key', 'trip_date,taxi_type,payment_type', count(*) FROM
       (SELECT trip_date, taxi_type, payment_type FROM report GROUP BY ALL HAVING count(*) > 1))"""
+ORACLE["metadata_count"] = "SELECT count(*) AS row_count FROM lineitem"

@@ -57,3 +57,11 @@ def test_quality_checks_one_expand_one_shuffle(spark):
     plan = quality_report(spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Expand") == 1
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_count_star_reads_only_footers(spark):
+    from sparkpipe.operators.quality import metadata_row_count
+    n, plan = metadata_row_count(spark, SF001 + "/lineitem.parquet")
+    assert "PushedAggregation: [COUNT(*)]" in plan
+    assert n == spark.read.parquet(SF001 + "/lineitem.parquet").count()
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"   # restored
