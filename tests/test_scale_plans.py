@@ -65,3 +65,26 @@ def test_count_star_reads_only_footers(spark):
     assert "PushedAggregation: [COUNT(*)]" in plan
     assert n == spark.read.parquet(SF001 + "/lineitem.parquet").count()
     assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"   # restored
+
+
+def test_hot_key_is_spread_over_tasks(no_broadcast):
+    """One key holds 90 % of the rows; the bucketed lag still spreads it over many tasks."""
+    spark = no_broadcast
+    from sparkpipe.operators.sequence import previous_row
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 10 == 0, F.lit("COLD")).otherwise(F.lit("HOT")).alias("k"),
+        F.timestamp_add("MINUTE", F.col("id"), F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")).alias("ts"),
+        F.col("id"), F.col("id").cast("double").alias("v"))
+    out = previous_row(rows, ["k"], ["ts", "id"], ["v"]).withColumn("pid", F.spark_partition_id())
+    sizes = [r["count"] for r in out.groupBy("pid").count().collect()]
+    assert max(sizes) < 0.5 * 20_000          # a plain partitionBy(k) window would put 90 % in one task
+    assert out.filter(F.col("prev_v").isNull()).count() == 2   # only each key's first row lacks a previous row
+
+
+def test_dedup_combines_map_side(spark):
+    from sparkpipe.operators.dedup import dedup
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
+    plan = dedup(df, ["k"], ["v"])._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    ex = next(i for i, l in enumerate(lines) if "Exchange hashpartitioning" in l)
+    assert any("partial_min" in l for l in lines[ex:])        # partial aggregate below the exchange
