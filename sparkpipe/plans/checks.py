@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..operators.dedup import dedup
 from ..operators.quality import Check, file_stats, reconcile_counts, run_checks, table_stats
 from ..sources.files import read_table
+from ..operators.quality import metadata_row_count
+from .marts import daily_report
 
 # Accepted order statuses and priorities of the orders table.
 ORDER_STATUSES = ["F", "O", "P"]
@@ -54,14 +56,6 @@ def orders_table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                                     F.col("size_gb").cast("double"))
 
 
-QUERIES = {
-    "quality_report": quality_report,
-    "row_reconciliation": row_reconciliation,
-    "file_stats": lineitem_file_stats,
-    "table_stats": orders_table_stats,
-}
-
-
 REPORT_CHECKS = [
     Check("primary_key", ["trip_date", "taxi_type", "payment_type"]),
     Check("non_negative", ["trip_count"]),
@@ -72,18 +66,20 @@ REPORT_CHECKS = [
 
 def report_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checks declared on the daily report (Q01 Q03 Q05 Q06): the template run's last step."""
-    from .marts import daily_report
     return run_checks(daily_report(spark, sf_dir), REPORT_CHECKS)
 
 
-QUERIES["report_checks"] = report_checks
-
-
 def metadata_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row count of lineitem from parquet footers, no column data read (§4 metadata count)."""
-    from ..operators.quality import metadata_row_count
     n, _ = metadata_row_count(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
     return spark.range(1).select(F.lit(n).cast("long").alias("row_count"))
 
 
-QUERIES["metadata_count"] = metadata_count
+QUERIES = {
+    "quality_report": quality_report,
+    "row_reconciliation": row_reconciliation,
+    "file_stats": lineitem_file_stats,
+    "table_stats": orders_table_stats,
+    "report_checks": report_checks,
+    "metadata_count": metadata_count,
+}

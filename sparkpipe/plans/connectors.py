@@ -16,6 +16,9 @@ from ..functions.columns import round_half_up
 from ..session import scratch_path
 from ..sources.files import load_many, read_csv, read_json_documents, read_table
 from . import bindings as B
+from ..operators.quality import file_stats
+from ..operators.ticks import clean_ticks
+from ..sinks.writers import JSON_TS_NTZ_FORMAT, load_batches, write_json_lake, write_parquet
 
 ZONE_SCHEMA = "LocationID int, Borough string, Zone string, service_zone string"
 PRODUCTS_PER_DOCUMENT = 100   # at most 100 products per document, whatever the key distribution
@@ -77,18 +80,9 @@ def orders_multi_file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*[f.name for f in ORDER_SCHEMA.fields])
 
 
-QUERIES = {
-    "zones_from_csv": zones_from_csv,
-    "products_brand_avg_json": products_brand_avg_json,
-    "orders_multi_file_load": orders_multi_file_load,
-}
-
-
 def repartition_copy_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repartition to a fixed file count and overwrite (K01), then count the files and rows
     of the copy from file metadata (Q09)."""
-    from ..operators.quality import file_stats
-    from ..sinks.writers import write_parquet
     path = scratch_path(spark, "lineitem_4")
     write_parquet(read_table(spark, sf_dir, "lineitem"), path, mode="overwrite", num_files=4)
     copy = spark.read.parquet(path)
@@ -106,7 +100,6 @@ def _stats_pair(files: DataFrame, rows: DataFrame) -> DataFrame:
 def chunked_load_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunked load (K07, K10, K12): the first chunk replaces the target, later chunks append.
     Chunks are the three order statuses; each is one distributed write."""
-    from ..sinks.writers import load_batches
     o = read_table(spark, sf_dir, "orders")
     path = scratch_path(spark, "orders_chunks")
     o.limit(1).write.parquet(path)          # an old target the first chunk must replace
@@ -117,8 +110,6 @@ def chunked_load_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tick_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean ticks exported as JSON under kind/yyyy/MM/dd (K15, F18), read back."""
-    from ..operators.ticks import clean_ticks
-    from ..sinks.writers import JSON_TS_NTZ_FORMAT, write_json_lake
     kept, _, _ = clean_ticks(B.tick_messages(spark, sf_dir))
     cols = ["event_id", "symbol", "ts", "price", "volume", "exchange", "bid", "ask"]
     root = scratch_path(spark, "lake")
@@ -129,8 +120,11 @@ def tick_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .json(f"{root}/ticks").select(*cols))
 
 
-QUERIES.update({
+QUERIES = {
+    "zones_from_csv": zones_from_csv,
+    "products_brand_avg_json": products_brand_avg_json,
+    "orders_multi_file_load": orders_multi_file_load,
     "repartition_copy_stats": repartition_copy_stats,
     "chunked_load_orders": chunked_load_orders,
     "tick_lake": tick_lake,
-})
+}

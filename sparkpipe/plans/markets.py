@@ -111,24 +111,6 @@ def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
              .groupBy("symbol").agg(F.count(F.lit(1)).alias("retained")))
 
 
-QUERIES = {
-    "clean_ticks": clean_ticks,
-    "tick_rejects": tick_rejects,
-    "stale_split": stale_split,
-    "tick_anomalies": tick_anomalies,
-    "ohlcv_1m": ohlcv_1m,
-    "ohlcv_1h": ohlcv_1h,
-    "latest_tick": latest_tick,
-    "rate_per_minute": rate_per_minute,
-    "producer_counters": producer_counters,
-    "error_increase": error_increase,
-    "silence_gaps": silence_gaps,
-    "price_drop_5m": price_drop_5m,
-    "series_last_30m": series_last_30m,
-    "retention": retention,
-}
-
-
 FOCUS_SYMBOL = "CLICK/USDT"
 
 
@@ -147,4 +129,21 @@ def series_one_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
                            key="symbol", value=FOCUS_SYMBOL)
 
 
-QUERIES.update({"latest_five_ticks": latest_five_ticks, "series_one_symbol": series_one_symbol})
+QUERIES = {
+    "clean_ticks": clean_ticks,
+    "tick_rejects": tick_rejects,
+    "stale_split": stale_split,
+    "tick_anomalies": tick_anomalies,
+    "ohlcv_1m": ohlcv_1m,
+    "ohlcv_1h": ohlcv_1h,
+    "latest_tick": latest_tick,
+    "rate_per_minute": rate_per_minute,
+    "producer_counters": producer_counters,
+    "error_increase": error_increase,
+    "silence_gaps": silence_gaps,
+    "price_drop_5m": price_drop_5m,
+    "series_last_30m": series_last_30m,
+    "retention": retention,
+    "latest_five_ticks": latest_five_ticks,
+    "series_one_symbol": series_one_symbol,
+}

@@ -16,6 +16,8 @@ from ..functions.timefn import day_of, hours_between, in_half_open
 from ..operators.joins import lookup_join, role_join
 from ..sources.files import read_table
 from . import bindings as B
+from ..operators.sequence import session_windows
+from ..operators.windows import reaggregate, top_n, tumbling_totals
 
 # Parameters of the questions (the data covers 2024-01-01 .. 2024-01-30 for events and
 # 1995 .. 2001 for lineitem).
@@ -142,37 +144,14 @@ def dim_zones_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return z.withColumn("service_zone", F.replace("service_zone", F.lit("Boro"), F.lit("Green")))
 
 
-QUERIES = {
-    "top_zone_revenue_day": top_zone_revenue_day,
-    "largest_amount_by_dropoff": largest_amount_by_dropoff,
-    "longest_trip_by_day": longest_trip_by_day,
-    "longest_trip_hours": longest_trip_hours,
-    "short_trips_count": short_trips_count,
-    "trips_on_day": trips_on_day,
-    "zero_discount_count": zero_discount_count,
-    "over_threshold_counts": over_threshold_counts,
-    "rare_zones": rare_zones,
-    "distinct_vendors_in_range": distinct_vendors_in_range,
-    "avg_fare_by_vendor": avg_fare_by_vendor,
-    "rows_per_partition_date": rows_per_partition_date,
-    "brand_avg_price": brand_avg_price,
-    "dim_zones_clean": dim_zones_clean,
-}
-
-
 def trip_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch sessions per pickup location, 5-minute gap (X07 in batch, D21), hot-key safe."""
-    from ..operators.sequence import session_windows
     t = B.trips(spark, sf_dir).select(F.col("pickup_location_id").alias("PULocationID"), "pickup_datetime", "trip_id")
     return session_windows(t, ["PULocationID"], ["pickup_datetime", "trip_id"], 300)
 
 
-QUERIES["trip_sessions"] = trip_sessions
-
-
 # ------------------------------------------------------------ window results
 def _ride_windows(spark: SparkSession, sf_dir: str, size: str, keyed: bool = True) -> DataFrame:
-    from ..operators.windows import tumbling_totals
     t = B.trips(spark, sf_dir).select(F.col("pickup_location_id").alias("PULocationID"), "pickup_datetime",
                                       "total_amount",
                                       round_half_up(F.col("total_amount") * F.lit(0.15), 2).alias("tip_amount"))
@@ -182,7 +161,6 @@ def _ride_windows(spark: SparkSession, sf_dir: str, size: str, keyed: bool = Tru
 
 def window_reaggregation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly per-location windows re-aggregated per hour: locations, trips, revenue."""
-    from ..operators.windows import reaggregate
     w = _ride_windows(spark, sf_dir, "1 hour")
     r = reaggregate(w, ["window_start"], "locations", {"num_trips": "total_trips", "total_revenue": "revenue"})
     return r.withColumn("revenue", round_half_up("revenue", 2)).orderBy("window_start")
@@ -190,20 +168,17 @@ def window_reaggregation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def top_locations_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three busiest 5-minute location windows."""
-    from ..operators.windows import top_n
     w = _ride_windows(spark, sf_dir, "5 minutes").select("PULocationID", "window_start", "num_trips")
     return top_n(w, "num_trips", 3, ["window_start", "PULocationID"])
 
 
 def top_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five longest sessions by trips (T05 over X07)."""
-    from ..operators.windows import top_n
     return top_n(trip_sessions(spark, sf_dir), "num_trips", 5, ["session_start", "PULocationID"])
 
 
 def top_tip_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three hours with the most tips (T05 over X06)."""
-    from ..operators.windows import top_n
     w = _ride_windows(spark, sf_dir, "1 hour", keyed=False)
     w = w.select("window_start", round_half_up("total_tip", 2).alias("total_tip"))
     return top_n(w, "total_tip", 3, ["window_start"])
@@ -243,11 +218,26 @@ def sql_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "trip_date", "taxi_type", "payment_type", "trip_count")
 
 
-QUERIES.update({
+QUERIES = {
+    "top_zone_revenue_day": top_zone_revenue_day,
+    "largest_amount_by_dropoff": largest_amount_by_dropoff,
+    "longest_trip_by_day": longest_trip_by_day,
+    "longest_trip_hours": longest_trip_hours,
+    "short_trips_count": short_trips_count,
+    "trips_on_day": trips_on_day,
+    "zero_discount_count": zero_discount_count,
+    "over_threshold_counts": over_threshold_counts,
+    "rare_zones": rare_zones,
+    "distinct_vendors_in_range": distinct_vendors_in_range,
+    "avg_fare_by_vendor": avg_fare_by_vendor,
+    "rows_per_partition_date": rows_per_partition_date,
+    "brand_avg_price": brand_avg_price,
+    "dim_zones_clean": dim_zones_clean,
+    "trip_sessions": trip_sessions,
     "window_reaggregation": window_reaggregation,
     "top_locations_5m": top_locations_5m,
     "top_sessions": top_sessions,
     "top_tip_hours": top_tip_hours,
     "preview_trips": preview_trips,
     "sql_daily_counts": sql_daily_counts,
-})
+}

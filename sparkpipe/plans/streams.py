@@ -18,6 +18,7 @@ from ..sinks.writers import make_dirs
 from ..streaming import jobs as J
 from ..streaming.sources import SENTINEL_TIME, replay, stream_source
 from . import bindings as B
+from ..sinks.writers import JSON_TS_NTZ_FORMAT
 
 
 def ride_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,20 +169,6 @@ def stream_latest_tick(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(spark.read.parquet(target).drop("p"), "ts")
 
 
-QUERIES = {
-    "stream_pass_through": stream_pass_through,
-    "stream_tumbling_1h": stream_tumbling_1h,
-    "stream_tumbling_5m": stream_tumbling_5m,
-    "stream_tip_by_hour": stream_tip_by_hour,
-    "stream_session": stream_session,
-    "stream_upsert": stream_upsert,
-    "stream_ohlcv": stream_ohlcv,
-    "stream_dedup": stream_dedup,
-    "stream_anomalies": stream_anomalies,
-    "stream_latest_tick": stream_latest_tick,
-}
-
-
 def stream_tumbling_10s(spark: SparkSession, sf_dir: str) -> DataFrame:
     """10-second windows per pickup location."""
     out = _rides(spark, sf_dir, lambda s: J.tumbling(s, "10 seconds"))
@@ -199,7 +186,6 @@ def _tick_folder(spark: SparkSession, sf_dir: str, sentinel: bool = True) -> str
 def stream_tick_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The composed tick job, run after every delivered slice; its JSON lake of
     kept ticks is read back."""
-    from ..sinks.writers import JSON_TS_NTZ_FORMAT
     folder, out_root, ckpt_root = scratch_path(spark, "ticks_in"), scratch_path(spark, "tick_job"), \
         scratch_path(spark, "ckpt")
     make_dirs(spark, folder)
@@ -215,4 +201,17 @@ def stream_tick_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.filter(F.col("symbol") != "SENTINEL/USDT").select(*cols)
 
 
-QUERIES.update({"stream_tumbling_10s": stream_tumbling_10s, "stream_tick_job": stream_tick_job})
+QUERIES = {
+    "stream_pass_through": stream_pass_through,
+    "stream_tumbling_1h": stream_tumbling_1h,
+    "stream_tumbling_5m": stream_tumbling_5m,
+    "stream_tip_by_hour": stream_tip_by_hour,
+    "stream_session": stream_session,
+    "stream_upsert": stream_upsert,
+    "stream_ohlcv": stream_ohlcv,
+    "stream_dedup": stream_dedup,
+    "stream_anomalies": stream_anomalies,
+    "stream_latest_tick": stream_latest_tick,
+    "stream_tumbling_10s": stream_tumbling_10s,
+    "stream_tick_job": stream_tick_job,
+}
