@@ -334,7 +334,8 @@ TICKS = f"""tk AS (
          CASE WHEN event_id % 4 = 0 THEN NULL WHEN event_id % 4 = 1 THEN 0.0::DOUBLE ELSE value * 0.9995 END AS bid,
          CASE WHEN event_id % 4 = 0 THEN NULL WHEN event_id % 4 = 1 THEN 0.0::DOUBLE ELSE value * 1.0005 END AS ask,
          ts + to_seconds(user_id % 60) AS ingest_ts,
-         NOT (CAST(k AS DOUBLE) > 0) AS failed
+         NOT (value > 0) OR NOT (CAST(k AS DOUBLE) > 0) AS failed,
+         CASE WHEN NOT (value > 0) THEN 'non_positive_price' ELSE 'non_positive_volume' END AS fail_reason
   FROM {EV_K} ev),
 kept AS (
   SELECT event_id, symbol, ts, {_P2} AS price, {rnd('volume', 8)} AS volume, exchange,
@@ -358,7 +359,7 @@ FROM kept GROUP BY 1, 2"""
 
 MARKETS = {
     "clean_ticks": f"WITH {TICKS} SELECT * FROM kept",
-    "tick_rejects": f"WITH {TICKS} SELECT event_id, symbol AS key, 'non_positive_volume' AS reject_reason FROM tk WHERE failed",
+    "tick_rejects": f"WITH {TICKS} SELECT event_id, symbol AS key, fail_reason AS reject_reason FROM tk WHERE failed",
     "stale_split": f"""WITH {TICKS}
 SELECT symbol, count(*) FILTER (WHERE NOT (ts < ingest_ts - INTERVAL 30 SECOND)) AS kept,
        count(*) FILTER (WHERE ts < ingest_ts - INTERVAL 30 SECOND) AS stale
