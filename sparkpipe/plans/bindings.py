@@ -98,7 +98,9 @@ def raw_trip_records(spark: SparkSession, sf_dir: str, lineitem: DataFrame | Non
     od = od.select("o_orderkey", "o_custkey", "o_orderstatus")
     cu = cu.select("c_custkey", "c_nationkey")
     oc = od.join(cu, od.o_custkey == cu.c_custkey).select("o_orderkey", "o_orderstatus", "c_nationkey")
-    j = li.join(oc, li.l_orderkey == oc.o_orderkey)
+    # Fact-to-fact: a sort-merge join on the order key, whose lineitem side reuses the
+    # caller's partitioning; the hint keeps AQE from broadcasting the large side.
+    j = li.hint("merge").join(oc, li.l_orderkey == oc.o_orderkey)
     price = F.col("l_extendedprice").cast(T.DecimalType(12, 2))
     disc = F.col("l_discount").cast(T.DecimalType(4, 2))
     tax = F.col("l_tax").cast(T.DecimalType(4, 2))
