@@ -23,20 +23,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from ..sinks.writers import delete_path, drop_partitions, list_partition_values, path_exists
+from ..sinks.writers import (balanced_for_write, delete_path, drop_partitions, list_partition_values,
+                             path_exists)
 from .dedup import latest_per_key
 
 
 def append(df: DataFrame, path: str, partition_col: str | None = None) -> None:
     """``append`` (M01): add rows; re-runs duplicate them, dedup is downstream."""
-    w = df.write.mode("append")
     if partition_col:
-        w = w.partitionBy(partition_col)
-    w.parquet(path)
+        balanced_for_write(df, partition_col).write.mode("append").partitionBy(partition_col).parquet(path)
+    else:
+        df.write.mode("append").parquet(path)
 
 
 def full_refresh(df: DataFrame, path: str, partition_col: str | None = None) -> None:
     """Create or replace."""
+    if partition_col:
+        df = balanced_for_write(df, partition_col)
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_col:
         w = w.partitionBy(partition_col)
@@ -65,7 +68,7 @@ def _swap_partitions(spark: SparkSession, rows: DataFrame, target_path: str, par
                      touched: Sequence[object] | None = None) -> None:
     """Stage ``rows`` then overwrite exactly their partitions; drop touched ones left empty."""
     stage = scratch_path(spark, "stage")
-    rows.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
+    balanced_for_write(rows, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(stage)
     staged = spark.read.parquet(stage) if path_exists(spark, stage) else None
     present = set(list_partition_values(spark, stage, partition_col))
     if staged is not None and present:

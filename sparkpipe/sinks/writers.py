@@ -24,15 +24,26 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     w.parquet(path)
 
 
+def balanced_for_write(df: DataFrame, partition_col: str, secondary: Sequence[str] | None = None) -> DataFrame:
+    """Lay rows out for a partitioned write: range partitioning on (partition value,
+    secondary key).  Each task then covers a narrow slice of partition values — a few
+    files per folder instead of one file per task per folder — and a partition value
+    holding a third of the data is split over many tasks by the secondary key (a row
+    hash when none is given) instead of landing on one writer."""
+    second = [F.col(c) for c in secondary] if secondary else [F.xxhash64(*[F.col(c) for c in df.columns])]
+    return df.repartitionByRange(F.col(partition_col), *second)
+
+
 def write_clustered(df: DataFrame, path: str, partition_col: str, cluster_cols: Sequence[str],
                     mode: str = "overwrite") -> None:
     """Date-partitioned, clustered layout.
 
-    Rows are shuffled by the partition value (one writer per date, no small-file storm)
-    and sorted by the cluster key inside each task, so each parquet row group carries a
-    narrow min/max range of the cluster key for row-group pruning.
+    Rows are range-partitioned by (partition value, cluster key) — few files per folder,
+    hot partition values split across writers — and sorted by the cluster key inside each
+    task, so each parquet row group carries a narrow min/max range of the cluster key for
+    row-group pruning.
     """
-    (df.repartition(partition_col)
+    (balanced_for_write(df, partition_col, cluster_cols)
        .sortWithinPartitions(partition_col, *cluster_cols)
        .write.mode(mode).partitionBy(partition_col).parquet(path))
 
