@@ -88,3 +88,27 @@ def test_dedup_combines_map_side(spark):
     lines = plan.splitlines()
     ex = next(i for i, l in enumerate(lines) if "Exchange hashpartitioning" in l)
     assert any("partial_min" in l for l in lines[ex:])        # partial aggregate below the exchange
+
+
+def test_partitioned_write_splits_hot_day_and_limits_files(spark):
+    import os
+    from sparkpipe.operators.incremental import full_refresh
+    from sparkpipe.session import scratch_path
+    n = 40_000
+    df = spark.range(n).repartition(8).select(
+        "id", F.when(F.col("id") % 10 == 0, F.expr("date_add(date'2024-01-02', cast(id % 20 as int))"))
+               .otherwise(F.lit(dt.date(2024, 1, 1))).alias("d"))        # one day holds 90 % of the rows
+    path = scratch_path(spark, "layout")
+    # At this size AQE would merge all range partitions into one; large writes are not merged.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        full_refresh(df, path, "d")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    local = path[len("file:"):] if path.startswith("file:") else path
+    files = {d: [f for f in os.listdir(os.path.join(local, d)) if f.endswith(".parquet")]
+             for d in os.listdir(local) if d.startswith("d=")}
+    assert len(files["d=2024-01-01"]) > 1                       # the hot day is written by several tasks
+    total = sum(len(v) for v in files.values())
+    assert total < 8 * len(files)                              # not every task writes into every folder
+    assert spark.read.parquet(path).count() == n
