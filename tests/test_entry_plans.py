@@ -16,6 +16,8 @@ def test_entry_runs(spark):
 def test_every_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
     assert len(E.queries()) >= 50
+    # Only file-metadata queries lack SQL (file sizes are invisible to SQL).
+    assert set(E.queries()) - set(E.oracle_sql()) == {"file_stats", "table_stats"}
 
 
 def test_scan_prunes_columns_and_pushes_filters(spark):
