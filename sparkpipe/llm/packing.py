@@ -19,6 +19,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,10 +28,12 @@ from .common import materialise, text_of, worker_memo
 #: Fixed value: the id that ends each document.
 END_ID = 1
 CAPACITY = 4096
-#: Distinct words whose ids a worker keeps before it starts anew.
-MEMO = 400_000
+#: Distinct stretches whose ids a worker keeps before it starts anew.
+MEMO = 1_000_000
+#: New words that are encoded as one text.
+TOGETHER = 500
 #: Pieces of one length that are numbered in one window group.
-NUMBERED = 20_000
+NUMBERED = 2_000
 
 
 # -- the plan ---------------------------------------------------------------------------
@@ -153,7 +156,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[dict[int,
 
 # -- tokens -----------------------------------------------------------------------------
 
-class _WordIds(dict):
+class _WordIds:
     """Ids of a stretch of text without blanks, as little-endian 32-bit bytes.
 
     Blanks separate words for this tokenizer, so encoding the stretches one by one gives
@@ -161,18 +164,54 @@ class _WordIds(dict):
     """
 
     def __init__(self, path: str):
-        super().__init__()
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-
-    def learn(self, words: set[str]) -> None:
-        if len(self) > MEMO:
-            self.clear()
-        new = [w for w in words if w not in self]
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self[w] = np.array(e.ids, "<u4").tobytes()
+        vocab = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+        self.plain = regex.compile(r"(\p{L}+)([.,;:!?]*)")
+        self.marks: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    def _learn_words(self, words: list[tuple[str, str, str]]) -> list[str]:
+        """Learn (stretch, letters, marks after them) from one text of all the letters.
+
+        The last token of a word is marked as such; if the marks don't tell the words apart
+        one by one, the stretches are given back.
+        """
+        ids = np.frombuffer(self._encode([" ".join(w for _, w, _ in words)])[0], "<u4")
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(words):
+            return [stretch for stretch, _, _ in words]
+        body, start = ids.tobytes(), 0
+        for (stretch, _, marks), end in zip(words, (ends * 4).tolist(), strict=True):
+            if marks not in self.marks:
+                self.marks[marks] = self._encode([marks])[0]
+            self.known[stretch] = body[start:end] + self.marks[marks]
+            start = end
+        return []
+
+    def learn(self, stretches: set[str]) -> None:
+        if len(self.known) > MEMO:
+            self.known.clear()
+            self.marks.clear()
+        words, rest = [], []
+        for s in stretches.difference(self.known):
+            m = self.plain.fullmatch(s)
+            if m:
+                words.append((s, *m.groups()))
+            else:
+                rest.append(s)
+        for i in range(0, len(words), TOGETHER):
+            rest += self._learn_words(words[i:i + TOGETHER])
+        for s, ids in zip(rest, self._encode(rest), strict=True):
+            self.known[s] = ids
 
 
 def _pieces_of(path: str, capacity: int, end_id: int):
@@ -186,10 +225,10 @@ def _pieces_of(path: str, capacity: int, end_id: int):
         for batch in batches:
             out = []
             texts = [t.replace("\n", " ").split(" ") for t in batch.column(1).to_pylist()]
-            for i in range(0, len(texts), 50):
-                ids.learn(set().union(*texts[i:i + 50]))
-                for doc, words in zip(batch.column(0)[i:i + 50].to_pylist(), texts[i:i + 50], strict=True):
-                    body = b"".join([*map(ids.__getitem__, words), end])
+            for i in range(0, len(texts), 200):
+                ids.learn(set().union(*texts[i:i + 200]))
+                for doc, words in zip(batch.column(0)[i:i + 200].to_pylist(), texts[i:i + 200], strict=True):
+                    body = b"".join(map(ids.known.__getitem__, words)) + end
                     for k, at in enumerate(range(0, len(body), step)):
                         part = body[at:at + step]
                         out.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))
