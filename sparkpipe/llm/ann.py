@@ -29,6 +29,8 @@ SEED = 20
 #: Vectors that the cells' borders are fitted on, at most; vectors of a cell, about.
 SAMPLE, CELL = 20_000, 8_192
 LEAF = 64
+#: Rows among which equal vectors are looked for before they are dealt.
+THINNED = 10_000
 #: Queries that visit a cell together; a cell that more visit is searched by several tasks.
 BLOCK = 4_096
 
@@ -196,17 +198,26 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def _thin(k: int):
-    """Of equal vectors of a batch only the k + 1 smallest ids: no result can hold another."""
+    """Of equal vectors only the k + 1 smallest ids of each stretch of rows: no result can hold another."""
+    def thin(part: pa.Table):
+        ids, raw = part.column("id").to_numpy(), _matrix(part.column("vec").combine_chunks())
+        keep: dict[bytes, list] = {}
+        for i in np.argsort(ids, kind="stable"):
+            same = keep.setdefault(raw[i].tobytes(), [])
+            if len(same) <= k:
+                same.append(i)
+        return part.take(pa.array(sorted(i for s in keep.values() for i in s), pa.int64())).to_batches()
+
     def run(batches):
+        waiting, rows = [], 0
         for batch in batches:
-            ids, rows = batch.column("id").to_numpy(), batch.column("vec")
-            keep: dict[bytes, list] = {}
-            raw = _matrix(rows)
-            for i in np.argsort(ids, kind="stable"):
-                same = keep.setdefault(raw[i].tobytes(), [])
-                if len(same) <= k:
-                    same.append(i)
-            yield batch.take(pa.array(sorted(i for s in keep.values() for i in s), pa.int64()))
+            waiting.append(batch)
+            rows += batch.num_rows
+            if rows >= THINNED:
+                yield from thin(pa.Table.from_batches(waiting))
+                waiting, rows = [], 0
+        if rows:
+            yield from thin(pa.Table.from_batches(waiting))
     return run
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..session import configure, scratch_path
 
 #: Rows of a batch that travels to a Python worker; long texts make a row large.
-BATCH_ROWS = 1000
+BATCH_ROWS = 256
 #: Stands for a null id where ids are ordered: nulls come last.
 NO_ID = 2**63 - 1
 

@@ -8,9 +8,10 @@ of their weighted Jaccard similarity.  The work is the number of elements plus t
 of darts, not elements times coordinates.
 
 Exact copies are joined first and one of each takes part.  Documents that agree on a band
-meet in a bucket.  No bucket lists its pairs: all its members are compared with its smallest
-one, and only members that this leaves in different classes are compared with one another,
-where the triangle inequality of the Jaccard distance to that smallest member allows it.
+meet in a bucket.  No bucket lists its pairs: all its members are compared with its leader
+(the one that meets most other documents), and only members that this leaves in different
+classes are compared with one another, where the triangle inequality of the Jaccard distance
+to the leader and the shingles that no other of them has allow it; both bounds are exact.
 Every comparison counts shingles exactly; classes are the connected components.
 """
 
@@ -165,13 +166,15 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .mapInArrow(_sign(size, bands, rows, weighted), "doc long, e1 long, e2 long, bands array<long>")
 
 
-def _sets(size):
+def _sets(size, weighted):
     def run(batches):
         for batch in batches:
             both = [shingles(words_of(t), size) for t in batch.column(1).to_pylist()]
+            kind = pa.list_(pa.int32())
+            counts = pa.array([b[1].astype(np.int32) for b in both], kind) if weighted else pa.nulls(len(both), kind)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([b[0].view(np.int64) for b in both], pa.list_(pa.int64())),
-                 pa.array([b[1].astype(np.int32) for b in both], pa.list_(pa.int32()))], ["node", "elements", "counts"])
+                [batch.column(0), pa.array([b[0].view(np.int64) for b in both], pa.list_(pa.int64())), counts],
+                ["node", "elements", "counts"])
     return run
 
 
@@ -188,23 +191,28 @@ def similarity(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) ->
 def _compare(weighted):
     def run(batches):
         for batch in batches:
-            columns = [batch.column(i) for i in range(2, 6)]
+            x, y, m, n = (batch.column(i) for i in range(2, 6))
             s = []
             for i in range(batch.num_rows):
-                x, y, m, n = (c[i].values.to_numpy() for c in columns)
-                x, y = x.view(np.uint64), y.view(np.uint64)
-                s.append(similarity(x, _weights(m, weighted), y, _weights(n, weighted)))
+                a, b = (c[i].values.to_numpy().view(np.uint64) for c in (x, y))
+                wa, wb = (c[i].values.to_numpy().astype(np.float64) if weighted else np.ones(len(e))
+                          for c, e in ((m, a), (n, b)))
+                s.append(similarity(a, wa, b, wb))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s, pa.float64())], ["a", "b", "s"])
     return run
 
 
-def compare(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int, weighted: bool) -> DataFrame:
-    """a, b, s: the exact similarity of each pair; only documents in a pair are read out."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+def sets_of(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int, weighted: bool) -> DataFrame:
+    """node, elements, counts (if weighted) of the documents named by ``nodes``; written once."""
     bodies = docs.select(doc_key(id_col, text_col).alias("node"), text_of(text_col).alias("body"))
-    sets = bodies.join(wanted, "node", "left_semi").dropDuplicates(["node"]).mapInArrow(
-        _sets(size), "node long, elements array<long>, counts array<int>")
-    sets = materialise(sets, "shingles")
+    # merged at every size: the documents are dealt once, whatever the number of nodes
+    sets = bodies.join(nodes.select("node").distinct().hint("merge"), "node", "left_semi").dropDuplicates(["node"]).mapInArrow(
+        _sets(size, weighted), "node long, elements array<long>, counts array<int>")
+    return materialise(sets, "shingles")
+
+
+def compare(pairs: DataFrame, sets: DataFrame, weighted: bool) -> DataFrame:
+    """a, b, s: the exact similarity of each pair."""
     left = sets.select(F.col("node").alias("a"), F.col("elements").alias("ea"), F.col("counts").alias("ca"))
     right = sets.select(F.col("node").alias("b"), F.col("elements").alias("eb"), F.col("counts").alias("cb"))
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ea", "eb", "ca", "cb") \
@@ -226,16 +234,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     copies = signed.groupBy("e1", "e2").agg(F.min("doc").alias("rep"))
     owned = signed.join(copies, ["e1", "e2"])
     nodes = owned.where("doc = rep").select(F.col("doc").alias("node"), F.explode(F.array_distinct("bands")).alias("bucket"))
-    met = nodes.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last")) \
-        .where("leader != last").select("bucket", "leader")
-    members = materialise(nodes.join(met, "bucket").distinct(), "members")
-    stars = members.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    compared = materialise(compare(stars, docs, id_col, text_col, size, weighted), "compared")
+    shared = nodes.groupBy("bucket").agg(F.min("node").alias("x"), F.max("node").alias("y"), F.count("*").alias("size")) \
+        .where("x != y").select("bucket", "size")
+    members = materialise(nodes.join(shared, "bucket").distinct(), "members")
+    # the leader is the member that meets most others: of a family, the text they all derive from
+    popular = members.groupBy("node").agg(F.sum("size").alias("met"))
+    leaders = members.join(popular, "node").groupBy("bucket").agg(
+        F.max(F.struct("met", (-F.col("node")).alias("lead"))).alias("m")).select("bucket", (-F.col("m.lead")).alias("leader"))
+    members = materialise(members.join(leaders, "bucket").select("bucket", "node", "leader"), "members")
+    sets = sets_of(members, docs, id_col, text_col, size, weighted)
+    stars = members.where("node != leader").select(
+        F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
+    compared = materialise(compare(stars, sets, weighted), "compared")
     links = compared.where(F.col("s") >= threshold)
     labels = components(links)
 
     # what the stars left apart: buckets with members of different classes
-    placed = (members.join(compared, (F.col("leader") == F.col("a")) & (F.col("node") == F.col("b")), "left")
+    placed = (members.join(compared, (F.least("leader", "node") == F.col("a")) & (F.greatest("leader", "node") == F.col("b")), "left")
               .select("bucket", "node", "leader", F.coalesce(1 - F.col("s"), F.lit(0.0)).alias("far"))
               .join(labels, "node", "left")
               .withColumn("label", F.coalesce("label", "node")))
@@ -244,15 +259,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     apart = placed.join(mixed, "bucket").where("node != leader").withColumn("ring", F.floor(F.col("far") / reach))
     apart = materialise(apart, "apart")
     if not apart.isEmpty():
+        # what no other document of these has cannot be shared: ``common`` bounds every overlap
+        weights = F.col("counts") if weighted else F.transform("elements", lambda _: F.lit(1))
+        parts = sets.join(apart.select("node").distinct(), "node", "left_semi") \
+            .select("node", F.explode(F.arrays_zip("elements", weights.alias("w"))).alias("e")) \
+            .select("node", F.col("e.elements").alias("element"), F.col("e.w").cast("long").alias("w"))
+        alone = parts.groupBy("element").agg(F.min("node").alias("node"), F.max("node").alias("last"), F.max("w").alias("w")) \
+            .where("node = last").groupBy("node").agg(F.sum("w").alias("own"))
+        total = F.aggregate("counts", F.lit(0).cast("long"), lambda a, c: a + c) if weighted else F.size("elements").cast("long")
+        bounds = sets.select("node", total.alias("n")).join(alone, "node", "left").select(
+            "node", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common")) \
+            .where(F.col("common") >= F.col("n") * (threshold - 1e-9))
+        apart = apart.join(bounds, "node")
+        mine = apart.groupBy("node").agg(F.collect_set("bucket").alias("mine"))  # at most one per band
+        apart = materialise(apart.join(mine, "node"), "apart")
         home = labels.select(F.col("node").alias("leader"), F.col("label").alias("home"))
         strays = apart.join(home, "leader", "left").where("label != coalesce(home, leader)").select(
             "bucket", F.col("node").alias("x"), F.col("far").alias("fx"), F.col("label").alias("lx"),
+            F.col("n").alias("nx"), F.col("common").alias("cx"), F.col("mine").alias("mx"),
             F.explode(F.array(F.col("ring") - 1, F.col("ring"), F.col("ring") + 1)).alias("ring"))
+        overlap = (F.col("nx") + F.col("n")) * (threshold / (1 + threshold) - 1e-9)
+        # a pair counts in the first of its common buckets: each bucket's bound is a proof by itself
         pairs = strays.join(apart, ["bucket", "ring"]).where(
-            (F.col("lx") != F.col("label")) & (F.abs(F.col("fx") - F.col("far")) <= reach + 1e-9)) \
+            (F.array_min(F.array_intersect("mx", "mine")) == F.col("bucket")) &
+            (F.col("lx") != F.col("label")) & (F.abs(F.col("fx") - F.col("far")) <= reach + 1e-9)
+            & (F.col("cx") >= overlap) & (F.col("common") >= overlap)) \
             .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct() \
             .join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        more = compare(materialise(pairs, "pairs"), docs, id_col, text_col, size, weighted).where(F.col("s") >= threshold)
+        more = compare(materialise(pairs, "pairs"), sets, weighted).where(F.col("s") >= threshold)
         links = materialise(links.unionByName(more), "links")
         labels = components(links)
 

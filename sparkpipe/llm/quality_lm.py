@@ -31,6 +31,8 @@ PRIOR_SYMBOLS = 24
 QUANTILE, SLACK = 0.995, 1.15
 #: Ids of trusted documents are broadcast up to so many rows; beyond, the tables are joined.
 TRUSTED_ROWS = 2_000_000
+#: N-grams that a task gathers before it counts them.
+COUNTED_AT_ONCE = 4 << 20
 
 
 def _fold(c: str) -> int:
@@ -88,11 +90,16 @@ def codes(texts: list[str], folds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _count(batches):
     folds = worker_memo("folds", _folds)
-    total = np.zeros(SYMBOLS**ORDER, np.int64)
+    total, waiting, held = np.zeros(SYMBOLS**ORDER, np.int64), [], 0
     for batch in batches:
         grams, _ = codes(batch.column(0).to_pylist(), folds)
-        if len(grams):
-            total += np.bincount(grams, minlength=SYMBOLS**ORDER)
+        waiting.append(grams)
+        held += len(grams)
+        if held > COUNTED_AT_ONCE:
+            total += np.bincount(np.concatenate(waiting), minlength=SYMBOLS**ORDER)
+            waiting, held = [], 0
+    if held:
+        total += np.bincount(np.concatenate(waiting), minlength=SYMBOLS**ORDER)
     found = np.flatnonzero(total)
     for i in range(0, len(found), 100_000):
         part = found[i:i + 100_000]
