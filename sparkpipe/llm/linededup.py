@@ -11,15 +11,24 @@ edit distance.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_key, key_id, text_of
+from ..operators.joins import small_side
+from .common import doc_key, key_id, materialise, text_of
 
 EDITS = 2
 #: Lines below so many characters have only equal lines: their segments would be a few letters.
 LEAST_CHARS = 30
 NEWLINE = "\n"
+#: Characters that a blank line may hold.
+BLANKS = " \t\r\f"
+#: Letters whose counts rule pairs out.
+LETTERS = "eaionrstlhdu"
+#: Hashes of lines to read out again: broadcast up to so many rows of 8 bytes, joined beyond.
+PAIRED_LINES = 2_000_000
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -33,10 +42,37 @@ def _keys() -> list[Column]:
     return [F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(7), F.col("line")).alias("k2")]
 
 
-def classes(lines: DataFrame) -> DataFrame:
-    """k1, k2, line, first (doc, line_no), copies: one row per different line that is not blank."""
-    return lines.where(F.trim(F.translate("line", "\t\r\f", "   ")) != "").groupBy(*_keys(), "line").agg(
-        F.min(F.struct("doc", "line_no")).alias("first"), F.count("*").alias("copies"))
+def classes(lines: DataFrame, edits: int = EDITS) -> DataFrame:
+    """k1, k2, first (doc, line_no), copies, chars, name, keys: one row per different line that is not blank.
+
+    ``keys`` holds the line's probe hashes and ``name`` what pairs know of it; the text
+    itself does not travel.
+    """
+    keys = F.array(*(k for k, _ in probe_keys(edits)))
+    return lines.where(F.trim("line", F.lit(BLANKS)) != "").withColumn("chars", F.char_length("line")) \
+        .select(*_keys(), F.struct("doc", "line_no").alias("place"), "chars", _name().alias("name"), keys.alias("keys")) \
+        .groupBy("k1", "k2").agg(F.min("place").alias("first"), F.count("*").alias("copies"), F.first("chars").alias("chars"),
+                                 F.first("name").alias("name"), F.first("keys").alias("keys"))
+
+
+def _name() -> Column:
+    """16 bits of the line's hash, then how often it holds each of twelve letters, modulo 16.
+
+    Lines that differ in one of these bits are different; an edit changes at most two of
+    the counts by one.
+    """
+    counts = [(F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(c)))) % 16 for c in LETTERS]
+    packed = reduce(lambda a, b: a * 16 + b, counts[1:], counts[0].cast("long"))
+    return F.shiftleft(F.xxhash64("line"), 4 * len(LETTERS)).bitwiseOR(packed)
+
+
+def _may_be_near(x: str, y: str, edits: int) -> Column:
+    """No pair within ``edits`` fails this: the letter counts of two names differ by 2 * edits at most."""
+    def gap(i):
+        a, b = (F.shiftright(F.col(c), 4 * i).bitwiseAND(F.lit(15)) for c in (x, y))
+        d = F.abs(a - b)
+        return F.least(d, 16 - d)
+    return reduce(lambda a, b: a + b, map(gap, range(len(LETTERS)))) <= 2 * edits
 
 
 def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
@@ -50,14 +86,11 @@ def _hash(length: Column, i: int, start: Column, size: Column) -> Column:
     return F.xxhash64(length, F.lit(i), F.substring(F.col("line"), start, size))
 
 
-def index_keys(edits: int) -> list[Column]:
-    """Hashes of the line's own segments."""
-    n = F.col("chars")
-    return [_hash(n, i, *_segment(n, i, edits + 1)) for i in range(edits + 1)]
-
+def probe_keys(edits: int) -> list[tuple[Column, bool]]:
+    """Hashes of the substrings that may equal a segment of a line up to ``edits`` shorter.
 
-def probe_keys(edits: int) -> list[Column]:
-    """Hashes of the substrings that may equal a segment of a line up to ``edits`` shorter."""
+    True marks the line's own segments, which the index holds.
+    """
     out = []
     for delta in range(edits + 1):
         n = F.col("chars") - delta
@@ -65,27 +98,36 @@ def probe_keys(edits: int) -> list[Column]:
             start, size = _segment(n, i, edits + 1)
             left, right = i, edits - i
             for shift in range(max(-left, delta - right), min(left, delta + right) + 1):
-                out.append(_hash(n, i, start + shift, size))
+                out.append((_hash(n, i, start + shift, size), delta == shift == 0))
     return out
 
 
-def links(distinct: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -> DataFrame:
-    """Both directions of every pair of different lines within ``edits``: a1, a2, b1, b2, b_first."""
-    long = distinct.withColumn("chars", F.char_length("line"))
-    index = long.where(F.col("chars") >= least).select(
-        F.col("k1").alias("short"), F.explode(F.array(*index_keys(edits))).alias("h"))
-    probe = long.where(F.col("chars") >= least).select(
-        F.col("k1").alias("long"), F.explode(F.array(*probe_keys(edits))).alias("h"))
-    met = index.join(probe, "h").where("short != long") \
-        .select(F.least("short", "long").alias("x"), F.greatest("short", "long").alias("y")).distinct()
-    side = distinct.select("k1", "k2", "line", "first")
-    a = side.select(F.col("k1").alias("x"), F.col("k2").alias("x2"), F.col("line").alias("xl"), F.col("first").alias("xf"))
-    b = side.select(F.col("k1").alias("y"), F.col("k2").alias("y2"), F.col("line").alias("yl"), F.col("first").alias("yf"))
-    near = met.join(a, "x").join(b, "y").where(F.levenshtein("xl", "yl", edits) >= 0)
-    return near.select(F.explode(F.array(
-        F.struct(F.col("x").alias("k1"), F.col("x2").alias("k2"), F.col("yf").alias("other"), F.col("xf").alias("own")),
-        F.struct(F.col("y").alias("k1"), F.col("y2").alias("k2"), F.col("xf").alias("other"), F.col("yf").alias("own")))).alias("e")) \
-        .select("e.*")
+def links(distinct: DataFrame, lines: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -> DataFrame:
+    """k1, k2, own, other: both directions of every pair of different lines within ``edits``.
+
+    ``distinct`` are the classes of ``lines``; own and other are the first places of the
+    line and of the one near it.  Only the lines of a pair that meets in the index are read
+    out of the texts again.
+    """
+    own = [i for i, (_, mine) in enumerate(probe_keys(edits)) if mine]
+    keyed = distinct.where(F.col("chars") >= least)
+    index = keyed.select(F.col("name").alias("short"), F.explode(F.array(*(F.get("keys", F.lit(i)) for i in own))).alias("h"))
+    probe = keyed.select(F.col("name").alias("long"), F.explode("keys").alias("h"))
+    # different lines of one name, of which the join below would know nothing
+    alike = keyed.groupBy("name").agg(F.min("k2").alias("p"), F.max("k2").alias("q"), F.min("k1").alias("r"), F.max("k1").alias("s")) \
+        .where("p != q or r != s").select(F.col("name").alias("x"), F.col("name").alias("y"))
+    met = materialise(index.join(probe, "h").where((F.col("short") != F.col("long")) & _may_be_near("short", "long", edits)).select(
+        F.least("short", "long").alias("x"), F.greatest("short", "long").alias("y")).distinct().unionByName(alike), "line-pairs")
+    names = met.select(F.col("x").alias("name")).union(met.select(F.col("y").alias("name"))).distinct()
+    wanted = materialise(distinct.select("name", "k1", "k2", "first").join(names, "name"), "paired-lines")
+    texts = materialise(lines.select(*_keys(), "line").join(small_side(wanted, PAIRED_LINES), ["k1", "k2"])
+                        .dropDuplicates(["k1", "k2"]), "lines")
+    a, b = (texts.select(F.col("name").alias(c), *(F.col(n).alias(c + n) for n in ("k1", "k2", "line", "first"))) for c in "xy")
+    once = (F.col("x") != F.col("y")) | (F.struct("xk1", "xk2") < F.struct("yk1", "yk2"))
+    near = met.join(a, "x").join(b, "y").where(once & (F.levenshtein("xline", "yline", edits) >= 0))
+    ways = [F.struct(F.col(p + "k1").alias("k1"), F.col(p + "k2").alias("k2"), F.col(p + "first").alias("own"),
+                     F.col(q + "first").alias("other")) for p, q in ("xy", "yx")]
+    return near.select(F.explode(F.array(*ways)).alias("e")).select("e.*")
 
 
 def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -101,11 +143,11 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     gives an empty result.
     """
     lines = lines_of(docs, id_col, text_col)
-    distinct = classes(lines)
-    near = links(distinct, edits, least).groupBy("k1", "k2").agg(
+    distinct = materialise(classes(lines, edits), "line-classes")
+    near = links(distinct, lines, edits, least).groupBy("k1", "k2").agg(
         F.count("*").alias("links"), F.min(F.when(F.col("other") < F.col("own"), F.col("other"))).alias("near"))
-    own = distinct.select("k1", "k2", "first", "copies").join(near, ["k1", "k2"], "left")
-    return lines.select("doc", "line_no", *_keys()).join(own, ["k1", "k2"]).select(
+    placed = lines.select("doc", "line_no", *_keys()).join(distinct.select("k1", "k2", "first", "copies"), ["k1", "k2"])
+    return placed.join(near, ["k1", "k2"], "left").select(
         "doc", "line_no", "copies", "first", F.coalesce("links", F.lit(0)).alias("links"), "near",
         ((F.struct("doc", "line_no") == F.col("first")) & F.col("near").isNull()).alias("kept"))
 
