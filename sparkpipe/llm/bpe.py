@@ -177,7 +177,7 @@ class BytePairCoder:
 
 
 def _coder(path: str) -> BytePairCoder:
-    return worker_memo(f"bpe:{path}", lambda: BytePairCoder(path))
+    return worker_memo("bpe", "coder", lambda: BytePairCoder(path), path)
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -67,13 +67,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def worker_memo(name: str, build, key=None):
+def worker_memo(group: str, name: str, build, key=None):
     """``build()`` once per Python worker process and ``key``; later tasks of the worker reuse it.
 
     Functions reach the workers by value, so module globals would not outlive a task.  A
-    name holds one value: another key replaces it.
+    name holds one value, and a worker holds the values of one group (operator) at a time.
     """
     store = sys.modules.setdefault("_sparkpipe_memo", types.ModuleType("_sparkpipe_memo")).__dict__
+    if store.get("group") != group:
+        store.clear()
+        store["group"] = group
     if name not in store or store[name][0] != key:
         store.pop(name, None)
         store[name] = (key, build())

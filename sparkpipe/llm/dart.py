@@ -64,7 +64,7 @@ def shingles(words: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndar
     """Different shingles, ascending, and how often each occurs; a shorter text is one shingle."""
     if not words:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    memo = worker_memo("words", _WordHash)
+    memo = worker_memo("dart", "words", _WordHash)
     h = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
     size = min(size, len(h))
     n = len(h) - size + 1
@@ -136,7 +136,7 @@ def _weights(counts: np.ndarray, weighted: bool) -> np.ndarray:
 
 def _sign(size, bands, rows, weighted):
     def run(batches):
-        darts = worker_memo("darts", lambda: Darts(bands * rows), bands * rows)
+        darts = worker_memo("dart", "darts", lambda: Darts(bands * rows), bands * rows)
         for batch in batches:
             e1, e2, keys = [], [], []
             for text in batch.column(1).to_pylist():

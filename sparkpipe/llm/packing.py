@@ -221,7 +221,7 @@ def _pieces_of(path: str, capacity: int, end_id: int):
 
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        ids = worker_memo(f"words:{path}", lambda: _WordIds(path))
+        ids = worker_memo("packing", "words", lambda: _WordIds(path), path)
         for batch in batches:
             out = []
             texts = [t.replace("\n", " ").split(" ") for t in batch.column(1).to_pylist()]

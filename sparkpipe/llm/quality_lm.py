@@ -32,7 +32,7 @@ QUANTILE, SLACK = 0.995, 1.15
 #: Ids of trusted documents are broadcast up to so many rows; beyond, the tables are joined.
 TRUSTED_ROWS = 2_000_000
 #: N-grams that a task gathers before it counts them.
-COUNTED_AT_ONCE = 4 << 20
+COUNTED_AT_ONCE = 2 << 20
 
 
 def _fold(c: str) -> int:
@@ -89,21 +89,25 @@ def codes(texts: list[str], folds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count(batches):
-    folds = worker_memo("folds", _folds)
-    total, waiting, held = np.zeros(SYMBOLS**ORDER, np.int64), [], 0
+    folds = worker_memo("lm", "folds", _folds)
+    grams, n, waiting, held = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
+
+    def add(grams, n, parts):
+        found, times = np.unique(np.concatenate(parts), return_counts=True)
+        every, at = np.unique(np.concatenate([grams, found]), return_inverse=True)
+        return every, np.bincount(at, weights=np.concatenate([n, times]), minlength=len(every)).astype(np.int64)
+
     for batch in batches:
-        grams, _ = codes(batch.column(0).to_pylist(), folds)
-        waiting.append(grams)
-        held += len(grams)
+        found, _ = codes(batch.column(0).to_pylist(), folds)
+        waiting.append(found)
+        held += len(found)
         if held > COUNTED_AT_ONCE:
-            total += np.bincount(np.concatenate(waiting), minlength=SYMBOLS**ORDER)
+            grams, n = add(grams, n, waiting)
             waiting, held = [], 0
     if held:
-        total += np.bincount(np.concatenate(waiting), minlength=SYMBOLS**ORDER)
-    found = np.flatnonzero(total)
-    for i in range(0, len(found), 100_000):
-        part = found[i:i + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["gram", "n"])
+        grams, n = add(grams, n, waiting)
+    for i in range(0, len(grams), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(grams[i:i + 100_000]), pa.array(n[i:i + 100_000])], ["gram", "n"])
 
 
 def trusted_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
@@ -181,7 +185,7 @@ def score(docs: DataFrame, model: Model, columns: list, text_col: str = "text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields)
 
     def run(batches):
-        folds, dense = worker_memo("folds", _folds), worker_memo("lm", model.dense, model.key)
+        folds, dense = worker_memo("lm", "folds", _folds), worker_memo("lm", "lm", model.dense, model.key)
         for batch in batches:
             grams, sizes = codes(batch.column(0).to_pylist(), folds)
             sums = np.append(0.0, np.cumsum(dense[grams], dtype=np.float64))

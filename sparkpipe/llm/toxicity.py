@@ -41,7 +41,7 @@ class _Buckets(dict):
 
 def _bucket_sets(texts: list[str]):
     """Sorted different buckets of each text's words."""
-    memo = worker_memo("buckets", _Buckets)
+    memo = worker_memo("toxicity", "buckets", _Buckets)
     for text in texts:
         words = set(_WORD.findall(text.lower()))
         yield np.unique(np.fromiter(map(memo.__getitem__, words), np.int32, len(words)))
