@@ -28,7 +28,10 @@ SYMBOLS = 64
 #: Symbols of average text that are added to a document, so that a few letters prove nothing.
 PRIOR_SYMBOLS = 24
 #: Quantile of the trusted perplexities of a language, and the slack on it.
-QUANTILE, SLACK = 0.995, 1.15
+QUANTILE, SLACK = 0.995, 1.25
+#: One of so many trusted documents is held out to set the thresholds; languages with fewer
+#: such documents than OWN_DOCUMENTS take the threshold of all languages if that is higher.
+HELD_OUT, OWN_DOCUMENTS = 5, 50
 #: Ids of trusted documents are broadcast up to so many rows; beyond, the tables are joined.
 TRUSTED_ROWS = 2_000_000
 #: N-grams that a task gathers before it counts them.
@@ -180,7 +183,7 @@ def train(trusted: DataFrame, text_col: str = "text") -> Model:
 
 
 def score(docs: DataFrame, model: Model, columns: list, text_col: str = "text") -> DataFrame:
-    """``columns`` of docs, n_symbols, nll: the negative log likelihood of each whole text."""
+    """``columns`` of docs, __n_symbols, __nll: the negative log likelihood of each whole text."""
     carried = docs.select(*columns)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields)
 
@@ -192,27 +195,36 @@ def score(docs: DataFrame, model: Model, columns: list, text_col: str = "text")
             ends = np.cumsum(sizes)
             nll = sums[ends] - sums[ends - sizes]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(sizes), pa.array(nll)],
-                                             [*batch.schema.names[1:], "n_symbols", "nll"])
+                                             [*batch.schema.names[1:], "__n_symbols", "__nll"])
 
     return docs.select(text_of(text_col).alias("__body"), *columns).mapInArrow(
-        run, (schema + ", " if schema else "") + "n_symbols long, nll double")
+        run, (schema + ", " if schema else "") + "__n_symbols long, __nll double")
 
 
 def perplexity(average, prior: int = PRIOR_SYMBOLS):
     """Column: perplexity a symbol, with ``prior`` symbols of average text added."""
-    return F.exp((F.col("nll") + F.lit(prior) * average) / (F.col("n_symbols") + F.lit(prior)))
+    return F.exp((F.col("__nll") + F.lit(prior) * average) / (F.col("__n_symbols") + F.lit(prior)))
 
 
-def thresholds(trusted: DataFrame, model: Model, lang_col: str = "lang", text_col: str = "text",
+def thresholds(trusted: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text",
                quantile: float = QUANTILE, slack: float = SLACK) -> tuple[DataFrame, float, float]:
-    """lang, threshold: by language; the threshold of all languages; average nats a symbol."""
-    scored = materialise(score(trusted, model, [F.col(lang_col).cast("string").alias("lang")], text_col), "trusted-scores")
-    sums = scored.agg(F.sum("nll"), F.sum("n_symbols")).first()
+    """lang, threshold: by language; the threshold of all languages; average nats a symbol.
+
+    A document that the model was trained on looks better than an unseen one; so a model
+    of the other documents scores those held out.
+    """
+    held = F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.lit(11)), F.lit(HELD_OUT)) == 0
+    model, some = train(trusted.where(~held), text_col), trusted.where(held)
+    scored = materialise(score(some, model, [F.col(lang_col).cast("string").alias("lang")], text_col), "held-out-scores")
+    sums = scored.agg(F.sum("__nll"), F.sum("__n_symbols")).first()
     average = float(sums[0] / sums[1]) if sums[1] else float(np.log(SYMBOLS))
     ppl = scored.select("lang", perplexity(F.lit(average)).alias("ppl"))
-    limit = (F.percentile_approx("ppl", quantile, 10_000) * slack).alias("threshold")
+    limit = F.percentile_approx("ppl", quantile, 10_000) * slack
     overall = ppl.agg(limit).first()[0]
-    return ppl.groupBy("lang").agg(limit), float("inf") if overall is None else overall, average
+    overall = float("inf") if overall is None else overall
+    own = ppl.groupBy("lang").agg(limit.alias("own"), F.count("*").alias("n"))
+    few = F.greatest("own", F.lit(overall))
+    return own.select("lang", F.when(F.col("n") < OWN_DOCUMENTS, few).otherwise(F.col("own")).alias("threshold")), overall, average
 
 
 def classify(docs: DataFrame, labels: DataFrame, columns: list | None = None, id_col: str = "doc_id",
@@ -221,12 +233,12 @@ def classify(docs: DataFrame, labels: DataFrame, columns: list | None = None, id
     """``columns`` of docs (all by default) with __perplexity, __threshold and __keep.
 
     Null text is empty; an empty text says nothing and is kept.  A language without trusted
-    documents (or null) takes the threshold of all; without any trusted text everything is
-    kept.  Repeated rows get the same answer; ties with the threshold are kept.
+    documents (or null) takes the threshold of all; without any trusted text held out
+    everything is kept.  Repeated rows get the same answer; ties with the threshold are kept.
     """
     trusted = trusted_documents(docs, labels, id_col, good)
     model = train(trusted, text_col)
-    limits, overall, average = thresholds(trusted, model, lang_col, text_col, quantile, slack)
+    limits, overall, average = thresholds(trusted, id_col, lang_col, text_col, quantile, slack)
     columns = docs.columns if columns is None else columns
     scored = score(docs, model, [*(F.col(c) for c in columns), F.col(lang_col).cast("string").alias("__lang")], text_col)
     limits = small_side(limits.select(F.col("lang").alias("__of"), F.col("threshold").alias("__own")))

@@ -161,7 +161,7 @@ def substring_dedup(docs: DataFrame, columns: list[str] | None = None, id_col: s
     columns = docs.columns if columns is None else columns
     gone = repeated_runs(docs, id_col, text_col, run, many, least).select(
         F.col("doc").alias("__doc"), F.col("everywhere").alias("__everywhere"), F.col("later").alias("__later"))
-    rows = docs.withColumn("__key", doc_key(id_col, text_col)).join(gone, F.col("__key") == F.col("__doc"), "left") \
+    rows = docs.join(gone, doc_key(id_col, text_col) == F.col("__doc"), "left") \
         .select(text_of(text_col).alias("__body"), "__everywhere", "__later", *columns)
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
     names = [*columns, "__text", "__sentences", "__removed", "__spans"]

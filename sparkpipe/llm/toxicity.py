@@ -23,10 +23,10 @@ from .common import text_of, worker_memo
 #: Buckets of the hashed words; fixes the size of the models.
 BUCKETS = 1 << 20
 #: Labelled documents that the models are fitted on, at most, half of them of either class.
-TRAIN_ROWS = 6000
+TRAIN_ROWS = 12_000
 FOLDS = 3
 #: A document is toxic from this probability on.
-THRESHOLD = 0.5
+THRESHOLD = 0.35
 MEMO = 500_000
 _WORD = re.compile(r"\w+")
 
@@ -175,8 +175,7 @@ def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str =
 
     Null text is empty and gets the models' base rates; repeated rows get the same answer;
     other columns play no part; an empty table gives an empty result.  A probability at the
-    threshold counts as toxic.  Without labels every probability is one half and nothing is
-    toxic.
+    threshold counts as toxic.  Without labels every probability is one half and nothing is toxic.
     """
     last, names = chain.categories[-1], [f"p_{c}" for c in chain.categories]
 
