@@ -48,7 +48,7 @@ def classes(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     ``keys`` holds the line's probe hashes and ``name`` what pairs know of it; the text
     itself does not travel.
     """
-    keys = F.array(*(k for k, _ in probe_keys(edits)))
+    keys = F.array(*(k for k, _, _ in probe_keys(edits)))
     return lines.where(F.trim("line", F.lit(BLANKS)) != "").withColumn("chars", F.char_length("line")) \
         .select(*_keys(), F.struct("doc", "line_no").alias("place"), "chars", _name().alias("name"), keys.alias("keys")) \
         .groupBy("k1", "k2").agg(F.min("place").alias("first"), F.count("*").alias("copies"), F.first("chars").alias("chars"),
@@ -56,22 +56,21 @@ def classes(lines: DataFrame, edits: int = EDITS) -> DataFrame:
 
 
 def _name() -> Column:
-    """16 bits of the line's hash, then how often it holds each of twelve letters, modulo 16.
+    """The line's hash, its last bits replaced by counts of some letters modulo 4.
 
-    Lines that differ in one of these bits are different; an edit changes at most two of
-    the counts by one.
+    Lines of different names are different; an edit changes at most two of the counts by one.
     """
-    counts = [(F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(c)))) % 16 for c in LETTERS]
-    packed = reduce(lambda a, b: a * 16 + b, counts[1:], counts[0].cast("long"))
-    return F.shiftleft(F.xxhash64("line"), 4 * len(LETTERS)).bitwiseOR(packed)
+    counts = [(F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(c)))) % 4 for c in LETTERS]
+    packed = reduce(lambda a, b: a * 4 + b, counts[1:], counts[0].cast("long"))
+    return F.shiftleft(F.xxhash64("line"), 2 * len(LETTERS)).bitwiseOR(packed)
 
 
 def _may_be_near(x: str, y: str, edits: int) -> Column:
     """No pair within ``edits`` fails this: the letter counts of two names differ by 2 * edits at most."""
     def gap(i):
-        a, b = (F.shiftright(F.col(c), 4 * i).bitwiseAND(F.lit(15)) for c in (x, y))
+        a, b = (F.shiftright(F.col(c), 2 * i).bitwiseAND(F.lit(3)) for c in (x, y))
         d = F.abs(a - b)
-        return F.least(d, 16 - d)
+        return F.least(d, 4 - d)
     return reduce(lambda a, b: a + b, map(gap, range(len(LETTERS)))) <= 2 * edits
 
 
@@ -86,10 +85,10 @@ def _hash(length: Column, i: int, start: Column, size: Column) -> Column:
     return F.xxhash64(length, F.lit(i), F.substring(F.col("line"), start, size))
 
 
-def probe_keys(edits: int) -> list[tuple[Column, bool]]:
+def probe_keys(edits: int) -> list[tuple[Column, bool, int]]:
     """Hashes of the substrings that may equal a segment of a line up to ``edits`` shorter.
 
-    True marks the line's own segments, which the index holds.
+    Each with: is it one of the line's own segments (which the index holds), how much shorter.
     """
     out = []
     for delta in range(edits + 1):
@@ -98,7 +97,7 @@ def probe_keys(edits: int) -> list[tuple[Column, bool]]:
             start, size = _segment(n, i, edits + 1)
             left, right = i, edits - i
             for shift in range(max(-left, delta - right), min(left, delta + right) + 1):
-                out.append((_hash(n, i, start + shift, size), delta == shift == 0))
+                out.append((_hash(n, i, start + shift, size), delta == shift == 0, delta))
     return out
 
 
@@ -109,14 +108,18 @@ def links(distinct: DataFrame, lines: DataFrame, edits: int = EDITS, least: int
     line and of the one near it.  Only the lines of a pair that meets in the index are read
     out of the texts again.
     """
-    own = [i for i, (_, mine) in enumerate(probe_keys(edits)) if mine]
+    kinds = probe_keys(edits)
+    own = [i for i, (_, mine, _) in enumerate(kinds) if mine]
+    level = sum(delta == 0 for _, _, delta in kinds)  # keys for lines of the same length come first
     keyed = distinct.where(F.col("chars") >= least)
     index = keyed.select(F.col("name").alias("short"), F.explode(F.array(*(F.get("keys", F.lit(i)) for i in own))).alias("h"))
-    probe = keyed.select(F.col("name").alias("long"), F.explode("keys").alias("h"))
+    probe = keyed.select(F.col("name").alias("long"), F.posexplode("keys").alias("i", "h"))
     # different lines of one name, of which the join below would know nothing
     alike = keyed.groupBy("name").agg(F.min("k2").alias("p"), F.max("k2").alias("q"), F.min("k1").alias("r"), F.max("k1").alias("s")) \
         .where("p != q or r != s").select(F.col("name").alias("x"), F.col("name").alias("y"))
-    met = materialise(index.join(probe, "h").where((F.col("short") != F.col("long")) & _may_be_near("short", "long", edits)).select(
+    # of two lines of the same length, which would find each other, one probes
+    turn = (F.col("short") < F.col("long")) | ((F.col("i") >= level) & (F.col("short") != F.col("long")))
+    met = materialise(index.join(probe, "h").where(turn & _may_be_near("short", "long", edits)).select(
         F.least("short", "long").alias("x"), F.greatest("short", "long").alias("y")).distinct().unionByName(alike), "line-pairs")
     names = met.select(F.col("x").alias("name")).union(met.select(F.col("y").alias("name"))).distinct()
     wanted = materialise(distinct.select("name", "k1", "k2", "first").join(names, "name"), "paired-lines")
@@ -173,7 +176,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                               F.max("word").alias("last")) \
         .select("__doc", F.transform(F.sequence(F.lit(0), F.col("last").cast("int")),
                                      lambda w: F.coalesce(F.element_at("words", w.cast("long")), F.lit(0))).alias("__gone"))
-    rows = docs.withColumn("__key", doc_key(id_col, text_col)).join(masks, F.col("__key") == F.col("__doc"), "left")
+    rows = docs.join(masks, doc_key(id_col, text_col) == F.col("__doc"), "left")
 
     def stays(_, i):
         bits = F.get(F.col("__gone"), F.floor(i / 64).cast("int"))
