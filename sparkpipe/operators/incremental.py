@@ -9,9 +9,10 @@ Every strategy touches only the partitions it must:
   same job reads it, and a lost executor only re-runs its own tasks;
 * partitions of an interval that end up empty are dropped as folders.
 
-The partition column must be a function of the merge key (e.g. the day of a pickup
-time inside the key); then the target rows a batch can match all lie in the batch's
-partitions.
+A key may move to another partition: the merges look for the batch's keys in the whole
+target (key and partition column only) and rewrite the partitions they find.  Where the
+partition column is a function of the key (e.g. the day of a pickup time inside the key),
+``keys_move=False`` leaves it at the batch's own partitions.  NULL is a partition like any other.
 """
 
 from __future__ import annotations
@@ -54,14 +55,37 @@ def _once(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _partition_range(source: DataFrame, partition_col: str):
-    row = source.agg(F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi")).first()
-    return row["lo"], row["hi"]
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
-def _target_slice(spark: SparkSession, target_path: str, partition_col: str, lo, hi) -> DataFrame:
-    tgt = spark.read.parquet(target_path)
-    return tgt.filter(F.col(partition_col).between(F.lit(lo), F.lit(hi)))
+def _values(*frames: DataFrame) -> list:
+    """Different partition values of the frames: folder names, not rows, so they fit the driver."""
+    out = set()
+    for df in frames:
+        out.update(r[0] for r in df.distinct().collect())
+    return sorted(out, key=lambda v: (v is None, str(v)))
+
+
+def _in_partitions(partition_col: str, values: Sequence[object]):
+    """Partition filter that prunes folders; covers NULL."""
+    known = [v for v in values if v is not None]
+    cond = F.col(partition_col).isin(known) if known else F.lit(False)
+    return cond | F.col(partition_col).isNull() if len(known) < len(values) else cond
+
+
+def _touched(tgt: DataFrame, source: DataFrame, key: Sequence[str], partition_col: str, keys_move: bool) -> list:
+    """Partitions of the batch and, if keys can move, of the target rows with its keys."""
+    own = source.select(partition_col)
+    if not keys_move:
+        return _values(own)
+    hit = tgt.select(*dict.fromkeys([*key, partition_col])).join(source.select(*key).distinct(), list(key), "left_semi")
+    return _values(own, hit.select(partition_col))
+
+
+def _read_target(spark: SparkSession, target_path: str, source: DataFrame, partition_col: str) -> DataFrame:
+    """The target, its partition column in the batch's type (folder names are only guessed at)."""
+    kind = source.schema[partition_col].dataType
+    return spark.read.parquet(target_path).withColumn(partition_col, F.col(partition_col).cast(kind))
 
 
 def _swap_partitions(spark: SparkSession, rows: DataFrame, target_path: str, partition_col: str,
@@ -75,77 +99,65 @@ def _swap_partitions(spark: SparkSession, rows: DataFrame, target_path: str, par
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy(partition_col).parquet(target_path))
     if touched is not None:
-        empty = [str(v) for v in touched if str(v) not in present]
+        names = (NULL_PARTITION if v is None else str(v) for v in touched)
+        empty = [v for v in names if v not in present]
         drop_partitions(spark, target_path, partition_col, empty)
     delete_path(spark, stage)
 
 
 def merge_insert_only(spark: SparkSession, source: DataFrame, target_path: str, key: Sequence[str],
-                      partition_col: str | None = None) -> None:
+                      partition_col: str | None = None, keys_move: bool = True) -> None:
     """Insert-only MERGE (M04, J04): rows whose key is absent from the target are appended.
 
     Duplicates inside one batch are kept (D2); dedup the source first if unwanted.
     """
     key = list(key)
-    if not path_exists(spark, target_path):
+    source = _once(source)
+    if source.isEmpty():
+        return
+    if not path_exists(spark, target_path) or partition_col and not list_partition_values(spark, target_path, partition_col):
         append(source, target_path, partition_col)
         return
-    if partition_col:
-        lo, hi = _partition_range(source, partition_col)
-        if lo is None:
-            return
-        tgt = _target_slice(spark, target_path, partition_col, lo, hi)
-    else:
-        tgt = spark.read.parquet(target_path)
+    tgt = spark.read.parquet(target_path)
+    if partition_col and not keys_move:
+        tgt = _read_target(spark, target_path, source, partition_col) \
+            .filter(_in_partitions(partition_col, _values(source.select(partition_col))))
     new = source.join(tgt.select(*key), key, "left_anti")
     append(new, target_path, partition_col)
 
 
 def merge_upsert(spark: SparkSession, source: DataFrame, target_path: str, key: Sequence[str],
-                 partition_col: str, order: Sequence[str] | None = None) -> None:
+                 partition_col: str, order: Sequence[str] | None = None, keys_move: bool = True) -> None:
     """``merge`` upsert (M05, K14): matched keys take the source row, the rest are inserted.
 
-    With ``order`` the source is first reduced to its latest row per key.
+    With ``order`` the source is first reduced to its latest row per key; without it a key
+    that occurs twice in the source is an error.
     """
     key = list(key)
     src = _once(latest_per_key(source, key, order) if order else source)
-    if not path_exists(spark, target_path):
-        append(src, target_path, partition_col)
-        return
-    lo, hi = _partition_range(src, partition_col)
-    if lo is None:
-        return
-    parts = src.select(partition_col).distinct()
-    tgt = _target_slice(spark, target_path, partition_col, lo, hi).join(parts, partition_col, "left_semi")
-    kept = tgt.join(src.select(*key), key, "left_anti")
-    _swap_partitions(spark, kept.unionByName(src), target_path, partition_col)
+    if not order and not src.groupBy(*key).count().where("count > 1").isEmpty():
+        raise ValueError(f"the batch has a key {key} twice; give an order")
+    _replace(spark, src, target_path, key, partition_col, keys_move)
 
 
 def delete_insert(spark: SparkSession, source: DataFrame, target_path: str, key: Sequence[str],
-                  partition_col: str) -> None:
+                  partition_col: str, keys_move: bool = True) -> None:
     """``delete+insert`` (M06): every target row whose (non-unique) key occurs in the source
     is deleted, then all source rows are inserted."""
-    key = list(key)
-    source = _once(source)
-    if not path_exists(spark, target_path):
-        append(source, target_path, partition_col)
-        return
-    lo, hi = _partition_range(source, partition_col)
-    if lo is None:
-        return
-    parts = source.select(partition_col).distinct()
-    tgt = _target_slice(spark, target_path, partition_col, lo, hi).join(parts, partition_col, "left_semi")
-    kept = tgt.join(source.select(*key).distinct(), key, "left_anti")
-    _swap_partitions(spark, kept.unionByName(source), target_path, partition_col)
+    _replace(spark, _once(source), target_path, list(key), partition_col, keys_move)
 
 
-def _days(start: dt.datetime, end: dt.datetime) -> list[dt.date]:
-    last = (end - dt.timedelta(microseconds=1)).date()
-    d, out = start.date(), []
-    while d <= last:
-        out.append(d)
-        d += dt.timedelta(days=1)
-    return out
+def _replace(spark: SparkSession, src: DataFrame, target_path: str, key: list[str], partition_col: str,
+             keys_move: bool) -> None:
+    if src.isEmpty():
+        return
+    if not list_partition_values(spark, target_path, partition_col):
+        append(src, target_path, partition_col)
+        return
+    tgt = _read_target(spark, target_path, src, partition_col)
+    touched = _touched(tgt, src, key, partition_col, keys_move)
+    kept = tgt.filter(_in_partitions(partition_col, touched)).join(src.select(*key).distinct(), key, "left_anti")
+    _swap_partitions(spark, kept.unionByName(src), target_path, partition_col, touched=touched)
 
 
 def _as_datetime(v) -> dt.datetime:
@@ -160,27 +172,27 @@ def time_interval_refresh(spark: SparkSession, new_rows: DataFrame, target_path:
                           start, end, partition_col: str, granularity: str = "timestamp") -> None:
     """``time_interval`` (M02): replace rows with ``start <= ts < end`` by the recomputed ones.
 
-    The touched day partitions are rewritten as (their rows outside the interval) ∪ (new
-    rows inside it): edge days keep what lies outside the interval, days left with no
-    rows are dropped.  With ``granularity='date'`` the bounds are whole days.
+    The touched partitions, whatever their grain, are those of the new rows and of the target's
+    rows inside the interval.  They are rewritten as (their rows outside the interval, or
+    without a time) ∪ (new rows inside it); partitions left with no rows are dropped.  With
+    ``granularity='date'`` the bounds are whole days.
     """
     s, e = _as_datetime(start), _as_datetime(end)
     if granularity == "date":
         s = dt.datetime(s.year, s.month, s.day)
         e = dt.datetime(e.year, e.month, e.day)
-    days = _days(s, e)
-    if not days:
+    if s >= e:
         return
     ts_type = new_rows.schema[ts_col].dataType
     inside = (F.col(ts_col) >= F.lit(s).cast(ts_type)) & (F.col(ts_col) < F.lit(e).cast(ts_type))
-    new = new_rows.filter(inside)
-    if path_exists(spark, target_path):
-        tgt = _target_slice(spark, target_path, partition_col, days[0], days[-1])
-        kept = tgt.filter(~inside)
-        rows = kept.unionByName(new.select(*tgt.columns))
-    else:
-        rows = new
-    _swap_partitions(spark, rows, target_path, partition_col, touched=days)
+    new = _once(new_rows.filter(inside))
+    if not path_exists(spark, target_path):
+        _swap_partitions(spark, new, target_path, partition_col)
+        return
+    tgt = _read_target(spark, target_path, new, partition_col)
+    touched = _values(new.select(partition_col), tgt.filter(inside).select(partition_col))
+    kept = tgt.filter(_in_partitions(partition_col, touched)).filter(~F.coalesce(inside, F.lit(False)))
+    _swap_partitions(spark, kept.unionByName(new.select(*tgt.columns)), target_path, partition_col, touched=touched)
 
 
 # -------------------------------------------------------------- month planning
@@ -224,13 +236,15 @@ def backfill(start: dt.date, end: dt.date, chunk_months: int, job: Callable[[dt.
              cap: dt.date | None = None, dry_run: bool = False) -> list[tuple[dt.date, dt.date, bool]]:
     """Run ``job(chunk_start, chunk_end, full_refresh)`` per chunk of at most ``chunk_months``.
 
-    Start is floored to its month, the inclusive end becomes exclusive, the end is capped;
-    each chunk is one distributed Spark job.  ``dry_run`` only returns the chunks.
+    Start is floored to its month, the inclusive end becomes exclusive, the inclusive cap
+    bounds it; each chunk is one distributed Spark job.  ``dry_run`` only returns the chunks.
     """
     s = dt.date(start.year, start.month, 1)
-    e = end + dt.timedelta(days=1)
-    if cap and e > cap:
-        e = cap
+    if chunk_months < 1:
+        raise ValueError("chunk_months must be 1 or more")
+    if end < start:
+        raise ValueError("the end lies before the start")
+    e = (min(end, cap) if cap else end) + dt.timedelta(days=1)
     chunks = []
     cur = s
     while cur < e:

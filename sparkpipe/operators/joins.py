@@ -7,8 +7,8 @@ A side is broadcast only when its size is proven small:
    (a filter keeps the child's size, a join is bounded by the product), so a small
    estimate is a proof and costs no job.  Plans that can grow rows (``explode``) are
    not trusted.
-2. Otherwise a bounded count: read at most ``max_rows + 1`` rows (``limit`` stops the
-   scan early), so the check never grows with the data.
+2. Otherwise a bounded measurement: read at most ``max_rows + 1`` rows (``limit`` stops the
+   scan early) and add up their bytes, so the check never grows with the data.
 
 Beyond the bound the join is left to the planner (sort-merge / shuffle-hash, with AQE
 free to convert at runtime from real sizes).
@@ -18,10 +18,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A lookup larger than this is not treated as a dimension.
 DEFAULT_BROADCAST_ROWS = 100_000
 DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
+# A column file may be so many times smaller than its rows in memory.
+DECOMPRESSION = 8
 _ROW_GROWING = ("Generate", "Expand")
 
 
@@ -36,16 +39,29 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """True when ``df`` is proven small: by the size estimate, else by a bounded count."""
+    """True when ``df`` is proven small in bytes.
+
+    A trusted estimate must stay below ``max_bytes`` with a margin for compressed files.
+    Otherwise at most ``max_rows + 1`` rows are measured: there must be no more than
+    ``max_rows`` and they must take no more than ``max_bytes``.
+    """
     est = estimated_bytes(df)
-    if est is not None and est <= max_bytes:
+    if est is not None and est * DECOMPRESSION <= max_bytes:
         return True
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def small_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    head = df.limit(max_rows + 1)
+    fixed = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType))]
+    rest = [c for c in df.columns if c not in fixed]
+    width = F.lit(16 * len(fixed))
+    if rest:
+        width = width + F.coalesce(F.octet_length(F.to_json(F.struct(*(F.col(f"`{c}`") for c in rest)))), F.lit(0))
+    rows, size = head.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
+
+
+def small_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+               max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Mark ``df`` for broadcast if the check passes, else return it as is."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",

@@ -65,12 +65,13 @@ def orders_multi_file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     skipped and reported (S11 S12 S19 P02 P03 U03)."""
     o = read_table(spark, sf_dir, "orders")
     root = scratch_path(spark, "orders_by_status")
-    o.write.partitionBy("o_orderstatus").parquet(root)
+    file = F.when(F.col("o_orderstatus").isin("F", "O"), F.col("o_orderstatus")).otherwise("P")  # every row has one
+    o.withColumn("file", file).write.partitionBy("file").parquet(root)
     rename = {"o_orderkey": "order_id", "o_custkey": "customer_id", "o_totalprice": "amount",
               "o_orderdate": "order_ts"}
     frames = []
     for status, service in (("F", "Yellow"), ("O", "Green"), ("P", "FHV"), ("X", "Missing")):
-        df, report = load_many(spark, [f"{root}/o_orderstatus={status}"], list(rename.values()),
+        df, report = load_many(spark, [f"{root}/file={status}"], list(rename.values()),
                                rename=rename, constants={"service_type": service}, schema=ORDER_SCHEMA)
         if report.loaded:
             frames.append(df)
@@ -99,15 +100,29 @@ def _stats_pair(files: DataFrame, rows: DataFrame) -> DataFrame:
 
 def chunked_load_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunked load (K07, K10, K12): the first chunk replaces the target, later chunks append.
-    Chunks are the three order statuses; each is one distributed write."""
+    Chunks are the remainders of the order key, which every row has (null counts as 0);
+    each is one distributed write."""
     o = read_table(spark, sf_dir, "orders")
     path = scratch_path(spark, "orders_chunks")
     o.limit(1).write.parquet(path)          # an old target the first chunk must replace
-    batches = (o.filter(F.col("o_orderstatus") == s) for s in ("F", "O", "P"))
+    chunk = F.coalesce(F.pmod("o_orderkey", F.lit(3)), F.lit(0))
+    batches = (o.filter(chunk == n) for n in range(3))
     load_batches(batches, path)
     return spark.read.parquet(path)
 
 
+def load_if_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load disposition (K10): a target with rows is left alone, an empty one is made anew."""
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    filled, empty = scratch_path(spark, "filled"), scratch_path(spark, "empty")
+    c.filter(F.col("c_custkey") % 2 == 0).write.parquet(filled)
+    c.filter("false").write.parquet(empty)
+    sizes = [load_batches([c], path, skip_if_rows=spark) for path in (filled, empty)]
+    out = [spark.read.parquet(path).select("c_custkey", "c_mktsegment", F.lit(n).alias("batches"))
+           for path, n in zip((filled, empty), sizes, strict=True)]
+    return out[0].unionByName(out[1])
+
+
 def tick_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean ticks exported as JSON under kind/yyyy/MM/dd (K15, F18), read back."""
     kept, _, _ = clean_ticks(B.tick_messages(spark, sf_dir))
@@ -127,4 +142,5 @@ QUERIES = {
     "repartition_copy_stats": repartition_copy_stats,
     "chunked_load_orders": chunked_load_orders,
     "tick_lake": tick_lake,
+    "load_if_empty": load_if_empty,
 }

@@ -242,7 +242,7 @@ _OC = ", ".join(_ORDER_COLS)
 
 HASHED = f"""h AS (SELECT {_OC}, {_hash_sql(_ORDER_COLS, _TEXT)} AS unique_row_id FROM orders),
 tgt AS (SELECT * FROM h WHERE o_orderdate < TIMESTAMP '2000-01-01'),
-src AS (SELECT * FROM h WHERE o_orderdate >= TIMESTAMP '1999-07-01' AND o_orderdate < TIMESTAMP '2000-07-01')"""
+src AS (SELECT * FROM h WHERE o_orderdate >= TIMESTAMP '1999-07-01')"""
 
 _CORRECTED = f"o_orderkey, o_custkey, 'F' AS o_orderstatus, {rnd('o_totalprice * 1.01', 2)} AS o_totalprice, o_orderdate, o_orderpriority"
 
@@ -524,3 +524,16 @@ SELECT check_name, column_name, CAST(failures AS BIGINT) AS failures, failures =
   UNION ALL SELECT 'primary_key', 'trip_date,taxi_type,payment_type', count(*) FROM
       (SELECT trip_date, taxi_type, payment_type FROM report GROUP BY ALL HAVING count(*) > 1))"""
 ORACLE["metadata_count"] = "SELECT count(*) AS row_count FROM lineitem"
+
+
+ORACLE["interval_refresh_monthly"] = ORACLE["time_interval_refresh"]
+_ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
+ORACLE["merge_upsert_moved_keys"] = f"""
+SELECT {_ORDERS.replace("o_orderdate", "CASE WHEN o_orderdate >= TIMESTAMP '1999-07-01' THEN o_orderdate + INTERVAL 31 DAY ELSE o_orderdate END AS o_orderdate")}
+FROM orders"""
+ORACLE["merge_null_partition"] = f"""
+SELECT {_ORDERS.replace("o_orderstatus", "CASE WHEN o_orderkey % 2 = 0 THEN 'F' ELSE o_orderstatus END AS o_orderstatus").replace("o_totalprice", "CASE WHEN o_orderkey % 2 = 0 THEN " + rnd("o_totalprice * 1.01", 2) + " ELSE o_totalprice END AS o_totalprice")}
+FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 2 = 0"""
+ORACLE["load_if_empty"] = """
+SELECT c_custkey, c_mktsegment, 0 AS batches FROM customer WHERE c_custkey % 2 = 0
+UNION ALL SELECT c_custkey, c_mktsegment, 1 FROM customer"""

@@ -24,7 +24,7 @@ ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_ord
 HASH_COLS = ORDER_COLS                      # F01: with the amount
 SHORT_HASH_COLS = ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"]   # F02: without it
 TARGET_UNTIL = "2000-01-01"                 # target history: orders before this day
-BATCH_FROM, BATCH_UNTIL = "1999-07-01", "2000-07-01"   # the batch overlaps the history by half a year
+BATCH_FROM = "1999-07-01"   # the batch overlaps the history by half a year and runs to the end of the data
 INTERVAL_START, INTERVAL_END = "2024-01-10 12:00:00", "2024-01-13 06:00:00"   # mid-day bounds (M02)
 PLAN_CAP, PLAN_MAX_MONTHS, CHUNK_MONTHS = "2001-06-01", 120, 3
 
@@ -52,7 +52,7 @@ def _in(c: str, lo: str, hi: str | None = None):
 def _history_and_batch(spark: SparkSession, sf_dir: str):
     h = hashed_orders(spark, sf_dir)
     target = h.filter(F.col("o_orderdate") < F.lit(TARGET_UNTIL).cast("timestamp_ntz"))
-    batch = h.filter(_in("o_orderdate", BATCH_FROM, BATCH_UNTIL))
+    batch = h.filter(_in("o_orderdate", BATCH_FROM))
     path = scratch_path(spark, "orders_target")
     inc.full_refresh(target, path, "order_month")
     return path, batch
@@ -65,7 +65,7 @@ def _read_back(spark: SparkSession, path: str, cols) -> DataFrame:
 def merge_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stage -> hash -> insert-only merge (M04, M07): only unseen row hashes are appended."""
     path, batch = _history_and_batch(spark, sf_dir)
-    inc.merge_insert_only(spark, batch, path, ["unique_row_id"], "order_month")
+    inc.merge_insert_only(spark, batch, path, ["unique_row_id"], "order_month", keys_move=False)
     return _read_back(spark, path, ORDER_COLS + ["unique_row_id"])
 
 
@@ -85,6 +85,35 @@ def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_back(spark, path, ORDER_COLS)
 
 
+def merge_upsert_moved_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upsert of orders whose day moved by 31 days, so they leave their month's partition."""
+    h = hashed_orders(spark, sf_dir).select(*ORDER_COLS, "order_month")
+    path = scratch_path(spark, "orders_moved")
+    inc.full_refresh(h, path, "order_month")
+    moved = (h.filter(_in("o_orderdate", BATCH_FROM))
+              .withColumn("o_orderdate", F.col("o_orderdate") + F.expr("INTERVAL 31 DAYS"))
+              .withColumn("order_month", F.trunc(F.to_date("o_orderdate"), "month")))
+    inc.merge_upsert(spark, moved, path, ["o_orderkey"], "order_month", order=["o_orderdate", "o_totalprice"])
+    return _read_back(spark, path, ORDER_COLS)
+
+
+def merge_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upsert where a seventh of the orders has no partition value: none of them gets lost."""
+    h = hashed_orders(spark, sf_dir).select(*ORDER_COLS, "order_month")
+    month = F.when(F.col("o_orderkey") % 7 != 0, F.col("order_month"))
+    h = h.withColumn("order_month", month)
+    path = scratch_path(spark, "orders_null")
+    inc.full_refresh(h.filter(F.col("o_orderkey") % 3 != 0), path, "order_month")
+    inc.merge_upsert(spark, corrected_batch(h.filter(F.col("o_orderkey") % 2 == 0)), path, ["o_orderkey"], "order_month",
+                     order=["o_orderdate", "o_totalprice"])
+    return _read_back(spark, path, ORDER_COLS)
+
+
+def interval_refresh_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time-interval replace of three days in a target partitioned by month."""
+    return _interval_refresh(spark, sf_dir, F.trunc("pickup_datetime", "month"))
+
+
 def delete_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delete+insert by order day (M06): every target order on a batch day is replaced by
     the batch's orders of that day (here only the batch's 'O' orders, re-extracted)."""
@@ -97,12 +126,16 @@ def delete_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def time_interval_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Time-interval replace with mid-day bounds (M02): trips partitioned by pickup day,
     the interval recomputed with corrected fares; edge days keep rows outside it."""
-    trips = B.trips(spark, sf_dir).withColumn("pickup_date", F.to_date("pickup_datetime"))
+    return _interval_refresh(spark, sf_dir, F.to_date("pickup_datetime"))
+
+
+def _interval_refresh(spark: SparkSession, sf_dir: str, partition) -> DataFrame:
+    trips = B.trips(spark, sf_dir).withColumn("pickup_part", partition)
     path = scratch_path(spark, "trips_target")
-    inc.full_refresh(trips, path, "pickup_date")
+    inc.full_refresh(trips, path, "pickup_part")
     recomputed = trips.withColumn("fare_amount", round_half_up(F.col("fare_amount") * F.lit(1.08), 2))
     inc.time_interval_refresh(spark, recomputed, path, "pickup_datetime", INTERVAL_START, INTERVAL_END,
-                              "pickup_date", granularity="timestamp")
+                              "pickup_part", granularity="timestamp")
     return _read_back(spark, path, trips.columns[:-1])
 
 
@@ -177,6 +210,9 @@ QUERIES = {
     "row_hash": row_hash_query,
     "merge_insert_only": merge_insert_only,
     "merge_upsert": merge_upsert,
+    "merge_upsert_moved_keys": merge_upsert_moved_keys,
+    "merge_null_partition": merge_null_partition,
+    "interval_refresh_monthly": interval_refresh_monthly,
     "delete_insert": delete_insert,
     "time_interval_refresh": time_interval_refresh,
     "months_to_process": months_to_process,

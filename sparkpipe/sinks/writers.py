@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,8 +61,20 @@ def with_month(df: DataFrame, month: str, column: str = "month") -> DataFrame:
     return df.withColumn(column, F.lit(month))
 
 
-def load_batches(batches: Iterable[DataFrame], path: str, partition_by: Sequence[str] | None = None) -> int:
-    """First batch replaces, later batches append (K07, K10, K12). Returns batches written."""
+def load_batches(batches: Iterable[DataFrame], path: str, partition_by: Sequence[str] | None = None,
+                 skip_if_rows: SparkSession | None = None) -> int:
+    """First batch replaces, later batches append (K07, K12). Returns batches written.
+
+    With ``skip_if_rows`` (the session) a target that has rows is left as it is and nothing is
+    written; an empty or missing one is made anew (K10).
+    """
+    if skip_if_rows is not None and path_exists(skip_if_rows, path):
+        try:
+            if not skip_if_rows.read.parquet(path).isEmpty():
+                return 0
+        except AnalysisException as exc:  # a folder without any file is empty
+            if exc.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
     n = 0
     for i, b in enumerate(batches):
         write_parquet(b, path, mode="overwrite" if i == 0 else "append", partition_by=partition_by)

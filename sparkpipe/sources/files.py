@@ -11,6 +11,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -113,7 +114,7 @@ def load_many(spark: SparkSession, paths: Sequence[str], required: Sequence[str]
     """Multi-file load.
 
     Each readable file is projected to ``required`` (after ``rename``) and the pieces are
-    combined with ``unionByName`` into one plan.  A file that cannot be read, or lacks a
+    combined with ``unionByName`` into one plan.  A file that does not exist, or lacks a
     required column, is skipped and listed in the report (``strict`` raises instead).
     When nothing loads, the empty frame carries ``schema``.  Only file metadata is
     touched on the driver; no rows are read here.
@@ -133,9 +134,10 @@ def load_many(spark: SparkSession, paths: Sequence[str], required: Sequence[str]
                 df = df.withColumns({k: F.lit(v) for k, v in constants.items()})
             frames.append(df)
             report.loaded.append(p)
-        except Exception as exc:  # unreadable or incomplete file
-            if strict:
-                raise
+        except (AnalysisException, ValueError) as exc:
+            missing_file = isinstance(exc, AnalysisException) and exc.getCondition() == "PATH_NOT_FOUND"
+            if strict or not (missing_file or isinstance(exc, ValueError)):
+                raise  # a transient or unknown error must not drop a file
             log.warning("skipping %s: %s", p, exc)
             report.skipped.append((p, str(exc).splitlines()[0]))
     if not frames:

@@ -175,16 +175,19 @@ def to_jdbc(stream: DataFrame, url: str, table: str, checkpoint: str, properties
 
 def fan_out(stream: DataFrame, outputs: dict[str, str], checkpoint: str):
     """One stream to several stateless sinks in one query (K18): each micro-batch is
-    written to every output; the batch is cached once and released."""
+    written to every output; the batch is cached once and released.  A batch owns the folder
+    ``batch_id=n`` of each output, so a replayed batch replaces what it wrote before."""
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        for _, path in outputs.items():
-            batch.write.mode("append").parquet(path)
-        batch.unpersist()
+        try:
+            for path in outputs.values():
+                batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
     return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
 
 
-def run_to_completion(writer, timeout_s: int = 900):
+def run_to_completion(writer, timeout_s: int | None = None):
     """Drain the input and stop."""
     return drain(writer, timeout_s)
 
@@ -198,26 +201,29 @@ def console(stream: DataFrame, mode: str = "append"):
 def tick_fan_out(messages: DataFrame, lake_root: str, stale_path: str, rejects_path: str, checkpoint: str):
     """One message stream split into three outputs per micro-batch (K18, X13, K15):
     kept ticks to the JSON lake, stale ticks and rejected messages to side tables.
-    The parsed batch is cached once and released; each output is keyed by event id, so a
-    replayed batch rewrites the same rows."""
+    The batch is cached once and released; a batch owns the folder ``batch_id=n`` of each
+    output, so a replayed batch replaces what it wrote before."""
     from ..sinks.writers import write_json_lake
 
     def run(batch: DataFrame, batch_id: int) -> None:
         parsed = batch.persist()
         kept, stale, rejected = TK.clean_ticks(parsed)
-        write_json_lake(kept.select("event_id", "symbol", "ts", "price", "volume", "exchange", "bid", "ask"),
-                        lake_root, "ts", "ticks")
-        stale.write.mode("append").parquet(stale_path)
-        rejected.select("event_id", "key", "reject_reason").write.mode("append").parquet(rejects_path)
-        parsed.unpersist()
+        try:
+            write_json_lake(kept.select("event_id", "symbol", "ts", "price", "volume", "exchange", "bid", "ask"),
+                            lake_root, "ts", f"ticks/batch_id={batch_id}", mode="overwrite")
+            stale.write.mode("overwrite").parquet(f"{stale_path}/batch_id={batch_id}")
+            rejected.select("event_id", "key", "reject_reason") \
+                .write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
+        finally:
+            parsed.unpersist()
 
     return messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
 
 
-def run_tick_job(spark, source_folder: str, out_root: str, ckpt_root: str, timeout_s: int = 900) -> dict:
+def run_tick_job(spark, source_folder: str, out_root: str, ckpt_root: str, timeout_s: int | None = None) -> dict:
     """The composed tick job (X17): parse -> stale -> dedup -> normalise, then ticks to the
     lake, previous-tick anomalies and one-minute candles, as three queries over one source."""
-    from .sources import stream_source
+    from .sources import stream_source, wait_all
     paths = {k: f"{out_root}/{k}" for k in ("lake", "stale", "rejects", "anomalies", "candles")}
 
     def source():
@@ -230,8 +236,5 @@ def run_tick_job(spark, source_folder: str, out_root: str, ckpt_root: str, timeo
         to_files(candles(tick_stream(source())), paths["candles"], f"{ckpt_root}/candles"),
     ]
     queries = [w.trigger(availableNow=True).start() for w in writers]
-    for q in queries:
-        q.awaitTermination(timeout_s)
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+    wait_all(queries, timeout_s)
     return paths

@@ -69,22 +69,37 @@ def replay(df: DataFrame, folder: str, ts_col: str, slice_unit: str = "week", co
     return n
 
 
-def drain(query_writer, timeout_s: int = 600, state_partitions: int | None = None):
+def drain(query_writer, timeout_s: int | None = None, state_partitions: int | None = None):
     """Run a stream until its input is exhausted (S15: ``trigger(availableNow=True)``).
 
-    A new query fixes its number of state partitions at its first start; it is tied to
-    the cluster's parallelism (one state store per core) rather than the batch default.
-    A restarted query keeps the number recorded in its checkpoint.
+    Waits without limit unless ``timeout_s`` is given; a query that is not done by then is
+    stopped and ``TimeoutError`` raised, so no caller reads part of a result.  A new query
+    fixes its number of state partitions at its first start: ``state_partitions``, else the
+    session's ``spark.sql.shuffle.partitions``.  A restarted query keeps the number
+    recorded in its checkpoint.
     """
     spark = query_writer._spark
-    n = state_partitions or spark.sparkContext.defaultParallelism
     old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     try:
         q = query_writer.trigger(availableNow=True).start()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    wait_all([q], timeout_s)
     return q
+
+
+def wait_all(queries, timeout_s: int | None = None) -> None:
+    """Wait for every query; if one fails or is late, stop them all and raise."""
+    try:
+        for q in queries:
+            done = q.awaitTermination(timeout_s) if timeout_s is not None else q.awaitTermination() or True
+            if not done:
+                raise TimeoutError(f"stream {q.name or q.id} was not drained within {timeout_s} s")
+            if q.exception() is not None:
+                raise RuntimeError(str(q.exception()))
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()

@@ -66,3 +66,43 @@ def test_backfill_dry_run():
     assert chunks == [(dt.date(2024, 1, 1), dt.date(2024, 3, 1), True),
                       (dt.date(2024, 3, 1), dt.date(2024, 5, 1), False),
                       (dt.date(2024, 5, 1), dt.date(2024, 5, 11), False)]
+
+
+def test_backfill_guards_and_inclusive_cap():
+    with pytest.raises(ValueError):
+        inc.backfill(dt.date(2024, 1, 1), dt.date(2024, 2, 1), 0, lambda *a: None, dry_run=True)
+    with pytest.raises(ValueError):
+        inc.backfill(dt.date(2024, 2, 1), dt.date(2024, 1, 1), 1, lambda *a: None, dry_run=True)
+    assert inc.backfill(dt.date(2025, 11, 3), dt.date(2026, 5, 1), 3, lambda *a: None, cap=dt.date(2025, 11, 30),
+                        dry_run=True) == [(dt.date(2025, 11, 1), dt.date(2025, 12, 1), True)]
+
+
+@pytest.mark.parametrize("merge", [inc.merge_upsert, inc.delete_insert])
+def test_moved_keys_and_null_partitions(spark, merge):
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
+    path = scratch_path(spark, "moved")
+    schema = "k int, v string, d date"
+    inc.full_refresh(spark.createDataFrame([(1, "a", d1), (2, "b", None), (3, "c", None), (5, "e", d2)], schema), path, "d")
+    merge(spark, spark.createDataFrame([(1, "A", d2), (3, "C", d1), (4, "D", None)], schema), path, ["k"], "d")
+    got = {(r.k, r.v, r.d) for r in spark.read.parquet(path).collect()}
+    assert got == {(1, "A", d2), (2, "b", None), (3, "C", d1), (4, "D", None), (5, "e", d2)}
+
+
+def test_batch_of_null_partitions_is_inserted_and_double_keys_fail(spark):
+    path = scratch_path(spark, "nulls")
+    schema = "k int, v string, d date"
+    inc.full_refresh(spark.createDataFrame([(1, "a", dt.date(2024, 1, 1))], schema), path, "d")
+    inc.merge_insert_only(spark, spark.createDataFrame([(2, "b", None)], schema), path, ["k"], "d", keys_move=False)
+    assert _read(spark, path, ["k", "v"]) == [(1, "a"), (2, "b")]
+    with pytest.raises(ValueError):
+        inc.merge_upsert(spark, spark.createDataFrame([(7, "x", None), (7, "y", None)], schema), path, ["k"], "d")
+
+
+def test_interval_refresh_keeps_rows_of_a_monthly_target(spark):
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(days=i), 1.0) for i in range(30)] + [(99, None, 1.0)]
+    df = spark.createDataFrame(rows, "id int, ts timestamp_ntz, v double").withColumn("m", F.trunc("ts", "month"))
+    path = scratch_path(spark, "monthly")
+    inc.full_refresh(df, path, "m")
+    inc.time_interval_refresh(spark, df.withColumn("v", F.lit(2.0)), path, "ts", "2024-01-10", "2024-01-13", "m")
+    got = {r.id: r.v for r in spark.read.parquet(path).collect()}
+    assert got == {i: 2.0 if 9 <= i < 12 else 1.0 for i in [*range(30), 99]}

@@ -108,3 +108,15 @@ def test_latest_start_skips_older_rows(spark):
     out, ck = scratch_path(spark, "lt_out"), scratch_path(spark, "lt_ck")
     J.run_to_completion(J.to_files(J.pass_through(src), out, ck))
     assert [r.trip_id for r in spark.read.parquet(out).collect()] == [2]
+
+
+def test_late_drain_stops_and_raises(spark):
+    import pytest
+
+    from sparkpipe.streaming.sources import drain
+    slow = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 10).load()
+    writer = slow.writeStream.foreachBatch(lambda b, i: __import__("time").sleep(30)).option(
+        "checkpointLocation", scratch_path(spark, "late"))
+    with pytest.raises(TimeoutError):
+        drain(writer, timeout_s=1)
+    assert not spark.streams.active
