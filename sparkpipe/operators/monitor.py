@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import round_half_up
@@ -37,7 +37,9 @@ def error_increase(messages: DataFrame, failed: str, key: str = "symbol", ts: st
     """Failed count per key and period against the previous period with messages."""
     per = (messages.groupBy(key, F.date_trunc(unit, F.col(ts)).cast("timestamp_ntz").alias("period"))
                    .agg(F.count_if(F.col(failed)).alias("failed")))
-    with_prev = previous_row(per, [key], ["period"], ["failed"], bucket_unit="month")
+    # One row per key and period: the window's size follows the time span, not the messages.
+    w = Window.partitionBy(key).orderBy("period")
+    with_prev = per.withColumn("prev_failed", F.lag("failed").over(w))
     return with_prev.withColumn("increased", F.coalesce(F.col("failed") > F.col("prev_failed"), F.lit(False)))
 
 

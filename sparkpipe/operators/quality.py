@@ -112,21 +112,25 @@ def reconcile_counts(frames: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def file_stats(df: DataFrame) -> DataFrame:
-    """File count and average file size of a file-based frame (Q09), from ``_metadata``."""
-    files = df.select(F.col("_metadata.file_path").alias("file_path"),
-                      F.col("_metadata.file_size").alias("file_size")).distinct()
-    return files.agg(F.count(F.lit(1)).alias("num_files"),
-                     F.avg("file_size").alias("avg_file_size"),
-                     F.sum("file_size").alias("total_bytes"))
+def _listing(spark: SparkSession, path: str) -> DataFrame:
+    """One row per parquet file below ``path``: the folder listing, no content."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                 .option("recursiveFileLookup", True).load(path).select("path", "length"))
 
 
-def table_stats(df: DataFrame) -> DataFrame:
-    """Row count and bytes of a file-based table (Q08)."""
-    per_file = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
-    counts = per_file.groupBy("f", "s").agg(F.count(F.lit(1)).alias("rows"))
-    return counts.agg(F.sum("rows").alias("row_count"), F.sum("s").alias("size_bytes"),
-                      F.round(F.sum("s") / F.pow(F.lit(1024), 3), 2).alias("size_gb"))
+def file_stats(spark: SparkSession, path: str) -> DataFrame:
+    """File count and average file size of a parquet dataset (Q09), from its listing."""
+    return _listing(spark, path).agg(F.count(F.lit(1)).alias("num_files"),
+                                     F.avg("length").alias("avg_file_size"),
+                                     F.sum("length").alias("total_bytes"))
+
+
+def table_stats(spark: SparkSession, path: str) -> DataFrame:
+    """Row count (footers) and bytes (listing) of a parquet table."""
+    rows = metadata_row_count(spark, path)
+    size = _listing(rows.sparkSession, path).agg(F.sum("length").alias("size_bytes"))
+    return (rows.crossJoin(size)  # one row each
+                .withColumn("size_gb", F.round(F.col("size_bytes") / F.pow(F.lit(1024), 3), 2)))
 
 
 def schema_info(df: DataFrame) -> str:
@@ -137,23 +141,14 @@ def schema_info(df: DataFrame) -> str:
 FOOTER_COUNT_CONF = {"spark.sql.parquet.aggregatePushdown": "true", "spark.sql.sources.useV1SourceList": ""}
 
 
-def metadata_row_count(spark: SparkSession, path: str) -> tuple[int, str]:
-    """``COUNT(*)`` of a parquet dataset answered from file footers (§4, A01).
+def metadata_row_count(spark: SparkSession, path: str) -> DataFrame:
+    """``COUNT(*)`` of a parquet dataset answered from file footers (§4, A01): ``row_count``.
 
     The DataSource V2 parquet scan pushes the aggregate down (``PushedAggregation``), so
-    no column data is read.  The settings are applied only while this count runs.
-    Returns the count and the physical plan text.
+    no column data is read.  The frame is lazy and planned in a session of its own, so the
+    caller's settings stay as they are.
     """
-    old = {k: spark.conf.get(k, None) for k in FOOTER_COUNT_CONF}
-    try:
-        for k, v in FOOTER_COUNT_CONF.items():
-            spark.conf.set(k, v)
-        df = spark.read.parquet(path).groupBy().count()
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        return int(df.first()[0]), plan
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    own = spark.newSession()
+    for k, v in FOOTER_COUNT_CONF.items():
+        own.conf.set(k, v)
+    return own.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"))

@@ -2,21 +2,18 @@
 
 A plain ``Window.partitionBy(key).orderBy(ts)`` puts every row of a key in one task.
 With a handful of keys (six ticker symbols, 25 locations) one key can hold a third of
-100 TB.  These operators split each key by a time bucket and stitch the buckets back
-together exactly:
+100 TB.  These operators split each key by a time bucket, shuffle the rows once by
+``(key, bucket)`` and stitch the buckets back together exactly:
 
-* ``previous_row`` — ``lag`` inside ``(key, bucket)``; the first row of a bucket takes
-  the last row of the latest earlier non-empty bucket of the same key, found on a
-  boundary table with one row per ``(key, bucket)`` (its size follows the time span,
-  not the row count).
+* ``previous_row`` — every bucket gets one carry row, the last row of the latest earlier
+  non-empty bucket of the same key; one ``lag`` per bucket then sees it before the
+  bucket's first row.  The carry rows come from a map-side combined aggregate with one
+  row per ``(key, bucket)``: their number follows the time span, not the row count.
 * ``trailing_range_max`` — a ``RANGE`` window no longer than one bucket; rows near the
-  end of a bucket are copied into the next bucket as read-only context (a halo).
-* ``sessions`` — gaps-and-islands: a session starts where the gap to the previous row
-  exceeds the limit; session numbers are per-bucket running counts plus the number of
-  starts in earlier buckets (again from the boundary table).
-
-The join to the boundary table is on ``(key, bucket)`` — the same columns the window
-partitions by, so the window reuses the join's shuffle.
+  end of a bucket are also sent to the next bucket as read-only context (a halo).
+* ``session_windows`` — sessions are cut and reduced inside each bucket; only the first
+  and the last piece of a bucket can continue in a neighbour, so only those are stitched
+  per key.  All other pieces are final.
 """
 
 from __future__ import annotations
@@ -33,41 +30,28 @@ def _bucketed(df: DataFrame, ts: str, unit: str) -> DataFrame:
     return df.withColumn(BUCKET, F.date_trunc(unit, F.col(ts)).cast("timestamp_ntz"))
 
 
-def _join_boundary(rows: DataFrame, boundary: DataFrame, cols: Sequence[str], carried: str) -> DataFrame:
-    """Left join rows to the boundary table, null-safe on ``cols`` (NULL keys are a key)."""
-    left, right = rows.alias("l"), boundary.alias("r")
-    cond = None
-    for c in cols:
-        term = F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
-        cond = term if cond is None else cond & term
-    return left.join(right, cond, "left").select("l.*", F.col(f"r.{carried}").alias(carried))
-
-
 def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str],
-                 prefix: str = "prev_", bucket_unit: str = "hour") -> DataFrame:
+                 prefix: str = "prev_", bucket_unit: str = "minute") -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` on the previous row of the same key.
 
     ``order[0]`` must be the event time; the full ``order`` must be a total order
-    within a key (append a unique id).  The first row of a key gets NULLs.
+    within a key (append a unique id).  The first row of a key gets NULLs.  NULL keys are
+    one key; rows without an event time come first.
     """
     keys, order, columns = list(keys), list(order), list(columns)
-    ts = order[0]
-    b = _bucketed(df, ts, bucket_unit)
+    rows = _bucketed(df, order[0], bucket_unit)
     carried = list(dict.fromkeys(order + columns))
     last = F.max(F.struct(*[F.col(c) for c in carried]))
-    boundary = b.groupBy(*keys, BUCKET).agg(last.alias("_last"))
-    w_key = Window.partitionBy(*keys).orderBy(BUCKET)
-    boundary = boundary.select(*keys, BUCKET, F.lag("_last").over(w_key).alias("_carry"))
-
-    joined = _join_boundary(b, boundary, keys + [BUCKET], "_carry")
-
-    w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
-    first_in_bucket = F.row_number().over(w) == 1
-    out = joined.withColumns({
-        f"{prefix}{c}": F.when(first_in_bucket, F.col("_carry")[c]).otherwise(F.lag(c).over(w))
-        for c in columns
-    })
-    return out.drop("_carry", BUCKET)
+    by_key = Window.partitionBy(*keys).orderBy(BUCKET)
+    carry = (rows.groupBy(*keys, BUCKET).agg(last.alias("_last"))
+                 .withColumn("_last", F.lag("_last").over(by_key))
+                 .filter(F.col("_last").isNotNull())
+                 .select(*keys, BUCKET, *[F.col("_last")[c].alias(c) for c in carried if c not in keys],
+                         F.lit(True).alias("_carry")))
+    both = rows.withColumn("_carry", F.lit(False)).unionByName(carry, allowMissingColumns=True)
+    w = Window.partitionBy(*keys, BUCKET).orderBy(F.desc("_carry"), *order)
+    return (both.withColumns({f"{prefix}{c}": F.lag(c).over(w) for c in columns})
+                .filter(~F.col("_carry")).drop("_carry", BUCKET))
 
 
 def trailing_range_max(df: DataFrame, keys: Sequence[str], ts: str, value: str, seconds: int,
@@ -75,50 +59,54 @@ def trailing_range_max(df: DataFrame, keys: Sequence[str], ts: str, value: str,
     """``max(value)`` over rows of the same key with ``ts - seconds <= t <= ts``.
 
     Exact as long as ``seconds`` is at most one bucket.  Rows within ``seconds`` of the
-    next bucket are copied there as halo rows; halo rows are dropped after the window.
+    next bucket are also sent there as halo rows, which are dropped after the window.
     """
     unit_seconds = {"minute": 60, "hour": 3600, "day": 86400}[bucket_unit]
     if seconds > unit_seconds:
         raise ValueError("range longer than one bucket")
-    b = _bucketed(df, ts, bucket_unit).withColumn("_halo", F.lit(False))
-    next_bucket = F.timestamp_add("SECOND", F.lit(unit_seconds), F.col(BUCKET))
-    halo = (b.filter(F.col(ts) >= F.timestamp_add("SECOND", F.lit(-seconds), next_bucket))
-             .withColumn(BUCKET, next_bucket.cast("timestamp_ntz"))
-             .withColumn("_halo", F.lit(True)))
-    both = b.unionByName(halo)
+    own = F.date_trunc(bucket_unit, F.col(ts)).cast("timestamp_ntz")
+    following = F.timestamp_add("SECOND", F.lit(unit_seconds), own).cast("timestamp_ntz")
+    near_end = F.col(ts) >= F.timestamp_add("SECOND", F.lit(-seconds), following)
+    both = df.select("*", F.posexplode(F.when(near_end, F.array(own, following)).otherwise(F.array(own)))
+                     .alias("_halo", BUCKET))
     w = (Window.partitionBy(*keys, BUCKET)
          .orderBy(F.unix_micros(F.col(ts).cast("timestamp")))
          .rangeBetween(-seconds * 1_000_000, 0))
     return (both.withColumn(out, F.max(value).over(w))
-                .filter(~F.col("_halo"))
+                .filter(F.col("_halo") == 0)
                 .drop("_halo", BUCKET))
 
 
-def sessions(df: DataFrame, keys: Sequence[str], order: Sequence[str], gap_seconds: int,
-             bucket_unit: str = "hour") -> DataFrame:
-    """Tag rows with ``session_no`` per key; a new session starts when ``ts > prev + gap``."""
+def session_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str], gap_seconds: int,
+                    bucket_unit: str = "hour") -> DataFrame:
+    """One row per (key, session): start, end (= last event + gap) and row count.
+
+    A new session starts when ``ts > previous ts + gap``.  Two exchanges: the rows by
+    ``(key, bucket)``, then the reduced pieces by key and, for the pieces that cannot
+    continue in another bucket, by themselves.
+    """
     keys, order = list(keys), list(order)
     ts = order[0]
-    with_prev = previous_row(df, keys, order, [ts], prefix="_prev_", bucket_unit=bucket_unit)
-    start = (F.col(f"_prev_{ts}").isNull()
-             | (F.col(ts) > F.timestamp_add("SECOND", F.lit(gap_seconds), F.col(f"_prev_{ts}"))))
-    flagged = _bucketed(with_prev.withColumn("_start", start.cast("int")), ts, bucket_unit)
-    counts = flagged.groupBy(*keys, BUCKET).agg(F.sum("_start").alias("_n"))
-    w_key = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, BUCKET, F.coalesce(F.sum("_n").over(w_key), F.lit(0)).alias("_offset"))
-    joined = _join_boundary(flagged, offsets, keys + [BUCKET], "_offset")
-    w = Window.partitionBy(*keys, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (joined.withColumn("session_no", F.col("_offset") + F.sum("_start").over(w))
-                  .drop("_start", "_offset", f"_prev_{ts}", BUCKET))
 
+    def starts(at: str, previous: str):
+        new = F.col(at) > F.timestamp_add("SECOND", F.lit(gap_seconds), F.col(previous))
+        return (F.col(previous).isNull() | new).cast("int")
 
-def session_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str], gap_seconds: int,
-                    bucket_unit: str = "hour") -> DataFrame:
-    """One row per (key, session): start, end (= last event + gap) and row count."""
-    ts = order[0]
-    tagged = sessions(df, keys, order, gap_seconds, bucket_unit)
-    return (tagged.groupBy(*keys, "session_no")
-                  .agg(F.min(ts).alias("session_start"),
-                       F.timestamp_add("SECOND", F.lit(gap_seconds), F.max(ts)).alias("session_end"),
-                       F.count(F.lit(1)).alias("num_trips"))
-                  .drop("session_no"))
+    w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    cut = (_bucketed(df.select(*keys, *order), ts, bucket_unit)
+           .withColumn("_prev", F.lag(ts).over(w))
+           .withColumn("_piece", F.sum(starts(ts, "_prev")).over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    pieces = cut.groupBy(*keys, BUCKET, "_piece").agg(F.min(ts).alias("_from"), F.max(ts).alias("_to"),
+                                                      F.count(F.lit(1)).alias("_rows"))
+    in_bucket = Window.partitionBy(*keys, BUCKET).orderBy("_piece")
+    inner = (F.col("_piece") > 1) & F.lead("_piece").over(in_bucket).isNotNull()
+    own = pieces.withColumn("_own", F.when(inner, F.struct(BUCKET, "_piece")))
+    by_key = Window.partitionBy(*keys, "_own").orderBy(BUCKET, "_piece")
+    linked = (own.withColumn("_prev", F.lag("_to").over(by_key))
+                 .withColumn("_no", F.sum(starts("_from", "_prev"))
+                             .over(by_key.rowsBetween(Window.unboundedPreceding, 0))))
+    return (linked.groupBy(*keys, "_own", "_no")
+                  .agg(F.min("_from").alias("session_start"),
+                       F.timestamp_add("SECOND", F.lit(gap_seconds), F.max("_to")).alias("session_end"),
+                       F.sum("_rows").alias("num_trips"))
+                  .drop("_own", "_no"))

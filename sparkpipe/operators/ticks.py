@@ -1,8 +1,7 @@
 """Market-tick cleaning, anomalies and candles.
 
 Every function maps DataFrame -> DataFrame with built-in column expressions, so the same
-definitions serve batch jobs and Structured Streaming micro-batches.  Only the keyed
-previous-tick state of the streaming anomaly job needs Python (see ``streaming``).
+definitions serve batch jobs and Structured Streaming micro-batches.
 """
 
 from __future__ import annotations
@@ -98,13 +97,25 @@ def normalize_ticks(df: DataFrame) -> DataFrame:
                            "bid": side("bid", BID_FALLBACK), "ask": side("ask", ASK_FALLBACK)})
 
 
-def clean_ticks(messages: DataFrame, reference_col: str = "ingest_ts") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Composed cleaning (P16-P19, X13): returns ``(kept, stale, rejected)`` frames."""
-    checked = with_event_time(validate_ticks(parse_ticks(messages)))
-    rejected = checked.filter(F.col("reject_reason").isNotNull())
+def checked_ticks(messages: DataFrame, reference_col: str = "ingest_ts") -> DataFrame:
+    """Every message parsed and judged once (P16-P18): ``reject_reason`` is set on rejected
+    messages, ``is_stale`` tells old ticks from fresh ones."""
+    return (with_event_time(validate_ticks(parse_ticks(messages)))
+            .withColumn("is_stale", stale_flag("ts", reference_col)))
+
+
+def split_ticks(checked: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(kept, stale, rejected)`` of checked ticks; kept ticks are normalised."""
+    rejected = checked.filter(F.col("reject_reason").isNotNull()).drop("is_stale")
     ok = checked.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-    stale = stale_flag("ts", reference_col)
-    return normalize_ticks(ok.filter(~stale)), ok.filter(stale), rejected
+    return (normalize_ticks(ok.filter(~F.col("is_stale")).drop("is_stale")),
+            ok.filter("is_stale").drop("is_stale"), rejected)
+
+
+def clean_ticks(messages: DataFrame, reference_col: str = "ingest_ts") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Composed cleaning (P16-P19, X13): returns ``(kept, stale, rejected)`` frames.  Each
+    frame that is used parses the messages; to parse once, persist ``checked_ticks``."""
+    return split_ticks(checked_ticks(messages, reference_col))
 
 
 def pct_change(cur: str | Column, prev: str | Column, epsilon: float = 0.0) -> Column:
@@ -132,10 +143,10 @@ def classify_anomaly(df: DataFrame, prev_price: str = "prev_price", prev_volume:
               .filter(F.col("anomaly_type").isNotNull()))
 
 
-def detect_anomalies(ticks: DataFrame, bucket_unit: str = "hour") -> DataFrame:
+def detect_anomalies(ticks: DataFrame, bucket_unit: str = "minute") -> DataFrame:
     """Batch anomaly detection against the previous tick of the symbol.
 
-    The previous tick is found per (symbol, hour) with a stitched boundary (see
+    The previous tick is found per (symbol, minute) with carried boundary rows (see
     ``sequence.previous_row``), so one busy symbol does not serialise on one task.
     """
     with_prev = previous_row(ticks, ["symbol"], ["ts", "event_id"], ["price", "volume"], bucket_unit=bucket_unit)

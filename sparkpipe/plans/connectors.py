@@ -86,9 +86,8 @@ def repartition_copy_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     of the copy from file metadata (Q09)."""
     path = scratch_path(spark, "lineitem_4")
     write_parquet(read_table(spark, sf_dir, "lineitem"), path, mode="overwrite", num_files=4)
-    copy = spark.read.parquet(path)
-    files = file_stats(copy).select("num_files")
-    rows = copy.agg(F.count(F.lit(1)).alias("row_count"))
+    files = file_stats(spark, path).select("num_files")
+    rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"))
     return _stats_pair(files, rows)
 
 

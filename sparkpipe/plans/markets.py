@@ -33,11 +33,9 @@ def tick_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stale_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kept vs stale ticks per symbol."""
-    kept, stale, _ = _cleaned(spark, sf_dir)
-    k = kept.groupBy("symbol").agg(F.count(F.lit(1)).alias("kept"))
-    s = stale.groupBy("symbol").agg(F.count(F.lit(1)).alias("stale"))
-    return (k.join(s, "symbol", "full")
-             .select("symbol", F.coalesce("kept", F.lit(0)).alias("kept"), F.coalesce("stale", F.lit(0)).alias("stale")))
+    ok = TK.checked_ticks(B.tick_messages(spark, sf_dir)).filter(F.col("reject_reason").isNull())
+    return ok.groupBy("symbol").agg(F.count_if(~F.col("is_stale")).alias("kept"),
+                                    F.count_if("is_stale").alias("stale"))
 
 
 def tick_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,10 +64,8 @@ def latest_tick(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _produced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every produced message with its outcome: failed when rejected by validation."""
-    _, _, rejected = _cleaned(spark, sf_dir)
-    t = B.tick_records(spark, sf_dir).select("event_id", "symbol", "ts")
-    r = rejected.select("event_id", F.lit(True).alias("failed"))
-    return t.join(r, "event_id", "left").withColumn("failed", F.coalesce("failed", F.lit(False)))
+    checked = TK.checked_ticks(B.tick_messages(spark, sf_dir))
+    return checked.select(F.col("key").alias("symbol"), "ts", F.col("reject_reason").isNotNull().alias("failed"))
 
 
 def rate_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,12 +32,24 @@ def test_lineitem_is_shuffled_once(no_broadcast):
 
 
 def test_sequence_ops_split_hot_keys_by_bucket(no_broadcast):
-    from sparkpipe.operators.sequence import previous_row
+    from sparkpipe.operators.sequence import previous_row, session_windows, trailing_range_max
     base = dt.datetime(2024, 1, 1)
     df = no_broadcast.createDataFrame([("A", base + dt.timedelta(minutes=i), i, float(i)) for i in range(50)],
                                       "k string, ts timestamp_ntz, id long, v double")
     ex = _exchanges(previous_row(df, ["k"], ["ts", "id"], ["v"]))
-    assert any("k#" in e and "_bucket" in e for e in ex)   # rows shuffle by (key, hour)
+    assert sum("_bucket" in e for e in ex) == 2            # the rows once, the combined carry rows once
+    assert len(ex) == 3                                    # + the carry rows by key
+    ex = _exchanges(session_windows(df, ["k"], ["ts", "id"], 300))
+    assert len(ex) == 2                                    # the rows by (key, hour), the pieces by key
+    ex = _exchanges(trailing_range_max(df, ["k"], "ts", "v", 300, "m"))
+    assert len(ex) == 1
+
+
+def test_one_scan_and_one_parse(spark):
+    from sparkpipe.plans import markets as M
+    for q in (M.producer_counters, M.error_increase, M.stale_split, M.price_drop_5m):
+        plan = q(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parquet") == 1 and plan.count("from_json") == 1, q.__name__
 
 
 def test_merge_target_scan_is_partition_pruned(spark):
@@ -62,10 +74,10 @@ def test_quality_checks_one_expand_one_shuffle(spark):
 
 def test_count_star_reads_only_footers(spark):
     from sparkpipe.operators.quality import metadata_row_count
-    n, plan = metadata_row_count(spark, SF001 + "/lineitem.parquet")
-    assert "PushedAggregation: [COUNT(*)]" in plan
-    assert n == spark.read.parquet(SF001 + "/lineitem.parquet").count()
-    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"   # restored
+    df = metadata_row_count(spark, SF001 + "/lineitem.parquet")
+    assert "PushedAggregation: [COUNT(*)]" in df._jdf.queryExecution().executedPlan().toString()
+    assert df.first()[0] == spark.read.parquet(SF001 + "/lineitem.parquet").count()
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"   # the caller's session is left alone
 
 
 def test_hot_key_is_spread_over_tasks(no_broadcast):

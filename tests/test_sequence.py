@@ -38,3 +38,25 @@ def test_session_gap_boundary(spark):
     df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, id long")
     out = sorted((r.session_start, r.num_trips) for r in session_windows(df, ["k"], ["ts", "id"], 300).collect())
     assert [n for _, n in out] == [4, 1]     # a gap equal to the limit merges (D21)
+
+
+def test_sessions_equal_gaps_and_islands(spark):
+    df = _frame(spark, n=900, seed=3)
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    new = F.coalesce(F.unix_seconds(F.col("ts").cast("timestamp"))
+                     - F.unix_seconds(F.lag("ts").over(w).cast("timestamp")) > 30, F.lit(True)).cast("int")
+    want = sorted(tuple(r) for r in df.withColumn("new", new).withColumn("no", F.sum("new").over(w))
+                  .groupBy("k", "no").agg(F.min("ts"), F.count("*")).drop("no").collect())
+    for unit in ("minute", "hour"):
+        out = session_windows(df, ["k"], ["ts", "id"], 30, bucket_unit=unit)
+        assert sorted(tuple(r) for r in out.select("k", "session_start", "num_trips").collect()) == want
+
+
+def test_one_hot_minute_and_null_keys(spark):
+    base = dt.datetime(2024, 1, 1)
+    rows = [(None if i % 7 == 0 else "HOT", base + dt.timedelta(milliseconds=i), i, float(i)) for i in range(300)]
+    rows += [("HOT", base + dt.timedelta(days=9), 300, 300.0), ("HOT", None, -1, -1.0)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, id long, v double")
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    want = {r.id: r.p for r in df.select("id", F.lag("v").over(w).alias("p")).collect()}
+    assert {r.id: r.prev_v for r in previous_row(df, ["k"], ["ts", "id"], ["v"]).collect()} == want
