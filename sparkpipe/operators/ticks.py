@@ -6,6 +6,8 @@ definitions serve batch jobs and Structured Streaming micro-batches.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -143,15 +145,15 @@ def classify_anomaly(df: DataFrame, prev_price: str = "prev_price", prev_volume:
               .filter(F.col("anomaly_type").isNotNull()))
 
 
-def detect_anomalies(ticks: DataFrame, bucket_unit: str = "minute") -> DataFrame:
+def detect_anomalies(ticks: DataFrame, bucket_unit: str = "minute", carry: Sequence[str] = ()) -> DataFrame:
     """Batch anomaly detection against the previous tick of the symbol.
 
     The previous tick is found per (symbol, minute) with carried boundary rows (see
-    ``sequence.previous_row``), so one busy symbol does not serialise on one task.
+    ``sequence.previous_row``), so one busy symbol does not serialise on one task.  ``carry`` names further columns to keep.
     """
     with_prev = previous_row(ticks, ["symbol"], ["ts", "event_id"], ["price", "volume"], bucket_unit=bucket_unit)
     return classify_anomaly(with_prev).select("symbol", "ts", "event_id", "price", "volume",
-                                              "anomaly_type", "anomaly_detail")
+                                              "anomaly_type", "anomaly_detail", *carry)
 
 
 def ohlcv(ticks: DataFrame, unit: str = "minute", ts: str = "ts") -> DataFrame:

@@ -513,6 +513,15 @@ UNION ALL SELECT 'row_count', count(*) FROM lineitem""",
 ORACLE.update(MORE)
 ORACLE["stream_tumbling_10s"] = _tumbling("10 SECOND", True, "PULocationID, num_trips")
 ORACLE["stream_tick_job"] = MARKETS["clean_ticks"]
+ORACLE["stream_tick_job_anomalies"] = MARKETS["tick_anomalies"]
+ORACLE["stream_tick_job_candles"] = MARKETS["ohlcv_1m"]
+ORACLE["stream_tick_job_rejects"] = MARKETS["tick_rejects"]
+ORACLE["stream_tick_job_stale"] = f"""WITH {TICKS}
+SELECT event_id, symbol, ts, price, {rnd('volume', 8)} AS volume FROM tk
+WHERE NOT failed AND ts < ingest_ts - INTERVAL 30 SECOND"""
+ORACLE["stream_late_drop"] = STREAMS["stream_tumbling_1h"]
+ORACLE["stream_first_rows"] = STREAMS["stream_pass_through"] + " ORDER BY trip_id LIMIT 10"
+ORACLE["stream_from_latest"] = STREAMS["stream_pass_through"] + " WHERE et >= TIMESTAMP '2024-01-15'"
 ORACLE["report_checks"] = f"""WITH {TRIPS}, {PAYMENTS}, {STAGED_REPORT}, {REPORT}
 SELECT check_name, column_name, CAST(failures AS BIGINT) AS failures, failures = 0 AS passed FROM (
   SELECT 'not_null' AS check_name, 'trip_date' AS column_name, count(*) FILTER (WHERE trip_date IS NULL) AS failures FROM report

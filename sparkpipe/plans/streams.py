@@ -8,6 +8,8 @@ sentinel file so every real window closes (V6); update-mode upserts need none.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,12 +47,12 @@ TICK_SENTINEL_BODY = ('{"symbol":"SENTINEL/USDT","price":1.0,"volume":1.0,'
 
 
 def _feed(spark: SparkSession, msgs: DataFrame, ts_col: str, schema, build, make_writer,
-          sentinel: DataFrame | None = None, copies: int = 1) -> None:
+          sentinel: DataFrame | None = None, copies: int = 1, late: bool = False) -> None:
     """Deliver ``msgs`` slice by slice and drain the stream after each delivery."""
     folder = scratch_path(spark, "landing")
     make_dirs(spark, folder)
     stream = build(stream_source(spark, folder, schema, max_files_per_trigger=None))
-    replay(msgs, folder, ts_col, copies=copies, sentinel=sentinel,
+    replay(msgs, folder, ts_col, copies=copies, late=late, sentinel=sentinel,
            on_delivery=lambda: J.run_to_completion(make_writer(stream)))
 
 
@@ -62,7 +64,8 @@ def _tick_sentinel(spark: SparkSession, msgs: DataFrame) -> DataFrame:
     return spark.createDataFrame([(-1, "SENTINEL/USDT", TICK_SENTINEL_BODY, SENTINEL_TIME)], msgs.schema)
 
 
-def _rides(spark: SparkSession, sf_dir: str, build, mode: str = "append", sentinel: bool = True) -> DataFrame:
+def _rides(spark: SparkSession, sf_dir: str, build, mode: str = "append", sentinel: bool = True,
+           late: bool = False) -> DataFrame:
     """Run a ride job into a file sink and read the sink back."""
     msgs = ride_messages(spark, sf_dir)
     out, ckpt = scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
@@ -73,7 +76,7 @@ def _rides(spark: SparkSession, sf_dir: str, build, mode: str = "append", sentin
         return J.to_files(stream, out, ckpt, mode)
 
     _feed(spark, msgs, "_ts", J.RIDE_SCHEMA, build, writer,
-          sentinel=_ride_sentinel(spark, msgs) if sentinel else None)
+          sentinel=_ride_sentinel(spark, msgs) if sentinel else None, late=late)
     return spark.read.schema(holder["schema"]).parquet(out)
 
 
@@ -108,6 +111,38 @@ def stream_tumbling_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(out, "window_start", "window_end")
 
 
+def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly trips, with every week but the last delivered again at the end; the late
+    rows are behind the watermark and no window changes."""
+    out = _rides(spark, sf_dir, lambda s: J.tumbling(s, "1 hour"), late=True)
+    return _ntz(out, "window_start", "window_end")
+
+
+def stream_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ten messages of a stream, as a debugging reader takes them; here one
+    delivery holds the table, so the first are the ten lowest trip numbers."""
+    folder, out = scratch_path(spark, "landing"), scratch_path(spark, "sink")
+    ride_messages(spark, sf_dir).drop("_ts").write.json(folder)
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        batch.orderBy("trip_id").limit(10).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    stream = J.pass_through(stream_source(spark, folder, J.RIDE_SCHEMA, max_files_per_trigger=None))
+    J.run_to_completion(stream.writeStream.option("checkpointLocation", scratch_path(spark, "ckpt")).foreachBatch(take))
+    return _ntz(spark.read.schema(stream.schema).parquet(out).select(*stream.columns), "event_timestamp")
+
+
+def stream_from_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader that starts at a given time sees only what was produced from then on."""
+    start = int(dt.datetime(2024, 1, 15, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    folder, out = scratch_path(spark, "landing"), scratch_path(spark, "sink")
+    ride_messages(spark, sf_dir).drop("_ts").write.json(folder)
+    stream = J.pass_through(stream_source(spark, folder, J.RIDE_SCHEMA, max_files_per_trigger=None, starting="latest",
+                                          start_time_col="tpep_pickup_datetime", start_time=start))
+    J.run_to_completion(J.to_files(stream, out, scratch_path(spark, "ckpt")))
+    return _ntz(spark.read.schema(stream.schema).parquet(out), "event_timestamp")
+
+
 def stream_tumbling_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """5-minute trips per location from the string pickup time."""
     out = _rides(spark, sf_dir, lambda s: J.tumbling(s, "5 minutes", clock="text"))
@@ -146,15 +181,22 @@ def stream_ohlcv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X11: every slice delivered twice; duplicates on (symbol, timestamp) are dropped."""
+    """X11: every slice delivered twice before the watermark passes it; the second tick of a
+    (symbol, timestamp) is dropped by its state, none as late."""
     out = _ticks(spark, sf_dir, J.dedup_ticks, sentinel=False, copies=2)
     return _ntz(out, "ts").select("event_id", "symbol", "ts", "price", "volume", "exchange", "bid", "ask")
 
 
 def stream_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Anomalies from keyed previous-tick state."""
-    out = _ticks(spark, sf_dir, J.anomalies, sentinel=False)
-    return _ntz(out, "ts")
+    """Anomalies against the last tick of the symbol, across micro-batches."""
+    out, state, ckpt = (scratch_path(spark, n) for n in ("sink", "last_ticks", "ckpt"))
+    _feed(spark, B.tick_messages(spark, sf_dir), "ingest_ts", J.TICK_MESSAGE_SCHEMA, J.tick_stream,
+          lambda stream: J.to_anomalies(stream, out, state, ckpt))
+    return _anomalies(spark, out)
+
+
+def _anomalies(spark: SparkSession, path: str) -> DataFrame:
+    return _ntz(spark.read.schema(J.ANOMALY_SCHEMA).parquet(path).drop("batch_id"), "ts")
 
 
 def stream_latest_tick(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,6 +243,40 @@ def stream_tick_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.filter(F.col("symbol") != "SENTINEL/USDT").select(*cols)
 
 
+def _tick_job(spark: SparkSession, sf_dir: str) -> dict:
+    """The composed tick job over a backlog in which every message comes twice."""
+    folder = scratch_path(spark, "ticks_in")
+    msgs = B.tick_messages(spark, sf_dir)
+    for _ in range(2):
+        msgs.write.mode("append").json(folder)
+    _tick_sentinel(spark, msgs).write.mode("append").json(folder)
+    return J.run_tick_job(spark, folder, scratch_path(spark, "tick_job"), scratch_path(spark, "ckpt"))
+
+
+def stream_tick_job_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The anomalies of the composed job."""
+    return _anomalies(spark, _tick_job(spark, sf_dir)["anomalies"])
+
+
+def stream_tick_job_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one-minute candles of the composed job."""
+    schema = ("symbol string, window_start timestamp, open double, high double, low double, close double, "
+              "volume double, tick_count long")
+    return _ntz(spark.read.schema(schema).parquet(_tick_job(spark, sf_dir)["candles"]), "window_start") \
+        .filter(F.col("symbol") != "SENTINEL/USDT")
+
+
+def stream_tick_job_stale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stale side output of the composed job, each delivered message once."""
+    out = spark.read.parquet(_tick_job(spark, sf_dir)["stale"])
+    return out.select("event_id", "symbol", "ts", "price", "volume")
+
+
+def stream_tick_job_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejected messages of the composed job with their reasons."""
+    return spark.read.parquet(_tick_job(spark, sf_dir)["rejects"]).select("event_id", "key", "reject_reason")
+
+
 QUERIES = {
     "stream_pass_through": stream_pass_through,
     "stream_tumbling_1h": stream_tumbling_1h,
@@ -214,4 +290,11 @@ QUERIES = {
     "stream_latest_tick": stream_latest_tick,
     "stream_tumbling_10s": stream_tumbling_10s,
     "stream_tick_job": stream_tick_job,
+    "stream_tick_job_anomalies": stream_tick_job_anomalies,
+    "stream_tick_job_candles": stream_tick_job_candles,
+    "stream_tick_job_stale": stream_tick_job_stale,
+    "stream_tick_job_rejects": stream_tick_job_rejects,
+    "stream_late_drop": stream_late_drop,
+    "stream_first_rows": stream_first_rows,
+    "stream_from_latest": stream_from_latest,
 }

@@ -10,21 +10,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions.columns import round_half_up
 from ..functions.timefn import epoch_ms_to_timestamp, parse_timestamp
 from ..operators import incremental as inc
 from ..operators import ticks as TK
-from . import state_fns
-from .sources import drain
-
-# Ship the state function with the task instead of requiring the package on executors.
-cloudpickle.register_pickle_by_value(state_fns)
+from ..operators.dedup import latest_per_key
+from ..sinks.writers import drop_partitions, write_json_lake
+from .sources import drain, stream_source, wait_all
 
 RIDE_SCHEMA = T.StructType([
     T.StructField("trip_id", T.LongType()),
@@ -101,10 +97,11 @@ def dedup_ticks(ticks: DataFrame, watermark: str = TICK_WATERMARK) -> DataFrame:
     return ticks.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["symbol", "ts"])
 
 
-def candles(ticks: DataFrame, size: str = "1 minute", watermark: str = TICK_WATERMARK) -> DataFrame:
-    """OHLC candles by event time, emitted once complete."""
+def candles(ticks: DataFrame, size: str = "1 minute", watermark: str | None = TICK_WATERMARK) -> DataFrame:
+    """OHLC candles by event time, emitted once complete (X10, A17, D6-D8).  ``watermark=None``
+    where the ticks carry one already (after ``dedup_ticks``)."""
     order = F.struct(F.col("ts"), F.col("event_id"))
-    agg = (ticks.withWatermark("ts", watermark)
+    agg = ((ticks.withWatermark("ts", watermark) if watermark else ticks)
                 .groupBy("symbol", F.window("ts", size).alias("w"))
                 .agg(F.min_by("price", order).alias("open"), F.max("price").alias("high"),
                      F.min("price").alias("low"), F.max_by("price", order).alias("close"),
@@ -113,24 +110,41 @@ def candles(ticks: DataFrame, size: str = "1 minute", watermark: str = TICK_WATE
                       "volume", "tick_count")
 
 
-PREV_SCHEMA = T.StructType([
-    T.StructField("symbol", T.StringType()), T.StructField("ts", T.TimestampType()),
-    T.StructField("event_id", T.LongType()), T.StructField("price", T.DoubleType()),
-    T.StructField("volume", T.DoubleType()), T.StructField("prev_price", T.DoubleType()),
-    T.StructField("prev_volume", T.DoubleType()),
-])
-PREV_STATE = "price double, volume double, ts timestamp, event_id long"
+TICK_COLUMNS = ["symbol", "ts", "event_id", "price", "volume"]
+
+
+def to_anomalies(ticks: DataFrame, path: str, state: str, checkpoint: str):
+    """Previous-tick anomalies of a stream (X12) as Parquet below ``path/batch_id=n``.
+
+    Each micro-batch is the batch operator over its ticks and the last tick of every symbol
+    so far, a table of one row per symbol below ``state``; a busy symbol is split by minute
+    over many tasks, however large the batch.  Batch ``n`` reads the state that batch
+    ``n - 1`` left and writes its own, so a replayed batch gives the same rows.  A tick that
+    comes after a later one of its symbol has been stored has no known predecessor and is
+    silent; every kept tick may become the stored one (D14).
+    """
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.select(*TICK_COLUMNS, F.lit(False).alias("_stored"))
+        if batch_id:
+            last = spark.read.schema(rows.drop("_stored").schema).parquet(f"{state}/batch_id={batch_id - 1}")
+            rows = rows.unionByName(last.withColumn("_stored", F.lit(True)))
+        rows = rows.persist()
+        try:
+            found = TK.detect_anomalies(rows, carry=["_stored"]).filter(~F.col("_stored")).drop("_stored")
+            found.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            (latest_per_key(rows.drop("_stored"), ["symbol"], ["ts", "event_id"])
+                .write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}"))
+        finally:
+            rows.unpersist()
+        if batch_id > 1:
+            drop_partitions(spark, state, "batch_id", [batch_id - 2])
+
+    return ticks.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
 
 
-def anomalies(ticks: DataFrame) -> DataFrame:
-    """Previous-tick anomalies on a stream (X12): only the keyed previous-tick state is
-    Python (Arrow batches per symbol); classification stays in Spark expressions."""
-    with_prev = (ticks.select("symbol", "ts", "event_id", "price", "volume")
-                      .groupBy("symbol")
-                      .applyInPandasWithState(state_fns.attach_previous, PREV_SCHEMA, PREV_STATE, "append",
-                                              GroupStateTimeout.NoTimeout))
-    return TK.classify_anomaly(with_prev).select("symbol", "ts", "event_id", "price", "volume",
-                                                 "anomaly_type", "anomaly_detail")
+ANOMALY_SCHEMA = ("symbol string, ts timestamp, event_id long, price double, volume double, "
+                  "anomaly_type string, anomaly_detail string")
 
 
 def latest_per_symbol(ticks: DataFrame) -> DataFrame:
@@ -200,40 +214,53 @@ def console(stream: DataFrame, mode: str = "append"):
 
 def tick_fan_out(messages: DataFrame, lake_root: str, stale_path: str, rejects_path: str, checkpoint: str):
     """One message stream split into three outputs per micro-batch (K18, X13, K15):
-    kept ticks to the JSON lake, stale ticks and rejected messages to side tables.
-    The batch is cached once and released; a batch owns the folder ``batch_id=n`` of each
-    output, so a replayed batch replaces what it wrote before."""
-    from ..sinks.writers import write_json_lake
+    kept ticks, without re-deliveries, to the JSON lake, stale ticks and rejected messages
+    to side tables.  The messages are parsed once per batch: the judged rows are persisted
+    and released.  A batch owns the folder ``batch_id=n`` of each output, so a replayed
+    batch replaces what it wrote before."""
+    checked = TK.checked_ticks(messages).withColumn("ts", F.col("ts").cast("timestamp"))
+    # A rejected or stale message is its own key: only kept ticks are deduplicated (X11).
+    tick = F.col("reject_reason").isNull() & ~F.col("is_stale")
+    keyed = checked.withColumn("_key", F.when(tick, F.concat_ws("@", "symbol", F.unix_micros("ts")))
+                               .otherwise(F.concat(F.lit("#"), F.col("event_id"))))
+    # The clock is the time of arrival, which every message has, also one without an event time.
+    unique = (keyed.withColumn("_arrived", F.col("ingest_ts").cast("timestamp"))
+                   .withWatermark("_arrived", TICK_WATERMARK).dropDuplicatesWithinWatermark(["_key"])
+                   .drop("_key", "_arrived"))
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        parsed = batch.persist()
-        kept, stale, rejected = TK.clean_ticks(parsed)
+        parsed = batch.withColumn("ts", F.col("ts").cast("timestamp_ntz")).persist()
         try:
+            kept, stale, rejected = TK.split_ticks(parsed)
             write_json_lake(kept.select("event_id", "symbol", "ts", "price", "volume", "exchange", "bid", "ask"),
                             lake_root, "ts", f"ticks/batch_id={batch_id}", mode="overwrite")
-            stale.write.mode("overwrite").parquet(f"{stale_path}/batch_id={batch_id}")
+            stale.select("event_id", "symbol", "ts", "price", "volume") \
+                .write.mode("overwrite").parquet(f"{stale_path}/batch_id={batch_id}")
             rejected.select("event_id", "key", "reject_reason") \
                 .write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
         finally:
             parsed.unpersist()
 
-    return messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
+    return unique.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
 
 
 def run_tick_job(spark, source_folder: str, out_root: str, ckpt_root: str, timeout_s: int | None = None) -> dict:
     """The composed tick job (X17): parse -> stale -> dedup -> normalise, then ticks to the
-    lake, previous-tick anomalies and one-minute candles, as three queries over one source."""
-    from .sources import stream_source, wait_all
+    lake, previous-tick anomalies and one-minute candles, as three queries over one source.
+    If one query fails or is late, all are stopped."""
     paths = {k: f"{out_root}/{k}" for k in ("lake", "stale", "rejects", "anomalies", "candles")}
 
     def source():
         # Everything delivered so far is one micro-batch: a delivery spans several files.
         return stream_source(spark, source_folder, TICK_MESSAGE_SCHEMA, max_files_per_trigger=None)
 
+    def ticks():
+        return dedup_ticks(tick_stream(source()))
+
     writers = [
         tick_fan_out(source(), paths["lake"], paths["stale"], paths["rejects"], f"{ckpt_root}/fan_out"),
-        to_files(anomalies(dedup_ticks(tick_stream(source()))), paths["anomalies"], f"{ckpt_root}/anomalies"),
-        to_files(candles(tick_stream(source())), paths["candles"], f"{ckpt_root}/candles"),
+        to_anomalies(ticks(), paths["anomalies"], f"{out_root}/last_ticks", f"{ckpt_root}/anomalies"),
+        to_files(candles(ticks(), watermark=None), paths["candles"], f"{ckpt_root}/candles"),
     ]
     queries = [w.trigger(availableNow=True).start() for w in writers]
     wait_all(queries, timeout_s)

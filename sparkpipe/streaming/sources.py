@@ -38,7 +38,7 @@ def stream_source(spark: SparkSession, folder: str, schema: T.StructType, fmt: s
 
 
 def replay(df: DataFrame, folder: str, ts_col: str, slice_unit: str = "week", copies: int = 1,
-           sentinel: DataFrame | None = None, on_delivery: Callable[[], object] | None = None) -> int:
+           late: bool = False, sentinel: DataFrame | None = None, on_delivery: Callable[[], object] | None = None) -> int:
     """Deliver ``df`` into ``folder`` as JSON, one ``slice_unit`` of ``ts_col`` at a time,
     oldest first (X16, K16).
 
@@ -46,27 +46,26 @@ def replay(df: DataFrame, folder: str, ts_col: str, slice_unit: str = "week", co
     runs after every delivery — typically draining the stream from its checkpoint, as a
     periodically triggered job would — so each slice is one micro-batch and the watermark
     advances between slices exactly as with data arriving over time.  ``copies > 1``
-    re-delivers every slice (at-least-once delivery).  ``sentinel`` (one far-future row)
-    is delivered last to close open windows.  Returns the number of deliveries.
+    writes every slice again before the stream is drained (at-least-once delivery: the
+    copies come while the watermark still lets them in).  ``late`` delivers all slices but
+    the last a second time after all of them, far behind the watermark.  ``sentinel`` (one
+    far-future row) is delivered last to close open windows.  Returns the number of
+    deliveries.
     """
-    sliced = df.withColumn("_slice", F.date_trunc(slice_unit, F.col(ts_col))).persist()
+    sliced = df.withColumn("_slice", F.date_trunc(slice_unit, F.col(ts_col)))
     # Slice starts are calendar metadata (a few per month of data), not rows.
     starts = [r[0] for r in sliced.select("_slice").distinct().orderBy("_slice").collect()]
-    n = 0
-    for s in starts:
-        part = sliced.filter(F.col("_slice") == F.lit(s)).drop("_slice")
-        for _ in range(copies):
-            part.write.mode("append").json(folder)
-            n += 1
-            if on_delivery is not None:
-                on_delivery()
-    sliced.unpersist()
+    parts = [(sliced.filter(F.col("_slice") == F.lit(s)).drop("_slice"), copies) for s in starts]
+    if late and len(starts) > 1:
+        parts.append((sliced.filter(F.col("_slice") < F.lit(starts[-1])).drop("_slice"), 1))
     if sentinel is not None:
-        sentinel.write.mode("append").json(folder)
-        n += 1
+        parts.append((sentinel, 1))
+    for part, times in parts:
+        for _ in range(times):
+            part.write.mode("append").json(folder)
         if on_delivery is not None:
             on_delivery()
-    return n
+    return len(parts)
 
 
 def drain(query_writer, timeout_s: int | None = None, state_partitions: int | None = None):

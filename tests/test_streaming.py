@@ -120,3 +120,53 @@ def test_late_drain_stops_and_raises(spark):
     with pytest.raises(TimeoutError):
         drain(writer, timeout_s=1)
     assert not spark.streams.active
+
+
+def test_stream_dedup_across_batches_within_the_watermark(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    ticks = [{"event_id": i, "key": "A/B", "ingest_ts": (t0 + dt.timedelta(seconds=i)).isoformat(),
+              "value": json.dumps({"symbol": "A/B", "price": 1.0, "volume": 1.0, "exchange": "X",
+                                   "timestamp": (t0 + dt.timedelta(seconds=i)).isoformat() + "Z"})}
+             for i in range(20)]
+    folder = _local(scratch_path(spark, "dd_in"))
+    _write_files(folder, [ticks[:10], ticks])                 # the first ten come again, seconds later
+    stream = J.dedup_ticks(J.tick_stream(stream_source(spark, "file:" + folder, J.TICK_MESSAGE_SCHEMA)))
+    out, ck = scratch_path(spark, "dd_out"), scratch_path(spark, "dd_ck")
+    q = J.run_to_completion(J.to_files(stream, out, ck))
+    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == list(range(20))
+    state = [s for p in q.recentProgress for s in p["stateOperators"]]
+    assert sum(s["numRowsDroppedByWatermark"] for s in state) == 0
+
+
+def test_fan_out_replays_a_failed_batch(spark, monkeypatch):
+    import pytest
+    folder = _local(scratch_path(spark, "fo_in"))
+    _write_files(folder, [[_ride(1, dt.datetime(2024, 1, 1), i) for i in range(100)]])
+    paths = {k: scratch_path(spark, k) for k in ("a", "b")}
+    ck = scratch_path(spark, "fo_ck")
+
+    def run(outputs):
+        stream = J.pass_through(stream_source(spark, "file:" + folder, J.RIDE_SCHEMA))
+        J.run_to_completion(J.fan_out(stream, outputs, ck))
+
+    with pytest.raises(Exception):
+        run({"a": paths["a"], "b": "nosuchscheme://x"})       # the first output is written, the second fails
+    run(paths)
+    assert [spark.read.parquet(p).count() for p in paths.values()] == [100, 100]
+
+
+def test_stream_anomalies_over_several_batches_and_a_replay(spark):
+    from sparkpipe.operators import ticks as TK
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(s, t0 + dt.timedelta(seconds=7 * i), 10 * i + j, 100.0 + (i * 37 + j) % 11, 1.0)
+            for i in range(60) for j, s in enumerate("AB")]
+    df = spark.createDataFrame(rows, "symbol string, ts timestamp, event_id long, price double, volume double")
+    folder, out = scratch_path(spark, "an_in"), scratch_path(spark, "an_out")
+    state, ck = scratch_path(spark, "an_state"), scratch_path(spark, "an_ck")
+    for lo in range(0, 600, 150):
+        df.filter((F.col("event_id") >= lo) & (F.col("event_id") < lo + 150)).coalesce(1).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(df.schema).parquet(folder)
+        J.run_to_completion(J.to_anomalies(stream, out, state, ck))
+    want = {(r.event_id, r.anomaly_detail) for r in TK.detect_anomalies(df).collect()}
+    got = [(r.event_id, r.anomaly_detail) for r in spark.read.parquet(out).collect()]
+    assert set(got) == want and len(got) == len(want) > 10
