@@ -35,10 +35,6 @@ def typed_null(dtype: str | T.DataType) -> Column:
     return F.lit(None).cast(dtype)
 
 
-def typed_zero(dtype: str | T.DataType) -> Column:
-    return F.lit(0).cast(dtype)
-
-
 def cast_block(df: DataFrame, types: Mapping[str, str | T.DataType]) -> DataFrame:
     """Typed cast block (P04): ``{column: type}``; other columns untouched."""
     return df.withColumns({c: F.col(c).cast(t) for c, t in types.items()})

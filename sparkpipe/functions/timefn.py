@@ -22,15 +22,6 @@ def month_start(c: str | Column) -> Column:
     return F.trunc(F.to_date(col_of(c)), "month")
 
 
-def minute_start(c: str | Column) -> Column:
-    """Truncate to the minute (F12), keeping a zone-less timestamp."""
-    return F.date_trunc("minute", col_of(c)).cast("timestamp_ntz")
-
-
-def truncate_to(c: str | Column, unit: str) -> Column:
-    return F.date_trunc(unit, col_of(c)).cast("timestamp_ntz")
-
-
 def epoch_ms_to_timestamp(c: str | Column) -> Column:
     """Epoch milliseconds -> instant (F13, ``TO_TIMESTAMP_LTZ(x, 3)``)."""
     return F.timestamp_millis(col_of(c))
@@ -46,11 +37,6 @@ def parse_timestamp(c: str | Column, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column
     return F.try_to_timestamp(col_of(c), F.lit(fmt))
 
 
-def parse_iso_instant(c: str | Column) -> Column:
-    """ISO-8601 with ``Z`` or an offset -> instant (F16); bad text -> NULL."""
-    return F.expr(f"try_cast({_sql(c)} AS TIMESTAMP)")
-
-
 def format_timestamp(c: str | Column, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
     """Timestamp -> string."""
     return F.date_format(col_of(c), fmt)
@@ -73,9 +59,3 @@ def add_minutes(c: str | Column, minutes: str | Column) -> Column:
 
 def add_hours(c: str | Column, hours: str | Column) -> Column:
     return F.timestamp_add("HOUR", col_of(hours), col_of(c))
-
-
-def _sql(c: str | Column) -> str:
-    if isinstance(c, str):
-        return f"`{c}`"
-    raise TypeError("parse_iso_instant needs a column name")

@@ -94,9 +94,9 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return totals.select(stacked).withColumn("passed", F.col("failures") == 0)
 
 
-def custom_check(spark: SparkSession, query: str, expected, name: str = "custom") -> DataFrame:
-    """Scalar SQL compared to an expected value (Q05)."""
-    q = spark.sql(query)
+def custom_check(spark: SparkSession, query: str, expected, name: str = "custom", **frames: DataFrame) -> DataFrame:
+    """Scalar SQL compared to an expected value (Q05); ``{name}`` in the query stands for a frame."""
+    q = spark.sql(query, **frames)
     value = q.select(F.col(q.columns[0]).alias("v"))
     return value.select(F.lit(name).alias("check_name"), F.lit("*").alias("column_name"),
                         F.when(F.col("v") == F.lit(expected), 0).otherwise(1).cast("long").alias("failures"),

@@ -120,6 +120,11 @@ def clean_ticks(messages: DataFrame, reference_col: str = "ingest_ts") -> tuple[
     return split_ticks(checked_ticks(messages, reference_col))
 
 
+def symbol_path(symbol: str, ts: str) -> Column:
+    """Lake folder and file stem of a tick: symbol with '-' for '/' (F06), then yyyy/MM/dd/HHmm."""
+    return F.concat_ws("/", F.replace(F.col(symbol), F.lit("/"), F.lit("-")), F.date_format(ts, "yyyy/MM/dd/HHmm"))
+
+
 def pct_change(cur: str | Column, prev: str | Column, epsilon: float = 0.0) -> Column:
     """Absolute percent change (F09); a zero base gives NULL instead of failing."""
     cur = F.col(cur) if isinstance(cur, str) else cur

@@ -18,6 +18,7 @@ from ..sources.files import load_many, read_csv, read_json_documents, read_table
 from . import bindings as B
 from ..operators.quality import file_stats
 from ..operators.ticks import clean_ticks
+from ..operators.union import concat_frames
 from ..sinks.writers import JSON_TS_NTZ_FORMAT, load_batches, write_json_lake, write_parquet
 
 ZONE_SCHEMA = "LocationID int, Borough string, Zone string, service_zone string"
@@ -71,14 +72,10 @@ def orders_multi_file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
               "o_orderdate": "order_ts"}
     frames = []
     for status, service in (("F", "Yellow"), ("O", "Green"), ("P", "FHV"), ("X", "Missing")):
-        df, report = load_many(spark, [f"{root}/file={status}"], list(rename.values()),
+        df, _ = load_many(spark, [f"{root}/file={status}"], list(rename.values()),
                                rename=rename, constants={"service_type": service}, schema=ORDER_SCHEMA)
-        if report.loaded:
-            frames.append(df)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out.select(*[f.name for f in ORDER_SCHEMA.fields])
+        frames.append(df)                    # an absent file gives an empty frame of the schema
+    return concat_frames(frames, [f.name for f in ORDER_SCHEMA.fields])
 
 
 def repartition_copy_stats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -546,3 +546,46 @@ FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 2 = 0"""
 ORACLE["load_if_empty"] = """
 SELECT c_custkey, c_mktsegment, 0 AS batches FROM customer WHERE c_custkey % 2 = 0
 UNION ALL SELECT c_custkey, c_mktsegment, 1 FROM customer"""
+
+# ------------------------------------------------------------ shaping
+_SERVICE = "CASE o_orderstatus WHEN 'F' THEN 'Yellow' WHEN 'O' THEN 'Green' ELSE 'FHV' END"
+SHAPING = {
+    "csv_typed_gzip": f"SELECT {_ORDERS} FROM orders",
+    "csv_all_strings": """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority FROM orders""",
+    "csv_inferred": """
+SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_acctbal, c_mktsegment, 'int' AS key_type, 'double' AS balance_type
+FROM customer""",
+    "csv_to_parquet_once": "SELECT c_custkey, c_acctbal FROM customer",
+    "period_files_load": f"""
+SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS orders, {rnd('sum(o_totalprice)', 2)} AS revenue
+FROM orders GROUP BY 1""",
+    "order_months": "SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS orders FROM orders GROUP BY 1",
+    "safe_cast_parts": """
+SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN p_size END AS code, CAST(p_size AS VARCHAR) AS p_size FROM part""",
+    "coerce_timestamps": """
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderdate END AS ordered_at FROM orders""",
+    "nan_to_null_events": "SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN value END AS value FROM events",
+    "replaced_columns": """
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, CAST(floor(o_totalprice) AS BIGINT) AS o_totalprice,
+       o_orderdate, lower(o_orderpriority) AS o_orderpriority FROM orders""",
+    "lake_paths": f"""WITH {TICKS}
+SELECT replace(symbol, '/', '-') || '/' || strftime(ts, '%Y/%m/%d/%H%M') AS path, count(*) AS ticks FROM kept GROUP BY 1""",
+    "sum_of_none": "SELECT coalesce(sum(value), 0.0::DOUBLE) AS total, count(*) AS events FROM events WHERE value < 0",
+    "custom_checks": """
+SELECT 'no_negative_price' AS check_name, '*' AS column_name, CAST(v <> 0 AS BIGINT) AS failures, v = 0 AS passed
+FROM (SELECT count(*) AS v FROM orders WHERE o_totalprice < 0)
+UNION ALL SELECT 'impossible_count', '*', CAST(v <> -1 AS BIGINT), v = -1 FROM (SELECT count(*) AS v FROM orders)""",
+    "union_services": f"""
+SELECT o_orderkey AS trip_id, o_custkey AS vendor_id, CASE WHEN {_SERVICE} <> 'FHV' THEN o_totalprice END AS fare_amount,
+       o_orderdate AS pickup_datetime, CASE WHEN {_SERVICE} <> 'Yellow' THEN o_orderpriority END AS trip_type,
+       {_SERVICE} AS service_type FROM orders""",
+    "union_service_months": f"""
+SELECT {_SERVICE} AS service_type, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS trips,
+       CASE WHEN {_SERVICE} <> 'FHV' THEN {rnd('sum(o_totalprice)', 2)} END AS revenue
+FROM orders GROUP BY {_SERVICE}, 2""",
+    "backfill_run": f"SELECT {_ORDERS} FROM orders WHERE o_orderdate < TIMESTAMP '2001-07-01'",
+    "table_copy": f"SELECT {_ORDERS} FROM orders",
+}
+ORACLE.update(SHAPING)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import checks, connectors, markets, marts, publishing, questions, streams
+from . import checks, connectors, markets, marts, publishing, questions, shaping, streams
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,7 @@ def _raw_queries() -> dict[str, QueryFn]:
     out.update(markets.QUERIES)
     out.update(streams.QUERIES)
     out.update(connectors.QUERIES)
+    out.update(shaping.QUERIES)
     return out
 
 

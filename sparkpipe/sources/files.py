@@ -90,12 +90,6 @@ def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def register_views(tables: dict[str, DataFrame]) -> None:
-    """Register frames as SQL names."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-
-
 def period_paths(base: str, kind: str, months: Iterable[str], template: str = "{kind}_tripdata_{month}.parquet") -> list[str]:
     """File names for a period by template ``{type}_tripdata_{yyyy-MM}``."""
     return [f"{base.rstrip('/')}/" + template.format(kind=kind, month=m) for m in months]
