@@ -1,13 +1,11 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney n-gram model.
 
-The model is trained on all trusted text (labelled good).  Its units are characters folded
-to 64 symbols, so an n-gram of order four is one of 64^4 codes: whatever the corpus, the
-count tables have at most 16.8 million rows, which is the proven bound that lets the scored
-model travel to every task.  Counting is distributed: each task counts its share, the counts
-meet by code; contexts (sharded by context code), lower-order continuation counts and
-counts of counts are group-bys, and the discounted terms are joins of count tables on the
-context shard.  Documents get the perplexity of their whole text, and go when it lies above
-a quantile of the trusted documents of their language.
+Documents get the perplexity of their whole text under the word model of ``word_lm``, which
+is trained on all trusted text (labelled good), and go when it lies above a quantile of the
+trusted documents of their language.
+
+The character model (``train``, ``Model``) has at most 64^4 n-grams of folded characters;
+the classifier does not use it.
 """
 
 from __future__ import annotations
@@ -21,12 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import small_side
+from . import word_lm
 from .common import materialise, text_of, worker_memo
 
 ORDER = 4
 SYMBOLS = 64
-#: Symbols of average text that are added to a document, so that a few letters prove nothing.
-PRIOR_SYMBOLS = 24
+#: Words of average text that are added to a document, so that a few words prove nothing.
+PRIOR_WORDS = 8
 #: Quantile of the trusted perplexities of a language, and the slack on it.
 QUANTILE, SLACK = 0.995, 1.25
 #: One of so many trusted documents is held out to set the thresholds; languages with fewer
@@ -182,43 +181,25 @@ def train(trusted: DataFrame, text_col: str = "text") -> Model:
                   for order, part in rows.groupby("order")})
 
 
-def score(docs: DataFrame, model: Model, columns: list, text_col: str = "text") -> DataFrame:
-    """``columns`` of docs, __n_symbols, __nll: the negative log likelihood of each whole text."""
-    carried = docs.select(*columns)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields)
-
-    def run(batches):
-        folds, dense = worker_memo("lm", "folds", _folds), worker_memo("lm", "lm", model.dense, model.key)
-        for batch in batches:
-            grams, sizes = codes(batch.column(0).to_pylist(), folds)
-            sums = np.append(0.0, np.cumsum(dense[grams], dtype=np.float64))
-            ends = np.cumsum(sizes)
-            nll = sums[ends] - sums[ends - sizes]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(sizes), pa.array(nll)],
-                                             [*batch.schema.names[1:], "__n_symbols", "__nll"])
-
-    return docs.select(text_of(text_col).alias("__body"), *columns).mapInArrow(
-        run, (schema + ", " if schema else "") + "__n_symbols long, __nll double")
+def perplexity(average, prior: int = PRIOR_WORDS):
+    """Column: perplexity a word, with ``prior`` words of average text added."""
+    return F.exp((F.col("__nll") + F.lit(prior) * average) / (F.col("__n_words") + F.lit(prior)))
 
 
-def perplexity(average, prior: int = PRIOR_SYMBOLS):
-    """Column: perplexity a symbol, with ``prior`` symbols of average text added."""
-    return F.exp((F.col("__nll") + F.lit(prior) * average) / (F.col("__n_symbols") + F.lit(prior)))
+def held_out(id_col: str = "doc_id"):
+    """Column: whether a trusted document is held out to set the thresholds."""
+    return F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.lit(11)), F.lit(HELD_OUT)) == 0
 
 
-def thresholds(trusted: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text",
-               quantile: float = QUANTILE, slack: float = SLACK) -> tuple[DataFrame, float, float]:
-    """lang, threshold: by language; the threshold of all languages; average nats a symbol.
+def thresholds(scored: DataFrame, quantile: float = QUANTILE, slack: float = SLACK) -> tuple[DataFrame, float, float]:
+    """lang, threshold: by language; the threshold of all languages; average nats a word.
 
-    A document that the model was trained on looks better than an unseen one; so a model
-    of the other documents scores those held out.
+    A document that the model was trained on looks better than an unseen one; so ``scored``
+    are the documents held out, by the model of the others.
     """
-    held = F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.lit(11)), F.lit(HELD_OUT)) == 0
-    model, some = train(trusted.where(~held), text_col), trusted.where(held)
-    scored = materialise(score(some, model, [F.col(lang_col).cast("string").alias("lang")], text_col), "held-out-scores")
-    sums = scored.agg(F.sum("__nll"), F.sum("__n_symbols")).first()
-    average = float(sums[0] / sums[1]) if sums[1] else float(np.log(SYMBOLS))
-    ppl = scored.select("lang", perplexity(F.lit(average)).alias("ppl"))
+    sums = scored.agg(F.sum("__nll"), F.sum("__n_words")).first()
+    average = float(sums[0] / sums[1]) if sums[1] else 0.0
+    ppl = scored.select(F.col("__lang").alias("lang"), perplexity(F.lit(average)).alias("ppl"))
     limit = F.percentile_approx("ppl", quantile, 10_000) * slack
     overall = ppl.agg(limit).first()[0]
     overall = float("inf") if overall is None else overall
@@ -236,16 +217,18 @@ def classify(docs: DataFrame, labels: DataFrame, columns: list | None = None, id
     documents (or null) takes the threshold of all; without any trusted text held out
     everything is kept.  Repeated rows get the same answer; ties with the threshold are kept.
     """
-    trusted = trusted_documents(docs, labels, id_col, good)
-    model = train(trusted, text_col)
-    limits, overall, average = thresholds(trusted, id_col, lang_col, text_col, quantile, slack)
+    trusted, held = trusted_documents(docs, labels, id_col, good), held_out(id_col)
+    model = word_lm.train(trusted, held, text_col)
     columns = docs.columns if columns is None else columns
-    scored = score(docs, model, [*(F.col(c) for c in columns), F.col(lang_col).cast("string").alias("__lang")], text_col)
+    scored = materialise(word_lm.score(docs, trusted.where(held), model, [
+        *(F.col(c) for c in columns), F.col(lang_col).cast("string").alias("__lang")], text_col), "scores")
+    limits, overall, average = thresholds(scored.where("__held"), quantile, slack)
     limits = small_side(limits.select(F.col("lang").alias("__of"), F.col("threshold").alias("__own")))
     threshold = F.coalesce(F.col("__own"), F.lit(overall))
-    return (scored.join(limits, F.col("__lang") == F.col("__of"), "left")
+    return (scored.where("not __held").join(limits, F.col("__lang") == F.col("__of"), "left")
             .select(*(F.col(c) for c in columns), perplexity(F.lit(average)).alias("__perplexity"),
-                    threshold.alias("__threshold"), (perplexity(F.lit(average)) <= threshold).alias("__keep")))
+                    threshold.alias("__threshold"),
+                    ((perplexity(F.lit(average)) <= threshold) | (F.col("__n_words") == 0)).alias("__keep")))
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
