@@ -26,8 +26,8 @@ ORDER = 4
 SYMBOLS = 64
 #: Words of average text that are added to a document, so that a few words prove nothing.
 PRIOR_WORDS = 8
-#: Quantile of the trusted perplexities of a language, and the slack on it.
-QUANTILE, SLACK = 0.995, 1.25
+#: Quantile of the trusted perplexities of a language, and the slack on it: none.
+QUANTILE, SLACK = 0.995, 1.0
 #: One of so many trusted documents is held out to set the thresholds; languages with fewer
 #: such documents than OWN_DOCUMENTS take the threshold of all languages if that is higher.
 HELD_OUT, OWN_DOCUMENTS = 5, 50

@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from sparkpipe.llm import quality_lm, word_lm
-from sparkpipe.llm.common import prepare
+from sparkpipe.llm.common import prepare, table
 
 TRUSTED = ["the cat sat on the mat.", "a cat and a hat", None, "", "the cat sat on a hat", "the 12 mats !! the cat"]
 
@@ -75,3 +75,24 @@ def test_shuffled_words_are_rejected(spark):
     labels = spark.createDataFrame([(i, 1) for i in range(400)], "doc_id long, quality int")
     kept = {r["doc_id"] for r in quality_lm.quality_filter(docs, labels).select("doc_id").collect()}
     assert sum(i in kept for i in range(500)) >= 490 and not any(i in kept for i in range(500, 600))
+
+
+def scores(spark, by_lang):
+    """Held-out rows whose perplexity by language is 100, 101, ..., with the average of one and the same text length."""
+    rows = [(lang, 1000, 1000 * float(np.log(100 + i))) for lang, n in by_lang.items() for i in range(n)]
+    return prepare(spark).createDataFrame(rows, "__lang string, __n_words long, __nll double")
+
+
+def test_threshold_is_the_quantile_itself(spark):
+    scored = scores(spark, {"en": 1000})
+    limits, overall, average = quality_lm.thresholds(scored)
+    ppl = sorted(r["p"] for r in scored.select(quality_lm.perplexity(F.lit(average)).alias("p")).collect())
+    assert abs(overall - ppl[994]) < 1e-6 and [r["threshold"] <= ppl[995] for r in limits.collect()] == [True]
+
+
+def test_little_junk_is_kept_and_little_clean_text_goes(spark):
+    docs, labels = (table(prepare(spark), "/root/testdata/sf0.1", n) for n in ("documents", "labels"))
+    kept = {r["doc_id"] for r in quality_lm.quality_filter(docs, labels.where("doc_id % 2 = 0")).select("doc_id").collect()}
+    held = labels.where("doc_id % 2 = 1").collect()
+    clean, junk = (np.mean([r["doc_id"] in kept for r in held if r["quality"] == q]) for q in (1, 0))
+    assert clean >= 0.985 and junk <= 0.18, (clean, junk)
