@@ -1,15 +1,18 @@
-"""Substring deduplication by sliding sentence spans.
-
-Every run of several consecutive sentences is hashed: runs of three, and shorter runs that
-hold many words (so that a passage of one or two long sentences is a run too).  Counts of
-the hashes over all documents, combined before the shuffle, tell which runs repeat and which
-document has each first; the runs join these on their hash (AQE splits a hot one).  A
-sentence goes when a repeated run covers it that is not the first of its kind.
+"""Substring deduplication by sliding spans of sentences and clauses.
+
+Texts break into pieces at sentence marks, line ends, commas and semicolons, and long pieces
+at words that their own hash chooses, so that a passage breaks alike wherever it stands.
+Runs are hashed: from each piece, and back from each piece, the shortest that holds enough
+words, and every three sentences.  Counts of the hashes over all documents, combined before
+the shuffle, tell which runs repeat and which document has each first; the runs join these
+on their hash (AQE splits a hot one).  A piece goes when a repeated run covers it that is
+not the first of its kind.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -19,61 +22,89 @@ from pyspark.sql import functions as F
 
 from .common import doc_key, text_of
 
-#: Sentences of a run; words that make a run of fewer sentences count; least words of any run.
-RUN, MANY_WORDS, LEAST_WORDS = 3, 40, 8
-#: Sentences end at their mark and the blanks after it, or at a line's end.
-_BREAK = re.compile("((?<=[.!?…。！？])\\s+|\\s*\n\\s*)")
+#: Sentences of a run, which needs LEAST_WORDS; words of a run of any pieces.
+RUN, MANY_WORDS, LEAST_WORDS = 3, 12, 8
+#: A piece of more words than LONG_PIECE breaks after about one word in BREAK_WORDS.
+LONG_PIECE, BREAK_WORDS = 16, 6
+#: Pieces end at their mark and the blanks after it, or at a line's end.
+_BREAK = re.compile("((?<=[.!?…。！？,;])\\s+|\\s*\n\\s*)")
+_SENTENCE_ENDS = tuple(".!?…。！？")
+_BLANKS = re.compile("(\\s+)")
 _SPAN_SCHEMA = "doc long, h1 long, h2 long, again boolean"
 
 
-def sentences(text: str) -> tuple[list[str], list[str]]:
-    """Sentences and the blanks after each; joined in turn they are the text."""
+def pieces(text: str) -> tuple[list[str], list[str]]:
+    """Pieces and the blanks after each; joined in turn they are the text."""
     parts = _BREAK.split(text)
-    return parts[0::2], [*parts[1::2], ""]
-
-
-def _hashes(texts: list[list[str]]):
-    """Of all sentences of the texts: document number, two 64-bit hashes, words.  Blank ones have no words."""
-    flat = [" ".join(s.lower().split()) for t in texts for s in t]
-    doc = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    both = b"".join([xxhash.xxh3_128_digest(s) for s in flat])
-    both = np.frombuffer(both, np.uint64).reshape(-1, 2)
-    words = np.array([s.count(" ") + 1 if s else 0 for s in flat], np.int64)
-    return doc, both, words
-
-
-def runs(texts: list[list[str]], run: int = RUN, many: int = MANY_WORDS, least: int = LEAST_WORDS):
-    """All runs: document number, first sentence, last sentence, h1, h2.
-
-    Blank sentences lie between, not in, runs: a run may reach over them.
+    parts, blanks = parts[0::2], [*parts[1::2], ""]
+    if not any(len(p) > 2 * LONG_PIECE for p in parts):
+        return parts, blanks
+    out, after = [], []
+    for p, b in zip(parts, blanks, strict=True):
+        if len(p) > 2 * LONG_PIECE:
+            words = _BLANKS.split(p)
+            if len(words) > 2 * LONG_PIECE:
+                begin = 0
+                for i in range(0, len(words) - 2, 2):
+                    if zlib.crc32(words[i].lower().encode("utf-8", "replace")) % BREAK_WORDS == 0:
+                        out.append("".join(words[begin:i + 1]))
+                        after.append(words[i + 1])
+                        begin = i + 2
+                p = "".join(words[begin:])
+        out.append(p)
+        after.append(b)
+    return out, after
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    x = np.full(n, base, np.uint64)
+    x[:1] = 1
+    return np.cumprod(x, dtype=np.uint64)
+
+
+def runs(texts: list[tuple[list[str], list[str]]], run: int = RUN, many: int = MANY_WORDS, least: int = LEAST_WORDS):
+    """All runs of the texts' pieces: document number, first piece, last piece, h1, h2.
+
+    Blank pieces lie between, not in, runs: a run may reach over them.
     """
-    doc, both, words = _hashes(texts)
-    place = np.concatenate([np.arange(len(t)) for t in texts]) if texts else np.zeros(0, int)
+    flat = [" ".join(p.lower().split()) for parts, _ in texts for p in parts]
+    words = np.array([p.count(" ") + 1 if p else 0 for p in flat], np.int64)
     real = np.flatnonzero(words)
-    doc, both, words, place = doc[real], both[real], words[real], place[real]
-    out, n = [], len(doc)
-    h = np.zeros((n, 2), np.uint64)
-    total = np.zeros(n, np.int64)
-    mult = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
-    for k in range(run):
-        if n <= k:
-            break
-        m = n - k  # runs of k + 1 sentences that start at 0 .. m - 1
-        h = (h[:m] * mult + both[k:]) ^ ((h[:m] + np.uint64(k + 1)) >> np.uint64(29))
-        total = total[:m] + words[k:]
-        ok = (doc[:m] == doc[k:]) & (total >= (many if k + 1 < run else least))
-        at = np.flatnonzero(ok)
-        out.append((doc[at], place[at], place[at + k], h[at, 0], h[at, 1]))
-    if not out:
+    if not len(real):
         return tuple(np.zeros(0, np.uint64 if i > 2 else np.int64) for i in range(5))
-    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+    ends = np.array([p.endswith(_SENTENCE_ENDS) or "\n" in b for parts, blanks in texts for p, b in zip(parts, blanks, strict=True)], bool)
+    doc = np.repeat(np.arange(len(texts)), [len(parts) for parts, _ in texts])
+    place = np.concatenate([np.arange(len(parts)) for parts, _ in texts])
+    # a blank piece with a line's end closes the sentence before it
+    sentence = np.cumsum(np.append(0, ends[:-1])) + doc
+    doc, place, words, sentence = doc[real], place[real], words[real], sentence[real]
+    both = np.frombuffer(b"".join([xxhash.xxh3_128_digest(flat[i]) for i in real]), np.uint64).reshape(-1, 2)
+
+    n, upto = len(doc), np.append(0, np.cumsum(words))
+    every = np.arange(n)
+    forward = np.searchsorted(upto[1:], upto[:-1] + many)
+    back = np.searchsorted(upto[:-1], upto[1:] - many, "right") - 1
+    first = np.flatnonzero(np.append(True, (sentence[1:] != sentence[:-1]) | (doc[1:] != doc[:-1])))
+    last = np.append(first[1:], n) - 1
+    begin = np.concatenate([every, back, first[:max(len(first) - run + 1, 0)]])
+    end = np.concatenate([forward, every, last[run - 1:]])
+    ok = (begin >= 0) & (end < n)
+    begin, end = begin[ok], end[ok]
+    ok = (doc[begin] == doc[end]) & (upto[end + 1] - upto[begin] >= min(many, least))
+    pair = np.unique(begin[ok] * np.int64(n) + end[ok])
+    begin, end = pair // n, pair % n
+    h = []
+    for k, base in enumerate((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)):
+        sums = np.append(np.uint64(0), np.cumsum(both[:, k] * _powers(base, n), dtype=np.uint64))
+        h.append((sums[end + 1] - sums[begin]) * _powers(pow(base, -1, 1 << 64), n)[begin])
+    return doc[begin], place[begin], place[end], *h
 
 
 def _emit(run, many, least):
     def emit(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            doc, _, _, h1, h2 = runs([sentences(t)[0] for t in batch.column(1).to_pylist()], run, many, least)
+            doc, _, _, h1, h2 = runs([pieces(t) for t in batch.column(1).to_pylist()], run, many, least)
             order = np.lexsort((h2, h1, doc))
             doc, h1, h2 = doc[order], h1[order], h2[order]
             if not len(doc):
@@ -107,14 +138,14 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def _clean(run, many, least, names):
-    def covered(parts: list[str], everywhere, later) -> list[tuple[int, int]]:
-        _, begin, end, h1, _ = runs([parts], run, many, least)
+    def covered(parts: list[str], blanks: list[str], everywhere, later) -> list[int]:
+        _, begin, end, h1, _ = runs([(parts, blanks)], run, many, least)
         h1 = h1.view(np.int64)
         hit = np.isin(h1, np.array(everywhere or [], np.int64))
         if later:
             _, first = np.unique(h1, return_index=True)
             repeat = np.ones(len(h1), bool)
-            # of equal runs the one that begins first stays: runs of one length are in order
+            # of equal runs the one that begins first stays: runs are in order of their beginning
             repeat[first] = False
             hit |= repeat & np.isin(h1, np.array(later, np.int64))
         gone = np.zeros(len(parts) + 1, np.int64)
@@ -126,8 +157,8 @@ def _clean(run, many, least, names):
         for batch in batches:
             texts, n_all, n_gone, spans = [], [], [], []
             for text, everywhere, later in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2)), strict=True):
-                parts, blanks = sentences(text)
-                out = covered(parts, everywhere, later) if everywhere or later else []
+                parts, blanks = pieces(text)
+                out = covered(parts, blanks, everywhere, later) if everywhere or later else []
                 n_all.append(sum(bool(p.strip()) for p in parts))
                 n_gone.append(len(out))
                 dropped, taken, at = [], set(out), 0
@@ -152,7 +183,7 @@ def substring_dedup(docs: DataFrame, columns: list[str] | None = None, id_col: s
                     run: int = RUN, many: int = MANY_WORDS, least: int = LEAST_WORDS) -> DataFrame:
     """``columns`` of docs (all by default) and __text, __sentences, __removed, __spans.
 
-    __text is the text without its repeated runs, __spans lists the [begin, end) code points
+    __sentences and __removed count pieces that are not blank; __text is the text without its repeated runs, __spans lists the [begin, end) code points
     that went.  Null text is empty.  Of equal runs the one of the smallest id stays, in it
     the earliest; rows that share an id (repeated rows) count as one document, and rows
     without an id come last and are told apart by their text.  A text whose runs all repeat

@@ -214,3 +214,20 @@ def test_licences_and_nearest_folder(spark):
     plan = licenses.licence_report(docs, F.col("file"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert licenses.licence_report(docs.limit(0), F.col("file")).count() == 0
+
+
+def test_passages_pasted_in_mid_sentence_go(spark):
+    rng = random.Random(11)
+
+    def prose(n):
+        return [f"{rng.choice('abcdefgh')}{rng.randrange(10**6)}" + rng.choice(["", "", "", "", "", "", ",", ";", "."][:9 if mark else 6]) for _ in range(n)]
+    rows, passages = [], []
+    for i in range(60):
+        mark = i % 3 > 0  # a third has no marks at all
+        passage = prose(rng.randint(51, 70))
+        passages.append(passage)
+        rows += [(i, " ".join([*prose(40), *passage, *prose(40)])), (100 + i, " ".join([*prose(40), *passage, *prose(40)]))]
+    out = {r["doc_id"]: set(r["text"].split()) for r in spans.drop_repeats(frame(spark, rows)).collect()}
+    left = [sum(w in out[100 + i] for w in p) for i, p in enumerate(passages)]
+    assert all(set(p) <= out[i] for i, p in enumerate(passages))
+    assert max(left) < 51 and sum(left) <= 0.3 * sum(map(len, passages)), left
