@@ -28,8 +28,8 @@ SYMBOLS = 64
 PRIOR_WORDS = 8
 #: Quantile of the trusted perplexities of a language, and the slack on it: none.
 QUANTILE, SLACK = 0.995, 1.0
-#: One of so many trusted documents is held out to set the thresholds; languages with fewer
-#: such documents than OWN_DOCUMENTS take the threshold of all languages if that is higher.
+#: One of so many trusted documents is held out to set the thresholds; the threshold of all
+#: languages weighs as much in a language's own as OWN_DOCUMENTS of its held-out documents.
 HELD_OUT, OWN_DOCUMENTS = 5, 50
 #: Ids of trusted documents are broadcast up to so many rows; beyond, the tables are joined.
 TRUSTED_ROWS = 2_000_000
@@ -204,8 +204,8 @@ def thresholds(scored: DataFrame, quantile: float = QUANTILE, slack: float = SLA
     overall = ppl.agg(limit).first()[0]
     overall = float("inf") if overall is None else overall
     own = ppl.groupBy("lang").agg(limit.alias("own"), F.count("*").alias("n"))
-    few = F.greatest("own", F.lit(overall))
-    return own.select("lang", F.when(F.col("n") < OWN_DOCUMENTS, few).otherwise(F.col("own")).alias("threshold")), overall, average
+    blend = (F.col("n") * F.col("own") + F.lit(OWN_DOCUMENTS * overall)) / (F.col("n") + F.lit(OWN_DOCUMENTS))
+    return own.select("lang", blend.alias("threshold")), overall, average
 
 
 def classify(docs: DataFrame, labels: DataFrame, columns: list | None = None, id_col: str = "doc_id",

@@ -96,3 +96,14 @@ def test_little_junk_is_kept_and_little_clean_text_goes(spark):
     held = labels.where("doc_id % 2 = 1").collect()
     clean, junk = (np.mean([r["doc_id"] in kept for r in held if r["quality"] == q]) for q in (1, 0))
     assert clean >= 0.985 and junk <= 0.18, (clean, junk)
+
+
+def test_threshold_follows_the_number_of_documents_smoothly(spark):
+    found = {}
+    for n in (10, 49, 50, 51, 200):
+        # a rare language that is easier than the large one
+        scored = scores(spark, {"xx": n, "en": 1000})
+        limits, overall, _ = quality_lm.thresholds(scored)
+        found[n] = {r["lang"]: r["threshold"] / overall for r in limits.collect()}["xx"]
+    assert all(a < 1 for a in found.values()) and abs(found[49] - found[50]) < 0.02 and abs(found[50] - found[51]) < 0.02
+    assert found[10] > found[50] > found[200]
