@@ -3,7 +3,7 @@
 Texts break into pieces at sentence marks, line ends, commas and semicolons, and long pieces
 at words that their own hash chooses, so that a passage breaks alike wherever it stands.
 Runs are hashed: from each piece, and back from each piece, the shortest that holds enough
-words, and every three sentences.  Counts of the hashes over all documents, combined before
+words, and three sentences of fewer.  Counts of the hashes over all documents, combined before
 the shuffle, tell which runs repeat and which document has each first; the runs join these
 on their hash (AQE splits a hot one).  A piece goes when a repeated run covers it that is
 not the first of its kind.
@@ -86,11 +86,14 @@ def runs(texts: list[tuple[list[str], list[str]]], run: int = RUN, many: int = M
     back = np.searchsorted(upto[:-1], upto[1:] - many, "right") - 1
     first = np.flatnonzero(np.append(True, (sentence[1:] != sentence[:-1]) | (doc[1:] != doc[:-1])))
     last = np.append(first[1:], n) - 1
-    begin = np.concatenate([every, back, first[:max(len(first) - run + 1, 0)]])
-    end = np.concatenate([forward, every, last[run - 1:]])
+    some, till = first[:max(len(first) - run + 1, 0)], last[run - 1:]
+    total = upto[till + 1] - upto[some]
+    few = (total >= least) & (total < many)  # sentences of more words are covered by runs of pieces
+    begin = np.concatenate([every, back, some[few]])
+    end = np.concatenate([forward, every, till[few]])
     ok = (begin >= 0) & (end < n)
     begin, end = begin[ok], end[ok]
-    ok = (doc[begin] == doc[end]) & (upto[end + 1] - upto[begin] >= min(many, least))
+    ok = doc[begin] == doc[end]
     pair = np.unique(begin[ok] * np.int64(n) + end[ok])
     begin, end = pair // n, pair % n
     h = []
