@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, dart, exact, licenses, linededup, packing, quality_lm, spans, toxicity
+from . import ann, bpe, dart, exact, licenses, linededup, negatives, packing, powers, quality_lm, repair, spans, toxicity
 from .common import prepare, table
 
 
@@ -80,6 +80,25 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("__spans").alias("spans"), F.col("__text").alias("text"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation after planted damage: its faults, cheapest edits and repaired turns."""
+    damaged = repair.damage(table(spark, sf_dir, "conversations"))
+    return repair.report(repair.repair(damaged, present=F.col("present")))
+
+
+def op12_power_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document: a sequence whose length is a power of two."""
+    sequences = powers.power_sequences(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+    return sequences.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                            "offset", "bucket")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector and each of its five positives."""
+    vectors = negatives.quantised(table(spark, sf_dir, "embeddings"))
+    return negatives.mine(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline.py over documents."""
     import corpus_pipeline
@@ -95,9 +114,11 @@ def _prepared(fn):
 
 QUERIES = {f.__name__: _prepared(f) for f in (
     op1_neighbours, op2_line_dedup, op3_exact_dedup, op4_bpe, op5_toxicity, op6_licences, op7_quality,
-    op8_near_dedup, op9_packing, op10_substring_dedup, pipeline)}
+    op8_near_dedup, op9_packing, op10_substring_dedup, op11_conversation_repair,
+    op12_power_packing, op13_hard_negatives, pipeline)}
 
 ORACLE = {
+    "op13_hard_negatives": negatives.ORACLE,
     "op2_line_dedup": linededup.oracle(),
     "op3_exact_dedup": r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS cp,
