@@ -398,10 +398,10 @@ def quantised(embeddings: DataFrame) -> DataFrame:
 
 ORACLE = """
 WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-                  list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS vec
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec
            FROM embeddings
            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
              CAST(list_inner_product(a.vec, b.vec) AS BIGINT) AS score
       FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
