@@ -1,30 +1,36 @@
-"""Incremental publishing strategies on date-partitioned parquet.
+"""Incremental publishing strategies on partitioned parquet.
 
-Every strategy touches only the partitions it must:
+Every strategy touches only the partitions it must: the target is read with a predicate on
+its partition column (``PartitionFilters``), so a merge into a 100 TB table scans the days
+the batch covers, not the table.
 
-* the target is read with a predicate on its partition column (``PartitionFilters``), so
-  a merge into a 100 TB table scans the days the batch covers, not the table;
-* replaced partitions are first staged under the shared checkpoint folder and then
-  swapped in with dynamic partition overwrite — a path is never overwritten while the
-  same job reads it, and a lost executor only re-runs its own tasks;
-* partitions of an interval that end up empty are dropped as folders.
+A target is a ``SnapshotTable`` or a path.  A snapshot table publishes by one rename: readers
+see the old rows or the new ones, also if the job dies half-way.  A path is a folder of plain
+partitions: replaced ones are staged under the shared checkpoint folder, swapped in with
+dynamic partition overwrite (a path is never overwritten while the same job reads it), and
+partitions that end up empty are dropped as folders; a job that dies between these steps
+leaves some partitions new and some old.
 
 A key may move to another partition: the merges look for the batch's keys in the whole
 target (key and partition column only) and rewrite the partitions they find.  Where the
 partition column is a function of the key (e.g. the day of a pickup time inside the key),
-``keys_move=False`` leaves it at the batch's own partitions.  NULL is a partition like any other.
+``keys_move=False`` leaves it at the batch's own partitions.  NULL is a key and a partition
+like any other: a NULL key matches NULL.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+import functools
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
-from ..sinks.writers import (balanced_for_write, delete_path, drop_partitions, list_partition_values,
+from ..sinks.snapshots import SnapshotTable
+from ..sinks.writers import (NULL_PARTITION, balanced_for_write, delete_path, drop_partitions, list_partition_values,
                              path_exists)
 from .dedup import latest_per_key
 
@@ -55,57 +61,103 @@ def _once(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
-
-def _values(*frames: DataFrame) -> list:
-    """Different partition values of the frames: folder names, not rows, so they fit the driver."""
-    out = set()
+def _values(*frames: DataFrame) -> dict:
+    """Different partition values of the frames, each with its text: folder names, not rows, so they fit the driver."""
+    out = {}
     for df in frames:
-        out.update(r[0] for r in df.distinct().collect())
-    return sorted(out, key=lambda v: (v is None, str(v)))
+        (c,) = df.columns
+        out.update((r[0], r[1]) for r in df.distinct().select(c, F.col(c).cast("string")).collect())
+    return out
 
 
-def _in_partitions(partition_col: str, values: Sequence[object]):
+def _in_partitions(partition_col: str, values: Iterable[object]):
     """Partition filter that prunes folders; covers NULL."""
+    values = list(values)
     known = [v for v in values if v is not None]
     cond = F.col(partition_col).isin(known) if known else F.lit(False)
     return cond | F.col(partition_col).isNull() if len(known) < len(values) else cond
 
 
-def _touched(tgt: DataFrame, source: DataFrame, key: Sequence[str], partition_col: str, keys_move: bool) -> list:
+def _matching(rows: DataFrame, keys: DataFrame, key: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join on the key; NULL equals NULL."""
+    other = keys.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(key)]).distinct()
+    same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(key)])
+    return rows.join(other, same, how)
+
+
+def _touched(tgt: DataFrame, source: DataFrame, key: Sequence[str], partition_col: str, keys_move: bool) -> dict:
     """Partitions of the batch and, if keys can move, of the target rows with its keys."""
     own = source.select(partition_col)
     if not keys_move:
         return _values(own)
-    hit = tgt.select(*dict.fromkeys([*key, partition_col])).join(source.select(*key).distinct(), list(key), "left_semi")
+    hit = _matching(tgt.select(*dict.fromkeys([*key, partition_col])), source, key, "left_semi")
     return _values(own, hit.select(partition_col))
 
 
 def _read_target(spark: SparkSession, target_path: str, source: DataFrame, partition_col: str) -> DataFrame:
-    """The target, its partition column in the batch's type (folder names are only guessed at)."""
-    kind = source.schema[partition_col].dataType
-    return spark.read.parquet(target_path).withColumn(partition_col, F.col(partition_col).cast(kind))
-
-
-def _swap_partitions(spark: SparkSession, rows: DataFrame, target_path: str, partition_col: str,
-                     touched: Sequence[object] | None = None) -> None:
-    """Stage ``rows`` then overwrite exactly their partitions; drop touched ones left empty."""
-    stage = scratch_path(spark, "stage")
-    balanced_for_write(rows, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-    staged = spark.read.parquet(stage) if path_exists(spark, stage) else None
-    present = set(list_partition_values(spark, stage, partition_col))
-    if staged is not None and present:
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy(partition_col).parquet(target_path))
-    if touched is not None:
-        names = (NULL_PARTITION if v is None else str(v) for v in touched)
-        empty = [v for v in names if v not in present]
-        drop_partitions(spark, target_path, partition_col, empty)
-    delete_path(spark, stage)
-
-
-def merge_insert_only(spark: SparkSession, source: DataFrame, target_path: str, key: Sequence[str],
+    """The target, its partition column in the batch's type: guessed from folder names, '007' would become 7."""
+    found = spark.read.parquet(target_path).schema
+    kinds = [source.schema[f.name] if f.name == partition_col else f for f in found.fields]
+    return spark.read.schema(T.StructType(kinds)).parquet(target_path)
+
+
+class FolderTable:
+    """A folder of plain partitions behind the same methods as ``SnapshotTable``."""
+
+    def __init__(self, spark: SparkSession, path: str, partition_col: str | None):
+        self.spark, self.path, self.partition_col = spark, path, partition_col
+
+    def exists(self) -> bool:
+        if self.partition_col:
+            return bool(list_partition_values(self.spark, self.path, self.partition_col))
+        return path_exists(self.spark, self.path)
+
+    def read_as(self, source: DataFrame) -> DataFrame:
+        if self.partition_col:
+            return _read_target(self.spark, self.path, source, self.partition_col)
+        return self.spark.read.parquet(self.path)
+
+    def append(self, rows: DataFrame) -> None:
+        append(rows, self.path, self.partition_col)
+
+    def replace(self, rows: DataFrame, values: Iterable[str | None]) -> None:
+        """Stage ``rows`` then overwrite exactly their partitions; drop touched ones left empty."""
+        stage = scratch_path(self.spark, "stage")
+        balanced_for_write(rows, self.partition_col).write.mode("overwrite").partitionBy(self.partition_col).parquet(stage)
+        present = set(list_partition_values(self.spark, stage, self.partition_col))
+        if present:
+            (self.spark.read.schema(rows.schema).parquet(stage).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic").partitionBy(self.partition_col).parquet(self.path))
+        drop_partitions(self.spark, self.path, self.partition_col, [v for v in values if (v or NULL_PARTITION) not in present])
+        delete_path(self.spark, stage)
+
+
+class _SnapshotTarget:
+    """A snapshot table with the writer and token of this run, if there are any."""
+
+    def __init__(self, table: SnapshotTable, run: tuple[str, int] | None):
+        self.table, self.run = table, run or (None, None)
+        self.exists = table.exists
+
+    def read_as(self, source: DataFrame) -> DataFrame:
+        return self.table.read()
+
+    def append(self, rows: DataFrame) -> None:
+        self.table.append(rows, *self.run)
+
+    def replace(self, rows: DataFrame, values: Iterable[str | None]) -> None:
+        self.table.replace(rows, values, *self.run)
+
+
+def _target(spark: SparkSession, target: str | SnapshotTable, partition_col: str | None, run: tuple[str, int] | None = None):
+    if not isinstance(target, SnapshotTable):
+        return FolderTable(spark, target, partition_col)
+    if target.partition_col != partition_col:
+        raise ValueError(f"{target.path} is partitioned by {target.partition_col}, not {partition_col}")
+    return _SnapshotTarget(target, run)
+
+
+def merge_insert_only(spark: SparkSession, source: DataFrame, target_path: str | SnapshotTable, key: Sequence[str],
                       partition_col: str | None = None, keys_move: bool = True) -> None:
     """Insert-only MERGE (M04, J04): rows whose key is absent from the target are appended.
 
@@ -115,49 +167,51 @@ def merge_insert_only(spark: SparkSession, source: DataFrame, target_path: str,
     source = _once(source)
     if source.isEmpty():
         return
-    if not path_exists(spark, target_path) or partition_col and not list_partition_values(spark, target_path, partition_col):
-        append(source, target_path, partition_col)
+    table = _target(spark, target_path, partition_col)
+    if not table.exists():
+        table.append(source)
         return
-    tgt = spark.read.parquet(target_path)
+    tgt = table.read_as(source)
     if partition_col and not keys_move:
-        tgt = _read_target(spark, target_path, source, partition_col) \
-            .filter(_in_partitions(partition_col, _values(source.select(partition_col))))
-    new = source.join(tgt.select(*key), key, "left_anti")
-    append(new, target_path, partition_col)
+        tgt = tgt.filter(_in_partitions(partition_col, _values(source.select(partition_col))))
+    table.append(_matching(source, tgt, key, "left_anti"))
 
 
-def merge_upsert(spark: SparkSession, source: DataFrame, target_path: str, key: Sequence[str],
-                 partition_col: str, order: Sequence[str] | None = None, keys_move: bool = True) -> None:
+def merge_upsert(spark: SparkSession, source: DataFrame, target_path: str | SnapshotTable, key: Sequence[str],
+                 partition_col: str, order: Sequence[str] | None = None, keys_move: bool = True,
+                 run: tuple[str, int] | None = None) -> None:
     """``merge`` upsert (M05, K14): matched keys take the source row, the rest are inserted.
 
     With ``order`` the source is first reduced to its latest row per key; without it a key
-    that occurs twice in the source is an error.
+    that occurs twice in the source is an error.  ``run`` names the writer and the number of
+    its batch: a snapshot table takes each batch once, whoever repeats it.
     """
     key = list(key)
+    if run and isinstance(target_path, SnapshotTable) and target_path.done(*run):
+        return
     src = _once(latest_per_key(source, key, order) if order else source)
     if not order and not src.groupBy(*key).count().where("count > 1").isEmpty():
         raise ValueError(f"the batch has a key {key} twice; give an order")
-    _replace(spark, src, target_path, key, partition_col, keys_move)
+    _replace(src, _target(spark, target_path, partition_col, run), key, partition_col, keys_move)
 
 
-def delete_insert(spark: SparkSession, source: DataFrame, target_path: str, key: Sequence[str],
+def delete_insert(spark: SparkSession, source: DataFrame, target_path: str | SnapshotTable, key: Sequence[str],
                   partition_col: str, keys_move: bool = True) -> None:
     """``delete+insert`` (M06): every target row whose (non-unique) key occurs in the source
     is deleted, then all source rows are inserted."""
-    _replace(spark, _once(source), target_path, list(key), partition_col, keys_move)
+    _replace(_once(source), _target(spark, target_path, partition_col), list(key), partition_col, keys_move)
 
 
-def _replace(spark: SparkSession, src: DataFrame, target_path: str, key: list[str], partition_col: str,
-             keys_move: bool) -> None:
+def _replace(src: DataFrame, table, key: list[str], partition_col: str, keys_move: bool) -> None:
     if src.isEmpty():
         return
-    if not list_partition_values(spark, target_path, partition_col):
-        append(src, target_path, partition_col)
+    if not table.exists():
+        table.append(src)
         return
-    tgt = _read_target(spark, target_path, src, partition_col)
+    tgt = table.read_as(src)
     touched = _touched(tgt, src, key, partition_col, keys_move)
-    kept = tgt.filter(_in_partitions(partition_col, touched)).join(src.select(*key).distinct(), key, "left_anti")
-    _swap_partitions(spark, kept.unionByName(src), target_path, partition_col, touched=touched)
+    kept = _matching(tgt.filter(_in_partitions(partition_col, touched)), src, key, "left_anti")
+    table.replace(kept.unionByName(src), touched.values())
 
 
 def _as_datetime(v) -> dt.datetime:
@@ -168,7 +222,7 @@ def _as_datetime(v) -> dt.datetime:
     return dt.datetime.fromisoformat(str(v))
 
 
-def time_interval_refresh(spark: SparkSession, new_rows: DataFrame, target_path: str, ts_col: str,
+def time_interval_refresh(spark: SparkSession, new_rows: DataFrame, target_path: str | SnapshotTable, ts_col: str,
                           start, end, partition_col: str, granularity: str = "timestamp") -> None:
     """``time_interval`` (M02): replace rows with ``start <= ts < end`` by the recomputed ones.
 
@@ -186,13 +240,14 @@ def time_interval_refresh(spark: SparkSession, new_rows: DataFrame, target_path:
     ts_type = new_rows.schema[ts_col].dataType
     inside = (F.col(ts_col) >= F.lit(s).cast(ts_type)) & (F.col(ts_col) < F.lit(e).cast(ts_type))
     new = _once(new_rows.filter(inside))
-    if not path_exists(spark, target_path):
-        _swap_partitions(spark, new, target_path, partition_col)
+    table = _target(spark, target_path, partition_col)
+    if not table.exists():
+        table.append(new)
         return
-    tgt = _read_target(spark, target_path, new, partition_col)
+    tgt = table.read_as(new)
     touched = _values(new.select(partition_col), tgt.filter(inside).select(partition_col))
     kept = tgt.filter(_in_partitions(partition_col, touched)).filter(~F.coalesce(inside, F.lit(False)))
-    _swap_partitions(spark, kept.unionByName(new.select(*tgt.columns)), target_path, partition_col, touched=touched)
+    table.replace(kept.unionByName(new.select(*tgt.columns)), touched.values())
 
 
 # -------------------------------------------------------------- month planning

@@ -3,16 +3,27 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import monitor as M
 from ..operators import ticks as TK
 from ..operators.dedup import latest_per_key
+from ..operators.union import concat_frames
+from ..session import scratch_path
+from ..sinks.writers import balanced_for_write, write_json_lake
 from . import bindings as B
 
 AS_OF = "2024-01-30 00:00:00"
 TICK_RETENTION_DAYS = 7
+FOCUS_SYMBOL = "CLICK/USDT"
+#: A counter of messages that starts anew after so many, as after a restart of its producer.
+COUNTER_RESETS = 500
+#: Kinds of the lake: partition columns and days kept.
+LAKE_DAYS = ("yyyy", "MM", "dd")
+RETENTION = {"ticks": (LAKE_DAYS, 7), "candles": (["candle_date"], 14), "anomalies": (LAKE_DAYS, 21)}
 
 
 def _cleaned(spark: SparkSession, sf_dir: str):
@@ -88,6 +99,54 @@ def silence_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.silence_gaps(B.tick_records(spark, sf_dir))
 
 
+def silence_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silences of two minutes or more as of a moment: ended ones, and those that still last.
+
+    One producer stopped nine hours before.
+    """
+    sent = B.tick_records(spark, sf_dir)
+    alive = (F.col("symbol") != FOCUS_SYMBOL) | (F.col("ts") <= F.timestamp_add("HOUR", F.lit(-9), F.lit(AS_OF).cast("timestamp_ntz")))
+    return M.silence_gaps(sent.filter(alive), as_of=AS_OF)
+
+
+def _counter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples of a counter per symbol that a restart sets back."""
+    return B.tick_records(spark, sf_dir).select("symbol", "ts", "event_id", (F.col("event_id") % COUNTER_RESETS).alias("sent"))
+
+
+def counter_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate and increase of the counter over two hours, every half hour."""
+    return M.counter_increase(_counter(spark, sf_dir), "sent", range_seconds=7200, step_seconds=1800)
+
+
+def counter_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps at which the counter of failures grew within six hours (O04): red ones."""
+    failures = _counter(spark, sf_dir).select("symbol", "ts", "event_id", F.floor(F.col("sent") / 7).alias("failed"))
+    out = M.counter_increase(failures, "failed", range_seconds=21600, step_seconds=3600)
+    return out.filter(F.col("increase") > 0).select("symbol", "step", "increase")
+
+
+def retention_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retention by folders (O07): ticks and anomalies by yyyy/MM/dd, candles by date with a NULL
+    partition; rows left of each kind."""
+    kept, _, _ = _cleaned(spark, sf_dir)
+    root = scratch_path(spark, "lake")
+    ticks = kept.select("event_id", "symbol", "ts", "price")
+    write_json_lake(ticks, root, "ts", "ticks")
+    write_json_lake(TK.detect_anomalies(kept).select("event_id", "symbol", "ts", "price"), root, "ts", "anomalies")
+    day = F.when(F.col("symbol") != FOCUS_SYMBOL, F.to_date("window_start"))
+    candles = TK.ohlcv(kept, "hour").withColumn("candle_date", day)
+    balanced_for_write(candles, "candle_date").write.partitionBy("candle_date").parquet(f"{root}/candles")
+    M.retain_kinds(spark, root, RETENTION, dt.date.fromisoformat(AS_OF[:10]))
+
+    def count(df: DataFrame, kind: str) -> DataFrame:
+        return df.groupBy("symbol").agg(F.count(F.lit(1)).alias("retained")).withColumn("kind", F.lit(kind))
+
+    lake = {kind: spark.read.schema("event_id long, symbol string").json(f"{root}/{kind}") for kind in ("ticks", "anomalies")}
+    parts = [count(df, kind) for kind, df in lake.items()] + [count(spark.read.parquet(f"{root}/candles"), "candles")]
+    return concat_frames(parts, ["kind", "symbol", "retained"])
+
+
 def price_drop_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticks more than 3 % below the 5-minute high."""
     kept, _, _ = _cleaned(spark, sf_dir)
@@ -107,9 +166,6 @@ def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
              .groupBy("symbol").agg(F.count(F.lit(1)).alias("retained")))
 
 
-FOCUS_SYMBOL = "CLICK/USDT"
-
-
 def latest_five_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five newest ticks of one symbol (T07): a top-k on a filtered key."""
     kept, _, _ = _cleaned(spark, sf_dir)
@@ -137,6 +193,10 @@ QUERIES = {
     "producer_counters": producer_counters,
     "error_increase": error_increase,
     "silence_gaps": silence_gaps,
+    "silence_alerts": silence_alerts,
+    "counter_rate": counter_rate,
+    "counter_alerts": counter_alerts,
+    "retention_layouts": retention_layouts,
     "price_drop_5m": price_drop_5m,
     "series_last_30m": series_last_30m,
     "retention": retention,

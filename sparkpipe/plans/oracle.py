@@ -257,6 +257,10 @@ SELECT {_OC}, unique_row_id FROM src WHERE unique_row_id NOT IN (SELECT unique_r
 SELECT {_OC} FROM tgt WHERE o_orderkey NOT IN (SELECT o_orderkey FROM src)
 UNION ALL
 SELECT {_CORRECTED} FROM src""",
+    "snapshot_time_travel": f"""WITH {HASHED}, b AS (SELECT * FROM src WHERE o_orderdate < TIMESTAMP '2000-07-01')
+SELECT {_OC} FROM tgt WHERE o_orderkey NOT IN (SELECT o_orderkey FROM b)
+UNION ALL
+SELECT {_CORRECTED} FROM b""",
     "delete_insert": f"""WITH {HASHED}, b AS (SELECT {_CORRECTED} FROM src WHERE o_orderstatus = 'O')
 SELECT {_OC} FROM tgt WHERE o_orderdate NOT IN (SELECT o_orderdate FROM b)
 UNION ALL
@@ -589,3 +593,48 @@ FROM orders GROUP BY {_SERVICE}, 2""",
     "table_copy": f"SELECT {_ORDERS} FROM orders",
 }
 ORACLE.update(SHAPING)
+
+
+# ------------------------------------------------------------ alerts, counters, retention, snapshots
+def _increase(value: str, hours: int, step: str) -> str:
+    """Rises of a counter between neighbouring samples, for each step that sees both of them."""
+    return f"""WITH {TICKS},
+c AS (SELECT symbol, ts, event_id, {value} AS v FROM tk),
+d AS (SELECT symbol, ts, v, lag(ts) OVER w AS prev_ts, lag(v) OVER w AS prev_v FROM c
+      WINDOW w AS (PARTITION BY symbol ORDER BY ts, event_id)),
+steps AS (SELECT unnest(range(TIMESTAMP '2023-12-31', TIMESTAMP '2024-02-03', INTERVAL {step})) AS step),
+inc AS (SELECT symbol, step, CAST(sum(CASE WHEN v < prev_v THEN v ELSE v - prev_v END) AS BIGINT) AS increase
+        FROM d JOIN steps ON ts <= step AND prev_ts > step - INTERVAL {hours} HOUR GROUP BY 1, 2)"""
+
+
+ORACLE.update({
+    "silence_alerts": f"""WITH {TICKS},
+alive AS (SELECT * FROM tk WHERE ts <= TIMESTAMP '2024-01-30 00:00:00'
+          AND (symbol <> 'CLICK/USDT' OR ts <= TIMESTAMP '2024-01-29 15:00:00')),
+g AS (SELECT symbol, ts, lag(ts) OVER (PARTITION BY symbol ORDER BY ts, event_id) AS prev_ts FROM alive)
+SELECT symbol, prev_ts AS gap_start, ts AS gap_end, (epoch_us(ts) - epoch_us(prev_ts)) / 1e6 AS gap_seconds
+FROM g WHERE (epoch_us(ts) - epoch_us(prev_ts)) / 1e6 >= 120
+UNION ALL
+SELECT symbol, max(ts), NULL, (epoch_us(TIMESTAMP '2024-01-30 00:00:00') - epoch_us(max(ts))) / 1e6
+FROM alive GROUP BY symbol HAVING (epoch_us(TIMESTAMP '2024-01-30 00:00:00') - epoch_us(max(ts))) / 1e6 >= 120""",
+    "counter_rate": _increase("event_id % 500", 2, "30 MINUTE") + f"""
+SELECT symbol, step, increase, {rnd('increase / 7200', 6)} AS rate_per_sec FROM inc""",
+    "counter_alerts": _increase("(event_id % 500) // 7", 6, "1 HOUR") + """
+SELECT symbol, step, increase FROM inc WHERE increase > 0""",
+    "retention_layouts": f"""WITH {TICKS}, {_ANOM},
+c AS (SELECT DISTINCT symbol, date_trunc('hour', ts) AS h FROM kept)
+SELECT 'ticks' AS kind, symbol, count(*) AS retained FROM kept WHERE CAST(ts AS DATE) >= DATE '2024-01-23' GROUP BY 2
+UNION ALL
+SELECT 'anomalies', symbol, count(*) FROM pc WHERE (p > 2.0 OR v > 500.0) AND CAST(ts AS DATE) >= DATE '2024-01-09' GROUP BY 2
+UNION ALL
+SELECT 'candles', symbol, count(*) FROM c WHERE symbol = 'CLICK/USDT' OR CAST(h AS DATE) >= DATE '2024-01-16' GROUP BY 2""",
+    "merge_upsert_by_symbol": f"""WITH {TICKS},
+t AS (SELECT CASE WHEN event_id % 100 <> 7 THEN event_id END AS tick_key, event_id, symbol, price FROM tk),
+b AS (SELECT tick_key, event_id, CASE WHEN symbol = 'VIEW/USDT' THEN '50%=VIEW: USDT' ELSE symbol END AS symbol,
+             0.0::DOUBLE AS price FROM t WHERE event_id % 2 = 0
+      UNION ALL SELECT * FROM t WHERE event_id % 100 = 7),
+latest AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY tick_key ORDER BY event_id DESC) = 1)
+SELECT * FROM t WHERE event_id % 3 <> 0 AND event_id % 2 <> 0 AND tick_key IS NOT NULL
+UNION ALL
+SELECT * FROM latest""",
+})

@@ -15,6 +15,7 @@ from ..functions.columns import round_half_up
 from ..functions.keys import row_hash
 from ..operators import incremental as inc
 from ..session import scratch_path
+from ..sinks.snapshots import SnapshotTable
 from ..sinks.writers import write_clustered
 from ..sources.files import read_table
 from . import bindings as B
@@ -25,6 +26,7 @@ HASH_COLS = ORDER_COLS                      # F01: with the amount
 SHORT_HASH_COLS = ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"]   # F02: without it
 TARGET_UNTIL = "2000-01-01"                 # target history: orders before this day
 BATCH_FROM = "1999-07-01"   # the batch overlaps the history by half a year and runs to the end of the data
+SECOND_BATCH = "2000-07-01"   # the batch's first half ends here
 INTERVAL_START, INTERVAL_END = "2024-01-10 12:00:00", "2024-01-13 06:00:00"   # mid-day bounds (M02)
 PLAN_CAP, PLAN_MAX_MONTHS, CHUNK_MONTHS = "2001-06-01", 120, 3
 
@@ -52,10 +54,14 @@ def _in(c: str, lo: str, hi: str | None = None):
 def _history_and_batch(spark: SparkSession, sf_dir: str):
     h = hashed_orders(spark, sf_dir)
     target = h.filter(F.col("o_orderdate") < F.lit(TARGET_UNTIL).cast("timestamp_ntz"))
-    batch = h.filter(_in("o_orderdate", BATCH_FROM))
-    path = scratch_path(spark, "orders_target")
-    inc.full_refresh(target, path, "order_month")
-    return path, batch
+    return target, h.filter(_in("o_orderdate", BATCH_FROM))
+
+
+def _snapshots(spark: SparkSession, rows: DataFrame, partition_col: str) -> SnapshotTable:
+    """A new snapshot table that holds ``rows``."""
+    table = SnapshotTable(spark, scratch_path(spark, "snapshots"), partition_col)
+    table.overwrite(rows)
+    return table
 
 
 def _read_back(spark: SparkSession, path: str, cols) -> DataFrame:
@@ -64,7 +70,9 @@ def _read_back(spark: SparkSession, path: str, cols) -> DataFrame:
 
 def merge_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stage -> hash -> insert-only merge (M04, M07): only unseen row hashes are appended."""
-    path, batch = _history_and_batch(spark, sf_dir)
+    history, batch = _history_and_batch(spark, sf_dir)
+    path = scratch_path(spark, "orders_target")
+    inc.full_refresh(history, path, "order_month")
     inc.merge_insert_only(spark, batch, path, ["unique_row_id"], "order_month", keys_move=False)
     return _read_back(spark, path, ORDER_COLS + ["unique_row_id"])
 
@@ -78,11 +86,39 @@ def corrected_batch(batch: DataFrame) -> DataFrame:
 
 
 def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Upsert by order key (M05): matched orders take the batch row, new ones are inserted."""
-    path, batch = _history_and_batch(spark, sf_dir)
-    inc.merge_upsert(spark, corrected_batch(batch), path, ["o_orderkey"], "order_month",
+    """Upsert by order key (M05): matched orders take the batch row, new ones are inserted.
+
+    The snapshot table shows the merge as a whole (one rename).
+    """
+    history, batch = _history_and_batch(spark, sf_dir)
+    table = _snapshots(spark, history, "order_month")
+    inc.merge_upsert(spark, corrected_batch(batch), table, ["o_orderkey"], "order_month",
                      order=["o_orderdate", "o_totalprice"])
-    return _read_back(spark, path, ORDER_COLS)
+    return table.read().select(*ORDER_COLS)
+
+
+def snapshot_time_travel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An older snapshot (M03, M05): the orders as they were between two upserts."""
+    history, batch = _history_and_batch(spark, sf_dir)
+    table = _snapshots(spark, history, "order_month")
+    first = F.col("o_orderdate") < F.lit(SECOND_BATCH).cast("timestamp_ntz")
+    for part in (batch.filter(first), batch.filter(~first)):
+        inc.merge_upsert(spark, corrected_batch(part), table, ["o_orderkey"], "order_month",
+                         order=["o_orderdate", "o_totalprice"])
+    return table.read(version=table.versions()[-2]).select(*ORDER_COLS)
+
+
+def merge_upsert_by_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upsert into partitions named by symbol (M05): names that need escaping, keys that move to
+    another symbol, and the NULL key, which is one key like any other."""
+    ticks = B.tick_records(spark, sf_dir).select(
+        F.when(F.col("event_id") % 100 != 7, F.col("event_id")).alias("tick_key"), "event_id", "symbol", "price")
+    table = _snapshots(spark, ticks.filter(F.col("event_id") % 3 != 0), "symbol")
+    moved = F.when(F.col("symbol") == "VIEW/USDT", "50%=VIEW: USDT").otherwise(F.col("symbol"))
+    batch = ticks.filter(F.col("event_id") % 2 == 0).withColumns({"symbol": moved, "price": F.lit(0.0)})
+    batch = batch.unionByName(ticks.filter(F.col("event_id") % 100 == 7))
+    inc.merge_upsert(spark, batch, table, ["tick_key"], "symbol", order=["event_id"])
+    return table.read()
 
 
 def merge_upsert_moved_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,32 +147,36 @@ def merge_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def interval_refresh_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Time-interval replace of three days in a target partitioned by month."""
-    return _interval_refresh(spark, sf_dir, F.trunc("pickup_datetime", "month"))
+    trips = B.trips(spark, sf_dir).withColumn("pickup_part", F.trunc("pickup_datetime", "month"))
+    path = scratch_path(spark, "trips_target")
+    inc.full_refresh(trips, path, "pickup_part")
+    _refresh(spark, trips, path)
+    return _read_back(spark, path, trips.columns[:-1])
 
 
 def delete_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delete+insert by order day (M06): every target order on a batch day is replaced by
     the batch's orders of that day (here only the batch's 'O' orders, re-extracted)."""
-    path, batch = _history_and_batch(spark, sf_dir)
+    history, batch = _history_and_batch(spark, sf_dir)
+    table = _snapshots(spark, history, "order_month")
     src = corrected_batch(batch.filter(F.col("o_orderstatus") == "O"))
-    inc.delete_insert(spark, src, path, ["o_orderdate"], "order_month")
-    return _read_back(spark, path, ORDER_COLS)
+    inc.delete_insert(spark, src, table, ["o_orderdate"], "order_month")
+    return table.read().select(*ORDER_COLS)
 
 
 def time_interval_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Time-interval replace with mid-day bounds (M02): trips partitioned by pickup day,
     the interval recomputed with corrected fares; edge days keep rows outside it."""
-    return _interval_refresh(spark, sf_dir, F.to_date("pickup_datetime"))
+    trips = B.trips(spark, sf_dir).withColumn("pickup_part", F.to_date("pickup_datetime"))
+    table = _snapshots(spark, trips, "pickup_part")
+    _refresh(spark, trips, table)
+    return table.read().select(*trips.columns[:-1])
 
 
-def _interval_refresh(spark: SparkSession, sf_dir: str, partition) -> DataFrame:
-    trips = B.trips(spark, sf_dir).withColumn("pickup_part", partition)
-    path = scratch_path(spark, "trips_target")
-    inc.full_refresh(trips, path, "pickup_part")
+def _refresh(spark: SparkSession, trips: DataFrame, target) -> None:
     recomputed = trips.withColumn("fare_amount", round_half_up(F.col("fare_amount") * F.lit(1.08), 2))
-    inc.time_interval_refresh(spark, recomputed, path, "pickup_datetime", INTERVAL_START, INTERVAL_END,
+    inc.time_interval_refresh(spark, recomputed, target, "pickup_datetime", INTERVAL_START, INTERVAL_END,
                               "pickup_part", granularity="timestamp")
-    return _read_back(spark, path, trips.columns[:-1])
 
 
 def months_to_process(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,6 +250,8 @@ QUERIES = {
     "row_hash": row_hash_query,
     "merge_insert_only": merge_insert_only,
     "merge_upsert": merge_upsert,
+    "snapshot_time_travel": snapshot_time_travel,
+    "merge_upsert_by_symbol": merge_upsert_by_symbol,
     "merge_upsert_moved_keys": merge_upsert_moved_keys,
     "merge_null_partition": merge_null_partition,
     "interval_refresh_monthly": interval_refresh_monthly,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import round_half_up
 from ..functions.timefn import timestamp_to_epoch_ms
 from ..session import scratch_path
+from ..sinks.snapshots import SnapshotTable
 from ..sinks.writers import make_dirs
 from ..streaming import jobs as J
 from ..streaming.sources import SENTINEL_TIME, replay, stream_source
@@ -163,15 +164,14 @@ def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly windows in update mode, upserted by (window_start, location)."""
-    target, ckpt = scratch_path(spark, "upsert_target"), scratch_path(spark, "ckpt")
+    target, ckpt = SnapshotTable(spark, scratch_path(spark, "upsert_target"), "window_date"), scratch_path(spark, "ckpt")
 
     def build(s):
         return J.tumbling(s, "1 hour").withColumn("window_date", F.to_date("window_start"))
 
     _feed(spark, ride_messages(spark, sf_dir), "_ts", J.RIDE_SCHEMA, build,
           lambda st: J.to_upsert(st, target, ["window_start", "PULocationID"], "window_date", ckpt))
-    out = spark.read.parquet(target).drop("window_date")
-    return _ntz(out, "window_start", "window_end")
+    return _ntz(target.read().drop("window_date"), "window_start", "window_end")
 
 
 def stream_ohlcv(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -140,7 +140,11 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", proper
 
 
 # ------------------------------------------------------------ partition folders
-def _fs(spark: SparkSession, path: str):
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def filesystem(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path``, the path as its class, and the JVM view."""
     jvm = spark.sparkContext._jvm
     hconf = spark._jsparkSession.sessionState().newHadoopConf()
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -148,39 +152,52 @@ def _fs(spark: SparkSession, path: str):
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p, _ = _fs(spark, path)
+    fs, p, _ = filesystem(spark, path)
     return fs.exists(p)
 
 
 def make_dirs(spark: SparkSession, path: str) -> None:
     """Create a folder (a stream's landing folder must exist before the query starts)."""
-    fs, p, _ = _fs(spark, path)
+    fs, p, _ = filesystem(spark, path)
     fs.mkdirs(p)
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Remove a folder this library created (a staging copy)."""
-    fs, p, _ = _fs(spark, path)
+    fs, p, _ = filesystem(spark, path)
     return bool(fs.exists(p) and fs.delete(p, True))
 
 
+def partition_folder(spark: SparkSession, column: str, value: object) -> str:
+    """Folder name of a partition value, written as Spark writes it (``/``, ``:``, ``=``, ``%`` ... escaped)."""
+    if value is None or value in ("", NULL_PARTITION):
+        return f"{column}={NULL_PARTITION}"
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return f"{names.escapePathName(column)}={names.escapePathName(str(value))}"
+
+
 def drop_partitions(spark: SparkSession, path: str, column: str, values: Iterable[object]) -> int:
-    """Delete ``path/column=value`` folders (partition drop for refresh and retention)."""
-    fs, root, jvm = _fs(spark, path)
+    """Delete the folders of these partition values (partition drop for refresh and retention)."""
+    fs, root, jvm = filesystem(spark, path)
     n = 0
     for v in values:
-        p = jvm.org.apache.hadoop.fs.Path(root, f"{column}={v}")
+        p = jvm.org.apache.hadoop.fs.Path(root, partition_folder(spark, column, v))
         if fs.exists(p):
             fs.delete(p, True)
             n += 1
     return n
 
 
-def list_partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
-    """Partition values present under ``path`` (folder listing, no data read)."""
-    fs, root, _ = _fs(spark, path)
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path`` (a listing, no data read)."""
+    fs, root, _ = filesystem(spark, path)
     if not fs.exists(root):
         return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory())
+
+
+def list_partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Partition values present under ``path`` as text, unescaped; ``NULL_PARTITION`` stands for NULL."""
     prefix = f"{column}="
-    return sorted(st.getPath().getName()[len(prefix):] for st in fs.listStatus(root)
-                  if st.isDirectory() and st.getPath().getName().startswith(prefix))
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    return [unescape(n[len(prefix):]) for n in list_folders(spark, path) if n.startswith(prefix)]

@@ -19,6 +19,7 @@ from ..functions.timefn import epoch_ms_to_timestamp, parse_timestamp
 from ..operators import incremental as inc
 from ..operators import ticks as TK
 from ..operators.dedup import latest_per_key
+from ..sinks.snapshots import SnapshotTable
 from ..sinks.writers import drop_partitions, write_json_lake
 from .sources import drain, stream_source, wait_all
 
@@ -161,23 +162,25 @@ def to_files(stream: DataFrame, path: str, checkpoint: str, mode: str = "append"
                   .option("path", path).option("checkpointLocation", checkpoint))
 
 
-def upsert_batches(target: str, key: list[str], partition_col: str, order: list[str] | None = None
-                   ) -> Callable[[DataFrame, int], None]:
+def upsert_batches(target: str | SnapshotTable, key: list[str], partition_col: str, order: list[str] | None = None,
+                   writer: str = "upsert") -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body for a keyed upsert sink.
 
-    Re-running a batch after a failure writes the same rows for the same keys, so the
-    sink is idempotent per ``batch_id``.
+    Re-running a batch after a failure writes the same rows for the same keys.  A snapshot
+    table also remembers the last batch of each ``writer`` and takes none twice; a NULL key
+    is one key like any other.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        inc.merge_upsert(spark, batch, target, key, partition_col, order)
+        table = SnapshotTable(spark, target.path, target.partition_col) if isinstance(target, SnapshotTable) else target
+        inc.merge_upsert(spark, batch, table, key, partition_col, order, run=(writer, batch_id))
     return run
 
 
-def to_upsert(stream: DataFrame, target: str, key: list[str], partition_col: str, checkpoint: str,
-              mode: str = "update", order: list[str] | None = None):
+def to_upsert(stream: DataFrame, target: str | SnapshotTable, key: list[str], partition_col: str, checkpoint: str,
+              mode: str = "update", order: list[str] | None = None, writer: str = "upsert"):
     return (stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-                  .foreachBatch(upsert_batches(target, key, partition_col, order)))
+                  .foreachBatch(upsert_batches(target, key, partition_col, order, writer)))
 
 
 def to_jdbc(stream: DataFrame, url: str, table: str, checkpoint: str, properties: dict | None = None):
