@@ -125,3 +125,16 @@ def test_partitioned_write_splits_hot_day_and_limits_files(spark):
     total = sum(len(v) for v in files.values())
     assert total < 8 * len(files)                              # not every task writes into every folder
     assert spark.read.parquet(path).count() == n
+
+
+def test_one_hot_minute_is_spread_by_rows(no_broadcast):
+    """All rows lie in one minute of one key: no task of the ordered scan has more than twice the mean."""
+    spark = no_broadcast
+    from sparkpipe.operators.sequence import previous_row
+    from tests.test_sequence import _hot_minute
+    n = 60_000
+    out = previous_row(_hot_minute(spark, n), ["k"], ["ts", "id"], ["v"], max_rows=500)
+    tasks = [r[1] for r in out.groupBy(F.spark_partition_id()).agg(F.count("*"), F.max("prev_v")).collect()]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(tasks) == parts and sum(tasks) == n
+    assert max(tasks) <= 2 * n / parts

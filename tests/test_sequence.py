@@ -60,3 +60,32 @@ def test_one_hot_minute_and_null_keys(spark):
     w = Window.partitionBy("k").orderBy("ts", "id")
     want = {r.id: r.p for r in df.select("id", F.lag("v").over(w).alias("p")).collect()}
     assert {r.id: r.prev_v for r in previous_row(df, ["k"], ["ts", "id"], ["v"]).collect()} == want
+
+
+def _hot_minute(spark, n=60_000):
+    """Every row in one minute of one key; half of them at one instant."""
+    base = dt.datetime(2024, 1, 1)
+    at = F.when(F.col("id") % 2 == 0, 0).otherwise(F.pmod(F.xxhash64("id"), F.lit(59_000)))
+    return spark.range(n).repartition(8).select(
+        F.lit("HOT").alias("k"), F.timestamp_add("MILLISECOND", at.cast("long"), F.lit(base).cast("timestamp_ntz")).alias("ts"),
+        "id", F.col("id").cast("double").alias("v"))
+
+
+def test_hot_minute_is_cut_by_rows(spark):
+    df = _hot_minute(spark)
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    want = df.select("id", F.lag("v").over(w).alias("p")).collect()
+    got = previous_row(df, ["k"], ["ts", "id"], ["v"], max_rows=1000)
+    assert {r.id: r.prev_v for r in got.collect()} == {r.id: r.p for r in want}
+    assert got.columns == [*df.columns, "prev_v"]
+
+
+def test_hot_hour_of_sessions_is_cut_by_rows(spark):
+    df = _hot_minute(spark, 20_000).where("id % 40 < 2")
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    new = F.coalesce(F.unix_millis(F.col("ts").cast("timestamp")) - F.unix_millis(F.lag("ts").over(w).cast("timestamp")) > 1000,
+                     F.lit(True)).cast("int")
+    want = sorted(tuple(r) for r in df.withColumn("new", new).withColumn("no", F.sum("new").over(w))
+                  .groupBy("k", "no").agg(F.min("ts"), F.count("*")).drop("no").collect())
+    out = session_windows(df, ["k"], ["ts", "id"], 1, max_rows=50)
+    assert sorted(tuple(r) for r in out.select("k", "session_start", "num_trips").collect()) == want
