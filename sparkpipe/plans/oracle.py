@@ -638,3 +638,18 @@ SELECT * FROM t WHERE event_id % 3 <> 0 AND event_id % 2 <> 0 AND tick_key IS NO
 UNION ALL
 SELECT * FROM latest""",
 })
+
+ORACLE.update({
+    "stream_anomalies_shuffled": MARKETS["tick_anomalies"],
+    "stream_silences": f"""WITH {TICKS},
+fin AS (SELECT max(ingest_ts) - INTERVAL 9 HOUR AS stopped FROM tk),
+alive AS (SELECT kept.symbol, kept.ts, kept.event_id FROM kept JOIN tk USING (event_id), fin
+          WHERE kept.symbol <> 'CLICK/USDT' OR tk.ingest_ts <= stopped),
+g AS (SELECT symbol, ts, lag(ts) OVER (PARTITION BY symbol ORDER BY ts, event_id) AS prev_ts FROM alive),
+clock AS (SELECT max(ts) AS now FROM alive)
+SELECT symbol, prev_ts AS gap_start, ts AS gap_end, (epoch_us(ts) - epoch_us(prev_ts)) / 1e6 AS gap_seconds
+FROM g WHERE (epoch_us(ts) - epoch_us(prev_ts)) / 1e6 >= 120
+UNION ALL
+SELECT symbol, max(ts), NULL, (epoch_us(any_value(now)) - epoch_us(max(ts))) / 1e6
+FROM alive, clock GROUP BY symbol HAVING (epoch_us(any_value(now)) - epoch_us(max(ts))) / 1e6 >= 120""",
+})

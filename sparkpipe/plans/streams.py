@@ -17,11 +17,10 @@ from ..functions.columns import round_half_up
 from ..functions.timefn import timestamp_to_epoch_ms
 from ..session import scratch_path
 from ..sinks.snapshots import SnapshotTable
-from ..sinks.writers import make_dirs
+from ..sinks.writers import list_partition_values, make_dirs
 from ..streaming import jobs as J
 from ..streaming.sources import SENTINEL_TIME, replay, stream_source
 from . import bindings as B
-from ..sinks.writers import JSON_TS_NTZ_FORMAT
 
 
 def ride_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,6 +194,44 @@ def stream_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _anomalies(spark, out)
 
 
+#: Longest way of a shuffled tick, in days.
+SHUFFLED_DAYS = 10
+
+
+def _shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tick messages with the time they arrive at: up to ten days late, each tick on its own."""
+    msgs = B.tick_messages(spark, sf_dir)
+    days = F.pmod(F.xxhash64("event_id"), F.lit(SHUFFLED_DAYS)).cast("int")
+    return msgs.withColumn("_arrival", F.timestamp_add("DAY", days, F.col("ingest_ts")))
+
+
+def stream_anomalies_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks that arrive out of order over several deliveries give the anomalies of the batch
+    query: they wait in the reorder buffer until the event-time clock has passed them."""
+    out, state, ckpt = (scratch_path(spark, n) for n in ("sink", "buffer", "ckpt"))
+    msgs = _shuffled(spark, sf_dir)
+    sentinel = _tick_sentinel(spark, msgs.drop("_arrival")).withColumn("_arrival", F.col("ingest_ts"))
+    _feed(spark, msgs, "_arrival", J.TICK_MESSAGE_SCHEMA, J.tick_stream, sentinel=sentinel,
+          make_writer=lambda stream: J.to_anomalies(stream, out, state, ckpt, delay_seconds=(SHUFFLED_DAYS + 1) * 86400))
+    return _anomalies(spark, out)
+
+
+def stream_silences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ended silences of the stream and those that still last at its end; one producer
+    stopped nine hours before."""
+    closed, open_now, state, ckpt = (scratch_path(spark, n) for n in ("closed", "open", "state", "ckpt"))
+    msgs = B.tick_messages(spark, sf_dir)
+    end = msgs.agg(F.max("ingest_ts")).first()[0] - dt.timedelta(hours=9)
+    sent = msgs.filter((F.col("key") != "CLICK/USDT") | (F.col("ingest_ts") <= F.lit(end)))
+    _feed(spark, sent, "ingest_ts", J.TICK_MESSAGE_SCHEMA, J.tick_stream,
+          lambda stream: J.to_silences(stream, closed, open_now, state, ckpt))
+    schema = "symbol string, gap_start timestamp, gap_end timestamp, gap_seconds double"
+    last = max(int(v) for v in list_partition_values(spark, open_now, "batch_id"))
+    out = spark.read.schema(schema).parquet(closed).drop("batch_id") \
+        .unionByName(spark.read.schema(schema).parquet(f"{open_now}/batch_id={last}"))
+    return _ntz(out, "gap_start", "gap_end")
+
+
 def _anomalies(spark: SparkSession, path: str) -> DataFrame:
     return _ntz(spark.read.schema(J.ANOMALY_SCHEMA).parquet(path).drop("batch_id"), "ts")
 
@@ -235,12 +272,7 @@ def stream_tick_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = {}
     replay(msgs, folder, "ingest_ts", sentinel=_tick_sentinel(spark, msgs),
            on_delivery=lambda: paths.update(J.run_tick_job(spark, folder, out_root, ckpt_root)))
-    schema = ("event_id long, symbol string, ts timestamp_ntz, price double, volume double, "
-              "exchange string, bid double, ask double")
-    lake = (spark.read.schema(schema).option("timestampNTZFormat", JSON_TS_NTZ_FORMAT)
-                 .json(f"{paths['lake']}/ticks"))
-    cols = ["event_id", "symbol", "ts", "price", "volume", "exchange", "bid", "ask"]
-    return lake.filter(F.col("symbol") != "SENTINEL/USDT").select(*cols)
+    return J.tick_lake(spark, paths["lake"]).read().filter(F.col("symbol") != "SENTINEL/USDT").select(*J.LAKE_COLUMNS)
 
 
 def _tick_job(spark: SparkSession, sf_dir: str) -> dict:
@@ -262,7 +294,7 @@ def stream_tick_job_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The one-minute candles of the composed job."""
     schema = ("symbol string, window_start timestamp, open double, high double, low double, close double, "
               "volume double, tick_count long")
-    return _ntz(spark.read.schema(schema).parquet(_tick_job(spark, sf_dir)["candles"]), "window_start") \
+    return _ntz(spark.read.schema(schema).parquet(_tick_job(spark, sf_dir)["candles"]).drop("batch_id"), "window_start") \
         .filter(F.col("symbol") != "SENTINEL/USDT")
 
 
@@ -287,6 +319,8 @@ QUERIES = {
     "stream_ohlcv": stream_ohlcv,
     "stream_dedup": stream_dedup,
     "stream_anomalies": stream_anomalies,
+    "stream_anomalies_shuffled": stream_anomalies_shuffled,
+    "stream_silences": stream_silences,
     "stream_latest_tick": stream_latest_tick,
     "stream_tumbling_10s": stream_tumbling_10s,
     "stream_tick_job": stream_tick_job,

@@ -16,14 +16,16 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections import Counter
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .writers import balanced_for_write, delete_path, filesystem, list_folders, partition_folder, path_exists
+from .writers import delete_path, filesystem, list_folders, partition_folder, path_exists
 
 GENERATION = "_generation"
 _VERSIONS = "_versions"
@@ -43,14 +45,23 @@ class Snapshot:
     tokens: dict = field(default_factory=dict)
 
 
+def _partition(folder: str) -> str:
+    """The partition part of a folder, without its generation."""
+    return folder.split("/", 1)[1] if "/" in folder else ""
+
+
 class SnapshotTable:
-    """A table of snapshots below ``path``, partitioned by ``partition_col`` (none: unpartitioned).
+    """A table of snapshots below ``path``, partitioned by ``partition_col`` (one column, several
+    or none); ``fmt`` and ``options`` as for Spark's readers and writers.
 
     NULL and the empty string are one partition, as in every partitioned write of Spark.
     """
 
-    def __init__(self, spark: SparkSession, path: str, partition_col: str | None = None):
+    def __init__(self, spark: SparkSession, path: str, partition_col: str | Sequence[str] | None = None,
+                 fmt: str = "parquet", options: dict | None = None):
         self.spark, self.path, self.partition_col = spark, path.rstrip("/"), partition_col
+        self.columns = [partition_col] if isinstance(partition_col, str) else list(partition_col or ())
+        self.fmt, self.options = fmt, options or {}
 
     # -- versions
     def versions(self) -> list[int]:
@@ -92,9 +103,12 @@ class SnapshotTable:
             raise ValueError(f"{self.path} has no version")
         if not found.folders:
             return self.spark.createDataFrame([], found.schema)
+        return self._rows(found, found.folders)
+
+    def _rows(self, found: Snapshot, folders: Iterable[str]) -> DataFrame:
         schema = T.StructType([*found.schema.fields, T.StructField(GENERATION, T.StringType())])
-        return (self.spark.read.schema(schema).option("basePath", self.path)
-                .parquet(*(f"{self.path}/{f}" for f in found.folders)).select(*found.schema.names))
+        return (self.spark.read.format(self.fmt).options(**self.options).schema(schema).option("basePath", self.path)
+                .load([f"{self.path}/{f}" for f in folders]).select(*found.schema.names))
 
     # -- publishing
     def append(self, rows: DataFrame, writer: str | None = None, token: int | None = None) -> int:
@@ -106,9 +120,11 @@ class SnapshotTable:
         return self._publish(rows, lambda folder: False)
 
     def replace(self, rows: DataFrame, values: Iterable[str | None], writer: str | None = None, token: int | None = None) -> int:
-        """The partitions with these values (as text) now hold ``rows``; others stay as they are."""
-        gone = {partition_folder(self.spark, self.partition_col, v) for v in values}
-        return self._publish(rows, lambda folder: folder.rsplit("/", 1)[-1] not in gone, writer, token)
+        """The partitions with these values (as text) of the one partition column now hold ``rows``;
+        others stay as they are."""
+        (column,) = self.columns
+        gone = {partition_folder(self.spark, column, v) for v in values}
+        return self._publish(rows, lambda folder: _partition(folder) not in gone, writer, token)
 
     def done(self, writer: str, token: int) -> bool:
         """Whether ``writer`` has published this or a later token: a batch that runs again changes nothing."""
@@ -119,12 +135,13 @@ class SnapshotTable:
         base = self.snapshot()
         name = f"{GENERATION}={uuid.uuid4().hex}"
         out = f"{self.path}/{name}"
-        if self.partition_col:
-            balanced_for_write(rows, self.partition_col).write.partitionBy(self.partition_col).parquet(out)
-            new = [f"{name}/{f}" for f in list_folders(self.spark, out) if f.startswith(f"{self.partition_col}=")]
-        else:
-            rows.write.parquet(out)
-            new = [name]
+        if self.columns:
+            # few files a folder, and a hot partition split across writers
+            rows = rows.repartitionByRange(*self.columns, F.xxhash64(*rows.columns))
+        rows.write.format(self.fmt).options(**self.options).partitionBy(*self.columns).save(out)
+        new = [name]
+        for column in self.columns:
+            new = [f"{f}/{part}" for f in new for part in list_folders(self.spark, f"{self.path}/{f}") if part.startswith(f"{column}=")]
         kept = [f for f in base.folders if stays(f)] if base else []
         tokens = dict(base.tokens) if base else {}
         if writer is not None:
@@ -161,17 +178,11 @@ class SnapshotTable:
         A version of its own; None if there is nothing to do.
         """
         found = self.snapshot()
-        count: dict[str, int] = {}
-        for f in found.folders if found else ():
-            part = f.rsplit("/", 1)[-1] if self.partition_col else ""
-            count[part] = count.get(part, 0) + 1
-        small = [f for f in (found.folders if found else ()) if count[f.rsplit("/", 1)[-1] if self.partition_col else ""] > most]
+        parts = Counter(_partition(f) for f in found.folders) if found else {}
+        small = {f for f in found.folders if parts[_partition(f)] > most} if found else set()
         if not small:
             return None
-        schema = T.StructType([*found.schema.fields, T.StructField(GENERATION, T.StringType())])
-        rows = self.spark.read.schema(schema).option("basePath", self.path) \
-            .parquet(*(f"{self.path}/{f}" for f in small)).select(*found.schema.names)
-        return self._publish(rows, lambda folder: folder not in small)
+        return self._publish(self._rows(found, small), lambda folder: folder not in small)
 
     def expire(self, keep: int) -> int:
         """Drop all but the latest ``keep`` versions and the generations that none of these names.

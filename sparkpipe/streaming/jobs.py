@@ -18,10 +18,10 @@ from ..functions.columns import round_half_up
 from ..functions.timefn import epoch_ms_to_timestamp, parse_timestamp
 from ..operators import incremental as inc
 from ..operators import ticks as TK
-from ..operators.dedup import latest_per_key
 from ..sinks.snapshots import SnapshotTable
-from ..sinks.writers import drop_partitions, write_json_lake
-from .sources import drain, stream_source, wait_all
+from ..sinks.writers import JSON_TS_NTZ_FORMAT
+from .sources import drain, stream_source
+from .stateful import at_once, fold_candles, judge_ticks, put, watch_silence
 
 RIDE_SCHEMA = T.StructType([
     T.StructField("trip_id", T.LongType()),
@@ -111,35 +111,25 @@ def candles(ticks: DataFrame, size: str = "1 minute", watermark: str | None = TI
                       "volume", "tick_count")
 
 
-TICK_COLUMNS = ["symbol", "ts", "event_id", "price", "volume"]
-
-
-def to_anomalies(ticks: DataFrame, path: str, state: str, checkpoint: str):
+def to_anomalies(ticks: DataFrame, path: str, state: str, checkpoint: str, delay_seconds: int = 0, late: str | None = None):
     """Previous-tick anomalies of a stream (X12) as Parquet below ``path/batch_id=n``.
 
-    Each micro-batch is the batch operator over its ticks and the last tick of every symbol
-    so far, a table of one row per symbol below ``state``; a busy symbol is split by minute
-    over many tasks, however large the batch.  Batch ``n`` reads the state that batch
-    ``n - 1`` left and writes its own, so a replayed batch gives the same rows.  A tick that
-    comes after a later one of its symbol has been stored has no known predecessor and is
-    silent; every kept tick may become the stored one (D14).
+    Each micro-batch is the batch operator over its ticks and the state of the batch before
+    (``stateful.judge_ticks``).  With ``delay_seconds`` ticks wait that long, in event time, for
+    others that come later, and are judged in order; ticks that come behind a judged one of
+    their symbol are kept below ``late`` (by default beside the state).  Every kept tick may
+    become the stored one (D14).
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.select(*TICK_COLUMNS, F.lit(False).alias("_stored"))
-        if batch_id:
-            last = spark.read.schema(rows.drop("_stored").schema).parquet(f"{state}/batch_id={batch_id - 1}")
-            rows = rows.unionByName(last.withColumn("_stored", F.lit(True)))
-        rows = rows.persist()
-        try:
-            found = TK.detect_anomalies(rows, carry=["_stored"]).filter(~F.col("_stored")).drop("_stored")
-            found.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-            (latest_per_key(rows.drop("_stored"), ["symbol"], ["ts", "event_id"])
-                .write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}"))
-        finally:
-            rows.unpersist()
-        if batch_id > 1:
-            drop_partitions(spark, state, "batch_id", [batch_id - 2])
+        judge_ticks(batch, batch_id, path, state, late or f"{state}_late", delay_seconds)
+
+    return ticks.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
+
+
+def to_silences(ticks: DataFrame, closed: str, open_now: str, state: str, checkpoint: str):
+    """Silent symbols of a stream (W05, O05): ended silences, and after each batch the ones that last."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        watch_silence(batch, batch_id, closed, open_now, state)
 
     return ticks.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
 
@@ -215,12 +205,25 @@ def console(stream: DataFrame, mode: str = "append"):
 
 
 
-def tick_fan_out(messages: DataFrame, lake_root: str, stale_path: str, rejects_path: str, checkpoint: str):
-    """One message stream split into three outputs per micro-batch (K18, X13, K15):
-    kept ticks, without re-deliveries, to the JSON lake, stale ticks and rejected messages
-    to side tables.  The messages are parsed once per batch: the judged rows are persisted
-    and released.  A batch owns the folder ``batch_id=n`` of each output, so a replayed
-    batch replaces what it wrote before."""
+LAKE_DAYS = ["yyyy", "MM", "dd"]
+LAKE_COLUMNS = ["event_id", "symbol", "ts", "price", "volume", "exchange", "bid", "ask"]
+
+
+def tick_lake(spark, path: str) -> SnapshotTable:
+    """The JSON lake of kept ticks by yyyy/MM/dd (K15), published batch by batch."""
+    return SnapshotTable(spark, path, LAKE_DAYS, "json", {"timestampNTZFormat": JSON_TS_NTZ_FORMAT})
+
+
+def tick_job(messages: DataFrame, paths: dict, state_root: str, checkpoint: str, delay_seconds: int = 30):
+    """The composed tick job (X17, K18) as one query: a batch's messages are parsed and
+    deduplicated once and feed every output.
+
+    Kept ticks go to the JSON lake, stale ones and rejected messages to side tables (X13),
+    anomalies against the previous tick (X12) and one-minute candles (X10) follow from the
+    ticks and small states; ticks too late for these are kept aside.  The lake takes each
+    batch once; the other outputs own the folder ``batch_id=n``: a batch that runs again
+    replaces what it wrote.
+    """
     checked = TK.checked_ticks(messages).withColumn("ts", F.col("ts").cast("timestamp"))
     # A rejected or stale message is its own key: only kept ticks are deduplicated (X11).
     tick = F.col("reject_reason").isNull() & ~F.col("is_stale")
@@ -232,15 +235,29 @@ def tick_fan_out(messages: DataFrame, lake_root: str, stale_path: str, rejects_p
                    .drop("_key", "_arrived"))
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        parsed = batch.withColumn("ts", F.col("ts").cast("timestamp_ntz")).persist()
+        parsed = batch.persist()
         try:
             kept, stale, rejected = TK.split_ticks(parsed)
-            write_json_lake(kept.select("event_id", "symbol", "ts", "price", "volume", "exchange", "bid", "ask"),
-                            lake_root, "ts", f"ticks/batch_id={batch_id}", mode="overwrite")
-            stale.select("event_id", "symbol", "ts", "price", "volume") \
-                .write.mode("overwrite").parquet(f"{stale_path}/batch_id={batch_id}")
-            rejected.select("event_id", "key", "reject_reason") \
-                .write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
+            # reads the stream once, before the outputs share the rows; a batch may only move the watermark
+            n, newest = parsed.agg(F.count(F.lit(1)), F.max(F.when(tick, F.unix_micros("ts")))).first()
+            if not n:
+                return
+            ntz = F.col("ts").cast("timestamp_ntz").alias("ts")
+            lake = tick_lake(batch.sparkSession, paths["lake"])
+            days = {c: F.date_format("ts", c) for c in LAKE_DAYS}
+
+            def to_lake():
+                if not lake.done("tick_job", batch_id):
+                    lake.append(kept.select(*(ntz if c == "ts" else c for c in LAKE_COLUMNS)).withColumns(days), "tick_job", batch_id)
+
+            at_once(
+                batch.sparkSession, to_lake,
+                lambda: put(stale.select("event_id", "symbol", ntz, "price", "volume"), paths["stale"], batch_id),
+                lambda: put(rejected.select("event_id", "key", "reject_reason"), paths["rejects"], batch_id),
+                lambda: judge_ticks(kept, batch_id, paths["anomalies"], f"{state_root}/last_ticks",
+                                    f"{paths['late']}/anomalies", delay_seconds),
+                lambda: fold_candles(kept, batch_id, paths["candles"], f"{state_root}/candles",
+                                     f"{paths['late']}/candles", delay_seconds, newest))
         finally:
             parsed.unpersist()
 
@@ -248,23 +265,11 @@ def tick_fan_out(messages: DataFrame, lake_root: str, stale_path: str, rejects_p
 
 
 def run_tick_job(spark, source_folder: str, out_root: str, ckpt_root: str, timeout_s: int | None = None) -> dict:
-    """The composed tick job (X17): parse -> stale -> dedup -> normalise, then ticks to the
-    lake, previous-tick anomalies and one-minute candles, as three queries over one source.
-    If one query fails or is late, all are stopped."""
-    paths = {k: f"{out_root}/{k}" for k in ("lake", "stale", "rejects", "anomalies", "candles")}
-
-    def source():
-        # Everything delivered so far is one micro-batch: a delivery spans several files.
-        return stream_source(spark, source_folder, TICK_MESSAGE_SCHEMA, max_files_per_trigger=None)
-
-    def ticks():
-        return dedup_ticks(tick_stream(source()))
-
-    writers = [
-        tick_fan_out(source(), paths["lake"], paths["stale"], paths["rejects"], f"{ckpt_root}/fan_out"),
-        to_anomalies(ticks(), paths["anomalies"], f"{out_root}/last_ticks", f"{ckpt_root}/anomalies"),
-        to_files(candles(ticks(), watermark=None), paths["candles"], f"{ckpt_root}/candles"),
-    ]
-    queries = [w.trigger(availableNow=True).start() for w in writers]
-    wait_all(queries, timeout_s)
+    """Drain the tick job: parse -> stale -> dedup -> normalise, then lake, side tables, anomalies
+    and candles.  Everything delivered so far is one micro-batch: a delivery spans several files.
+    Days of the lake that were written by more than two batches are compacted."""
+    paths = {k: f"{out_root}/{k}" for k in ("lake", "stale", "rejects", "anomalies", "candles", "late")}
+    source = stream_source(spark, source_folder, TICK_MESSAGE_SCHEMA, max_files_per_trigger=None)
+    drain(tick_job(source, paths, f"{out_root}/state", f"{ckpt_root}/tick_job"), timeout_s)
+    tick_lake(spark, paths["lake"]).compact(most=2)
     return paths
