@@ -30,7 +30,8 @@ LONG_PIECE, BREAK_WORDS = 16, 6
 _BREAK = re.compile("((?<=[.!?…。！？,;])\\s+|\\s*\n\\s*)")
 _SENTENCE_ENDS = tuple(".!?…。！？")
 _BLANKS = re.compile("(\\s+)")
-_SPAN_SCHEMA = "doc long, h1 long, h2 long, again boolean"
+#: A run's hash has 96 bits.
+_SPAN_SCHEMA = "doc long, h1 long, h2 int, again boolean"
 
 
 def pieces(text: str) -> tuple[list[str], list[str]]:
@@ -117,8 +118,8 @@ def _emit(run, many, least):
             first = np.flatnonzero(new)
             again = np.diff(np.append(first, len(doc))) > 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[doc[first]]), pa.array(h1[first].view(np.int64)), pa.array(h2[first].view(np.int64)),
-                 pa.array(again)], ["doc", "h1", "h2", "again"])
+                [pa.array(ids[doc[first]]), pa.array(h1[first].view(np.int64)),
+                 pa.array((h2[first] >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(again)], ["doc", "h1", "h2", "again"])
     return emit
 
 
