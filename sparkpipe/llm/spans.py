@@ -27,7 +27,8 @@ RUN, MANY_WORDS, LEAST_WORDS = 3, 12, 8
 #: A piece of more words than LONG_PIECE breaks after about one word in BREAK_WORDS.
 LONG_PIECE, BREAK_WORDS = 16, 6
 #: Pieces end at their mark and the blanks after it, or at a line's end.
-_BREAK = re.compile("((?<=[.!?…。！？,;])\\s+|\\s*\n\\s*)")
+_MARKS = ".!?…。！？,;"
+_BREAK = re.compile(f"[{_MARKS}]\\s+|\\s*\n\\s*")
 _SENTENCE_ENDS = tuple(".!?…。！？")
 _BLANKS = re.compile("(\\s+)")
 #: A run's hash has 96 bits.
@@ -36,13 +37,20 @@ _SPAN_SCHEMA = "doc long, h1 long, h2 int, again boolean"
 
 def pieces(text: str) -> tuple[list[str], list[str]]:
     """Pieces and the blanks after each; joined in turn they are the text."""
-    parts = _BREAK.split(text)
-    parts, blanks = parts[0::2], [*parts[1::2], ""]
+    parts, blanks, at = [], [], 0
+    for m in _BREAK.finditer(text):
+        begin, end = m.span()
+        begin += text[begin] in _MARKS
+        parts.append(text[at:begin])
+        blanks.append(text[begin:end])
+        at = end
+    parts.append(text[at:])
+    blanks.append("")
     if not any(len(p) > 2 * LONG_PIECE for p in parts):
         return parts, blanks
     out, after = [], []
     for p, b in zip(parts, blanks, strict=True):
-        if len(p) > 2 * LONG_PIECE:
+        if len(p) > 2 * LONG_PIECE and len(p.split()) >= LONG_PIECE - 1:
             words = _BLANKS.split(p)
             if len(words) > 2 * LONG_PIECE:
                 begin = 0
@@ -142,27 +150,34 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def _clean(run, many, least, names):
-    def covered(parts: list[str], blanks: list[str], everywhere, later) -> list[int]:
-        _, begin, end, h1, _ = runs([(parts, blanks)], run, many, least)
-        h1 = h1.view(np.int64)
-        hit = np.isin(h1, np.array(everywhere or [], np.int64))
-        if later:
-            _, first = np.unique(h1, return_index=True)
-            repeat = np.ones(len(h1), bool)
-            # of equal runs the one that begins first stays: runs are in order of their beginning
-            repeat[first] = False
-            hit |= repeat & np.isin(h1, np.array(later, np.int64))
-        gone = np.zeros(len(parts) + 1, np.int64)
-        np.add.at(gone, begin[hit], 1)
-        np.add.at(gone, end[hit] + 1, -1)
-        return np.flatnonzero(np.cumsum(gone[:-1]) > 0).tolist()
+    def covered(texts: list, everywhere: list, later: list) -> list[list[int]]:
+        """Pieces that go, of each text; the runs of all texts at once."""
+        out: list[list[int]] = [[] for _ in texts]
+        some = [i for i in range(len(texts)) if everywhere[i] or later[i]]
+        doc, begin, end, h1, _ = runs([texts[i] for i in some], run, many, least)
+        cuts = np.searchsorted(doc, np.arange(len(some) + 1))
+        for k, i in enumerate(some):
+            own = slice(cuts[k], cuts[k + 1])
+            h, first_piece, last_piece = h1[own].view(np.int64), begin[own], end[own]
+            hit = np.isin(h, np.array(everywhere[i] or [], np.int64))
+            if later[i]:
+                _, first = np.unique(h, return_index=True)
+                repeat = np.ones(len(h), bool)
+                # of equal runs the one that begins first stays: runs are in order of their beginning
+                repeat[first] = False
+                hit |= repeat & np.isin(h, np.array(later[i], np.int64))
+            gone = np.zeros(len(texts[i][0]) + 1, np.int64)
+            np.add.at(gone, first_piece[hit], 1)
+            np.add.at(gone, last_piece[hit] + 1, -1)
+            out[i] = np.flatnonzero(np.cumsum(gone[:-1]) > 0).tolist()
+        return out
 
     def clean(batches):
         for batch in batches:
             texts, n_all, n_gone, spans = [], [], [], []
-            for text, everywhere, later in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2)), strict=True):
-                parts, blanks = pieces(text)
-                out = covered(parts, blanks, everywhere, later) if everywhere or later else []
+            bodies, everywhere, later = (batch.column(i).to_pylist() for i in (0, 1, 2))
+            broken = [pieces(text) for text in bodies]
+            for text, (parts, blanks), out in zip(bodies, broken, covered(broken, everywhere, later), strict=True):
                 n_all.append(sum(bool(p.strip()) for p in parts))
                 n_gone.append(len(out))
                 dropped, taken, at = [], set(out), 0
