@@ -312,3 +312,27 @@ def backfill(start: dt.date, end: dt.date, chunk_months: int, job: Callable[[dt.
         for c in chunks:
             job(*c)
     return chunks
+
+
+def backfill_table(table: SnapshotTable, rows: Callable[[dt.date, dt.date], DataFrame], start: dt.date, end: dt.date,
+                   chunk_months: int, run: str, cap: dt.date | None = None) -> list[tuple[dt.date, dt.date, bool]]:
+    """A backfill that can be resumed (M09): ``rows(chunk_start, chunk_end)`` of each chunk is published once.
+
+    The first chunk replaces what the table holds, the others are added.  The table's versions
+    are the ledger: each names the last chunk of ``run`` that it holds, and is committed
+    together with the chunk's files.  The same ``run`` started again goes on behind that chunk;
+    a new ``run`` begins anew.  Returns the chunks that this call published.
+    """
+    done = []
+
+    def job(lo: dt.date, hi: dt.date, full: bool) -> None:
+        number = chunks.index((lo, hi, full))
+        if table.done(run, number):
+            return
+        (table.overwrite if full else table.append)(rows(lo, hi), run, number)
+        done.append((lo, hi, full))
+
+    chunks = backfill(start, end, chunk_months, job, cap, dry_run=True)
+    for c in chunks:
+        job(*c)
+    return done

@@ -10,13 +10,15 @@ key is pre-aggregated before the shuffle.  The result is one row per check:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sinks.snapshots import GENERATION, SnapshotTable
+
 RESULT_SCHEMA = T.StructType([
     T.StructField("check_name", T.StringType(), False),
     T.StructField("column_name", T.StringType(), False),
@@ -94,6 +96,25 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return totals.select(stacked).withColumn("passed", F.col("failures") == 0)
 
 
+def publish_checked(df: DataFrame, checks: Sequence[Check], publish: Callable[[DataFrame], object]) -> DataFrame:
+    """Publish ``df`` and return the results of row checks that ran inside the publishing job.
+
+    The checks are observed metrics of the job: the input is read once, nothing is shuffled for
+    them.  Uniqueness needs a shuffle and belongs to ``run_checks``; here it is an error.
+    ``publish`` must write exactly the frame it gets, in one job.
+    """
+    checks = list(checks)
+    if any(c.name in ("unique", "primary_key") for c in checks):
+        raise ValueError("uniqueness cannot be observed; use run_checks")
+    if not checks:
+        publish(df)
+        return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
+    seen = Observation()
+    publish(df.observe(seen, *[_row_failure(c).alias(f"c{i}") for i, c in enumerate(checks)]))
+    rows = [(c.name, ",".join(c.columns) or "*", int(seen.get[f"c{i}"] or 0)) for i, c in enumerate(checks)]
+    return df.sparkSession.createDataFrame([(*r, r[2] == 0) for r in rows], RESULT_SCHEMA)
+
+
 def custom_check(spark: SparkSession, query: str, expected, name: str = "custom", **frames: DataFrame) -> DataFrame:
     """Scalar SQL compared to an expected value (Q05); ``{name}`` in the query stands for a frame."""
     q = spark.sql(query, **frames)
@@ -152,3 +173,60 @@ def metadata_row_count(spark: SparkSession, path: str) -> DataFrame:
     for k, v in FOOTER_COUNT_CONF.items():
         own.conf.set(k, v)
     return own.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+# ------------------------------------------------------------ statistics beside a table
+_STATS = ("folder string, column string, rows long, nulls long, least_number decimal(38,9), greatest_number decimal(38,9), "
+          "least_text string, greatest_text string, sketch binary")
+#: Bits of the distinct-count sketch: an error of about 1.04 / sqrt(2^12), 1.6 %.
+SKETCH_BITS = 12
+
+
+def _statistics_table(table: SnapshotTable) -> SnapshotTable:
+    return SnapshotTable(table.spark, f"{table.path}/_statistics")
+
+
+def refresh_statistics(table: SnapshotTable, columns: Sequence[str]) -> int:
+    """Measure the folders of ``table`` that have no statistics of ``columns`` yet (Q08).
+
+    A folder of a snapshot table never changes, so it is scanned once; a publication adds only
+    its own folders.  A row per folder and column: rows, nulls, least and greatest value, and a
+    mergeable sketch of the distinct values.  Returns the folders measured.
+    """
+    found = table.snapshot()
+    stats = _statistics_table(table)
+    known = {r[0] for r in stats.read().where(F.col("column").isin(list(columns))).groupBy("folder")
+             .agg(F.count_distinct("column").alias("n")).where(F.col("n") == len(set(columns))).collect()} if stats.exists() else set()
+    new = [f for f in found.folders if f not in known] if found else []
+    if not new:
+        return 0
+    rows = table.rows_of(found, new)
+    fields = []
+    for c in columns:
+        number = isinstance(found.schema[c].dataType, T.NumericType)
+        value = F.col(c).cast("decimal(38,9)") if number else F.col(c).cast("string")
+        none = F.lit(None).cast("string" if number else "decimal(38,9)")
+        least, greatest = F.min(value), F.max(value)
+        numbers, texts = ((least, greatest), (none, none)) if number else ((none, none), (least, greatest))
+        fields.append(F.struct(
+            F.lit(c).alias("column"), F.count(F.lit(1)).alias("rows"), F.count_if(F.col(c).isNull()).alias("nulls"),
+            numbers[0].alias("least_number"), numbers[1].alias("greatest_number"), texts[0].alias("least_text"),
+            texts[1].alias("greatest_text"), F.hll_sketch_agg(F.col(c).cast("string"), SKETCH_BITS).alias("sketch")))
+    name = F.col("_metadata.file_path")
+    folder = F.regexp_extract(name, f"({GENERATION}=.*)/[^/]*$", 1)
+    # the names as Spark writes them: a path shows them encoded once more
+    measured = (rows.withColumn("folder", F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))))
+                    .groupBy("folder").agg(F.array(*fields).alias("found")).select("folder", F.inline("found")))
+    stats.append(measured)
+    return len(new)
+
+
+def statistics_of(table: SnapshotTable) -> DataFrame:
+    """column, rows, nulls, least, greatest (as text), distinct (an estimate) of the table, added up
+    from its folders' statistics; no data file is read."""
+    live = table.spark.createDataFrame([(f,) for f in table.snapshot().folders], "folder string")
+    parts = _statistics_table(table).read().dropDuplicates(["folder", "column"]).join(live, "folder", "left_semi")
+    text = [F.coalesce(agg(f"{side}_number").cast("string"), agg(f"{side}_text")).alias(side)
+            for side, agg in (("least", F.min), ("greatest", F.max))]
+    return parts.groupBy("column").agg(F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"), *text,
+                                       F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct"))

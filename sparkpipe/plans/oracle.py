@@ -653,3 +653,31 @@ UNION ALL
 SELECT symbol, max(ts), NULL, (epoch_us(any_value(now)) - epoch_us(max(ts))) / 1e6
 FROM alive, clock GROUP BY symbol HAVING (epoch_us(any_value(now)) - epoch_us(max(ts))) / 1e6 >= 120""",
 })
+
+ORACLE.update({
+    "month_output": """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, 'orders' AS kind, strftime(o_orderdate, '%Y-%m') AS month
+FROM orders WHERE strftime(o_orderdate, '%Y-%m') IN ('1997-01', '1997-02')""",
+    "backfill_resumed": f"SELECT {_ORDERS} FROM orders WHERE o_orderdate IS NOT NULL",
+    "checked_publish": """
+SELECT 'not_null' AS check_name, 'l_orderkey' AS column_name, count(*) FILTER (WHERE l_orderkey IS NULL) AS failures,
+       count(*) FILTER (WHERE l_orderkey IS NULL) = 0 AS passed FROM lineitem
+UNION ALL SELECT 'non_negative', 'l_tax', count(*) FILTER (WHERE l_tax < 0), count(*) FILTER (WHERE l_tax < 0) = 0 FROM lineitem
+UNION ALL SELECT 'positive', 'l_discount', count(*) FILTER (WHERE l_discount <= 0), count(*) FILTER (WHERE l_discount <= 0) = 0 FROM lineitem
+UNION ALL SELECT 'accepted_values', 'l_returnflag', count(*) FILTER (WHERE l_returnflag NOT IN ('A', 'N')),
+       count(*) FILTER (WHERE l_returnflag NOT IN ('A', 'N')) = 0 FROM lineitem
+UNION ALL SELECT 'min_rows', '*', CASE WHEN count(*) >= 1 THEN 0 ELSE 1 END, count(*) >= 1 FROM lineitem""",
+    "table_statistics": """
+WITH t AS (SELECT o_orderkey, o_totalprice, o_orderdate,
+                  CASE WHEN o_orderdate < TIMESTAMP '2000-07-01' OR o_orderkey % 5 <> 0 THEN o_orderstatus END AS o_orderstatus
+           FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderdate >= TIMESTAMP '2000-07-01')
+SELECT 'o_orderkey' AS "column", count(*) AS "rows", count(*) FILTER (WHERE o_orderkey IS NULL) AS nulls,
+       CAST(CAST(min(o_orderkey) AS DECIMAL(38,9)) AS VARCHAR) AS least, CAST(CAST(max(o_orderkey) AS DECIMAL(38,9)) AS VARCHAR) AS greatest FROM t
+UNION ALL SELECT 'o_totalprice', count(*), count(*) FILTER (WHERE o_totalprice IS NULL),
+       CAST(CAST(min(o_totalprice) AS DECIMAL(38,9)) AS VARCHAR), CAST(CAST(max(o_totalprice) AS DECIMAL(38,9)) AS VARCHAR) FROM t
+UNION ALL SELECT 'o_orderdate', count(*), count(*) FILTER (WHERE o_orderdate IS NULL),
+       strftime(min(o_orderdate), '%Y-%m-%d %H:%M:%S'), strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S') FROM t
+UNION ALL SELECT 'o_orderstatus', count(*), count(*) FILTER (WHERE o_orderstatus IS NULL), min(o_orderstatus), max(o_orderstatus) FROM t""",
+})
+
+ORACLE["stream_start_position"] = STREAMS["stream_pass_through"] + " WHERE trip_id % 2 <> 0"

@@ -18,19 +18,19 @@ from ..functions.columns import (cast_block, nan_to_null, replace_columns, renam
                                  round_half_up, safe_cast_columns, to_utc_timestamp_or_null)
 from ..functions.timefn import format_timestamp, month_start
 from ..operators import incremental as inc
-from ..operators.quality import custom_check
+from ..operators.quality import Check, custom_check, publish_checked, refresh_statistics, statistics_of
 from ..operators.ticks import symbol_path
 from ..operators.union import union_aligned
 from ..session import scratch_path
+from ..sinks.snapshots import SnapshotTable
 from ..sinks.writers import (convert_csv_to_parquet, create_table_if_not_exists, ddl_of, materialize, with_month,
                              write_parquet)
-from ..sources.files import load_many, period_paths, read_csv, read_table
+from ..sources.files import load_period, read_csv, read_table
 from . import markets
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 ORDER_CSV = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
              "o_orderdate timestamp_ntz, o_orderpriority string")
-ALL_MONTHS = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13)]   # the years of the orders table
 SERVICES = {"F": "Yellow", "O": "Green"}
 
 
@@ -47,7 +47,7 @@ def _as_csv(df: DataFrame, spark: SparkSession, **options) -> str:
 def csv_typed_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gzipped CSV with declared types and parsed dates."""
     path = _as_csv(_orders(spark, sf_dir), spark, compression="gzip")
-    return (spark.read.schema(ORDER_CSV).options(header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss").csv(path))
+    return read_csv(spark, path, ORDER_CSV, timestamp_format="yyyy-MM-dd HH:mm:ss")
 
 
 def csv_all_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,17 +79,23 @@ def _month_files(df: DataFrame, spark: SparkSession) -> str:
 
 
 def period_files_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of a period named by a template, absent months skipped (S11, S19, K06, F22), then
-    counted by month.  The period covers every month of the table."""
+    """Files named by a template (S11, S19, F22), found by one listing and read by one scan, then
+    counted by the month in their name; orders without a date have a file of their own."""
     root = _month_files(_orders(spark, sf_dir), spark)
-    paths = period_paths(root, "orders", ALL_MONTHS, "{kind}_tripdata={month}")
-    frames = []
-    for month, path in zip(ALL_MONTHS, paths, strict=True):
-        df, _ = load_many(spark, [path], ["o_orderkey", "o_totalprice"], schema=_orders(spark, sf_dir)
-                          .select("o_orderkey", "o_totalprice").schema)
-        frames.append(with_month(df, month))
-    return (union_aligned(frames).groupBy("month")
-            .agg(F.count(F.lit(1)).alias("orders"), round_half_up(F.sum("o_totalprice"), 2).alias("revenue")))
+    o, _ = load_period(spark, root, "o_orderkey bigint, o_totalprice double", "{kind}_tripdata={month}", kinds=["orders"])
+    return o.groupBy("month").agg(F.count(F.lit(1)).alias("orders"), round_half_up(F.sum("o_totalprice"), 2).alias("revenue"))
+
+
+def month_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Output of a parameterised month (K06): a month column and a file of its own, for three of
+    the months; the period reader takes the two it is asked for (S19)."""
+    o, root = _orders(spark, sf_dir), scratch_path(spark, "outputs")
+    for month in ("1996-12", "1997-01", "1997-02"):
+        rows = o.filter(format_timestamp("o_orderdate", "yyyy-MM") == month).drop("o_orderpriority")
+        write_parquet(with_month(rows, month), f"{root}/orders_tripdata_{month}.parquet")
+    out, _ = load_period(spark, root, o.drop("o_orderpriority").schema, first="1997-01", last="1997-06",
+                         expected=[f"1997-{m:02d}" for m in range(1, 7)])
+    return out
 
 
 def order_months(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,6 +207,58 @@ def backfill_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(o.schema).parquet(target)
 
 
+class _Killed(RuntimeError):
+    pass
+
+
+def backfill_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backfill that dies in its third chunk and is started again (M09): chunks that were
+    published are passed over, each order is there once."""
+    o = _orders(spark, sf_dir)
+    table = SnapshotTable(spark, scratch_path(spark, "backfill"))
+    table.overwrite(o.limit(10))                             # what the full refresh must replace
+    first, last = o.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    tries = []
+
+    def rows(start: dt.date, end: dt.date) -> DataFrame:
+        tries.append(start)
+        if len(tries) == 3:
+            raise _Killed
+        return o.filter((F.to_date("o_orderdate") >= F.lit(start)) & (F.to_date("o_orderdate") < F.lit(end)))
+
+    for _ in range(2):
+        try:
+            if first is not None:
+                inc.backfill_table(table, rows, first.date(), last.date(), 18, run="history")
+        except _Killed:
+            continue
+    return table.read()
+
+
+def checked_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks that run inside the publishing job (Q01, Q03, Q04): one pass writes and counts."""
+    li = read_table(spark, sf_dir, "lineitem")
+    checks = [Check("not_null", ["l_orderkey"]), Check("non_negative", ["l_tax"]), Check("positive", ["l_discount"]),
+              Check("accepted_values", ["l_returnflag"], values=["A", "N"]), Check("min_rows", threshold=1)]
+    target = scratch_path(spark, "checked")
+    return publish_checked(li, checks, lambda df: df.write.parquet(target))
+
+
+def table_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics kept beside a table and added up over its partitions (Q08): after an upsert only
+    the new folders are scanned."""
+    o = _orders(spark, sf_dir).withColumn("order_month", F.trunc(F.to_date("o_orderdate"), "month"))
+    table = SnapshotTable(spark, scratch_path(spark, "measured"), "order_month")
+    table.overwrite(o.filter(F.col("o_orderkey") % 3 != 0))
+    columns = ["o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus"]
+    refresh_statistics(table, columns)
+    late = o.filter(F.col("o_orderdate") >= F.lit("2000-07-01").cast("timestamp_ntz"))
+    inc.merge_upsert(spark, late.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderstatus"))),
+                     table, ["o_orderkey"], "order_month", order=["o_orderdate"])
+    refresh_statistics(table, columns)
+    return statistics_of(table).select("column", "rows", "nulls", "least", "greatest")
+
+
 def table_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table created from a frame's DDL if it is not there, filled, and copied by CTAS (K02, K08,
     K09, K11, K17).  Both tables are external; their names are dropped, their files are the result."""
@@ -238,4 +296,8 @@ QUERIES = {
     "union_service_months": union_service_months,
     "backfill_run": backfill_run,
     "table_copy": table_copy,
+    "month_output": month_output,
+    "backfill_resumed": backfill_resumed,
+    "checked_publish": checked_publish,
+    "table_statistics": table_statistics,
 }

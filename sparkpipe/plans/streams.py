@@ -143,6 +143,26 @@ def stream_from_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(spark.read.schema(stream.schema).parquet(out), "event_timestamp")
 
 
+def stream_start_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader that starts at the end of what is there: the even rides are delivered before
+    its first start, the odd ones after, week by week with a restart each time; event times
+    before the start are read as well."""
+    rides = ride_messages(spark, sf_dir)
+    folder, out, ckpt = (scratch_path(spark, n) for n in ("landing", "sink", "ckpt"))
+    position = scratch_path(spark, "position") + ".json"
+    rides.filter("trip_id % 2 = 0").drop("_ts").write.json(folder)
+
+    def read_on() -> None:
+        stream = J.pass_through(stream_source(spark, folder, J.RIDE_SCHEMA, max_files_per_trigger=None, starting="latest",
+                                              position=position))
+        J.run_to_completion(J.to_files(stream, out, ckpt))
+
+    read_on()
+    replay(rides.filter("trip_id % 2 <> 0"), folder, "_ts", on_delivery=read_on)
+    schema = "trip_id long, PULocationID int, DOLocationID int, trip_distance double, total_amount double, event_timestamp timestamp"
+    return _ntz(spark.read.schema(schema).parquet(out), "event_timestamp")
+
+
 def stream_tumbling_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """5-minute trips per location from the string pickup time."""
     out = _rides(spark, sf_dir, lambda s: J.tumbling(s, "5 minutes", clock="text"))
@@ -331,4 +351,5 @@ QUERIES = {
     "stream_late_drop": stream_late_drop,
     "stream_first_rows": stream_first_rows,
     "stream_from_latest": stream_from_latest,
+    "stream_start_position": stream_start_position,
 }

@@ -20,12 +20,11 @@ from collections import Counter
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .writers import delete_path, filesystem, list_folders, partition_folder, path_exists
+from .writers import commit_text, delete_path, list_folders, list_names, partition_folder, path_exists, read_text
 
 GENERATION = "_generation"
 _VERSIONS = "_versions"
@@ -66,10 +65,7 @@ class SnapshotTable:
     # -- versions
     def versions(self) -> list[int]:
         """Numbers of the versions, oldest first (a listing)."""
-        fs, folder, _ = filesystem(self.spark, f"{self.path}/{_VERSIONS}")
-        if not fs.exists(folder):
-            return []
-        names = (s.getPath().getName() for s in fs.listStatus(folder))
+        names = list_names(self.spark, f"{self.path}/{_VERSIONS}")
         return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
     def snapshot(self, version: int | None = None) -> Snapshot | None:
@@ -81,12 +77,7 @@ class SnapshotTable:
             version = known[-1]
         elif version not in known:
             raise ValueError(f"{self.path} has no version {version}")
-        fs, file, _ = filesystem(self.spark, self._file(version))
-        stream = fs.open(file)
-        try:
-            body = json.loads(bytes(stream.readAllBytes()))
-        finally:
-            stream.close()
+        body = json.loads(read_text(self.spark, self._file(version)))
         return Snapshot(version, T.StructType.fromJson(body["schema"]), tuple(body["folders"]), body["tokens"])
 
     def exists(self) -> bool:
@@ -103,21 +94,22 @@ class SnapshotTable:
             raise ValueError(f"{self.path} has no version")
         if not found.folders:
             return self.spark.createDataFrame([], found.schema)
-        return self._rows(found, found.folders)
+        return self.rows_of(found, found.folders).select(*found.schema.names)
 
-    def _rows(self, found: Snapshot, folders: Iterable[str]) -> DataFrame:
+    def rows_of(self, found: Snapshot, folders: Iterable[str]) -> DataFrame:
+        """Rows of some folders of a version, with their generation."""
         schema = T.StructType([*found.schema.fields, T.StructField(GENERATION, T.StringType())])
         return (self.spark.read.format(self.fmt).options(**self.options).schema(schema).option("basePath", self.path)
-                .load([f"{self.path}/{f}" for f in folders]).select(*found.schema.names))
+                .load([f"{self.path}/{f}" for f in folders]))
 
     # -- publishing
     def append(self, rows: DataFrame, writer: str | None = None, token: int | None = None) -> int:
         """Add ``rows``; a version that does not exist yet is the table's first."""
         return self._publish(rows, lambda folder: True, writer, token)
 
-    def overwrite(self, rows: DataFrame) -> int:
+    def overwrite(self, rows: DataFrame, writer: str | None = None, token: int | None = None) -> int:
         """All rows of the table are ``rows`` now."""
-        return self._publish(rows, lambda folder: False)
+        return self._publish(rows, lambda folder: False, writer, token)
 
     def replace(self, rows: DataFrame, values: Iterable[str | None], writer: str | None = None, token: int | None = None) -> int:
         """The partitions with these values (as text) of the one partition column now hold ``rows``;
@@ -151,24 +143,9 @@ class SnapshotTable:
 
     def _commit(self, snapshot: Snapshot) -> int:
         """The one step that makes a publication visible."""
-        fs, draft, jvm = filesystem(self.spark, f"{self.path}/{_VERSIONS}/.{uuid.uuid4().hex}")
         body = {"schema": snapshot.schema.jsonValue(), "folders": snapshot.folders, "tokens": snapshot.tokens}
-        out = fs.create(draft, False)
-        try:
-            out.write(bytearray(json.dumps(body).encode()))
-        finally:
-            out.close()
-        hadoop = jvm.org.apache.hadoop.fs
-        final = hadoop.Path(self._file(snapshot.version))
-        unless_there = self.spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
-        unless_there[0] = hadoop.Options.Rename.NONE
-        context = hadoop.FileContext.getFileContext(draft.toUri(), fs.getConf())
-        try:
-            context.rename(fs.makeQualified(draft), fs.makeQualified(final), unless_there)
-        except Py4JJavaError as exc:
-            if "FileAlreadyExists" in exc.java_exception.getClass().getName():
-                raise PublicationConflict(f"{self.path} has a version {snapshot.version} already") from exc
-            raise
+        if not commit_text(self.spark, self._file(snapshot.version), json.dumps(body)):
+            raise PublicationConflict(f"{self.path} has a version {snapshot.version} already")
         return snapshot.version
 
     # -- upkeep
@@ -182,7 +159,7 @@ class SnapshotTable:
         small = {f for f in found.folders if parts[_partition(f)] > most} if found else set()
         if not small:
             return None
-        return self._publish(self._rows(found, small), lambda folder: folder not in small)
+        return self._publish(self.rows_of(found, small).select(*found.schema.names), lambda folder: folder not in small)
 
     def expire(self, keep: int) -> int:
         """Drop all but the latest ``keep`` versions and the generations that none of these names.

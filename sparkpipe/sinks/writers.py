@@ -7,8 +7,10 @@ same layer Spark writes through, so the helpers work on HDFS and object stores a
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -151,6 +153,39 @@ def filesystem(spark: SparkSession, path: str):
     return p.getFileSystem(hconf), p, jvm
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    fs, p, _ = filesystem(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def commit_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file as a whole, by one rename; False (and no change) if it is there already."""
+    fs, final, jvm = filesystem(spark, path)
+    hadoop = jvm.org.apache.hadoop.fs
+    draft = hadoop.Path(final.getParent(), f".{uuid.uuid4().hex}")
+    out = fs.create(draft, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    unless_there = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    unless_there[0] = hadoop.Options.Rename.NONE
+    context = hadoop.FileContext.getFileContext(draft.toUri(), fs.getConf())
+    try:
+        context.rename(fs.makeQualified(draft), fs.makeQualified(final), unless_there)
+    except Py4JJavaError as exc:
+        fs.delete(draft, False)
+        if "FileAlreadyExists" in exc.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p, _ = filesystem(spark, path)
     return fs.exists(p)
@@ -188,6 +223,12 @@ def drop_partitions(spark: SparkSession, path: str, column: str, values: Iterabl
     return n
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in ``path`` (a listing); none if it does not exist."""
+    fs, root, _ = filesystem(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(root)) if fs.exists(root) else []
+
+
 def list_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in ``path`` (a listing, no data read)."""
     fs, root, _ = filesystem(spark, path)

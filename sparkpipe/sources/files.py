@@ -7,6 +7,7 @@ parquet scan through Catalyst, so callers simply ``select``/``filter`` afterward
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -16,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sinks.writers import NULL_PARTITION, list_names
+
 log = logging.getLogger(__name__)
 
 
@@ -55,7 +58,7 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     """
     reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
     if timestamp_format:
-        reader = reader.option("timestampFormat", timestamp_format)
+        reader = reader.option("timestampFormat", timestamp_format).option("timestampNTZFormat", timestamp_format)
     if schema is not None:
         if keep_corrupt:
             st = schema if isinstance(schema, T.StructType) else T.DataType.fromDDL(schema)
@@ -139,3 +142,57 @@ def load_many(spark: SparkSession, paths: Sequence[str], required: Sequence[str]
             raise ValueError("nothing loaded and no schema given")
         return empty_frame(spark, schema), report
     return reduce(lambda a, b: a.unionByName(b), frames), report
+
+
+def period_files(spark: SparkSession, root: str, template: str = "{kind}_tripdata_{month}.parquet", kinds: Sequence[str] | None = None,
+                 first: str | None = None, last: str | None = None) -> dict[str, tuple[str, str | None]]:
+    """Files (or folders) of ``root`` that the template names, with their kind and month (S19): one listing.
+
+    Months run from ``first`` to ``last`` (``yyyy-MM``, inclusive; open if None).  A partition
+    folder without a month (NULL) belongs to no period: it is listed, with month None, only if
+    both ends are open.
+    """
+    pattern = re.compile(_template_pattern(template))
+    found = {}
+    for name in list_names(spark, root):
+        m = pattern.fullmatch(name)
+        if m is None or kinds is not None and m["kind"] not in kinds:
+            continue
+        month = None if m["month"] == NULL_PARTITION else m["month"]
+        inside = (first is None or month >= first) and (last is None or month <= last) if month else first is last is None
+        if inside:
+            found[f"{root.rstrip('/')}/{name}"] = (m["kind"], month)
+    return found
+
+
+def _template_pattern(template: str) -> str:
+    month = rf"(?P<month>\d{{4}}-\d{{2}}|{NULL_PARTITION})"
+    return re.escape(template).replace(r"\{kind\}", r"(?P<kind>[^/]+?)").replace(r"\{month\}", month)
+
+
+def load_period(spark: SparkSession, root: str, schema: T.StructType | str, template: str = "{kind}_tripdata_{month}.parquet",
+                kinds: Sequence[str] | None = None, first: str | None = None, last: str | None = None,
+                expected: Iterable[str] = ()) -> tuple[DataFrame, LoadReport]:
+    """All files of a period by one scan (S11, S12, S19): ``schema``, and the file's kind and month.
+
+    The schema is declared, so no file is opened to plan the scan: a column that a file lacks is
+    NULL there (``load_many`` looks at each file instead).  ``expected`` months that no file
+    has are in the report; without any file the empty frame carries the schema.
+    """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    files = period_files(spark, root, template, kinds, first, last)
+    report = LoadReport(loaded=sorted(files))
+    there = {month for _, month in files.values()}
+    for month in expected:
+        if month not in there:
+            log.warning("no file of %s in %s", month, root)
+            report.skipped.append((month, "no file"))
+    labelled = T.StructType([*schema.fields, T.StructField("kind", T.StringType()), T.StructField("month", T.StringType())])
+    if not files:
+        return empty_frame(spark, labelled), report
+    pattern = _template_pattern(template).replace("?P<kind>", "").replace("?P<month>", "")
+    order = sorted((template.index("{kind}"), template.index("{month}")))
+    group = {name: order.index(template.index(f"{{{name}}}")) + 1 for name in ("kind", "month")}
+    labels = [F.nullif(F.regexp_extract("_metadata.file_path", f"/{pattern}(?:/|$)", group[c]), F.lit(NULL_PARTITION)).alias(c) for c in ("kind", "month")]
+    rows = spark.read.schema(schema).parquet(*sorted(files))
+    return rows.select(*schema.names, *labels), report

@@ -11,32 +11,57 @@ window of an append-mode query (its own window stays open and is never emitted).
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sinks.writers import commit_text, filesystem, path_exists, read_text
+
 SENTINEL_TIME = dt.datetime(2100, 1, 1)
 
 
 def stream_source(spark: SparkSession, folder: str, schema: T.StructType, fmt: str = "json",
                   max_files_per_trigger: int | None = 1, starting: str = "earliest",
-                  start_time_col: str | None = None, start_time=None) -> DataFrame:
+                  start_time_col: str | None = None, start_time=None, position: str | None = None) -> DataFrame:
     """Streaming frame over files with a declared schema.
 
-    ``starting='latest'`` keeps only rows whose ``start_time_col`` is at or after
-    ``start_time`` (S14): the file-source equivalent of starting at the topic's end.
+    ``starting='latest'`` with ``position`` starts at the end of what is there (S14): the first
+    start records its place in the file ``position``, and the files of that moment are never
+    read, also after a restart; later ones are, whatever their event times.  With
+    ``start_time_col`` it keeps the rows at or after ``start_time`` instead.
     """
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.load(folder)
+    if starting == "latest" and position is not None:
+        modified, names = start_position(spark, folder, position)
+        arrived = F.unix_millis("_metadata.file_modification_time")
+        return df.filter((arrived > modified) | ((arrived == modified) & ~F.col("_metadata.file_name").isin(names)))
     if starting == "latest" and start_time_col and start_time is not None:
         df = df.filter(F.col(start_time_col) >= F.lit(start_time))
     return df
 
 
+def start_position(spark: SparkSession, folder: str, position: str) -> tuple[int, list[str]]:
+    """Where a reader of ``folder`` began: the latest modification time (ms) of the files that were
+    there at the first start, and the names of the files of that time.
+
+    Recorded once, as a whole; whoever comes second takes the record that is there.  A file
+    that is put there later with an older modification time counts as there before.
+    """
+    if not path_exists(spark, position):
+        fs, root, _ = filesystem(spark, folder)
+        found = [(st.getModificationTime(), st.getPath().getName()) for st in fs.listStatus(root) if st.isFile()] if fs.exists(root) else []
+        modified = max((t for t, _ in found), default=-1)
+        commit_text(spark, position, json.dumps([modified, [n for t, n in found if t == modified]]))
+    modified, names = json.loads(read_text(spark, position))
+    return modified, names
+
+
 def replay(df: DataFrame, folder: str, ts_col: str, slice_unit: str = "week", copies: int = 1,
            late: bool = False, sentinel: DataFrame | None = None, on_delivery: Callable[[], object] | None = None) -> int:
     """Deliver ``df`` into ``folder`` as JSON, one ``slice_unit`` of ``ts_col`` at a time,
