@@ -31,6 +31,8 @@ _MARKS = ".!?…。！？,;"
 _BREAK = re.compile(f"[{_MARKS}]\\s+|\\s*\n\\s*")
 _SENTENCE_ENDS = tuple(".!?…。！？")
 _BLANKS = re.compile("(\\s+)")
+#: Blanks that one blank stands for in a hash; pieces hold no line end.
+_ODD_BLANKS = re.compile("[^\\S\n ]|  |^ | $", re.MULTILINE)
 #: A run's hash has 96 bits.
 _SPAN_SCHEMA = "doc long, h1 long, h2 int, again boolean"
 
@@ -71,12 +73,22 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(x, dtype=np.uint64)
 
 
+def _normal(parts: list[str]) -> list[str]:
+    """The pieces in lower case, one blank between words."""
+    if not parts:
+        return []
+    lower = "\n".join(parts).lower()
+    if _ODD_BLANKS.search(lower) is None:
+        return lower.split("\n")
+    return [" ".join(p.lower().split()) for p in parts]
+
+
 def runs(texts: list[tuple[list[str], list[str]]], run: int = RUN, many: int = MANY_WORDS, least: int = LEAST_WORDS):
     """All runs of the texts' pieces: document number, first piece, last piece, h1, h2.
 
     Blank pieces lie between, not in, runs: a run may reach over them.
     """
-    flat = [" ".join(p.lower().split()) for parts, _ in texts for p in parts]
+    flat = [p for parts, _ in texts for p in _normal(parts)]
     words = np.array([p.count(" ") + 1 if p else 0 for p in flat], np.int64)
     real = np.flatnonzero(words)
     if not len(real):
