@@ -221,10 +221,9 @@ def compare(pairs: DataFrame, sets: DataFrame, weighted: bool) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                     threshold: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, weighted: bool = False) -> DataFrame:
-    """One row per document: its doc key (see ``doc_key``), class_key, links.
+    """One row per document: its doc key (see ``doc_key``) and class_key, the smallest key of its class.
 
-    class_key is the smallest key of the class and ``links`` the number of different texts
-    that this text was found similar to.  With ``weighted`` the elements weigh as often as
+    Two texts are of one class if a chain of similar texts joins them.  With ``weighted`` the elements weigh as often as
     they occur, else once.  Null text is empty; texts with equal words (blank ones too) are
     copies of one class; a text shorter than a shingle is one shingle.  Similarity at the
     threshold counts.  Rows that share an id are one document; other columns play no part;
@@ -287,15 +286,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct() \
             .join(compared.select("a", "b"), ["a", "b"], "left_anti")
         more = compare(materialise(pairs, "pairs"), sets, weighted).where(F.col("s") >= threshold)
-        links = materialise(links.unionByName(more), "links")
-        labels = components(links)
+        labels = components(links.unionByName(more))
 
-    degree = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))) \
-        .groupBy("node").agg(F.count("*").alias("links"))
-    classes = copies.join(labels.withColumnRenamed("node", "rep"), "rep", "left") \
-        .join(degree.withColumnRenamed("node", "rep"), "rep", "left")
-    return signed.select("doc", "e1", "e2").join(classes, ["e1", "e2"]).select(
-        "doc", F.coalesce("label", "rep").alias("class_key"), F.coalesce("links", F.lit(0)).alias("links"))
+    classes = copies.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    return signed.select("doc", "e1", "e2").join(classes, ["e1", "e2"]).select("doc", F.coalesce("label", "rep").alias("class_key"))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -309,6 +303,6 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def class_ids(classes: DataFrame) -> DataFrame:
-    """doc_id, class_id, links, kept of ``near_duplicates``."""
-    return classes.select(key_id("doc").alias("doc_id"), key_id("class_key").alias("class_id"), "links",
+    """doc_id, class_id, kept of ``near_duplicates``."""
+    return classes.select(key_id("doc").alias("doc_id"), key_id("class_key").alias("class_id"),
                           (F.col("doc") == F.col("class_key")).alias("kept"))

@@ -64,7 +64,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document: its class of near duplicates, its links, whether it stays."""
+    """Every document: its class of near duplicates, whether it stays."""
     return dart.class_ids(dart.near_duplicates(table(spark, sf_dir, "documents")))
 
 
