@@ -101,48 +101,6 @@ def test_plan_is_never_worse_than_best_fit():
         assert unpack(rows, capacity) == n
 
 
-def brute_probability(counts, gram):
-    """Interpolated modified Kneser-Ney by the textbook recursion over count dictionaries."""
-    def p(order, gram):
-        if order == 0:
-            return 1 / quality_lm.SYMBOLS
-        table = counts[order]
-        of = [max(sum(n == k for n in table.values()), 1) for k in (1, 2, 3, 4)]
-        y = of[0] / (of[0] + 2 * of[1])
-        d = [min(max(k - (k + 1) * y * of[k] / of[k - 1], 0.05), k - 0.05) for k in (1, 2, 3)]
-        context = {g: n for g, n in table.items() if g[:-1] == gram[:-1]}
-        if not context:
-            return p(order - 1, gram[1:])
-        total = sum(context.values())
-        back = sum(d[min(n, 3) - 1] for n in context.values()) / total
-        n = table.get(gram, 0)
-        return (n - d[min(n, 3) - 1] if n else 0) / total + back * p(order - 1, gram[1:])
-    return p(quality_lm.ORDER, gram)
-
-
-def test_language_model_equals_brute_force(spark):
-    trusted = ["the cat sat on the mat.", "a cat and a hat", None, "", "the 12 mats"]
-    docs = prepare(spark).createDataFrame([(t,) for t in trusted], "text string")
-    model = quality_lm.train(docs)
-    folds, counts = quality_lm._folds(), {quality_lm.ORDER: {}}
-    for t in trusted:
-        s = [0, 0, 0, *quality_lm.symbols(t or "", folds).tolist()]
-        for i in range(3, len(s)):
-            g = tuple(s[i - 3:i + 1])
-            counts[4][g] = counts[4].get(g, 0) + 1
-    for order in (3, 2, 1):
-        counts[order] = {}
-        for g in counts[order + 1]:
-            counts[order][g[1:]] = counts[order].get(g[1:], 0) + 1
-    dense = np.exp(-model.dense().astype(np.float64))
-    assert np.allclose(dense.reshape(-1, 64).sum(1), 1, atol=1e-4)
-    for t in ("the bat", "zq 7!", "cat"):
-        s = [0, 0, 0, *quality_lm.symbols(t, folds).tolist()]
-        for i in range(3, len(s)):
-            g = tuple(s[i - 3:i + 1])
-            assert abs(dense[g[0] << 18 | g[1] << 12 | g[2] << 6 | g[3]] - brute_probability(counts, g)) < 1e-5
-
-
 def test_quality_filter_keeps_clean_and_rejects_junk(spark):
     docs, labels = (table(prepare(spark), "/root/testdata/sf0.1", n) for n in ("documents", "labels"))
     train = labels.where("doc_id % 2 = 0")
