@@ -231,3 +231,35 @@ def test_passages_pasted_in_mid_sentence_go(spark):
     left = [sum(w in out[100 + i] for w in p) for i, p in enumerate(passages)]
     assert all(set(p) <= out[i] for i, p in enumerate(passages))
     assert max(left) < 51 and sum(left) <= 0.3 * sum(map(len, passages)), left
+
+
+def test_runs_match_brute_force_on_random_texts(spark):
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(40)]
+
+    def sentence():
+        return " ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 7))) + rng.choice([".", "!", "?"])
+    pool = [sentence() for _ in range(30)]
+    texts = {i: " ".join(rng.choice(pool) if rng.random() < 0.7 else sentence() for _ in range(rng.randint(0, 30))) for i in range(40)}
+    many, seen, want = 8, {}, {}
+    for i, text in texts.items():
+        parts = [p.strip() for p in re.split(r"(?<=[.!?])\s+", text) if p.strip()]
+        gone = set()
+        size = [len(p.split()) for p in parts]
+        spans_of = [(a, next((b for b in range(a, len(parts)) if sum(size[a:b + 1]) >= many), None)) for a in range(len(parts))]
+        spans_of += [(a, len(parts) - 1) for a in range(len(parts)) if sum(size[a:]) >= many][-1:]
+        for a, b in sorted({(a, b) for a, b in spans_of if b is not None}):
+            if seen.setdefault(tuple(parts[a:b + 1]), (i, a)) != (i, a):
+                gone |= set(range(a, b + 1))
+        want[i] = [p for k, p in enumerate(parts) if k not in gone]
+    out = spans.substring_dedup(frame(spark, list(texts.items())), ["doc_id"], many=many).collect()
+    assert {r["doc_id"]: r["__text"].split() for r in out} == {i: " ".join(p).split() for i, p in want.items()}
+    assert any(r["__removed"] for r in out)
+
+
+def test_spans_with_names_of_their_own(spark):
+    names = ["doc", "body", "row", "everywhere", "later", "__text", "__removed", "__body", "__doc", "spans"]
+    passage = " ".join(f"word{i}" for i in range(60)) + "."
+    docs = prepare(spark).createDataFrame([(i, passage, *names) for i in (1, 2)], ", ".join(["doc_id long", "text string", *(f"{n} string" for n in names)]))
+    out = spans.drop_repeats(docs)
+    assert out.columns == docs.columns and [tuple(r) for r in out.orderBy("doc_id").collect()] == [(1, passage, *names), (2, "", *names)]
