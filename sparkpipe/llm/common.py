@@ -57,6 +57,14 @@ def key_id(column: str) -> Column:
     return F.when(F.col(column) < F.lit(1 << 62), F.col(column))
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back.
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_key, key_id, materialise, text_of, worker_memo
+from .common import doc_key, free_name, key_id, materialise, text_of, worker_memo
 from .components import components
 
 SHINGLE = 5
@@ -295,11 +295,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One document of each class, with all its columns: the one of the smallest id.
 
-    Rows that repeat that document's id all stay, as they are one document.
+    Rows that repeat that document's id all stay, as they are one document.  The columns may
+    have any names.
     """
+    key = free_name(docs, "__doc")
     kept = near_duplicates(docs, id_col, text_col, **options).where("doc = class_key") \
-        .select(F.col("doc").alias("__doc")).distinct()
-    return docs.join(kept, doc_key(id_col, text_col) == F.col("__doc"), "left_semi")
+        .select(F.col("doc").alias(key)).distinct()
+    return docs.join(kept, doc_key(id_col, text_col) == F.col(key), "left_semi")
 
 
 def class_ids(classes: DataFrame) -> DataFrame:

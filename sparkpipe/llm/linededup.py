@@ -7,6 +7,9 @@ in an index; each class probes the index for every length up to ``edits`` below
 the substrings whose place the edits allow (multi-match-aware selection: their shift is
 bounded from the left and from the right).  Pairs that meet are verified with the banded
 edit distance.
+
+The edits allowed follow the shorter line of a pair: ``edits`` from LEAST_CHARS on, one from
+FEW_CHARS on (a similarity of 0.8), none below.  Lines of one edit have an index of their own.
 """
 
 from __future__ import annotations
@@ -17,11 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import small_side
-from .common import doc_key, key_id, materialise, text_of
+from .common import doc_key, free_name, key_id, materialise, text_of
 
 EDITS = 2
-#: Lines below so many characters have only equal lines: their segments would be a few letters.
-LEAST_CHARS = 30
+#: Pairs whose shorter line is below LEAST_CHARS may differ by one edit; below FEW_CHARS a line has only equal lines.
+LEAST_CHARS, FEW_CHARS = 30, 5
 NEWLINE = "\n"
 #: Characters that a blank line may hold.
 BLANKS = " \t\r\f"
@@ -42,17 +45,20 @@ def _keys() -> list[Column]:
     return [F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(7), F.col("line")).alias("k2")]
 
 
-def classes(lines: DataFrame, edits: int = EDITS) -> DataFrame:
-    """k1, k2, first (doc, line_no), copies, chars, name, keys: one row per different line that is not blank.
+def classes(lines: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -> DataFrame:
+    """k1, k2, first (doc, line_no), copies, chars, name, keys, few: one row per different line that is not blank.
 
-    ``keys`` holds the line's probe hashes and ``name`` what pairs know of it; the text
-    itself does not travel.
+    ``keys`` holds the line's probe hashes, ``few`` those for one edit if the line is short,
+    and ``name`` what pairs know of it; the text itself does not travel.
     """
-    keys = F.array(*(k for k, _, _ in probe_keys(edits)))
+    short = F.col("chars").between(FEW_CHARS, least)
+    keys = F.when(F.col("chars") >= least, F.array(*(k for k, _, _ in probe_keys(edits))))
+    few = F.when(short, F.array(*(k for k, _, _ in probe_keys(1))))
     return lines.where(F.trim("line", F.lit(BLANKS)) != "").withColumn("chars", F.char_length("line")) \
-        .select(*_keys(), F.struct("doc", "line_no").alias("place"), "chars", _name().alias("name"), keys.alias("keys")) \
+        .select(*_keys(), F.struct("doc", "line_no").alias("place"), "chars", _name().alias("name"),
+                keys.alias("keys"), few.alias("few")) \
         .groupBy("k1", "k2").agg(F.min("place").alias("first"), F.count("*").alias("copies"), F.first("chars").alias("chars"),
-                                 F.first("name").alias("name"), F.first("keys").alias("keys"))
+                                 F.first("name").alias("name"), F.first("keys").alias("keys"), F.first("few").alias("few"))
 
 
 def _name() -> Column:
@@ -101,33 +107,41 @@ def probe_keys(edits: int) -> list[tuple[Column, bool, int]]:
     return out
 
 
+def _meet(keyed: DataFrame, keys: str, edits: int) -> DataFrame:
+    """x, y: names of lines that share a segment and may be within ``edits``."""
+    kinds = probe_keys(edits)
+    own = [i for i, (_, mine, _) in enumerate(kinds) if mine]
+    level = sum(delta == 0 for _, _, delta in kinds)  # keys for lines of the same length come first
+    index = keyed.select(F.col("name").alias("short"), F.explode(F.array(*(F.get(keys, F.lit(i)) for i in own))).alias("h"))
+    probe = keyed.select(F.col("name").alias("long"), F.posexplode(keys).alias("i", "h"))
+    # of two lines of the same length, which would find each other, one probes
+    turn = (F.col("short") < F.col("long")) | ((F.col("i") >= level) & (F.col("short") != F.col("long")))
+    return index.join(probe, "h").where(turn & _may_be_near("short", "long", edits)).select(
+        F.least("short", "long").alias("x"), F.greatest("short", "long").alias("y"))
+
+
 def links(distinct: DataFrame, lines: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -> DataFrame:
-    """k1, k2, own, other: both directions of every pair of different lines within ``edits``.
+    """k1, k2, own, other: both directions of every pair of different lines within the edits allowed.
 
     ``distinct`` are the classes of ``lines``; own and other are the first places of the
-    line and of the one near it.  Only the lines of a pair that meets in the index are read
+    line and of the one near it.  Only the lines of a pair that meets in an index are read
     out of the texts again.
     """
-    kinds = probe_keys(edits)
-    own = [i for i, (_, mine, _) in enumerate(kinds) if mine]
-    level = sum(delta == 0 for _, _, delta in kinds)  # keys for lines of the same length come first
-    keyed = distinct.where(F.col("chars") >= least)
-    index = keyed.select(F.col("name").alias("short"), F.explode(F.array(*(F.get("keys", F.lit(i)) for i in own))).alias("h"))
-    probe = keyed.select(F.col("name").alias("long"), F.posexplode("keys").alias("i", "h"))
-    # different lines of one name, of which the join below would know nothing
-    alike = keyed.groupBy("name").agg(F.min("k2").alias("p"), F.max("k2").alias("q"), F.min("k1").alias("r"), F.max("k1").alias("s")) \
+    # different lines of one name, of which the joins would know nothing
+    alike = distinct.where(F.col("chars") >= min(least, FEW_CHARS)).groupBy("name") \
+        .agg(F.min("k2").alias("p"), F.max("k2").alias("q"), F.min("k1").alias("r"), F.max("k1").alias("s")) \
         .where("p != q or r != s").select(F.col("name").alias("x"), F.col("name").alias("y"))
-    # of two lines of the same length, which would find each other, one probes
-    turn = (F.col("short") < F.col("long")) | ((F.col("i") >= level) & (F.col("short") != F.col("long")))
-    met = materialise(index.join(probe, "h").where(turn & _may_be_near("short", "long", edits)).select(
-        F.least("short", "long").alias("x"), F.greatest("short", "long").alias("y")).distinct().unionByName(alike), "line-pairs")
+    met = _meet(distinct.where("keys is not null"), "keys", edits).unionByName(_meet(distinct.where("few is not null"), "few", 1))
+    met = materialise(met.distinct().unionByName(alike), "line-pairs")
     names = met.select(F.col("x").alias("name")).union(met.select(F.col("y").alias("name"))).distinct()
     wanted = materialise(distinct.select("name", "k1", "k2", "first").join(names, "name"), "paired-lines")
     texts = materialise(lines.select(*_keys(), "line").join(small_side(wanted, PAIRED_LINES), ["k1", "k2"])
                         .dropDuplicates(["k1", "k2"]), "lines")
     a, b = (texts.select(F.col("name").alias(c), *(F.col(n).alias(c + n) for n in ("k1", "k2", "line", "first"))) for c in "xy")
     once = (F.col("x") != F.col("y")) | (F.struct("xk1", "xk2") < F.struct("yk1", "yk2"))
-    near = met.join(a, "x").join(b, "y").where(once & (F.levenshtein("xline", "yline", edits) >= 0))
+    allowed = F.when(F.least(F.char_length("xline"), F.char_length("yline")) < least, 1).otherwise(edits)
+    distance = F.levenshtein("xline", "yline", max(edits, 1))
+    near = met.join(a, "x").join(b, "y").where(once & (distance >= 0) & (distance <= allowed))
     ways = [F.struct(F.col(p + "k1").alias("k1"), F.col(p + "k2").alias("k2"), F.col(p + "first").alias("own"),
                      F.col(q + "first").alias("other")) for p, q in ("xy", "yx")]
     return near.select(F.explode(F.array(*ways)).alias("e")).select("e.*")
@@ -138,15 +152,15 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per line that is not blank: doc, line_no, copies, first, links, near, kept.
 
     ``first`` is the place (doc, line_no) of the first equal line, ``copies`` their number,
-    ``links`` the number of different lines within ``edits`` edits, ``near`` the place of the
-    earliest of these if it comes before ``first``.  A line is kept if it is the first of its
-    class and none of the lines within ``edits`` edits comes before.  Blank lines have no row and
-    always stay.  Null text is empty; lines shorter than ``least`` have only equal lines;
-    rows that share an id count as one document; other columns play no part; an empty table
-    gives an empty result.
+    ``links`` the number of different lines near it, ``near`` the place of the earliest of
+    these if it comes before ``first``.  Near is within ``edits`` edits, within one if the
+    shorter line has less than ``least`` characters, and equal if it has less than FEW_CHARS.
+    A line is kept if it is the first of its class and none of the lines near it comes before.
+    Blank lines have no row and always stay.  Null text is empty; rows that share an id count
+    as one document; other columns play no part; an empty table gives an empty result.
     """
     lines = lines_of(docs, id_col, text_col)
-    distinct = materialise(classes(lines, edits), "line-classes")
+    distinct = materialise(classes(lines, edits, least), "line-classes")
     near = links(distinct, lines, edits, least).groupBy("k1", "k2").agg(
         F.count("*").alias("links"), F.min(F.when(F.col("other") < F.col("own"), F.col("other"))).alias("near"))
     placed = lines.select("doc", "line_no", *_keys()).join(distinct.select("k1", "k2", "first", "copies"), ["k1", "k2"])
@@ -167,23 +181,24 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                edits: int = EDITS, least: int = LEAST_CHARS) -> DataFrame:
     """The documents without the lines that are not kept, same columns; blank lines stay.
 
-    A text that loses all its lines becomes empty, its row stays.
+    A text that loses all its lines becomes empty, its row stays.  The columns may have any names.
     """
+    key, gone = free_name(docs, "__doc"), free_name(docs, "__gone")
     masks = line_classes(docs, id_col, text_col, edits, least).where("not kept") \
-        .groupBy(F.col("doc").alias("__doc"), F.expr("line_no div 64").alias("word")) \
+        .groupBy(F.col("doc").alias(key), F.expr("line_no div 64").alias("word")) \
         .agg(F.bit_or(F.expr("shiftleft(1L, line_no % 64)")).alias("mask")) \
-        .groupBy("__doc").agg(F.map_from_entries(F.collect_list(F.struct("word", "mask"))).alias("words"),
+        .groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("word", "mask"))).alias("words"),
                               F.max("word").alias("last")) \
-        .select("__doc", F.transform(F.sequence(F.lit(0), F.col("last").cast("int")),
-                                     lambda w: F.coalesce(F.element_at("words", w.cast("long")), F.lit(0))).alias("__gone"))
-    rows = docs.join(masks, doc_key(id_col, text_col) == F.col("__doc"), "left")
+        .select(key, F.transform(F.sequence(F.lit(0), F.col("last").cast("int")),
+                                     lambda w: F.coalesce(F.element_at("words", w.cast("long")), F.lit(0))).alias(gone))
+    rows = docs.join(masks, doc_key(id_col, text_col) == F.col(key), "left")
 
     def stays(_, i):
-        bits = F.get(F.col("__gone"), F.floor(i / 64).cast("int"))
+        bits = F.get(F.col(gone), F.floor(i / 64).cast("int"))
         return F.coalesce(F.getbit(bits, i % 64), F.lit(0)) == 0
 
     cut = F.array_join(F.filter(F.split(text_of(text_col), NEWLINE, -1), stays), NEWLINE)
-    text = F.when(F.col("__gone").isNull(), text_of(text_col)).otherwise(cut)
+    text = F.when(F.col(gone).isNull(), text_of(text_col)).otherwise(cut)
     return rows.select(*(text.alias(c) if c == text_col else F.col(c) for c in docs.columns))
 
 
@@ -195,8 +210,10 @@ l AS (SELECT doc_id, unnest(range(len(s))) AS line_no, unnest(s) AS line FROM d)
 c AS (SELECT line, min((doc_id, line_no)) AS f, count(*) AS copies FROM l
       WHERE trim(translate(line, chr(9) || chr(13) || chr(12), '   ')) <> '' GROUP BY line),
 n AS (SELECT a.line, count(*) AS links, min(CASE WHEN b.f < a.f THEN b.f END) AS near FROM c a JOIN c b
-      ON a.line <> b.line AND length(a.line) >= {least} AND length(b.line) >= {least}
-      AND abs(length(a.line) - length(b.line)) <= {edits} AND levenshtein(a.line, b.line) <= {edits} GROUP BY a.line)
+      ON a.line <> b.line AND length(a.line) >= {FEW_CHARS} AND length(b.line) >= {FEW_CHARS}
+      AND abs(length(a.line) - length(b.line)) <= CASE WHEN least(length(a.line), length(b.line)) < {least} THEN 1 ELSE {edits} END
+      AND levenshtein(a.line, b.line) <= CASE WHEN least(length(a.line), length(b.line)) < {least} THEN 1 ELSE {edits} END
+      GROUP BY a.line)
 SELECT l.doc_id, l.line_no::INT AS line_no, c.copies, c.f[1] AS first_doc_id, c.f[2]::INT AS first_line_no,
        coalesce(n.links, 0) AS links, n.near[1] AS near_doc_id, n.near[2]::INT AS near_line_no,
        (l.doc_id, l.line_no) = c.f AND n.near IS NULL AS kept

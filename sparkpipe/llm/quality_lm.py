@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import small_side
 from . import word_lm
-from .common import materialise
+from .common import free_name, materialise
 
 #: Words of average text that are added to a document, so that a few words prove nothing.
 PRIOR_WORDS = 8
@@ -28,8 +28,9 @@ TRUSTED_ROWS = 2_000_000
 def trusted_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                       good: str = "quality", rows: int = TRUSTED_ROWS) -> DataFrame:
     """Documents that the labels call good; null ids and null labels trust nothing."""
-    ids = labels.where(F.col(good) == 1).select(F.col(id_col).cast("long").alias("__trusted")).distinct()
-    return docs.join(small_side(ids, rows), F.col(id_col).cast("long") == F.col("__trusted"), "left_semi")
+    name = free_name(docs, "__trusted")
+    ids = labels.where(F.col(good) == 1).select(F.col(id_col).cast("long").alias(name)).distinct()
+    return docs.join(small_side(ids, rows), F.col(id_col).cast("long") == F.col(name), "left_semi")
 
 
 def perplexity(average, prior: int = PRIOR_WORDS):
@@ -59,6 +60,21 @@ def thresholds(scored: DataFrame, quantile: float = QUANTILE, slack: float = SLA
     return own.select("lang", blend.alias("threshold")), overall, average
 
 
+def _judged(docs: DataFrame, labels: DataFrame, columns: list, id_col: str, text_col: str, lang_col: str,
+            good: str, quantile: float, slack: float) -> DataFrame:
+    """row (``columns`` in a struct, so that no name clashes), perplexity, threshold, keep."""
+    trusted, held = trusted_documents(docs, labels, id_col, good), held_out(id_col)
+    model = word_lm.train(trusted, held, text_col)
+    scored = materialise(word_lm.score(docs, trusted.where(held), model, [
+        F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), F.col(lang_col).cast("string").alias("__lang")], text_col), "scores")
+    limits, overall, average = thresholds(scored.where("__held"), quantile, slack)
+    limits = small_side(limits.select(F.col("lang").alias("__of"), F.col("threshold").alias("__own")))
+    found = scored.where("not __held").join(limits, F.col("__lang") == F.col("__of"), "left").select(
+        "row", "__n_words", perplexity(F.lit(average)).alias("perplexity"), F.coalesce(F.col("__own"), F.lit(overall)).alias("threshold"))
+    return found.select("row", "perplexity", "threshold",
+                        ((F.col("perplexity") <= F.col("threshold")) | (F.col("__n_words") == 0)).alias("keep"))
+
+
 def classify(docs: DataFrame, labels: DataFrame, columns: list | None = None, id_col: str = "doc_id",
              text_col: str = "text", lang_col: str = "lang", good: str = "quality",
              quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
@@ -67,21 +83,16 @@ def classify(docs: DataFrame, labels: DataFrame, columns: list | None = None, id
     Null text is empty; an empty text says nothing and is kept.  A language without trusted
     documents (or null) takes the threshold of all; without any trusted text held out
     everything is kept.  Repeated rows get the same answer; ties with the threshold are kept.
+    A text of any length is scored whole.  Other columns may have any name but the three.
     """
-    trusted, held = trusted_documents(docs, labels, id_col, good), held_out(id_col)
-    model = word_lm.train(trusted, held, text_col)
     columns = docs.columns if columns is None else columns
-    scored = materialise(word_lm.score(docs, trusted.where(held), model, [
-        *(F.col(c) for c in columns), F.col(lang_col).cast("string").alias("__lang")], text_col), "scores")
-    limits, overall, average = thresholds(scored.where("__held"), quantile, slack)
-    limits = small_side(limits.select(F.col("lang").alias("__of"), F.col("threshold").alias("__own")))
-    threshold = F.coalesce(F.col("__own"), F.lit(overall))
-    return (scored.where("not __held").join(limits, F.col("__lang") == F.col("__of"), "left")
-            .select(*(F.col(c) for c in columns), perplexity(F.lit(average)).alias("__perplexity"),
-                    threshold.alias("__threshold"),
-                    ((perplexity(F.lit(average)) <= threshold) | (F.col("__n_words") == 0)).alias("__keep")))
+    judged = _judged(docs, labels, columns, id_col, text_col, lang_col, good, quantile, slack)
+    return judged.select(*(F.col(f"row.`{c}`").alias(c) for c in columns),
+                         *(F.col(c).alias(f"__{c}") for c in ("perplexity", "threshold", "keep")))
 
 
-def quality_filter(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The documents that the classifier keeps, with their own columns."""
-    return classify(docs, labels, **options).where("__keep").select(*docs.columns)
+def quality_filter(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                   good: str = "quality", quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
+    """The documents that the classifier keeps, with their own columns, whatever their names."""
+    judged = _judged(docs, labels, docs.columns, id_col, text_col, lang_col, good, quantile, slack)
+    return judged.where("keep").select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))

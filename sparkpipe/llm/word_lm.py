@@ -20,6 +20,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import materialise, text_of
 
@@ -224,13 +225,12 @@ def score(docs: DataFrame, held: DataFrame | None, model: Model, columns: list,
             continue
         picked = rows.select(*columns, text_of(text_col).alias("__body"))
         names = picked.columns[:-1]
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields)
-        part = picked.mapInArrow(_numbered(odd), schema + ", __batch long")
+        part = picked.mapInArrow(_numbered(odd), T.StructType([*picked.schema.fields, T.StructField("__batch", T.LongType())]))
         marked = part if marked is None else marked.unionByName(part)
     marked = materialise(marked, "numbered")
     asked = marked.select("__body", "__batch").mapInArrow(_ask(model.shards), "shard long, batch long, keys binary")
     tables = model.tables.withColumn("shard", F.shiftrightunsigned("key", 2) % model.shards)
     answers = asked.groupBy("shard").cogroup(tables.groupBy("shard")).applyInArrow(_answer, "batch long, keys binary, values binary")
-    carried = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in marked.schema.fields[:-2])
+    found = [T.StructField("__n_words", T.LongType()), T.StructField("__nll", T.DoubleType()), T.StructField("__held", T.BooleanType())]
     return marked.groupBy("__batch").cogroup(answers.groupBy("batch")).applyInArrow(
-        _scored(model.bases, names), (carried + ", " if carried else "") + "__n_words long, __nll double, __held boolean")
+        _scored(model.bases, names), T.StructType([*marked.schema.fields[:-2], *found]))

@@ -263,3 +263,45 @@ def test_spans_with_names_of_their_own(spark):
     docs = prepare(spark).createDataFrame([(i, passage, *names) for i in (1, 2)], ", ".join(["doc_id long", "text string", *(f"{n} string" for n in names)]))
     out = spans.drop_repeats(docs)
     assert out.columns == docs.columns and [tuple(r) for r in out.orderBy("doc_id").collect()] == [(1, passage, *names), (2, "", *names)]
+
+
+def test_short_lines_allow_one_edit(spark):
+    pairs = [("newsletter.", "newsletters", 1), ("newsletter.", "newslettre.s", 0), ("abcd", "abce", 0), ("abcde", "abcdx", 1),
+             ("Subscribe to our newsletter!!", "Subscribe to our newsletter!", 1), ("x" * 29, "x" * 28 + "yz", 0),
+             ("some words that make 30 chars.", "some words that make 30 chars", 1), ("s" * 15 + "t" * 15, "s" * 16 + "t" * 16, 1)]
+    for a, b, links in pairs:
+        want = links if distance(a, b) <= (2 if min(len(a), len(b)) >= 30 else 1) else 0
+        assert want == links, (a, b)
+    docs = frame(spark, [(i, f"{a}\n\n{b}\n\n{chr(200 + i) * 3}") for i, (a, b, _) in enumerate(pairs[2:])] + [(50, "newsletters"), (51, "newsletter.")])
+    got = {(r["doc_id"], r["line_no"]): r for r in linededup.line_report(docs).collect()}
+    for i, (_, _, links) in enumerate(pairs[2:]):
+        assert got[i, 0]["kept"] and got[i, 2]["links"] == links and got[i, 2]["kept"] == (not links), (i, got[i, 2])
+    assert got[50, 0]["kept"] and not got[51, 0]["kept"]
+
+
+def test_short_and_long_lines_match_brute_force(spark):
+    rng = random.Random(9)
+    lines = set()
+    for size in (4, 5, 12, 28, 29, 30, 31, 40):
+        for _ in range(6):
+            line = "".join(rng.choice("abé d") for _ in range(size - 1)) + "z"
+            lines.add(line)
+            for edits in (1, 1, 2, 2, 3):
+                s = list(line)
+                for _ in range(edits):
+                    k = rng.randrange(len(s))
+                    rng.choice([lambda k=k, s=s: s.pop(k), lambda k=k, s=s: s.insert(k, "x"), lambda k=k, s=s: s.__setitem__(k, "y")])()
+                lines.add("".join(s))
+    lines = sorted(x for x in lines if x.strip())
+    allowed = [0 if len(x) < linededup.FEW_CHARS else 1 if len(x) < linededup.LEAST_CHARS else 2 for x in lines]
+    want = {i: sum(i != j and distance(a, b) <= min(allowed[i], allowed[j]) for j, b in enumerate(lines)) for i, a in enumerate(lines)}
+    got = linededup.line_report(frame(spark, list(enumerate(lines)))).collect()
+    assert {r["doc_id"]: r["links"] for r in got} == want and max(want.values()) > 1
+
+
+def test_line_and_near_dedup_with_names_of_their_own(spark):
+    names = ["__doc", "__gone", "__doc_", "doc", "line", "k1"]
+    text = "One line that is long enough to be compared."
+    docs = prepare(spark).createDataFrame([(i, text, *names) for i in (1, 2)], ", ".join(["doc_id long", "text string", *(f"{n} string" for n in names)]))
+    assert [tuple(r) for r in linededup.line_dedup(docs).orderBy("doc_id").collect()] == [(1, text, *names), (2, "", *names)]
+    assert [tuple(r) for r in dart.near_dedup(docs).collect()] == [(1, text, *names)]

@@ -107,3 +107,17 @@ def test_threshold_follows_the_number_of_documents_smoothly(spark):
         found[n] = {r["lang"]: r["threshold"] / overall for r in limits.collect()}["xx"]
     assert all(a < 1 for a in found.values()) and abs(found[49] - found[50]) < 0.02 and abs(found[50] - found[51]) < 0.02
     assert found[10] > found[50] > found[200]
+
+
+def test_quality_with_names_of_their_own_and_a_long_text(spark):
+    names = ["__lang", "__body", "__keep", "__batch", "__trusted", "__held", "row"]
+    long = " ".join(TRUSTED[i % 2] for i in range(20_000))
+    rows = [(i, TRUSTED[i % 2], "en", *names) for i in range(20)] + [(30, long, "en", *names), (31, None, None, *names)]
+    docs = prepare(spark).createDataFrame(rows, ", ".join(["doc_id long", "text string", "lang string", *(f"{n} string" for n in names)]))
+    labels = spark.createDataFrame([(i, 1) for i in range(20)], "doc_id long, quality int")
+    out = quality_lm.quality_filter(docs, labels)
+    assert out.columns == docs.columns and 31 in {r["doc_id"] for r in out.where("row = 'row' and __keep = '__keep'").collect()}
+    judged = {r["doc_id"]: r for r in quality_lm.classify(docs, labels, ["doc_id"]).collect()}
+    assert len(judged) == 22 and all(np.isfinite(r["__perplexity"]) for r in judged.values())
+    assert judged[30]["__perplexity"] != judged[0]["__perplexity"]
+    assert abs(judged[0]["__perplexity"] - judged[2]["__perplexity"]) < 1e-9
