@@ -6,7 +6,7 @@ the title block of a licence too long to be a template.  Each is a sparse vector
 words of the templates, weighted by how rare a word is over all documents, plus one weight
 for the words that no template has.  A text can only reach the threshold if it holds one of
 the rare words that carry a template (the rest of the template's weight falls short of it),
-so the other texts are ruled out by plain substring tests, without loss.  A licence file
+so the other texts are ruled out by their words alone, without loss.  A licence file
 licenses its directory; a document without a licence of its own takes that of its nearest
 ancestor directory that has one, by joins on the paths.
 """
@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import math
 import re
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -167,7 +166,7 @@ def anchors(words: list[tuple[int, str, int]], idf: dict[str, float], threshold:
     for parts in sorted(by.values(), key=len):
         total = sum(x for x, _ in parts)
         rest = sum(x for x, w in parts if w not in out)
-        for x, w in sorted(parts, key=lambda p: (len(p[1]) >= 4, p), reverse=True):
+        for x, w in sorted(parts, reverse=True):
             if rest < 0.999 * threshold**2 * total:
                 break
             if w not in out:
@@ -218,16 +217,17 @@ def matches(docs: DataFrame, templates: list[tuple[str, bool, str]] = TEMPLATES,
     words = template_words(templates)
     idf = inverse_frequencies(docs, sorted({w for _, w, _ in words}), text_col)
     keys = anchors(words, idf, threshold)
-    body = F.lower(text_of(text_col))
-    held = docs.where(reduce(Column.__or__, [body.contains(k) for k in keys], F.lit(False)))
-    rows = held.select(doc_key(id_col, text_col).alias("doc"), text_of(text_col).alias("body"))
     some = F.array(*map(F.lit, keys)).cast("array<string>")
-    headers = rows.select("doc", F.posexplode(_pieces(F.col("body"))).alias("unit", "body"))
+
+    def may_match(body: str) -> Column:
+        return F.arrays_overlap(F.split(F.lower(body), _SPLIT), some)
+
+    rows = docs.select(doc_key(id_col, text_col).alias("doc"), text_of(text_col).alias("body")).where(may_match("body"))
     first = F.slice(F.filter(F.split("body", "\n"), lambda line: F.trim(line) != ""), 1, max(HEADS))
     heads = [F.struct(F.lit(-k).alias("unit"), F.array_join(F.slice(first, 1, k), "\n").alias("body")) for k in HEADS]
     whole = F.struct(F.lit(-1).alias("unit"), F.col("body").alias("body"))
-    units = headers.unionByName(rows.select("doc", F.inline(F.array(whole, *heads)))) \
-        .where(F.arrays_overlap(F.split(F.lower("body"), _SPLIT), some))
+    pieces = F.transform(_pieces(F.col("body")), lambda piece, i: F.struct(i.alias("unit"), piece.alias("body")))
+    units = rows.select("doc", F.inline(F.concat(F.array(whole, *heads), pieces))).where(may_match("body"))
     return _best(spark, units.distinct(), templates, words, idf, threshold)
 
 
