@@ -228,7 +228,8 @@ def matches(docs: DataFrame, templates: list[tuple[str, bool, str]] = TEMPLATES,
     whole = F.struct(F.lit(-1).alias("unit"), F.col("body").alias("body"))
     pieces = F.transform(_pieces(F.col("body")), lambda piece, i: F.struct(i.alias("unit"), piece.alias("body")))
     units = rows.select("doc", F.inline(F.concat(F.array(whole, *heads), pieces))).where(may_match("body"))
-    return _best(spark, units.distinct(), templates, words, idf, threshold)
+    # one exchange: all that follows groups by document and unit at least
+    return _best(spark, units.repartition("doc", "unit").distinct(), templates, words, idf, threshold)
 
 
 def _folders(path: Column) -> Column:
