@@ -206,7 +206,8 @@ def sets_of(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size:
     """node, elements, counts (if weighted) of the documents named by ``nodes``; written once."""
     bodies = docs.select(doc_key(id_col, text_col).alias("node"), text_of(text_col).alias("body"))
     # merged at every size: the documents are dealt once, whatever the number of nodes
-    sets = bodies.join(nodes.select("node").distinct().hint("merge"), "node", "left_semi").dropDuplicates(["node"]).mapInArrow(
+    sets = bodies.join(nodes.select("node").distinct().hint("merge"), "node", "left_semi") \
+        .groupBy("node").agg(F.min("body").alias("body")).mapInArrow(  # rows that share an id may differ
         _sets(size, weighted), "node long, elements array<long>, counts array<int>")
     return materialise(sets, "shingles")
 

@@ -147,16 +147,17 @@ def training_sample(docs: DataFrame, labels: DataFrame, categories: list[str], r
     """words and the categories of at most ``rows`` labelled documents.
 
     Per category, up to an equal share of the positive rows and of the others, by the hash
-    of the id.  The sample's ids are broadcast: ``rows`` bounds them.
+    of the id.  The sample's ids are broadcast: ``rows`` bounds them.  Where labels of an id
+    differ the largest counts; of different texts of an id the first in byte order is learnt.
     """
     named = labels.select(F.col(id_col).cast("long").alias("__id"), *(F.col(c).cast("double").alias(c) for c in categories)) \
-        .where("__id is not null").dropDuplicates(["__id"])
+        .where("__id is not null").groupBy("__id").agg(*(F.max(c).alias(c) for c in categories))
     share = max(1, rows // (2 * len(categories)))
     order = (F.xxhash64("__id"), "__id")
     picks = [named.where(F.col(c) == v).orderBy(*order).limit(share) for c in categories for v in (1, 0)]
-    ids = reduce(DataFrame.unionByName, picks).dropDuplicates(["__id"])
+    ids = reduce(DataFrame.unionByName, picks).distinct()
     return (docs.select(F.col(id_col).cast("long").alias("__id"), text_of(text_col).alias("__body"))
-            .join(F.broadcast(ids), "__id").dropDuplicates(["__id"])
+            .join(F.broadcast(ids), "__id").groupBy("__id", *categories).agg(F.min("__body").alias("__body"))
             .select("__body", "__id", *categories)
             .mapInArrow(_features, "words array<int>, __id long, " + ", ".join(f"{c} double" for c in categories)))
 

@@ -146,6 +146,45 @@ def test_toxicity_chain_uses_earlier_categories_and_odd_rows(spark):
     assert toxicity.score(docs.limit(0), chain).count() == 0
 
 
+def test_toxicity_ties_repeats_long_texts_and_names(spark):
+    spark = prepare(spark)
+    names = ["__id", "__body", "p_toxic", "toxic"]
+    bad, good = "you idiot fool moron", "kind warm words here"
+    rows = [(i, bad if i % 2 else good, *names) for i in range(40)] + [(50, " ".join([good] * 200_000), *names), (51, "", *names)]
+    rows += [(1, good, *names), (1, bad, *names)]  # an id with two texts
+    docs = spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", *(f"{n} string" for n in names)]))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(1, 0), (3, None)], "doc_id long, toxic int")
+    samples = [sorted((r["__id"], r["toxic"], sorted(r["words"])) for r in toxicity.training_sample(d, k, ["toxic"]).collect())
+               for d, k in ((docs, labels), (docs.repartition(7), labels.orderBy(F.desc("toxic")).repartition(3)))]
+    assert samples[0] == samples[1] and len(samples[0]) == 40 and {y for i, y, _ in samples[0] if i in (1, 3)} == {1.0}
+    chain = toxicity.train(docs, labels, ["toxic"])
+    got = {r["doc_id"]: r["p_toxic"] for r in toxicity.score(docs, chain).where("doc_id > 1").collect()}
+    assert len(got) == 40 and got[3] > 0.5 > got[50] and abs(got[50] - got[2]) < 1e-6
+    tied = {r["doc_id"]: r["toxic"] for r in toxicity.score(docs, chain, threshold=got[3]).collect()}
+    assert tied[3] and tied[5] and not tied[2]
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    import corpus_pipeline
+    spark = prepare(spark)
+    names = ["__doc", "__text", "__lang", "__batch", "node", "row"]
+    texts = [None, "", "One good line of some words.\nAnother good line of words.", "One good line of some words.\nAnother good line of words.",
+             "word " * 30_000, "Something else that nobody wrote before, in one line."]
+    docs = spark.createDataFrame([(i, t, "en", *names) for i, t in enumerate(texts)] + [(None, None, None, *names)],
+                                 ", ".join(["doc_id long", "text string", "lang string", *(f"{n} string" for n in names)]))
+    labels = spark.createDataFrame([(i, 1) for i in range(6)], "doc_id long, quality int")
+    for name, rows in (("some", docs), ("none", docs.limit(0))):
+        rows.write.parquet(str(tmp_path / name / "documents.parquet"))
+        labels.write.parquet(str(tmp_path / name / "labels.parquet"))
+    after = spark.read.parquet(str(tmp_path / "some" / "documents.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, after, str(tmp_path / "some")).cache()
+        assert after.columns == docs.columns, name
+    kept = {r["doc_id"] for r in after.collect()}
+    assert 5 in kept and len(kept & {2, 3}) == 1
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
     spark = prepare(spark)
