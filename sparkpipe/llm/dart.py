@@ -287,7 +287,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct() \
             .join(compared.select("a", "b"), ["a", "b"], "left_anti")
         more = compare(materialise(pairs, "pairs"), sets, weighted).where(F.col("s") >= threshold)
-        labels = components(links.unionByName(more))
+        # written, as components reads its links in both directions
+        labels = components(materialise(links.unionByName(more), "links"))
 
     classes = copies.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     return signed.select("doc", "e1", "e2").join(classes, ["e1", "e2"]).select("doc", F.coalesce("label", "rep").alias("class_key"))
