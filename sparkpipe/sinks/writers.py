@@ -9,18 +9,47 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] | None = None,
                   num_files: int | None = None) -> None:
-    """Parquet write (K01, K03, K06); ``num_files`` repartitions first."""
-    if num_files:
-        df = df.repartition(num_files)
+    """Parquet write (K01, K03, K06); ``num_files`` gives that many files, of about equal rows.
+
+    So few writers would each read their share of the rows from a shuffle, several times as
+    large as Parquet.  Instead all tasks deal their rows into ``num_files`` pieces below the
+    checkpoint folder, and each writer reads one piece.
+    """
+    if not num_files:
+        _save(df, path, mode, partition_by)
+        return
+    spark, staged = df.sparkSession, scratch_path(df.sparkSession, "pieces")
+    piece = "_piece"
+    while piece in (c.lower() for c in df.columns):
+        piece += "_"
+    row = F.monotonically_increasing_id()      # tasks begin with different pieces
+    dealt = F.pmod(row + F.shiftright(row, 33), F.lit(num_files))
+    df.withColumn(piece, dealt).write.partitionBy(piece).parquet(staged)
+    pieces = [spark.read.schema(df.schema).parquet(f"{staged}/{f}").coalesce(1)
+              for f in list_folders(spark, staged) if f.startswith(f"{piece}=")]
+    # a union of single partitions would become one partition
+    union, old = "spark.sql.unionOutputPartitioning", spark.conf.get("spark.sql.unionOutputPartitioning", "true")
+    spark.conf.set(union, "false")
+    try:
+        _save(reduce(DataFrame.union, pieces or [spark.createDataFrame([], df.schema)]), path, mode, partition_by)
+    finally:
+        spark.conf.set(union, old)
+    delete_path(spark, staged)
+
+
+def _save(df: DataFrame, path: str, mode: str, partition_by: Sequence[str] | None) -> None:
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -112,6 +112,27 @@ def test_month_column_and_partition(spark):
     assert W.list_partition_values(spark, path, "month") == ["2024-03"]
 
 
+def test_a_few_files_are_not_written_from_a_shuffle(spark, tmp_path):
+    rows = spark.range(0, 1001, 1, 7).selectExpr("if(id % 10 = 0, null, id) as id", "id % 3 as _piece", "cast(id as string) as `a.b`")
+    plans, real = [], W._save
+    W._save = lambda df, *rest: (plans.append(df._jdf.queryExecution().executedPlan().toString()), real(df, *rest))
+    try:
+        for mode, n in (("overwrite", 1001), ("append", 2002), ("overwrite", 1001)):
+            path = str(tmp_path / "few")
+            W.write_parquet(rows, path, mode, num_files=4)
+            back = spark.read.parquet(path)
+            assert back.count() == n and back.exceptAll(rows.unionByName(rows)).isEmpty() and back.columns == rows.columns
+            assert len(list((tmp_path / "few").glob("part-*"))) == 4 * n // 1001
+    finally:
+        W._save = real
+    assert len(plans) == 3 and not any("Exchange" in p for p in plans)
+    sizes = [spark.read.parquet(str(f)).count() for f in (tmp_path / "few").glob("part-*")]
+    assert max(sizes) - min(sizes) <= 7
+    W.write_parquet(rows.limit(0), str(tmp_path / "none"), num_files=4)
+    W.write_parquet(rows, str(tmp_path / "by"), partition_by=["_piece"], num_files=2)
+    assert spark.read.parquet(str(tmp_path / "none")).dtypes == rows.dtypes and spark.read.parquet(str(tmp_path / "by")).count() == 1001
+
+
 def test_csv_declared_schema_reports_malformed_cells(spark):
     from sparkpipe.sources.files import read_csv
     path = scratch_path(spark, "bad_csv")
