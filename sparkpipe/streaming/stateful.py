@@ -75,6 +75,20 @@ def newest_micros(ticks: DataFrame) -> int | None:
     return ticks.agg(F.max(F.unix_micros("ts"))).first()[0]
 
 
+def with_late(ticks: DataFrame, last: DataFrame) -> DataFrame:
+    """``ticks`` with _late: whether a tick comes before the one of its symbol in ``last``.
+
+    The tables meet by the hash of the symbol: a broadcast with one long as its key takes the
+    rows it has, one with a text key a whole memory page (16 to 64 MB) in every batch.
+    """
+    stored = last.select(F.xxhash64("symbol").alias("_hash"), F.col("symbol").alias("_of"), F.struct("ts", "event_id").alias("_last"))
+    # not a second key of the join: equal hashes of different symbols are told apart
+    same = F.coalesce(F.col("symbol") == F.col("_of"), F.lit(False))
+    found = ticks.join(small_side(stored), (F.xxhash64("symbol") == F.col("_hash")) & same, "left")
+    late = F.coalesce(F.struct("ts", "event_id") < F.col("_last"), F.lit(False))
+    return found.select(*ticks.columns, late.alias("_late"))
+
+
 def judge_ticks(batch: DataFrame, batch_id: int, path: str, state: str, late: str, delay_seconds: int = 0) -> None:
     """Previous-tick anomalies (X12) as ``path/batch_id=n``, in the order of event time.
 
@@ -86,11 +100,8 @@ def judge_ticks(batch: DataFrame, batch_id: int, path: str, state: str, late: st
     before = State(spark, state, batch_id)
     new = batch.select(*TICK_COLUMNS, F.lit("new").alias(_KIND))
     stored = before.rows(new.schema)
-    place = F.struct("ts", "event_id")
     last = stored.where(F.col(_KIND) == "last")
-    rows = (new.unionByName(stored.where(F.col(_KIND) == "waiting"))
-               .join(small_side(last.select("symbol", place.alias("_last"))), "symbol", "left")
-               .withColumn("_late", F.coalesce(place < F.col("_last"), F.lit(False))).drop("_last").persist())
+    rows = with_late(new.unionByName(stored.where(F.col(_KIND) == "waiting")), last).persist()
     try:
         clock = before.next_clock(newest_micros(rows.where(F.col(_KIND) == "new")), delay_seconds)
         due = F.unix_micros("ts") <= F.lit(clock)
@@ -147,9 +158,7 @@ def watch_silence(batch: DataFrame, batch_id: int, closed: str, open_now: str, s
     clock = before.next_clock(newest_micros(batch), 0)
     new = batch.select("symbol", "ts", "event_id")
     stored = before.rows(new.schema)
-    last = stored.select("symbol", F.struct("ts", "event_id").alias("_last"))
-    rows = (new.join(last, "symbol", "left").where(F.coalesce(F.struct("ts", "event_id") >= F.col("_last"), F.lit(True)))
-               .select(*new.columns).unionByName(stored).persist())
+    rows = with_late(new, stored).where(~F.col("_late")).select(*new.columns).unionByName(stored).persist()
     try:
         latest = latest_per_key(rows, ["symbol"], ["ts", "event_id"])
         waited = (F.lit(clock) - F.unix_micros("ts")) / F.lit(1e6)

@@ -57,6 +57,19 @@ def test_ticks_behind_a_judged_one_are_kept_aside(spark):
     assert sorted(r.event_id for r in got.collect()) == sorted(r[2] for r in rows[10:20])
 
 
+def test_last_ticks_are_broadcast_by_a_long_key(spark):
+    at = [T0 + dt.timedelta(seconds=i) for i in range(4)]
+    new = frame(spark, [("A", at[0], 1, 1.0, 1.0), ("A", at[2], 2, 1.0, 1.0), ("A", at[1], 9, 1.0, 1.0), ("B", at[0], 3, 1.0, 1.0),
+                        (None, at[0], 4, 1.0, 1.0), ("A", None, 5, 1.0, 1.0), ("A", at[0], 1, 1.0, 1.0), ("C", at[3], 6, 1.0, 1.0)])
+    last = frame(spark, [("A", at[1], 9, 1.0, 1.0), (None, at[3], 8, 1.0, 1.0), ("C", at[3], 7, 1.0, 1.0)])
+    out = S.with_late(new, last)
+    assert out.columns == [*new.columns, "_late"]
+    rows = sorted((r["event_id"], r["_late"]) for r in out.collect())
+    assert rows == [(1, True), (1, True), (2, False), (3, False), (4, False), (5, True), (6, True), (9, False)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "HashedRelationBroadcastMode(List(input[0, bigint" in plan and "input[0, string" not in plan
+
+
 def test_candles_fold_over_batches_and_keep_late_ticks(spark):
     out, state, late = folders(spark)
     rows = ticks(60)
