@@ -11,6 +11,8 @@ by content hash; AQE splits a hot hash.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,59 +23,72 @@ from .radix import RadixTrie
 WHITE = r"[\x20\x09-\x0D]+"
 #: Bytes that a task's trie may hold before it passes rows on or gives up a subtree.
 TRIE_BYTES = 64 << 20
+#: Bytes of texts that a batch of rows holds, besides its last text.
+BATCH_BYTES = 4 << 20
 _SCHEMA = "len long, sha binary, body binary, cp long, id long, n long, open boolean"
 
 
-def _batches(rows: list, size: int = 2000):
+def _batches(rows: Iterable, size: int = 2000):
+    """Record batches of at most ``size`` rows that end once they hold BATCH_BYTES."""
     names = ("len", "sha", "body", "cp", "id", "n", "open")
     types = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
-    for i in range(0, len(rows), size):
-        columns = zip(*rows[i:i + size], strict=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+    some, held = [], 0
+
+    def batch():
+        columns = zip(*some, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+    for row in rows:
+        some.append(row)
+        held += len(row[2] or b"")
+        if len(some) >= size or held >= BATCH_BYTES:
+            yield batch()
+            some, held = [], 0
+    if some:
+        yield batch()
 
 
 def _rows(batch: pa.RecordBatch):
     return zip(*(batch.column(c).to_pylist() for c in ("sha", "body", "cp", "id", "n")), strict=True)
 
 
+def _opened(found):
+    """Open rows of a trie's (string, owner); the owners carry the hash, so no string is held twice."""
+    return ((len(k), sha, k, cp, doc, n, True) for k, (cp, doc, n, sha) in found)
+
+
 def _combine(bound: int):
     """Map side: equal texts of the task become one open row."""
     def run(batches):
-        trie, shas = RadixTrie(), {}
-
-        def flush():
-            return [(len(k), shas[k], k, *owner, True) for k, owner in trie.items()]
-
+        trie = RadixTrie()
         for batch in batches:
             for sha, body, cp, doc, n in _rows(batch):
-                trie.insert(body, (cp, doc, n))
-                shas[body] = sha
+                trie.insert(body, (cp, doc, n, sha))
                 if trie.held > bound:
-                    yield from _batches(flush())
-                    trie, shas = RadixTrie(), {}
-        yield from _batches(flush())
+                    yield from _batches(_opened(trie.items()))
+                    trie = RadixTrie()
+        yield from _batches(_opened(trie.items()))
     return run
 
 
 def _own(bound: int):
     """Reduce side: a closed row for each text, open rows for what was given up."""
     def run(batches):
-        trie, shas = RadixTrie(), {}
-        for batch in batches:
-            passed = []
+        trie = RadixTrie()
+
+        def passed(batch):
             for sha, body, cp, doc, n in _rows(batch):
-                if not trie.insert(body, (cp, doc, n)):
-                    passed.append((len(body), sha, body, cp, doc, n, True))
-                    continue
-                shas[body] = sha
+                if not trie.insert(body, (cp, doc, n, sha)):
+                    yield len(body), sha, body, cp, doc, n, True
                 while trie.held > bound and trie.strings > 1:
-                    given = list(trie.evict())
-                    if not given:
+                    before = trie.strings
+                    yield from _opened(trie.evict())
+                    if trie.strings == before:
                         break
-                    passed += [(len(k), shas.pop(k), k, *owner, True) for k, owner in given]
-            yield from _batches(passed)
-        yield from _batches([(len(k), shas[k], None, *owner, False) for k, owner in trie.items()])
+
+        for batch in batches:
+            yield from _batches(passed(batch))
+        yield from _batches((len(k), sha, None, cp, doc, n, False) for k, (cp, doc, n, sha) in trie.items())
     return run
 
 

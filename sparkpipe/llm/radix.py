@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 #: Rough bytes of a node besides its label.
-NODE_BYTES = 300
+NODE_BYTES = 400
 
 
 class _Node:
@@ -16,9 +16,9 @@ class _Node:
 
 
 def better(a: tuple, b: tuple) -> tuple:
-    """Of two owners (code points, id, rows): most code points, then smallest id; rows add up."""
+    """Of two owners (code points, id, rows, ...): most code points, then smallest id; rows add up."""
     keep = a if (-a[0], a[1]) <= (-b[0], b[1]) else b
-    return keep[0], keep[1], a[2] + b[2]
+    return keep[0], keep[1], a[2] + b[2], *keep[3:]
 
 
 def _shared(label: bytes, key: bytes, at: int) -> int:
@@ -72,22 +72,32 @@ class RadixTrie:
         return True
 
     def items(self, node: _Node | None = None, prefix: bytes = b"") -> Iterator[tuple[bytes, tuple]]:
-        """All (string, owner) below ``node``, whose own label ends ``prefix``."""
-        stack = [(node or self.root, prefix)]
-        while stack:
-            at, path = stack.pop()
-            if at.owner is not None:
-                yield path, at.owner
-            stack.extend((c, path + c.label) for c in at.children.values())
+        """All (string, owner) below ``node``, whose own label ends ``prefix``; one string at a time is whole."""
+        node = node or self.root
+        if node.owner is not None:
+            yield prefix, node.owner
+        labels, below = [prefix], [iter(node.children.values())]
+        while below:
+            child = next(below[-1], None)
+            if child is None:
+                below.pop()
+                labels.pop()
+                continue
+            labels.append(child.label)
+            below.append(iter(child.children.values()))
+            if child.owner is not None:
+                yield b"".join(labels), child.owner
 
     @staticmethod
-    def _weight(node: _Node) -> int:
-        total, stack = 0, [node]
+    def _weight(node: _Node) -> tuple[int, int]:
+        """Bytes and strings of a subtree."""
+        total, strings, stack = 0, 0, [node]
         while stack:
             at = stack.pop()
             total += len(at.label) + NODE_BYTES
+            strings += at.owner is not None
             stack.extend(at.children.values())
-        return total
+        return total, strings
 
     def evict(self) -> Iterator[tuple[bytes, tuple]]:
         """Take out the heaviest subtree that leaves something behind, and yield its strings.
@@ -102,9 +112,10 @@ class RadixTrie:
         branches = [c for c in node.children.values() if not c.evicted]
         if len(branches) + (node.owner is not None) < 2:
             return
-        heaviest = max(branches, key=self._weight)
-        found = list(self.items(heaviest, path + heaviest.label))
-        self.held -= self._weight(heaviest) - NODE_BYTES - len(heaviest.label)
-        self.strings -= len(found)
+        (weight, strings), heaviest = max(((self._weight(c), c) for c in branches), key=lambda x: x[0][0])
+        taken = _Node(heaviest.label)
+        taken.children, taken.owner = heaviest.children, heaviest.owner
+        self.held -= weight - NODE_BYTES - len(heaviest.label)
+        self.strings -= strings
         heaviest.children, heaviest.owner, heaviest.evicted = {}, None, True
-        yield from found
+        yield from self.items(taken, path + heaviest.label)

@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sparkpipe.llm import ann, dart, exact, licenses, linededup, spans
@@ -59,6 +61,31 @@ def test_exact_dedup_matches_brute_force_and_spills(spark, bound):
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
 
 
+@pytest.mark.parametrize("side", [exact._combine, exact._own])
+def test_exact_dedup_holds_texts_with_one_long_prefix_once(side):
+    def body(i):
+        return b"x" * 50_000 + str(i % 1500).encode()
+
+    def batches():
+        for at in range(0, 2000, 50):
+            some = [body(i) for i in range(at, at + 50)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([hashlib.sha256(b).digest() for b in some], pa.binary()), pa.array(some, pa.binary()),
+                 pa.array([len(b) for b in some]), pa.array(range(at, at + 50)), pa.array([1] * 50)],
+                ["sha", "body", "cp", "id", "n"])
+    tracemalloc.start()
+    found, largest = {}, 0
+    for out in side(1 << 20)(batches()):
+        largest = max(largest, out.nbytes)
+        for r in out.drop_columns("body").to_pylist():
+            known = found.get(r["sha"], (r["id"], 0))
+            found[r["sha"]] = min(known[0], r["id"]), known[1] + r["n"]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == {hashlib.sha256(body(i)).digest(): (i, 1 + (i < 500)) for i in range(1500)}
+    assert peak < 50 << 20 and largest < 6 << 20, (peak, largest)  # all texts are 100 MB
+
+
 def test_exact_dedup_of_nothing_and_rows_kept(spark):
     assert exact.exact_dedup(frame(spark, [])).count() == 0
     kept = exact.keep_first(frame(spark, [(2, "a b"), (1, "ab"), (3, "c")]))
