@@ -11,6 +11,7 @@ by content hash; AQE splits a hot hash.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable
 
 import pyarrow as pa
@@ -21,6 +22,7 @@ from .common import NO_ID, materialise, ordered_id, real_id, text_of
 from .radix import RadixTrie
 
 WHITE = r"[\x20\x09-\x0D]+"
+_WHITE_BYTES = b" \t\n\x0b\x0c\r"
 #: Bytes that a task's trie may hold before it passes rows on or gives up a subtree.
 TRIE_BYTES = 64 << 20
 #: Bytes of texts that a batch of rows holds, besides its last text.
@@ -49,12 +51,25 @@ def _batches(rows: Iterable, size: int = 2000):
 
 
 def _rows(batch: pa.RecordBatch):
-    return zip(*(batch.column(c).to_pylist() for c in ("sha", "body", "cp", "id", "n")), strict=True)
+    return zip(*(batch.column(c).to_pylist() for c in ("body", "cp", "id", "n")), strict=True)
+
+
+def _sha(body: bytes) -> bytes:
+    return hashlib.sha256(body).digest()
 
 
 def _opened(found):
-    """Open rows of a trie's (string, owner); the owners carry the hash, so no string is held twice."""
-    return ((len(k), sha, k, cp, doc, n, True) for k, (cp, doc, n, sha) in found)
+    """Open rows of a trie's (string, owner)."""
+    return ((len(k), _sha(k), k, *owner, True) for k, owner in found)
+
+
+def _digests(batches):
+    """Of each row the hash and the length of its text without white space."""
+    for batch in batches:
+        bodies = [text.translate(None, _WHITE_BYTES) for text in batch.column("body").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), pa.array(map(_sha, bodies), pa.binary()), pa.array(map(len, bodies), pa.int64()),
+             batch.column("cp")], ["id", "sha", "len", "cp"])
 
 
 def _combine(bound: int):
@@ -62,8 +77,8 @@ def _combine(bound: int):
     def run(batches):
         trie = RadixTrie()
         for batch in batches:
-            for sha, body, cp, doc, n in _rows(batch):
-                trie.insert(body, (cp, doc, n, sha))
+            for text, *owner in _rows(batch):
+                trie.insert(text.translate(None, _WHITE_BYTES), tuple(owner))
                 if trie.held > bound:
                     yield from _batches(_opened(trie.items()))
                     trie = RadixTrie()
@@ -77,9 +92,9 @@ def _own(bound: int):
         trie = RadixTrie()
 
         def passed(batch):
-            for sha, body, cp, doc, n in _rows(batch):
-                if not trie.insert(body, (cp, doc, n, sha)):
-                    yield len(body), sha, body, cp, doc, n, True
+            for body, *owner in _rows(batch):
+                if not trie.insert(body, tuple(owner)):
+                    yield len(body), _sha(body), body, *owner, True
                 while trie.held > bound and trie.strings > 1:
                     before = trie.strings
                     yield from _opened(trie.evict())
@@ -88,16 +103,15 @@ def _own(bound: int):
 
         for batch in batches:
             yield from _batches(passed(batch))
-        yield from _batches((len(k), sha, None, cp, doc, n, False) for k, (cp, doc, n, sha) in trie.items())
+        yield from _batches((len(k), _sha(k), None, *owner, False) for k, owner in trie.items())
     return run
 
 
 def owners(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            trie_bytes: int = TRIE_BYTES) -> DataFrame:
     """One row per different text: sha (32 bytes), len, keep_cp, keep_id, group_size."""
-    body = F.regexp_replace(text_of(text_col), WHITE, "")
     rows = docs.select(
-        F.unhex(F.sha2(body, 256)).alias("sha"), body.cast("binary").alias("body"),
+        text_of(text_col).cast("binary").alias("body"),
         F.char_length(text_of(text_col)).cast("long").alias("cp"),
         ordered_id(id_col).alias("id"), F.lit(1).cast("long").alias("n"))
     parts = rows.mapInArrow(_combine(trie_bytes), _SCHEMA)
@@ -124,11 +138,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     with one id and one length all carry ``kept``: they are the same document.  Other
     columns play no part, whatever their names.  An empty table gives an empty result.
     """
-    body = F.regexp_replace(text_of(text_col), WHITE, "")
     keys = docs.select(
-        ordered_id(id_col).alias("id"), F.unhex(F.sha2(body, 256)).alias("sha"),
-        F.octet_length(body).cast("long").alias("len"),
-        F.char_length(text_of(text_col)).cast("long").alias("cp"))
+        ordered_id(id_col).alias("id"), text_of(text_col).cast("binary").alias("body"),
+        F.char_length(text_of(text_col)).cast("long").alias("cp")).mapInArrow(
+            _digests, "id long, sha binary, len long, cp long")
     won = owners(docs, id_col, text_col, trie_bytes)
     return keys.join(won, ["sha", "len"]).select(
         real_id("id").alias(id_col), real_id("keep_id").alias("keep_id"), "group_size",
