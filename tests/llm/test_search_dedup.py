@@ -86,6 +86,16 @@ def test_exact_dedup_holds_texts_with_one_long_prefix_once(side):
     assert peak < 50 << 20 and largest < 6 << 20, (peak, largest)  # all texts are 100 MB
 
 
+def test_exact_dedup_deletes_ascii_white_space_only(spark):
+    same = ["ab", "a b", "a\tb", "a\nb", "a\x0bb", "a\x0cb", "a\rb", " \t\n\x0b\x0c\rab "]
+    other = ["a\u00a0b", "a\x1cb", "a\x85b", "a\u2003b", "a\x08b", "a\x0eb"]
+    got = {r["doc_id"]: r for r in exact.exact_dedup(frame(spark, [*enumerate(same + other)])).collect()}
+    assert [got[i]["group_size"] for i in range(14)] == [8] * 8 + [1] * 6
+    assert [i for i in range(14) if got[i]["kept"]] == list(range(7, 14))
+    assert [got[i]["text_sha256"] for i in range(14)] == [
+        hashlib.sha256((t if t in other else "ab").encode()).hexdigest() for t in same + other]
+
+
 def test_exact_dedup_of_nothing_and_rows_kept(spark):
     assert exact.exact_dedup(frame(spark, [])).count() == 0
     kept = exact.keep_first(frame(spark, [(2, "a b"), (1, "ab"), (3, "c")]))
