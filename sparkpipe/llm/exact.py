@@ -119,7 +119,8 @@ def owners(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     closed = None
     while True:
         dealt = parts.repartition(n_parts, "len", "sha")
-        out = materialise(dealt.mapInArrow(_own(trie_bytes), _SCHEMA), "exact-owners")
+        # closed rows are small: a few files, not one for each partition
+        out = materialise(dealt.mapInArrow(_own(trie_bytes), _SCHEMA).hint("rebalance", "sha"), "exact-owners")
         done = out.where(~F.col("open")).select(
             "sha", "len", F.col("cp").alias("keep_cp"), F.col("id").alias("keep_id"),
             F.col("n").alias("group_size"))
