@@ -19,6 +19,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +31,8 @@ END_ID = 1
 CAPACITY = 4096
 #: Distinct stretches whose ids a worker keeps before it starts anew.
 MEMO = 1_000_000
+#: Bytes of text that are looked up together, about.
+PART_BYTES = 4 << 20
 #: New words that are encoded as one text.
 TOGETHER = 500
 #: Pieces of one length that are numbered in one window group.
@@ -179,21 +182,19 @@ class _WordIds:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _learn_words(self, words: list[tuple[str, str, str]]) -> list[str]:
-        """Learn (stretch, letters, marks after them) from one text of all the letters.
+    def _learn_words(self, words: list[str]) -> list[str]:
+        """Learn words of letters from one text of them all.
 
         The last token of a word is marked as such; if the marks don't tell the words apart
-        one by one, the stretches are given back.
+        one by one, the words are given back.
         """
-        ids = np.frombuffer(self._encode([" ".join(w for _, w, _ in words)])[0], "<u4")
-        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        body = self._encode([" ".join(words)])[0]
+        ends = np.flatnonzero(self.ends_word[np.frombuffer(body, "<u4")]) + 1
         if len(ends) != len(words):
-            return [stretch for stretch, _, _ in words]
-        body, start = ids.tobytes(), 0
-        for (stretch, _, marks), end in zip(words, (ends * 4).tolist(), strict=True):
-            if marks not in self.marks:
-                self.marks[marks] = self._encode([marks])[0]
-            self.known[stretch] = body[start:end] + self.marks[marks]
+            return words
+        start = 0
+        for word, end in zip(words, (ends * 4).tolist(), strict=True):
+            self.known[word] = body[start:end]
             start = end
         return []
 
@@ -201,17 +202,55 @@ class _WordIds:
         if len(self.known) > MEMO:
             self.known.clear()
             self.marks.clear()
-        words, rest = [], []
+        marked, letters, rest = [], set(), []
         for s in stretches.difference(self.known):
             m = self.plain.fullmatch(s)
-            if m:
-                words.append((s, *m.groups()))
-            else:
+            if not m:
                 rest.append(s)
+                continue
+            if m.end(1) < len(s):
+                marked.append((s, m[1], m[2]))
+            if m[1] not in self.known:
+                letters.add(m[1])
+        words = list(letters)
         for i in range(0, len(words), TOGETHER):
             rest += self._learn_words(words[i:i + TOGETHER])
         for s, ids in zip(rest, self._encode(rest), strict=True):
             self.known[s] = ids
+        for s, word, marks in marked:
+            if marks not in self.marks:
+                self.marks[marks] = self._encode([marks])[0]
+            self.known[s] = self.known[word] + self.marks[marks]
+
+    def bodies(self, texts: pa.Array, end: bytes) -> tuple[memoryview, list[int]]:
+        """The ids of all texts one after another, ``end`` after each, and the bytes where texts begin and the last ends.
+
+        Each different stretch is looked up once; its ids are then copied to its places.
+        """
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        found = split.flatten().dictionary_encode()
+        stretches = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.learn(set(stretches))
+        blobs = [*map(self.known.__getitem__, stretches), end]
+        size = np.fromiter(map(len, blobs), np.int64, len(blobs)) >> 2
+        ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64))
+        place = np.insert(found.indices.to_numpy(zero_copy_only=False), ends, len(stretches))
+        bounds = np.append(0, np.cumsum(size[place]))
+        shift = (np.cumsum(size) - size)[place] - bounds[:-1]
+        every = np.frombuffer(b"".join(blobs), "<u4")
+        ids = every[np.repeat(shift, size[place]) + np.arange(bounds[-1])]
+        starts = np.append(0, ends + np.arange(1, len(ends) + 1))
+        return memoryview(ids.tobytes()), (bounds[starts] * 4).tolist()
+
+
+def _parts(texts: pa.Array):
+    """Slices of whole texts of about PART_BYTES together."""
+    size = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(size) - size) // PART_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(size)]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        if b > a:
+            yield texts.slice(a, b - a)
 
 
 def _pieces_of(path: str, capacity: int, end_id: int):
@@ -223,15 +262,14 @@ def _pieces_of(path: str, capacity: int, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         ids = worker_memo("packing", "words", lambda: _WordIds(path), path)
         for batch in batches:
-            out = []
-            texts = [t.replace("\n", " ").split(" ") for t in batch.column(1).to_pylist()]
-            for i in range(0, len(texts), 200):
-                ids.learn(set().union(*texts[i:i + 200]))
-                for doc, words in zip(batch.column(0)[i:i + 200].to_pylist(), texts[i:i + 200], strict=True):
-                    body = b"".join(map(ids.known.__getitem__, words)) + end
-                    for k, at in enumerate(range(0, len(body), step)):
-                        part = body[at:at + step]
-                        out.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))
+            out, docs, first = [], batch.column(0).to_pylist(), 0
+            for texts in _parts(batch.column(1)):
+                body, bounds = ids.bodies(texts, end)
+                for doc, a, b in zip(docs[first:first + len(texts)], bounds[:-1], bounds[1:], strict=True):
+                    for k, at in enumerate(range(a, b, step)):
+                        part = body[at:min(at + step, b)]
+                        out.append((doc, k, (at - a) // 4, len(part) // 4, zlib.crc32(part)))
+                first += len(texts)
             columns = zip(*out, strict=True) if out else [()] * 5
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_of, worker_memo
-from .packing import _WordIds
+from .packing import _parts, _WordIds
 
 #: Fixed value: the id that ends each document.
 END_ID = 2
@@ -64,13 +64,12 @@ def _cut(path: str, capacity: int, end_id: int):
         task = np.int64(TaskContext.get().partitionId())
         used = np.zeros(capacity.bit_length(), np.int64)
         for batch in batches:
-            texts = [t.replace("\n", " ").split(" ") for t in batch.column(1).to_pylist()]
-            bodies = []
-            for i in range(0, len(texts), 200):
-                part = texts[i:i + 200]
-                ids.learn(set().union(*part))
-                bodies += [b"".join(map(ids.known.__getitem__, words)) + end for words in part]
-            sizes = np.array([len(b) >> 2 for b in bodies], np.int64)
+            bodies, sizes = [], []
+            for texts in _parts(batch.column(1)):
+                body, ends = ids.bodies(texts, end)
+                bodies.append(body)
+                sizes += [(b - a) >> 2 for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            sizes = np.array(sizes, np.int64)
             doc, start, level = binary_pieces(sizes, capacity)
             # the pieces lie one after another, as the ids do
             length = np.int64(1) << level
