@@ -14,11 +14,14 @@ from ..session import configure, scratch_path
 BATCH_ROWS = 256
 #: Stands for a null id where ids are ordered: nulls come last.
 NO_ID = 2**63 - 1
+#: Bytes of the largest method that the JVM compiles; generated code beyond that would run interpreted.
+COMPILED_BYTES = 8000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """The library's session settings, and batches small enough for long texts."""
+    """The library's session settings, batches small enough for long texts, methods small enough to be compiled."""
     configure(spark)
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", str(COMPILED_BYTES))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 
