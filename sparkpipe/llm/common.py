@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +20,8 @@ COMPILED_BYTES = 8000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """The library's session settings, batches small enough for long texts, methods small enough to be compiled."""
+    """The library's session settings, and batches small enough for long texts."""
     configure(spark)
-    spark.conf.set("spark.sql.codegen.hugeMethodLimit", str(COMPILED_BYTES))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 
@@ -78,6 +78,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def compiled_methods(spark: SparkSession):
+    """Jobs that start in here split generated methods that the JVM would not compile."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(COMPILED_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def worker_memo(group: str, name: str, build, key=None):
     """``build()`` once per Python worker process and ``key``; later tasks of the worker reuse it.
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import small_side
-from .common import doc_key, free_name, key_id, materialise, text_of
+from .common import compiled_methods, doc_key, free_name, key_id, materialise, text_of
 
 EDITS = 2
 #: Pairs whose shorter line is below LEAST_CHARS may differ by one edit; below FEW_CHARS a line has only equal lines.
@@ -160,7 +160,8 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     as one document; other columns play no part; an empty table gives an empty result.
     """
     lines = lines_of(docs, id_col, text_col)
-    distinct = materialise(classes(lines, edits, least), "line-classes")
+    with compiled_methods(docs.sparkSession):  # the probe hashes make a large method
+        distinct = materialise(classes(lines, edits, least), "line-classes")
     near = links(distinct, lines, edits, least).groupBy("k1", "k2").agg(
         F.count("*").alias("links"), F.min(F.when(F.col("other") < F.col("own"), F.col("other"))).alias("near"))
     placed = lines.select("doc", "line_no", *_keys()).join(distinct.select("k1", "k2", "first", "copies"), ["k1", "k2"])

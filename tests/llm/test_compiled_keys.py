@@ -7,10 +7,13 @@ import re
 from pyspark.sql import functions as F
 
 from sparkpipe.llm import linededup
-from sparkpipe.llm.common import prepare
+from sparkpipe.llm.common import materialise, prepare
 
 
-def test_probe_hashes_are_compiled(spark):
+LIMIT = "spark.sql.codegen.hugeMethodLimit"
+
+
+def test_probe_hashes_are_compiled(spark, monkeypatch):
     texts = ["From the first line to the last one\nshort é\n", "From the first line to the last ones\nshort e\n\n", None]
     docs = prepare(spark).createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     lines = linededup.lines_of(docs).withColumn("chars", F.char_length("line"))
@@ -18,16 +21,16 @@ def test_probe_hashes_are_compiled(spark):
     shown = io.StringIO()
     with contextlib.redirect_stdout(shown):
         hashed.explain("codegen")
-    largest = max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", shown.getvalue()))
-    limit = int(spark.conf.get("spark.sql.codegen.hugeMethodLimit"))
-    assert largest > 8000 and limit <= 8000  # one method of all would stay interpreted, so Spark splits it
-
-    def rows():
-        found = linededup.classes(linededup.lines_of(docs)).select("k1", "k2", "first", "copies", "name", "keys", "few")
-        return sorted(map(str, found.collect()))
-    small = rows()
-    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
-    try:
-        assert small == rows() and len(small) == 4
-    finally:
-        prepare(spark)
+    assert max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", shown.getvalue())) > 8000
+
+    limits, before = {}, spark.conf.get(LIMIT)
+
+    def noted(df, name):
+        limits[name] = int(spark.conf.get(LIMIT))
+        return materialise(df, name)
+
+    monkeypatch.setattr(linededup, "materialise", noted)
+    split = sorted(map(str, linededup.line_report(docs).collect()))
+    assert limits["line-classes"] <= 8000 and spark.conf.get(LIMIT) == before
+    monkeypatch.setattr(linededup, "compiled_methods", lambda spark: contextlib.nullcontext())
+    assert split == sorted(map(str, linededup.line_report(docs).collect())) and len(split) == 4
