@@ -174,14 +174,20 @@ class _WordIds:
         vocab = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
         self.ends_word[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
-        self.plain = regex.compile(r"(\p{L}+)([.,;:!?]*)")
+        # a run of marks is a token of its own; "'" may begin a word, "<" an added token, and other marks may join the letter before
+        self.plain = regex.compile(r"^(?:(\p{L}+)([!-&(-/:;=-@\[-`{-~]*)|.*)$", regex.MULTILINE)
         self.marks: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
+        # words that end in a mark once they are in lower case or composed, so that marks behind them join it
+        self.joins_marks: set[str] = set()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _ends(self, ids: bytes) -> int:
+        return np.count_nonzero(self.ends_word[np.frombuffer(ids, "<u4")])
+
     def _learn_words(self, words: list[str]) -> list[str]:
         """Learn words of letters from one text of them all.
 
@@ -202,22 +208,29 @@ class _WordIds:
         if len(self.known) > MEMO:
             self.known.clear()
             self.marks.clear()
+            self.joins_marks.clear()
+        new = list(stretches.difference(self.known))
         marked, letters, rest = [], set(), []
-        for s in stretches.difference(self.known):
-            m = self.plain.fullmatch(s)
-            if not m:
+        # a stretch has no line break, so each is a line
+        for s, (word, marks) in zip(new, self.plain.findall("\n".join(new)) if new else (), strict=True):
+            if not word:
                 rest.append(s)
                 continue
-            if m.end(1) < len(s):
-                marked.append((s, m[1], m[2]))
-            if m[1] not in self.known:
-                letters.add(m[1])
-        words = list(letters)
+            if marks:
+                marked.append((s, word, marks))
+            letters.add(word)
+        words = list(letters.difference(self.known))
         for i in range(0, len(words), TOGETHER):
             rest += self._learn_words(words[i:i + TOGETHER])
         for s, ids in zip(rest, self._encode(rest), strict=True):
             self.known[s] = ids
+        self.joins_marks.update(s for s in rest if s in letters and self._ends(self.known[s]) != 1)
+        apart = [s for s, word, _ in marked if word in self.joins_marks]
+        for s, ids in zip(apart, self._encode(apart), strict=True):
+            self.known[s] = ids
         for s, word, marks in marked:
+            if word in self.joins_marks:
+                continue
             if marks not in self.marks:
                 self.marks[marks] = self._encode([marks])[0]
             self.known[s] = self.known[word] + self.marks[marks]
@@ -253,6 +266,20 @@ def _parts(texts: pa.Array):
             yield texts.slice(a, b - a)
 
 
+def _together(batches):
+    """Batches joined up to about PART_BYTES of text in column 1; a larger one comes alone."""
+    held, size = [], 0
+    for batch in batches:
+        more = batch.column(1).nbytes
+        if held and size + more > PART_BYTES:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += more
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _pieces_of(path: str, capacity: int, end_id: int):
     import os
     end = np.array([end_id], "<u4").tobytes()
@@ -261,7 +288,7 @@ def _pieces_of(path: str, capacity: int, end_id: int):
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         ids = worker_memo("packing", "words", lambda: _WordIds(path), path)
-        for batch in batches:
+        for batch in _together(batches):
             out, docs, first = [], batch.column(0).to_pylist(), 0
             for texts in _parts(batch.column(1)):
                 body, bounds = ids.bodies(texts, end)

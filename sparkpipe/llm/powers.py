@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_of, worker_memo
-from .packing import _parts, _WordIds
+from .packing import _parts, _together, _WordIds
 
 #: Fixed value: the id that ends each document.
 END_ID = 2
@@ -63,7 +63,7 @@ def _cut(path: str, capacity: int, end_id: int):
         ids = worker_memo("packing", "words", lambda: _WordIds(path), path)
         task = np.int64(TaskContext.get().partitionId())
         used = np.zeros(capacity.bit_length(), np.int64)
-        for batch in batches:
+        for batch in _together(batches):
             bodies, sizes = [], []
             for texts in _parts(batch.column(1)):
                 body, ends = ids.bodies(texts, end)

@@ -40,3 +40,35 @@ def test_ids_equal_the_library(monkeypatch):
             found += [np.frombuffer(body[a:b], "<u4").tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         assert found == [library.encode(t, add_special_tokens=False).ids + [1] for t in texts]
     assert not [*packing._parts(pa.array([], pa.string()))]
+
+
+def test_any_plain_marks_may_follow_a_word(monkeypatch):
+    asked = []
+    encode = packing._WordIds._encode
+
+    def noted(self, texts):
+        asked.extend(texts)
+        return encode(self, texts)
+
+    monkeypatch.setattr(packing._WordIds, "_encode", noted)
+    ids = packing._WordIds(WORDS)
+    ids.learn({"fox$$$", "fox,%%%", "fox***", "fox", "&&&", "12"})
+    assert [w for t in asked for w in t.split(" ")].count("fox") == 1
+    assert not [t for t in asked if "fox" in t and t != "fox"]
+
+    library, end = Tokenizer.from_file(WORDS), np.array([1], "<u4").tobytes()
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    texts = [f"{w}{m}" for w in ("fox", "É", "we", "\u0130", "\u0958", "a\ufb2a") for m in [*marks, *(a + b for a in marks for b in "'<>$.s1\u0301\r\x0b")]]
+    texts += ["e\u0301$ e\u0301\u0301,", "fox=\u0338 fox>\u0338", "fox<|endoftext|>", "fox$\r\rhen$", "a\u2028b,$", ""]
+    body, bounds = ids.bodies(pa.array(texts), end)
+    found = [np.frombuffer(body[a:b], "<u4").tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    assert found == [library.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+
+
+def test_small_batches_are_looked_up_together(monkeypatch):
+    rows = [pa.RecordBatch.from_pydict({"id": [i], "text": ["x" * n]}) for i, n in enumerate((3, 4, 0, 900, 2, 2, 5))]
+    monkeypatch.setattr(packing, "PART_BYTES", 60)
+    found = [b.column(0).to_pylist() for b in packing._together(iter(rows))]
+    assert sum(found, []) == list(range(7))
+    assert [3] in found and len(found) < 7
+    assert not [*packing._together(iter([]))]
