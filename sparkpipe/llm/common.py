@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, scratch_path
+from ..sinks.writers import delete_path
 
 #: Rows of a batch that travels to a Python worker; long texts make a row large.
 BATCH_ROWS = 256
@@ -68,14 +69,37 @@ def free_name(df: DataFrame, stem: str) -> str:
     return stem
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back.
 
     Cuts the lineage with files that survive lost executors.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.parquet(path, compression=compression)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def drop_scratch(*tables: DataFrame) -> None:
+    """Delete tables of ``materialise`` that nothing reads any more."""
+    for table in tables:
+        delete_path(table.sparkSession, table._scratch)
+
+
+@contextmanager
+def lean(spark: SparkSession):
+    """Jobs that start in here leave no shuffle files behind, and send large binaries to Python few at a time."""
+    names = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+             "spark.sql.execution.arrow.maxRecordsPerBatch": "50000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 @contextmanager

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import small_side
 from . import word_lm
-from .common import free_name, materialise
+from .common import free_name, lean, materialise
 
 #: Words of average text that are added to a document, so that a few words prove nothing.
 PRIOR_WORDS = 8
@@ -25,12 +25,15 @@ HELD_OUT, OWN_DOCUMENTS = 5, 50
 TRUSTED_ROWS = 2_000_000
 
 
-def trusted_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
-                      good: str = "quality", rows: int = TRUSTED_ROWS) -> DataFrame:
-    """Documents that the labels call good; null ids and null labels trust nothing."""
+def marked_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
+                     good: str = "quality", rows: int = TRUSTED_ROWS) -> tuple[DataFrame, str]:
+    """The documents with a further column, not null if the labels call them good; its name.
+
+    Null ids and null labels trust nothing.
+    """
     name = free_name(docs, "__trusted")
     ids = labels.where(F.col(good) == 1).select(F.col(id_col).cast("long").alias(name)).distinct()
-    return docs.join(small_side(ids, rows), F.col(id_col).cast("long") == F.col(name), "left_semi")
+    return docs.join(small_side(ids, rows), F.col(id_col).cast("long") == F.col(name), "left"), name
 
 
 def perplexity(average, prior: int = PRIOR_WORDS):
@@ -63,10 +66,14 @@ def thresholds(scored: DataFrame, quantile: float = QUANTILE, slack: float = SLA
 def _judged(docs: DataFrame, labels: DataFrame, columns: list, id_col: str, text_col: str, lang_col: str,
             good: str, quantile: float, slack: float) -> DataFrame:
     """row (``columns`` in a struct, so that no name clashes), perplexity, threshold, keep."""
-    trusted, held = trusted_documents(docs, labels, id_col, good), held_out(id_col)
-    model = word_lm.train(trusted, held, text_col)
-    scored = materialise(word_lm.score(docs, trusted.where(held), model, [
-        F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), F.col(lang_col).cast("string").alias("__lang")], text_col), "scores")
+    marked, name = marked_documents(docs, labels, id_col, good)
+    trusted, held = F.col(name).isNotNull(), held_out(id_col)
+    model = word_lm.train(marked, held, text_col, trusted)
+    found = word_lm.score(docs, marked.where(trusted & held), model, [
+        F.struct(*columns).alias("row"), F.col(lang_col).cast("string").alias("__lang")], text_col, known=True)
+    with lean(docs.sparkSession):
+        scored = materialise(found, "scores")
+    model.release()
     limits, overall, average = thresholds(scored.where("__held"), quantile, slack)
     limits = small_side(limits.select(F.col("lang").alias("__of"), F.col("threshold").alias("__own")))
     found = scored.where("not __held").join(limits, F.col("__lang") == F.col("__of"), "left").select(
@@ -86,7 +93,7 @@ def classify(docs: DataFrame, labels: DataFrame, columns: list | None = None, id
     A text of any length is scored whole.  Other columns may have any name but the three.
     """
     columns = docs.columns if columns is None else columns
-    judged = _judged(docs, labels, columns, id_col, text_col, lang_col, good, quantile, slack)
+    judged = _judged(docs, labels, [F.col(f"`{c}`") for c in columns], id_col, text_col, lang_col, good, quantile, slack)
     return judged.select(*(F.col(f"row.`{c}`").alias(c) for c in columns),
                          *(F.col(c).alias(f"__{c}") for c in ("perplexity", "threshold", "keep")))
 
@@ -94,5 +101,10 @@ def classify(docs: DataFrame, labels: DataFrame, columns: list | None = None, id
 def quality_filter(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                    good: str = "quality", quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
     """The documents that the classifier keeps, with their own columns, whatever their names."""
-    judged = _judged(docs, labels, docs.columns, id_col, text_col, lang_col, good, quantile, slack)
-    return judged.where("keep").select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+    names = [free_name(docs, f"__{x}_of_text") for x in "abc"]
+    key = [*word_lm.text_key(text_col), F.col(lang_col).cast("string")]
+    judged = _judged(docs, labels, [c.alias(name) for c, name in zip(key, names, strict=True)], id_col, text_col, lang_col, good, quantile, slack)
+    # what goes is told by its text and language, so that no text is written or moved
+    gone = small_side(materialise(judged.where("not keep").select("row.*").distinct(), "rejected"))
+    same = [c.eqNullSafe(F.col(name)) for c, name in zip(key, names, strict=True)]
+    return docs.join(gone, same[0] & same[1] & same[2], "left_anti")

@@ -1,9 +1,11 @@
 """The word model: brute force, shuffled words, both models in one pass."""
 
+import os
 import random
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from sparkpipe.llm import quality_lm, word_lm
@@ -60,6 +62,45 @@ def test_word_model_equals_brute_force(spark):
         assert abs(r["__nll"] - (some if r["__held"] else every)(text)) < 1e-4, r
 
 
+SMALL = {"ROUND_TOKENS": 40, "SHARD_TOKENS": 20, "SPREAD_TOKENS": 8, "BATCH_DOCS": 3, "BOOK_WORDS": 9, "TOP_WORDS": 12}
+
+
+@pytest.mark.parametrize("small", [{}, SMALL, SMALL | {"TOP_WORDS": 1000}, SMALL | {"BATCH_BYTES": 1, "SETTLE": 1}, {"TOP_WORDS": 0}])
+def test_rounds_spread_words_and_words_beyond_the_top_change_nothing(spark, monkeypatch, small):
+    for name, value in small.items():
+        monkeypatch.setattr(word_lm, name, value)
+    rng = random.Random(3)
+    vocabulary = ["the", "of", ",", "a", *(f"w{i}" for i in range(40))]
+    texts = [" ".join(rng.choices(vocabulary, [30, 12, 8, 5, *[1] * 40], k=rng.randrange(30))) for _ in range(30)]
+    texts += [None, "", "the the the the the the the the", *texts[:3], "unseen words , the unseen the"]
+    rows = [(i, t, i % 3 != 2, i % 4 == 1) for i, t in enumerate(texts)]
+    docs = prepare(spark).createDataFrame(rows, "doc_id long, text string, good boolean, held boolean").repartition(2).cache()
+    trusted, held = F.col("good"), F.col("held")
+    model = word_lm.train(docs, held, trusted=trusted)
+    assert not small or small == {"TOP_WORDS": 0} or model.deal.rounds > 2 and len(model.deal.hot) > 1 and model.deal.parts.max() > 1
+    scored = word_lm.score(docs, docs.where(trusted & held), model, ["doc_id"], known=True).collect()
+    every, some = brute([r[1] for r in rows if r[2]]), brute([r[1] for r in rows if r[2] and not r[3]])
+    assert sorted((r["doc_id"], r["__held"]) for r in scored) == sorted([(r[0], False) for r in rows] + [(r[0], True) for r in rows if r[2] and r[3]])
+    for r in scored:
+        text = rows[r["doc_id"]][1]
+        assert r["__n_words"] == len(tokens(text))
+        assert abs(r["__nll"] - (some if r["__held"] else every)(text)) < 1e-4, r
+    model.release()
+    docs.unpersist()
+
+
+def test_words_kept_as_numbers_take_little_and_nothing_is_left(spark):
+    root = prepare(spark).sparkContext.getCheckpointDir().removeprefix("file:")
+
+    def tables():
+        return {os.path.join(d, x): os.path.getsize(os.path.join(d, x)) for d, _, names in os.walk(root) for x in names if x.endswith(".parquet")}
+    docs, labels = (table(spark, "/root/testdata/sf0.01", n) for n in ("documents", "labels"))
+    before = tables()
+    assert quality_lm.quality_filter(docs, labels).count()
+    left = {f: n for f, n in tables().items() if f not in before}
+    assert sum(left.values()) < 0.2 * os.path.getsize("/root/testdata/sf0.01/documents.parquet"), left
+
+
 def test_shuffled_words_are_rejected(spark):
     rng = random.Random(5)
     follow = [rng.sample(range(300), 3) for _ in range(300)]  # after each word come three others
