@@ -52,6 +52,24 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(27))
 
 
+def _different(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different keys in order, a place of each, and which of them each key is; quicker than np.unique."""
+    # the places stand in the last bits of what is sorted
+    last = np.uint64((1 << len(keys).bit_length()) - 1)
+    packed = (keys & ~last) | np.arange(len(keys), dtype=np.uint64)
+    packed.sort()
+    order = (packed & last).astype(np.int64)
+    of = keys[order]
+    if (of[1:] < of[:-1]).any():  # keys that differ in those bits only
+        order = np.argsort(keys)
+        of = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = of[1:] != of[:-1]
+    at = np.empty(len(keys), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return of[new], order[new], at
+
+
 def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the different words and marks; which of them the texts consist of; how many each text has."""
     spaced = pc.utf8_trim_whitespace(pc.replace_substring_regex(texts, r"([\pP\pS]+)", r" \1 "))
@@ -201,19 +219,15 @@ class Deal:
     def place(self, named: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of these middle words: first round, rounds, shard, whether spread and place among the spread words."""
         h = _mix(named, np.uint64(3))
-        first, shards = (h >> np.uint64(32)) % np.uint64(self.rounds), (h & np.uint64(0xFFFFFFFF)) % np.uint64(self.shards)
+        first, shards = ((h >> np.uint64(32)) % np.uint64(self.rounds)).astype(np.int64), (h & np.uint64(0xFFFFFFFF)) % np.uint64(self.shards)
         hot, at = self.hot_at(named)
-        spans = np.ones(len(named), np.uint16)
+        spans = np.ones(len(named), np.int64)
         first[hot], spans[hot] = self.first[at[hot]], self.spans[at[hot]]
-        return first.astype(np.uint16), spans, shards.astype(np.uint16), hot, at
-
-    def turns(self, first: np.ndarray, spans: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """The rounds of occurrences: the words before, as bytes, decide between those of a spread word."""
-        return (first + (before * spans >> 8)) % np.uint16(self.rounds)
+        return first, spans, shards.astype(np.uint16), hot, at
 
-    def now(self, at: int, turn: int) -> bool:
-        """Whether a part of this spread word comes in the round."""
-        return (turn - self.first[at]) % self.rounds < self.spans[at]
+    def comes(self, turn: int, first: np.ndarray, spans: np.ndarray) -> np.ndarray:
+        """Whether these middle words, or parts of them, come in the round."""
+        return (turn - first) % self.rounds < spans
 
     def part(self, v: np.ndarray, part: np.ndarray) -> np.ndarray:
         return (_mix(v, part + np.uint64(5)) % np.uint64(self.shards)).astype(np.uint16)
@@ -245,9 +259,12 @@ def _blocks(shared, name: str, turn: int, trusted_only: bool):
         deal, book = shared.value[name], shared.value["book"]
         for batch, named, codes, sizes, kinds in _opened(batches):
             first, spans, shards, hot, at = deal.place(named)
-            before = _mix(named, np.uint64(7))
-            turns = deal.turns(first[codes[1:-1]], spans[codes[1:-1]], (before >> np.uint64(56)).astype(np.uint16)[codes[:-2]])
-            now = np.flatnonzero((turns == turn) & (codes[2:] != 0)) + 2
+            now = np.flatnonzero(deal.comes(turn, first, spans).take(codes[1:-1]) & (codes[2:] != 0)) + 2
+            # the word before decides between the rounds and shards of a spread word
+            apart, before = (spans > 1).take(codes[now - 1]), _mix(named, np.uint64(7))
+            u, v = codes[now[apart] - 2], codes[now[apart] - 1]
+            apart[apart] = (first[v] + ((before[u] >> np.uint64(56)).astype(np.int64) * spans[v] >> 8)) % deal.rounds != turn
+            now = now[~apart]
             doc = np.searchsorted(np.cumsum(sizes + 2), now, side="right")
             if trusted_only:
                 real = ((kinds == TRUSTED) | (kinds == HELD))[doc]
@@ -255,8 +272,8 @@ def _blocks(shared, name: str, turn: int, trusted_only: bool):
             if not len(now):
                 continue
             uvw = np.stack([codes[now - 2], codes[now - 1], codes[now]], 1)
-            shard = shards[uvw[:, 1]]
-            spread = np.flatnonzero(hot[uvw[:, 1]])
+            shard = shards.take(uvw[:, 1])
+            spread = np.flatnonzero(hot.take(uvw[:, 1]))
             if len(spread):
                 u, v = uvw[spread, 0], uvw[spread, 1]
                 shard[spread] = deal.part(named[v], (before[u] & np.uint64(0xFFFFFFFF)) % deal.parts[at[v]])
@@ -269,7 +286,7 @@ def _blocks(shared, name: str, turn: int, trusted_only: bool):
             number[:len(head)] = np.where(book[found] == head, found, _RARE)
             quad = np.empty((len(uvw), 4), np.uint16)
             quad[:, 0] = (kinds[doc].astype(np.uint16) << 14 | doc.astype(np.uint16))[order]
-            quad[:, 1:] = number[uvw]
+            quad[:, 1:] = number.take(uvw)
             rare = quad[:, 1:] == _RARE
             ends = np.append(np.flatnonzero(np.diff(shard)) + 1, len(shard))
             yield pa.RecordBatch.from_arrays(
@@ -282,7 +299,7 @@ def _gathered(table: pa.Table, book: np.ndarray):
     """Row of the table, document, kind, u, v, w of all occurrences of a shard."""
     quad, sizes = _flat(table.column("codes"), np.uint16)
     quad = quad.reshape(-1, 4)
-    uvw = np.append(book, np.zeros(_RARE + 1 - len(book), np.uint64))[quad[:, 1:]]
+    uvw = np.append(book, np.zeros(_RARE + 1 - len(book), np.uint64)).take(quad[:, 1:])
     uvw[quad[:, 1:] == _RARE] = _flat(table.column("rare"), np.uint64)[0]
     return np.repeat(np.arange(len(sizes)), sizes // 4), quad[:, 0] & 0x3FFF, quad[:, 0] >> 14, uvw[:, 0], uvw[:, 1], uvw[:, 2]
 
@@ -326,10 +343,10 @@ def _counted(shared):
     def counted(table: pa.Table) -> pa.Table:
         deal, homes = shared.value["train"], shared.value["homes"]
         _, _, kind, u, v, w = _gathered(table, shared.value["book"])
-        _, first, at = np.unique(_mix(_mix(u, v), w), return_index=True, return_inverse=True)
+        _, first, at = _different(_mix(_mix(u, v), w))
         n, m = np.bincount(at), np.bincount(at, kind != HELD)
         v, w = v[first], w[first]
-        low, first, at = np.unique(_mix(v, w), return_index=True, return_inverse=True)
+        low, first, at = _different(_mix(v, w))
         n2, m2 = np.bincount(at), np.bincount(at, m > 0)
         v, w = v[first], w[first]
         hot, _ = deal.hot_at(v)
@@ -344,7 +361,7 @@ def _counted(shared):
 
 def _added(data: np.ndarray) -> np.ndarray:
     """Rows of the same word or bigram put together."""
-    _, first, at = np.unique(_mix(data["v"], data["w"]) if "v" in data.dtype.names else data["w"], return_index=True, return_inverse=True)
+    _, first, at = _different(_mix(data["v"], data["w"]) if "v" in data.dtype.names else data["w"])
     out = data[first]
     for c in "nm":
         out[c] = np.bincount(at, data[c], minlength=len(first))
@@ -458,7 +475,7 @@ def _spread_grams(shared, turn: int):
         for rows in batches:
             for v, body in zip(rows.column(0).to_numpy().view(np.uint64), rows.column(1).to_pylist(), strict=True):
                 at = int(deal.hot_at(np.array([v]))[1][0])
-                if deal.now(at, turn):
+                if deal.comes(turn, deal.first[at], deal.spans[at]):
                     parts = np.arange(deal.parts[at], dtype=np.uint64)
                     to = np.unique(deal.part(np.full(len(parts), v), parts))
                     grams = np.frombuffer(body, _GRAMS)
@@ -489,12 +506,12 @@ def _scored(shared):
             return _OPEN_SCHEMA.empty_table()
         row, doc, kind, u, v, w = _gathered(table, book)
         context = _mix(u, v)
-        _, first, at = np.unique(_mix(context, w), return_index=True, return_inverse=True)
+        _, first, at = _different(_mix(context, w))
         counts = {"n": np.bincount(at, (kind == TRUSTED) | (kind == HELD)), "m": np.bincount(at, kind == TRUSTED)}
-        v, w, at3 = v[first], w[first], np.unique(context[first], return_inverse=True)[1]
-        keys, first, at2 = np.unique(_mix(v, w), return_index=True, return_inverse=True)
+        v, w, at3 = v[first], w[first], _different(context[first])[2]
+        keys, first, at2 = _different(_mix(v, w))
         v, w = v[first], w[first]
-        middle, at1 = np.unique(v, return_inverse=True)
+        middle, _, at1 = _different(v)
         hot, _ = deal.hot_at(middle)
         low = _mix(spread["v"], spread["w"])
         order = np.argsort(low)
@@ -682,7 +699,7 @@ def _scores(model: Model, more: DataFrame | None = None) -> DataFrame:
         waiting, sums = [], []
         for turn in range(model.deal.rounds):
             blocks = tokens.mapInArrow(_blocks(shared, "score", turn, False), _BLOCKS)
-            if any(model.deal.now(at, turn) for at in range(len(model.deal.hot))):
+            if model.deal.comes(turn, model.deal.first, model.deal.spans).any():
                 blocks = blocks.unionByName(model.grams.mapInArrow(_spread_grams(shared, turn), _BLOCKS))
             parts = blocks.groupBy("shard").applyInArrow(_scored(shared), _OPEN_COLUMNS)
             waiting.append(materialise(parts.groupBy("to").applyInArrow(_summed(np.float32), _OPEN_COLUMNS), "round"))

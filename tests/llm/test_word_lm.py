@@ -162,3 +162,10 @@ def test_quality_with_names_of_their_own_and_a_long_text(spark):
     assert len(judged) == 22 and all(np.isfinite(r["__perplexity"]) for r in judged.values())
     assert judged[30]["__perplexity"] != judged[0]["__perplexity"]
     assert abs(judged[0]["__perplexity"] - judged[2]["__perplexity"]) < 1e-9
+
+
+def test_different_keys_that_share_their_first_bits():
+    for keys in ([], [7], [9, 8, 9, 1 << 63, 8, 0], [(5 << 60) + k % 7 for k in (3, 1, 6, 3, 0, 1, 12)]):
+        keys = np.array(keys, np.uint64)
+        of, first, at = word_lm._different(keys)
+        assert of.tolist() == sorted(set(keys.tolist())) and keys[first].tolist() == of.tolist() and of[at].tolist() == keys.tolist()
