@@ -141,6 +141,7 @@ def _numbered(first: int):
                 "words": _zipped(named, 8), "codes": _zipped(codes, _width(len(named))),
                 "sizes": sizes.astype(np.int32).tobytes(), "kinds": kinds.tobytes(),
                 "keys": np.concatenate([a.to_numpy(), b.to_numpy()]).tobytes()}], _TOKENS_SCHEMA)
+        pa.default_memory_pool().release_unused()
     return number
 
 
@@ -496,6 +497,11 @@ def _received(sent: list[bytes]) -> np.ndarray:
     return np.concatenate(parts)
 
 
+def _single(x: np.ndarray) -> np.ndarray:
+    """Discounted counts are rounded to single precision."""
+    return x.astype(np.float32).astype(np.float64)
+
+
 def _scored(shared):
     def scored(table: pa.Table) -> pa.Table:
         deal, book, top, discounts, bases = (shared.value[k] for k in ("score", "book", "top", "discounts", "bases"))
@@ -529,7 +535,7 @@ def _scored(shared):
             n3, d = counts[c], discounts[c, 3]
             left = n3 - d[np.minimum(n3, 3).astype(int)]
             total = np.bincount(at3, n3)
-            kept = total - np.bincount(at3, left)
+            left, kept = _single(left), _single(total - np.bincount(at3, left))
             # a spread word's bigrams, whose words before are counted in all shards
             n2 = np.where(hot[at1], spread[c][place], np.bincount(at2, n3 > 0))
             d = discounts[c, 2]
@@ -537,9 +543,9 @@ def _scored(shared):
             x2, k2 = (np.bincount(at1, x, minlength=len(middle)) for x in (n2, left2))
             s2 = spread[c][:-1].astype(np.float64)
             t2, l2 = (np.bincount(of_middle, x, minlength=len(middle) + 1)[:-1] for x in (s2, s2 - d[np.minimum(s2, 3).astype(int)]))
-            total2, kept2 = np.where(hot, t2, x2)[at1], np.where(hot, t2 - l2, x2 - k2)[at1]
+            total2, kept2, left2 = np.where(hot, t2, x2)[at1], _single(np.where(hot, t2 - l2, x2 - k2))[at1], _single(left2)
             n1 = np.where(known, top[c][word], 0)
-            p1 = (n1 - discounts[c, 1][np.minimum(n1, 3)]) / bases[c][1] + bases[c][0]
+            p1 = _single(n1 - discounts[c, 1][np.minimum(n1, 3)]) / bases[c][1] + bases[c][0]
             # a probability is x + y * p1; words whose p1 is not known here keep both
             x, y = (np.where(total2 > 0, v / np.maximum(total2, 1), o) for v, o in ((left2, 0.0), (kept2, 1.0)))
             x, y = np.where(rest, x, x + y * p1)[at2], np.where(rest, y, 0.0)[at2]
@@ -551,8 +557,8 @@ def _scored(shared):
         odd = kind[starts] >= HELD
         ends = np.searchsorted(row[starts], np.arange(table.num_rows), side="right")
         numbers = table.column("batch").combine_chunks()
-        sums = _open_rows(numbers, ends, docs=doc[starts] | (odd.astype(np.uint16) << 15), n=np.add.reduceat(nll["n"], starts),
-                          m=np.add.reduceat(nll["m"], starts)[odd], odd=odd)
+        sums = _open_rows(numbers, ends, odd, _OPEN | _SUMS, docs=doc[starts] | (odd.astype(np.uint16) << 15),
+                          n=np.add.reduceat(nll["n"], starts), m=np.add.reduceat(nll["m"], starts)[odd])
         waits = np.flatnonzero(rest[at2][at])
         if not len(waits):
             return sums
@@ -581,22 +587,21 @@ def _open_rows(to, ends: np.ndarray, odd: np.ndarray, kinds: dict = _OPEN, **col
     return pa.table([to, *(_binaries(columns.get(c, none[:0]).astype(d, copy=False), of.get(c, none)) for c, d in kinds.items())], ["to", *kinds])
 
 
-def _summed(kind):
-    """Sums of the documents of each batch, from numbers of the ``kind``; rows that wait for counts as they are, put together."""
+def _summed(kinds: dict):
+    """Sums of the documents of each batch; rows that wait for counts as they are, put together."""
     def summed(table: pa.Table) -> pa.Table:
         to = table.column("to")[0].as_py()
         if to < 0:
             parts = [_flat(table.column(c), d)[0] for c, d in _OPEN.items()]
             return pa.table([pa.array([to]), *(pa.array([x.tobytes()], pa.binary()) for x in parts)], schema=_OPEN_SCHEMA)
-        docs, n, m = (_flat(table.column(c), kind)[0] for c, kind in ({"docs": np.uint16, "n": kind, "m": kind}).items())
+        docs, n, m = (_flat(table.column(c), d)[0] for c, d in _SUMS.items())
         odd, docs = docs >> 15 > 0, docs & 0x3FFF
         size = int(docs.max(initial=0)) + 1
         there, is_odd = np.bincount(docs, minlength=size) > 0, np.bincount(docs, odd, minlength=size) > 0
         sums, odd_sums = np.bincount(docs, n, minlength=size), np.bincount(docs[odd], m, minlength=size)
         found = np.flatnonzero(there).astype(np.uint16) | (is_odd[there].astype(np.uint16) << 15)
         parts = {"docs": found, "n": sums[there].astype(np.float64), "m": odd_sums[is_odd].astype(np.float64)}
-        return pa.table([pa.array([to]), *(pa.array([parts[c].tobytes() if c in parts else b""], pa.binary()) for c in (_OPEN if kind == np.float32 else _SUMS))],
-                        schema=_OPEN_SCHEMA if kind == np.float32 else _SUMS_SCHEMA)
+        return pa.table([pa.array([to]), *(pa.array([parts[c].tobytes() if c in parts else b""], pa.binary()) for c in kinds)], ["to", *kinds])
     return summed
 
 
@@ -614,7 +619,7 @@ def _met(shared):
         odd, nll = docs >> 15 > 0, {}
         for c, x, y, at in (("n", x, y, place), ("m", xm, ym, place[odd])):
             n1 = found[c][at].astype(np.int64)
-            p1 = (n1 - discounts[c, 1][np.minimum(n1, 3)]) / bases[c][1] + bases[c][0]
+            p1 = _single(n1 - discounts[c, 1][np.minimum(n1, 3)]) / bases[c][1] + bases[c][0]
             nll[c] = -np.log(np.maximum(x + y * p1, 1e-300))
         every = np.zeros(len(w))
         every[odd] = nll["m"]
@@ -685,7 +690,7 @@ def _settled(rounds: list[DataFrame], model: Model, shared, every_word: bool) ->
     if not every_word:
         waiting = rows.where("to < 0").withColumn("to", -1 - F.col("to"))
         sums = sums.unionByName(waiting.groupBy("to").cogroup(model.words.select("to", "data").groupBy("to")).applyInArrow(_met(shared), _SUMS_COLUMNS))
-    out = materialise(sums.groupBy("to").applyInArrow(_summed(np.float64), _SUMS_COLUMNS), "sums")
+    out = materialise(sums.groupBy("to").applyInArrow(_summed(_SUMS), _SUMS_COLUMNS), "sums")
     drop_scratch(*rounds)
     return out
 
@@ -702,7 +707,7 @@ def _scores(model: Model, more: DataFrame | None = None) -> DataFrame:
             if model.deal.comes(turn, model.deal.first, model.deal.spans).any():
                 blocks = blocks.unionByName(model.grams.mapInArrow(_spread_grams(shared, turn), _BLOCKS))
             parts = blocks.groupBy("shard").applyInArrow(_scored(shared), _OPEN_COLUMNS)
-            waiting.append(materialise(parts.groupBy("to").applyInArrow(_summed(np.float32), _OPEN_COLUMNS), "round"))
+            waiting.append(materialise(parts.groupBy("to").applyInArrow(_summed(_OPEN), _OPEN_COLUMNS), "round"))
             if len(waiting) == SETTLE or turn == model.deal.rounds - 1:
                 sums.append(_settled(waiting, model, shared, top["all"]))
                 waiting = []
